@@ -1,0 +1,42 @@
+"""Join helpers: size-checked broadcast of dimensions and semi-join reduction.
+
+Broadcast is only ever requested for a side whose size was checked here;
+everything else is left to Catalyst and AQE, which turn a shuffle join into a
+broadcast join at runtime only when the measured shuffle output is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keep the
+sort-merge join (with skew splitting).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables (loan types, scoring configs) are code dictionaries; a few
+# hundred rows at most.  Anything above this is joined by shuffle instead.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast join for ``df`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows; a larger side keeps the
+    ordinary (shuffle) join strategy.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def restrict(big: DataFrame, big_key: str | Column, keys: DataFrame, key: str | Column) -> DataFrame:
+    """Rows of ``big`` whose ``big_key`` occurs in ``keys.key`` (left semi join).
+
+    Used before a LEFT join whose right side is a large table and whose left
+    side is small: a left outer join can only build (broadcast) its right
+    side, so the big side would be shuffled in full.  Reducing it first with
+    a semi join (which builds the small key side) keeps the big table local.
+    """
+    bk = F.col(big_key) if isinstance(big_key, str) else big_key
+    kk = F.col(key) if isinstance(key, str) else key
+    k = keys.select(kk.alias("__restrict_key")).filter(F.col("__restrict_key").isNotNull())
+    return big.join(k, bk == F.col("__restrict_key"), "left_semi")

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are month-end batch jobs over a snapshot of the loan book; the
+source defines no stream, watermark, event-time window or stateful operator,
+so none is provided here.
+"""
