@@ -51,12 +51,24 @@ def comparable(df: DataFrame) -> DataFrame:
     )
 
 
+_PLANS: dict = {}
+
+
 def _book(spark: SparkSession, sf_dir: str):
-    return book_from_testdata(spark, sf_dir)
+    """The mapped loan book of ``sf_dir`` (a lazy plan, built once per session and folder)."""
+    key = ("book", id(spark), sf_dir)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _PLANS[key] = (spark, book_from_testdata(spark, sf_dir))
+    return hit[1]
 
 
 def _whole_book_cohort(book):
-    return loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD_DTTM)
+    key = ("cohort", id(book))
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not book:
+        hit = _PLANS[key] = (book, loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD_DTTM))
+    return hit[1]
 
 
 def q_cohort_v1(spark, sf_dir):

@@ -23,10 +23,12 @@ loan arm.  Computing them per application / per customer and joining them
 to the distinct grain avoids building the application x external-score x
 financial-information product.
 
-Plan shape: the windowed credit scores are the selective input; applications
-are joined to them, and every LEFT-joined large table (facility, bridge,
-loan, external scores, financial information) is first reduced with a semi
-join against the keys actually needed.
+Plan shape: the windowed credit scores are the selective input (date range
+pushed to the scan); applications are joined to them.  Large tables that
+feed a LEFT join (facility, loan, external scores, financial information)
+are first reduced with a semi join against a cheap key set -- the window's
+score ids, application ids or customers -- so they are neither shuffled in
+full nor is the report's own join tree evaluated twice to get the keys.
 """
 
 from __future__ import annotations
@@ -57,13 +59,21 @@ AUDIT_COLUMNS = REPORT_COLUMNS[:3] + ["scorecard_type_id"] + REPORT_COLUMNS[3:]
 
 
 def _scores(book: LoanBook, window: ReportingWindow, conf: DataFrame) -> DataFrame:
+    """Credit scores of the window (date range pushed to the scan) with an existing config."""
     return (
         book.credit_score.filter(created_in(window))
         .select(
             F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("app_id"),
             "credit_score_config_id", F.col("created_at").alias("scored_at"),
         )
-        .join(broadcast_if_small(conf), "credit_score_config_id")
+        .join(broadcast_if_small(conf, book.credit_score_config), "credit_score_config_id")
+    )
+
+
+def _window_scores(book: LoanBook, window: ReportingWindow) -> DataFrame:
+    """Cheap key set for semi-join reductions: ids of the window's scores and their applications."""
+    return book.credit_score.filter(created_in(window)).select(
+        F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("app_id")
     )
 
 
@@ -84,15 +94,21 @@ def _loan_flags(loans: DataFrame, key: str) -> DataFrame:
     ).distinct()
 
 
-def _facility_outcomes(book: LoanBook, scored: DataFrame) -> DataFrame:
-    """Distinct (credit_score_id, has_facility, accepted, declined) via facility -> bridge -> live loan."""
-    fac = restrict(book.facility, "credit_score_id", scored, "credit_score_id").select(
+def _facility_outcomes(book: LoanBook, scores: DataFrame) -> DataFrame:
+    """Distinct (credit_score_id, has_facility, accepted, declined) via facility -> bridge -> live loan.
+
+    The facility table is reduced by the window's score ids (a cheap key
+    set: one filtered scan); bridge and loans are then LEFT joined and left
+    to the optimizer (runtime bloom filter / AQE broadcast of the small side).
+    """
+    fac = restrict(book.facility, "credit_score_id", scores, "credit_score_id").select(
         F.col("id").alias("facility_id"), "credit_score_id"
     )
-    fhl = restrict(book.facility_has_loan, "facility_id", fac, "facility_id")
-    loans = restrict(current_only(book.loan), "id", fhl, "loan_id").withColumnRenamed("id", "loan_id")
+    loans = current_only(book.loan).select(
+        F.col("id").alias("loan_id"), "loan_application_id", "issued_at", "cancelled_at", "declined_at"
+    )
     return (
-        fac.join(fhl, "facility_id", "left")
+        fac.join(book.facility_has_loan, "facility_id", "left")
         .join(_loan_flags(loans, "loan_id"), "loan_id", "left")
         .select(
             "credit_score_id", F.lit(True).alias("has_facility"),
@@ -117,18 +133,29 @@ def _min_external_id(book: LoanBook, apps: DataFrame) -> DataFrame:
     return ext.groupBy(F.col("loan_application_id").alias("app_id")).agg(F.min("id").alias("external_id"))
 
 
-def _financials(book: LoanBook, grain: DataFrame) -> DataFrame:
+def _window_customers(book: LoanBook, window: ReportingWindow) -> DataFrame:
+    """Customers of the applications scored in the window (key set for the financials)."""
+    return _window_scores(book, window).join(
+        book.loan_application.select(F.col("id").alias("app_id"), "customer_id"), "app_id"
+    )
+
+
+def _financials(book: LoanBook, window: ReportingWindow) -> DataFrame:
     """One live financial-information row per customer: smallest (expenses, income), NULLs last."""
-    fi = restrict(current_only(book.financial_information), "customer_id", grain, "customer_id")
+    fi = restrict(
+        current_only(book.financial_information), "customer_id", _window_customers(book, window), "customer_id"
+    )
     return one_row_per(
         fi.select("customer_id", "total_monthly_expenses", "total_monthly_income"),
         ["customer_id"], ["total_monthly_expenses", "total_monthly_income"],
     )
 
 
-def _with_financials(book: LoanBook, grain: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _with_financials(
+    book: LoanBook, window: ReportingWindow, grain: DataFrame, columns: Sequence[str]
+) -> DataFrame:
     return (
-        grain.join(_financials(book, grain), "customer_id", "left")
+        grain.join(_financials(book, window), "customer_id", "left")
         .withColumnRenamed("app_id", "id")
         .select(*columns)
     )
@@ -143,11 +170,12 @@ def all_applications_direct(
         F.col("id").alias("credit_score_config_id")
     )
     scored = _scores(book, w, conf).join(_applications(book, live_only=True), "app_id")
-    scored = scored.join(_min_external_id(book, scored), "app_id")
-    fac = restrict(book.facility, "credit_score_id", scored, "credit_score_id").select(
+    keys = _window_scores(book, w)
+    scored = scored.join(_min_external_id(book, keys), "app_id")
+    fac = restrict(book.facility, "credit_score_id", keys, "credit_score_id").select(
         "credit_score_id", F.lit(True).alias("has_facility")
     ).distinct()
-    loans = restrict(current_only(book.loan), "original_loan_application_id", scored, "app_id")
+    loans = restrict(current_only(book.loan), "original_loan_application_id", keys, "app_id")
     grain = (
         scored.join(fac, "credit_score_id", "left")
         .join(_loan_flags(loans, "original_loan_application_id")
@@ -157,7 +185,7 @@ def all_applications_direct(
                 "applied_amount", "customer_id", "external_id")
         .distinct()
     )
-    return _with_financials(book, grain, REPORT_COLUMNS)
+    return _with_financials(book, w, grain, REPORT_COLUMNS)
 
 
 def all_applications_facility(
@@ -167,14 +195,14 @@ def all_applications_facility(
     conf = book.credit_score_config.select(F.col("id").alias("credit_score_config_id"))
     scored = _scores(book, w, conf).join(_applications(book, live_only=False), "app_id")
     grain = (
-        scored.join(_facility_outcomes(book, scored), "credit_score_id", "left")
+        scored.join(_facility_outcomes(book, _window_scores(book, w)), "credit_score_id", "left")
         .transform(_classify)
         .select("app_id", "created_at", "final_decision", "rejection_reason",
                 "applied_amount", "customer_id")
         .distinct()
     )
-    grain = grain.join(_min_external_id(book, grain), "app_id", "left")
-    return _with_financials(book, grain, REPORT_COLUMNS)
+    grain = grain.join(_min_external_id(book, _window_scores(book, w)), "app_id", "left")
+    return _with_financials(book, w, grain, REPORT_COLUMNS)
 
 
 def all_applications_audit(
@@ -202,12 +230,13 @@ def all_applications_audit(
         .withColumn("lag_days", F.datediff(F.col("scored_at"), F.col("created_at")))
         .filter(F.col("lag_days") <= max_lag_days)
     )
-    ext = restrict(book.external_score, "loan_application_id", scored, "app_id").select(
+    keys = _window_scores(book, w)
+    ext = restrict(book.external_score, "loan_application_id", keys, "app_id").select(
         F.col("id").alias("external_id"), F.col("loan_application_id").alias("ext_app_id")
     )
     has_ext = ext.select(F.col("ext_app_id").alias("app_id"), F.lit(True).alias("has_ext")).distinct()
     rows = (
-        scored.join(_facility_outcomes(book, scored), "credit_score_id", "left")
+        scored.join(_facility_outcomes(book, keys), "credit_score_id", "left")
         .join(has_ext, "app_id", "left")
         .transform(_classify)
         .withColumn(
@@ -225,7 +254,7 @@ def all_applications_audit(
         ext, (F.col("app_id") == F.col("ext_app_id")) & F.col("ext_mode"), "left"
     ).drop("ext_app_id")
     return (
-        _with_financials(book, grain, AUDIT_COLUMNS + ["lag_days"])
+        _with_financials(book, w, grain, AUDIT_COLUMNS + ["lag_days"])
         .orderBy(F.col("lag_days").desc())
         .drop("lag_days")
     )

@@ -20,10 +20,13 @@ only the child's creation date is windowed.
 
 Plan shape: every branch starts from the windowed loans (the filter on
 ``created_at`` is pushed to the scan as a timestamp range) and walks out to
-the large tables; large tables that feed a LEFT join are first reduced with
-a semi join against the small key set (``plans.joins.restrict``), and picks
-of one external id per application are pre-aggregated (``min``) before they
-are joined, so no fan-out is built and later collapsed.
+the large tables.  Inner joins are left to the optimizer (AQE broadcasts a
+small windowed side at runtime, else sort-merge with a runtime bloom filter
+on the large side).  External scores feeding a LEFT join are reduced with a
+semi join against a cheap key set (a windowed loan scan,
+``plans.joins.restrict``), and picks of one external id per application are
+pre-aggregated (``min``) before they are joined, so no fan-out is built and
+later collapsed.
 """
 
 from __future__ import annotations
@@ -74,7 +77,8 @@ def _loan_attributes() -> list[Column]:
 
 def _types(book: LoanBook) -> DataFrame:
     return broadcast_if_small(
-        book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("loan_type"))
+        book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("loan_type")),
+        book.loan_type,
     )
 
 
@@ -102,8 +106,13 @@ def _min_external_id(book: LoanBook, apps: DataFrame, app_col: str, out: str) ->
 
 def facility_applications(book: LoanBook, loans: DataFrame, loan_col: str = "loan_id") -> DataFrame:
     """Distinct (loan_id, la_id): application reached loan -> facility -> credit
-    score created the same day as the facility -> existing config -> existing application."""
-    fhl = restrict(book.facility_has_loan, "loan_id", loans, loan_col)
+    score created the same day as the facility -> existing config -> existing application.
+
+    Inner joins walking out from ``loans``: the optimizer picks the build
+    side (AQE broadcasts the small, windowed side at runtime, else a
+    sort-merge join with a runtime bloom filter on the large side).
+    """
+    fhl = loans.select(F.col(loan_col).alias("loan_id")).join(book.facility_has_loan, "loan_id")
     fac = book.facility.select(
         F.col("id").alias("facility_id"), "credit_score_id",
         F.to_date("created_at").alias("facility_day"),
@@ -112,16 +121,17 @@ def facility_applications(book: LoanBook, loans: DataFrame, loan_col: str = "loa
         F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("la_id"),
         F.col("credit_score_config_id"), F.to_date("created_at").alias("score_day"),
     )
-    conf = broadcast_if_small(book.credit_score_config.select(F.col("id").alias("credit_score_config_id")))
+    conf = broadcast_if_small(
+        book.credit_score_config.select(F.col("id").alias("credit_score_config_id")), book.credit_score_config
+    )
     chain = (
         fhl.join(fac, "facility_id")
         .join(cs, ["credit_score_id"])
         .filter(F.col("facility_day") == F.col("score_day"))
         .join(conf, "credit_score_config_id", "left_semi")
     )
-    apps = restrict(book.loan_application.select("id"), "id", chain, "la_id")
     return (
-        chain.join(apps, F.col("la_id") == F.col("id"), "left_semi")
+        chain.join(book.loan_application.select(F.col("id").alias("la_id")), "la_id")
         .select("loan_id", "la_id")
         .distinct()
     )
@@ -196,9 +206,9 @@ def loan_cohort_v2(
         .otherwise(F.col("loan_application_id")).alias("application_id"),
         *_loan_attributes(),
     )
-    root_apps = facility_applications(book, roots)
     root_ext = (
-        root_apps.join(restrict(ext, "la_id", root_apps, "la_id"), "la_id", "left")
+        facility_applications(book, roots)
+        .join(ext, "la_id", "left")
         .select("loan_id", "external_id")
         .distinct()
     )
@@ -217,13 +227,11 @@ def loan_cohort_v2(
         F.col("original_loan_application_id").alias("child_original_app"), *_loan_attributes(),
     )
     parents = restrict(loans, "id", children, "origin_loan_id").filter(_is_successful())
-    parent_apps = facility_applications(book, parents.select(F.col("id").alias("loan_id")))
-    parent_apps = parent_apps.join(
-        _min_external_id(book, parent_apps, "la_id", "parent_external_id"), "la_id", "left"
-    ).select(
-        F.col("loan_id").alias("origin_loan_id"),
-        F.col("la_id").alias("original_application_id"),
-        "parent_external_id",
+    parent_apps = (
+        facility_applications(book, parents.select(F.col("id").alias("loan_id")))
+        .join(ext, "la_id", "left")
+        .groupBy(F.col("loan_id").alias("origin_loan_id"), F.col("la_id").alias("original_application_id"))
+        .agg(F.min("external_id").alias("parent_external_id"))
     )
     child_rows = (
         children.join(parent_apps, "origin_loan_id")

@@ -126,7 +126,8 @@ def monthly_payments(
         )
     if loan_types is not None:
         cohort = cohort.join(
-            broadcast_if_small(loan_types.select(F.col("name").alias("loan_type"))), "loan_type", "left_semi"
+            broadcast_if_small(loan_types.select(F.col("name").alias("loan_type")), loan_types),
+            "loan_type", "left_semi",
         )
     picked = one_row_per(
         selected_payments(loan_payment, _cohort_scope(cohort), w, LEVEL),
@@ -196,7 +197,8 @@ def monthly_payments_for_loans(
     if loan_ids is not None:
         loans = loans.filter(F.col("id").isin([int(i) for i in loan_ids]))
     types = broadcast_if_small(
-        book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("Type_of_Loan"))
+        book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("Type_of_Loan")),
+        book.loan_type,
     )
     scope = (
         loans.join(

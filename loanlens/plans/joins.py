@@ -17,15 +17,27 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast join for ``df`` only if it has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows.
 
-    The check reads at most ``max_rows + 1`` rows; a larger side keeps the
-    ordinary (shuffle) join strategy.
+    The answer is remembered on the DataFrame object, so a dimension table
+    of a loan book is checked once however many reports join it.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = f"_loanlens_small_{max_rows}"
+    known = getattr(df, key, None)
+    if known is None:
+        known = df.limit(max_rows + 1).count() <= max_rows
+        setattr(df, key, known)
+    return known
+
+
+def broadcast_if_small(
+    df: DataFrame, base: DataFrame | None = None, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Hint a broadcast join for ``df`` only if it (or its source table ``base``,
+    of which ``df`` is a projection or filter) has at most ``max_rows`` rows.
+    A larger side keeps the ordinary (shuffle) join strategy."""
+    return F.broadcast(df) if is_small(df if base is None else base, max_rows) else df
 
 
 def restrict(big: DataFrame, big_key: str | Column, keys: DataFrame, key: str | Column) -> DataFrame:
