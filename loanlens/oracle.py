@@ -16,6 +16,7 @@ returns them for comparison.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from loanlens.functions.windows import (
@@ -113,8 +114,22 @@ def _between(expr: str, w: ReportingWindow) -> str:
     return f"{expr} BETWEEN {_d(w.start)} AND {_d(w.end)}"
 
 
+_MAPPING = {"on": True}
+
+
+@contextmanager
+def over_book_tables():
+    """Build SQL that reads tables named like the loan book directly (no test-table mapping)."""
+    _MAPPING["on"] = False
+    try:
+        yield
+    finally:
+        _MAPPING["on"] = True
+
+
 def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join([MAPPING_SQL.strip(), *ctes]) + "\n"
+    parts = ([MAPPING_SQL.strip()] if _MAPPING["on"] else []) + list(ctes)
+    return ("WITH " + ",\n".join(parts) + "\n") if parts else ""
 
 
 def _as_double(sql: str, cols: list[str]) -> str:
