@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from loanlens.sources.schemas import BOOK_SCHEMAS
 
+# Code dictionaries: a handful of rows.
+SMALL_TABLES = ("credit_score_config", "loan_type")
+
 
 @dataclass(frozen=True)
 class LoanBook:
@@ -47,7 +50,13 @@ def read_book(spark: SparkSession, root: str, fmt: str = "parquet") -> LoanBook:
     return LoanBook(**dfs)
 
 
-def write_book(book: LoanBook, root: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write every table of the book to ``root/<table>``."""
+def write_book(
+    book: LoanBook, root: str, fmt: str = "parquet", mode: str = "overwrite", files: int | None = None
+) -> None:
+    """Write every table of the book to ``root/<table>`` (``files``: files per large table)."""
     for name, df in book.tables().items():
+        if files and name not in SMALL_TABLES:
+            df = df.repartition(files)
+        elif files:
+            df = df.coalesce(1)
         df.write.format(fmt).mode(mode).save(f"{root}/{name}")
