@@ -34,12 +34,30 @@ def publish_cohort(cohort: DataFrame, table: str, reporting_month: str, path: st
     spark = cohort.sparkSession
     df = _conform(cohort, reporting_month)
     if not spark.catalog.tableExists(table):
-        w = df.write.format("parquet").partitionBy("reporting_month")
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
-        return
+        if path and _has_data(spark, path):
+            # earlier months written by another session: register them, then replace this month
+            cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COHORT)
+            spark.sql(
+                f"CREATE TABLE {table} ({cols}, reporting_month string) USING parquet "
+                f"PARTITIONED BY (reporting_month) LOCATION '{path}'"
+            )
+            spark.catalog.recoverPartitions(table)
+        else:
+            w = df.write.format("parquet").partitionBy("reporting_month")
+            if path:
+                w = w.option("path", path)
+            w.saveAsTable(table)
+            return
     df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # no such folder, or no data files in it
+        return False
 
 
 def read_cohort(spark: SparkSession, table: str, reporting_month: str) -> DataFrame:

@@ -42,3 +42,17 @@ def test_v1_cohort_publishes_without_load_stamp(spark):
     assert rows and all(r.load_dttm is None for r in rows)
     assert len(read_cohort(spark, table, "2018-07-01").columns) == 15
     drop_cohort(spark, table)
+
+
+def test_publish_into_existing_location_from_another_session(spark):
+    book = fixture_book(spark)
+    cohort = loan_cohort_v2(book, date(2018, 7, 1), load_dttm=datetime(2018, 7, 1))
+    table = f"cohort_{uuid.uuid4().hex[:8]}"
+    path = f"{shared_dir(spark)}/{table}"
+    publish_cohort(cohort, table, "2018-06-01", path=path)
+    n = read_cohort(spark, table, "2018-06-01").count()
+    drop_cohort(spark, table)  # external table: the catalog entry goes, the files stay
+    publish_cohort(cohort, table, "2018-07-01", path=path)
+    assert read_cohort(spark, table, "2018-06-01").count() == n
+    assert read_cohort(spark, table, "2018-07-01").count() == n
+    drop_cohort(spark, table)
