@@ -206,12 +206,20 @@ def loan_cohort_v2(
         .otherwise(F.col("loan_application_id")).alias("application_id"),
         *_loan_attributes(),
     )
-    root_ext = (
-        facility_applications(book, roots)
-        .join(ext, "la_id", "left")
-        .select("loan_id", "external_id")
-        .distinct()
+    children = loans.filter(
+        created_in(w) & _is_successful() & F.col("origin_loan_id").isNotNull()
+    ).select(
+        F.col("id").alias("loan_id"), "loan_type_id", "origin_loan_id", "loan_application_id",
+        F.col("original_loan_application_id").alias("child_original_app"), *_loan_attributes(),
     )
+    parents = restrict(loans, "id", children, "origin_loan_id").filter(_is_successful())
+    # One walk of the facility chain for the window's paid-out loans and the parents of
+    # its children (both sets are paid out), with their applications' external ids.
+    scored = facility_applications(
+        book, roots.select("loan_id").unionByName(parents.select(F.col("id").alias("loan_id")))
+    ).join(ext, "la_id", "left")
+
+    root_ext = scored.select("loan_id", "external_id").distinct()
     root_rows = (
         roots.join(root_ext, "loan_id")
         .join(_original_applications(book), "loan_id")
@@ -220,16 +228,8 @@ def loan_cohort_v2(
         .select(*V2_COLUMNS)
     )
 
-    children = loans.filter(
-        created_in(w) & _is_successful() & F.col("origin_loan_id").isNotNull()
-    ).select(
-        F.col("id").alias("loan_id"), "loan_type_id", "origin_loan_id", "loan_application_id",
-        F.col("original_loan_application_id").alias("child_original_app"), *_loan_attributes(),
-    )
-    parents = restrict(loans, "id", children, "origin_loan_id").filter(_is_successful())
     parent_apps = (
-        facility_applications(book, parents.select(F.col("id").alias("loan_id")))
-        .join(ext, "la_id", "left")
+        scored
         .groupBy(F.col("loan_id").alias("origin_loan_id"), F.col("la_id").alias("original_application_id"))
         .agg(F.min("external_id").alias("parent_external_id"))
     )
