@@ -9,6 +9,8 @@ table (the source system truncated and re-inserted).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +50,17 @@ def publish_cohort(cohort: DataFrame, table: str, reporting_month: str, path: st
                 w = w.option("path", path)
             w.saveAsTable(table)
             return
-    df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    # A static partition spec replaces exactly this month whatever the session's
+    # partitionOverwriteMode is (a plain insertInto overwrite would drop every month).
+    view = f"loanlens_publish_{uuid.uuid4().hex[:12]}"
+    df.drop("reporting_month").createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (reporting_month = '{reporting_month}') "
+            f"SELECT {', '.join(f.name for f in COHORT)} FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
     spark.catalog.refreshTable(table)
 
 

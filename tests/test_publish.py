@@ -56,3 +56,23 @@ def test_publish_into_existing_location_from_another_session(spark):
     assert read_cohort(spark, table, "2018-06-01").count() == n
     assert read_cohort(spark, table, "2018-07-01").count() == n
     drop_cohort(spark, table)
+
+
+def test_publish_keeps_other_months_under_static_overwrite_mode(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        book = fixture_book(spark)
+        cohort = loan_cohort_v2(book, date(2018, 7, 1), load_dttm=datetime(2018, 7, 1))
+        table = f"cohort_{uuid.uuid4().hex[:8]}"
+        path = f"{shared_dir(spark)}/{table}"
+        publish_cohort(cohort, table, "2018-06-01", path=path)
+        publish_cohort(cohort, table, "2018-07-01", path=path)
+        publish_cohort(cohort, table, "2018-07-01", path=path)
+        n = cohort.count()
+        assert read_cohort(spark, table, "2018-06-01").count() == n
+        assert read_cohort(spark, table, "2018-07-01").count() == n
+        drop_cohort(spark, table)
+    finally:
+        spark.conf.set(key, old)
