@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens import oracle
-from loanlens.functions.windows import WHOLE_BOOK, reporting_month, window_columns, reporting_month_column
+from loanlens.functions.windows import (
+    WHOLE_BOOK,
+    previous_month,
+    reporting_month,
+    reporting_month_column,
+    window_columns,
+)
 from loanlens.operators import (
     accepted_applications,
     all_applications_audit,
@@ -133,6 +139,25 @@ def q_payments_by_loan_null_safe(spark, sf_dir):
     )
 
 
+def _month_cohort(book):
+    key = ("month_cohort", id(book))
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not book:
+        hit = _PLANS[key] = (book, loan_cohort_v2(book, AS_OF, load_dttm=LOAD_DTTM))
+    return hit[1]
+
+
+def q_payments_level_b_month_cohort(spark, sf_dir):
+    """Payment level on the previous month's cohort (the reports' default use)."""
+    book = _book(spark, sf_dir)
+    return comparable(monthly_payments(_month_cohort(book), book.loan_payment, AS_OF))
+
+
+def q_payments_by_loan_month_cohort(spark, sf_dir):
+    book = _book(spark, sf_dir)
+    return comparable(monthly_payments_by_loan(_month_cohort(book), book.loan_payment, AS_OF))
+
+
 def q_payments_for_loans(spark, sf_dir):
     return comparable(monthly_payments_for_loans(_book(spark, sf_dir), AS_OF))
 
@@ -189,6 +214,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payments_level_c": q_payments_level_c,
         "payments_by_loan": q_payments_by_loan,
         "payments_by_loan_null_safe": q_payments_by_loan_null_safe,
+        "payments_level_b_month_cohort": q_payments_level_b_month_cohort,
+        "payments_by_loan_month_cohort": q_payments_by_loan_month_cohort,
         "payments_for_loans": q_payments_for_loans,
         "payment_branch_counts": q_payment_branch_counts,
         "reporting_windows": q_reporting_windows,
@@ -210,6 +237,10 @@ def oracle_sql() -> dict[str, str]:
         "payments_level_c": oracle.payments_level_sql(AS_OF, LOAD_DTTM, "C"),
         "payments_by_loan": oracle.payments_by_loan_sql(AS_OF, LOAD_DTTM),
         "payments_by_loan_null_safe": oracle.payments_by_loan_sql(AS_OF, LOAD_DTTM, null_safe=True),
+        "payments_level_b_month_cohort": oracle.payments_level_sql(
+            AS_OF, LOAD_DTTM, "B", cohort_window=previous_month(AS_OF)),
+        "payments_by_loan_month_cohort": oracle.payments_by_loan_sql(
+            AS_OF, LOAD_DTTM, cohort_window=previous_month(AS_OF)),
         "payments_for_loans": oracle.payments_for_loans_sql(AS_OF),
         "payment_branch_counts": oracle.payment_branch_counts_sql(AS_OF),
         "reporting_windows": oracle.reporting_windows_sql(),

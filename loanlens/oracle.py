@@ -384,14 +384,16 @@ LEVEL_OUT = ("Loan_Id, External_ID, Application_ID, Original_Application_Id, Rep
              "Monthly_payment, Principal_Paid, Interest_Paid, Late_Payment_Interest")
 
 
-def payments_level_sql(as_of: date, load_dttm: datetime, window_kind: str = "B") -> str:
-    """Payment level on the whole-book cohort; kind 'C' adds the application / type requirement."""
+def payments_level_sql(
+    as_of: date, load_dttm: datetime, window_kind: str = "B", cohort_window: ReportingWindow = WHOLE_BOOK
+) -> str:
+    """Payment level on a cohort (default: whole book); kind 'C' adds the application / type requirement."""
     w = rolling_month(as_of) if window_kind == "B" else rolling_month_shifted(as_of)
     extra = ""
     if window_kind == "C":
         extra = """JOIN loan_application appl ON loan.application_id = appl.id
   JOIN loan_type ON loan.loan_type = loan_type.name"""
-    return _with(cohort_v2_cte("cohort", WHOLE_BOOK, load_dttm), f"""j AS (
+    return _with(cohort_v2_cte("cohort", cohort_window, load_dttm), f"""j AS (
 SELECT loan.loan_id AS Loan_Id, loan.external_id AS External_ID, loan.application_id AS Application_ID,
   loan.original_application_id AS Original_Application_Id, '{reporting_month(as_of)}' AS Reporting_Month,
   lp.actual_payment_date AS Actual_Payment_Date, lp.paid_at_date AS Paid_At_Date, loan.loan_type AS Type_of_Loan,
@@ -406,9 +408,11 @@ FROM cohort loan
     )
 
 
-def payments_by_loan_sql(as_of: date, load_dttm: datetime, null_safe: bool = False) -> str:
+def payments_by_loan_sql(
+    as_of: date, load_dttm: datetime, null_safe: bool = False, cohort_window: ReportingWindow = WHOLE_BOOK
+) -> str:
     w = rolling_month(as_of)
-    return _with(cohort_v2_cte("cohort", WHOLE_BOOK, load_dttm)) + f"""
+    return _with(cohort_v2_cte("cohort", cohort_window, load_dttm)) + f"""
 SELECT loan.loan_id AS Loan_Id, loan.external_id AS External_ID, loan.application_id AS Application_ID,
   loan.original_application_id AS Original_Application_Id, '{reporting_month(as_of)}' AS Reporting_Month,
   loan.loan_type AS Type_of_Loan,
