@@ -82,16 +82,20 @@ def _types(book: LoanBook) -> DataFrame:
     )
 
 
-def _original_applications(book: LoanBook) -> DataFrame:
-    """(anchor loan id, original application) of every live loan, anchor = origin or self.
-
-    Pre-aggregated (distinct) so that a parent with very many children sends
-    one row per distinct original application into the join, not one per child.
+def _original_applications(book: LoanBook, loans: DataFrame) -> DataFrame:
+    """(anchor loan id, original application) of live loans anchored on ``loans``;
+    anchor = origin loan, or the loan itself when it has none.
+
+    Reduced to the anchors in ``loans`` by a semi join against that (windowed)
+    key set first, then pre-aggregated (distinct) so that a parent with very
+    many children sends one row per distinct original application into the
+    join, not one per child.
     """
+    anchor = F.coalesce("origin_loan_id", "id")
     return (
-        current_only(book.loan)
+        restrict(current_only(book.loan), anchor, loans, "loan_id")
         .select(
-            F.coalesce("origin_loan_id", "id").alias("loan_id"),
+            anchor.alias("loan_id"),
             F.col("original_loan_application_id").alias("original_application_id"),
         )
         .distinct()
@@ -145,6 +149,7 @@ def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | None =
         F.col("id").alias("external_id"), F.col("loan_application_id").alias("application_id")
     )
 
+    window_loans = loans.filter(created_in(w) & _is_successful()).select(F.col("id").alias("loan_id"))
     roots = (
         loans.filter(created_in(w) & _is_successful())
         .select(
@@ -152,7 +157,7 @@ def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | None =
             F.col("original_loan_application_id").alias("application_id"), *_loan_attributes(),
         )
         .join(ext, "application_id")
-        .join(_original_applications(book), "loan_id")
+        .join(_original_applications(book, window_loans), "loan_id")
         .join(types, "loan_type_id")
         .select(*V1_COLUMNS)
     )
@@ -222,7 +227,7 @@ def loan_cohort_v2(
     root_ext = scored.select("loan_id", "external_id").distinct()
     root_rows = (
         roots.join(root_ext, "loan_id")
-        .join(_original_applications(book), "loan_id")
+        .join(_original_applications(book, roots), "loan_id")
         .join(types, "loan_type_id")
         .withColumn("load_dttm", stamp)
         .select(*V2_COLUMNS)
