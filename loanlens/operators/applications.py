@@ -85,13 +85,15 @@ def _applications(book: LoanBook, live_only: bool) -> DataFrame:
     )
 
 
-def _loan_flags(loans: DataFrame, key: str) -> DataFrame:
-    return loans.select(
+def _loan_flags(loans: DataFrame, key: str, distinct: bool = True) -> DataFrame:
+    """(key, accepted, declined) per loan; ``distinct`` collapses loans sharing the key."""
+    flags = loans.select(
         F.col(key),
         loan_accepted(F.col("loan_application_id"), F.col("issued_at"),
                       F.col("cancelled_at"), F.col("declined_at")).alias("accepted"),
         F.col("declined_at").isNotNull().alias("declined"),
-    ).distinct()
+    )
+    return flags.distinct() if distinct else flags
 
 
 def _facility_outcomes(book: LoanBook, scores: DataFrame) -> DataFrame:
@@ -109,7 +111,7 @@ def _facility_outcomes(book: LoanBook, scores: DataFrame) -> DataFrame:
     )
     return (
         fac.join(book.facility_has_loan, "facility_id", "left")
-        .join(_loan_flags(loans, "loan_id"), "loan_id", "left")
+        .join(_loan_flags(loans, "loan_id", distinct=False), "loan_id", "left")
         .select(
             "credit_score_id", F.lit(True).alias("has_facility"),
             F.coalesce("accepted", F.lit(False)).alias("accepted"),
