@@ -24,8 +24,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True, help="output folder (shared storage)")
     p.add_argument("--cohort-table", default="loanlens_cohort")
     p.add_argument("--cohort-version", type=int, choices=(1, 2), default=2)
+    p.add_argument("--local", action="store_true", help="small-machine settings instead of cluster sizing")
     args = p.parse_args(argv)
-    spark = build_session(app_name="loanlens-month-end")
+    spark = build_session(app_name="loanlens-month-end", cluster=not args.local)
     paths = run_month_end(
         spark, read_book(spark, args.book), args.as_of,
         cohort_table=args.cohort_table, out_root=args.out, cohort_version=args.cohort_version,

@@ -23,16 +23,33 @@ SPARK_DEFAULTS = {
 }
 
 
+# Sizing for a large cluster (about 100 TB of payments): start shuffles with many
+# partitions and let AQE coalesce them to ~256 MB each, so a partition always fits
+# an executor's memory without spilling; read Parquet in 256 MB splits; a skewed
+# partition is one five times the median and above 512 MB, and is split.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "loanlens",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
+    """Session with the settings above (``cluster=True`` adds ``CLUSTER_SETTINGS``)."""
     b = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
-    for k, v in SPARK_DEFAULTS.items():
+    for k, v in {**SPARK_DEFAULTS, **(CLUSTER_SETTINGS if cluster else {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
