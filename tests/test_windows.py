@@ -65,3 +65,28 @@ def test_column_windows_equal_driver_windows(spark):
     for r in df.select("as_of", *cols).collect():
         for kind in "ABC":
             assert reporting_window(r.as_of, kind) == ReportingWindow(r[kind + "s"], r[kind + "e"])
+
+
+def test_driver_windows_equal_spark_on_random_dates(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    seen: list[date] = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.dates(min_value=date(1990, 1, 1), max_value=date(2040, 12, 31)))
+    def collect(d):
+        seen.append(d)
+
+    collect()
+    df = spark.createDataFrame([(d,) for d in seen], "as_of date")
+    cols = []
+    for kind in "ABC":
+        s, e = window_columns(F.col("as_of"), kind)
+        cols += [s.alias(kind + "s"), e.alias(kind + "e")]
+    from loanlens.functions.windows import reporting_month_column
+
+    for r in df.select("as_of", reporting_month_column(F.col("as_of")).alias("m"), *cols).collect():
+        assert reporting_month(r.as_of) == r.m
+        for kind in "ABC":
+            assert reporting_window(r.as_of, kind) == ReportingWindow(r[kind + "s"], r[kind + "e"]), (r.as_of, kind)
