@@ -6,12 +6,14 @@ Usage: python tests/compare.py [sf_dir] [query ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 from datetime import date, datetime
 from decimal import Decimal
 
 import duckdb
 
+EXACT = False
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
@@ -26,7 +28,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        return None if math.isnan(v) else (v if EXACT else round(v, 6))
     if isinstance(v, Decimal):
         return round(float(v), 6)
     if isinstance(v, datetime):
@@ -69,6 +71,8 @@ def main():
     from loanlens.session import build_session
 
     args = sys.argv[1:]
+    global EXACT
+    EXACT = bool(os.environ.get("COMPARE_EXACT"))
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(e.queries())
     spark = build_session("local[8]", shuffle_partitions=8)
