@@ -40,7 +40,7 @@ from loanlens.operators import (
 )
 from loanlens.plans.publish import publish_cohort, read_cohort
 from loanlens.session import shared_dir
-from loanlens.sources.book import read_book_tables, save_book_tables
+from loanlens.sources.book import read_book, write_book
 from loanlens.sources.testdata import book_from_testdata
 
 AS_OF = date(1998, 7, 1)
@@ -63,19 +63,16 @@ _PLANS: dict = {}
 
 def _book(spark: SparkSession, sf_dir: str):
     """The loan book of ``sf_dir``: derived from the test tables once per session and
-    stored as Parquet catalog tables in the session's shared folder -- the shape a
-    loan book has in production: one table per source, filters pushed into its
-    scans, payments and loans bucketed by loan id so their joins keep the
-    payments in place."""
+    stored as Parquet tables in the session's shared folder -- the shape a loan
+    book has in production: one file set per source table, filters pushed into
+    its scans."""
     key = ("book", id(spark), sf_dir)
     hit = _PLANS.get(key)
     if hit is None or hit[0] is not spark:
-        prefix = f"loanbook_{uuid.uuid4().hex[:12]}_"
-        save_book_tables(
-            book_from_testdata(spark, sf_dir), prefix,
-            buckets=max(1, spark.sparkContext.defaultParallelism), root=f"{shared_dir(spark)}/{prefix}",
-        )
-        hit = _PLANS[key] = (spark, read_book_tables(spark, prefix))
+        root = f"{shared_dir(spark)}/loanbook_{uuid.uuid4().hex[:12]}"
+        write_book(book_from_testdata(spark, sf_dir), root,
+                   files=max(1, spark.sparkContext.defaultParallelism))
+        hit = _PLANS[key] = (spark, read_book(spark, root))
     return hit[1]
 
 

@@ -10,22 +10,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _asc(c: str | Column) -> Column:
-    if isinstance(c, str):
-        return F.col(c).asc_nulls_last()
-    return c
+def one_row_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keep, per ``keys`` group, the first row by ``order`` (each ascending, NULLs last).
 
-
-def one_row_per(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Keep, per ``keys`` group, the first row by ``order`` (strings mean ASC NULLS LAST).
-
-    Planned as ``row_number() = 1``: Spark inserts a partial per-group limit
-    before the shuffle, so a hot group is reduced to one row per map task
-    before it is exchanged; no group is ever collected whole.
+    Planned as one aggregation: ``min`` of a struct that holds, for every
+    order column, a NULL flag and the value (so NULLs sort last), followed by
+    the remaining columns.  Aggregation is partial before the shuffle, so a
+    group holding a large share of all rows is reduced to one row per task
+    before it is exchanged -- whether or not the input is already partitioned
+    by the keys -- and no group is ever collected whole.
     """
-    w = Window.partitionBy(*keys).orderBy(*[_asc(c) for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    order = list(order)
+    payload = [c for c in df.columns if c not in keys and c not in order]
+    fields = []
+    for i, c in enumerate(order):
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    fields += [F.col(c).alias(f"p{j}") for j, c in enumerate(payload)]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__pick"))
+    return picked.select(
+        *keys,
+        *[F.col(f"__pick.v{i}").alias(c) for i, c in enumerate(order)],
+        *[F.col(f"__pick.p{j}").alias(c) for j, c in enumerate(payload)],
+    )

@@ -16,8 +16,8 @@ Parquet scan; the loan side is reduced to (loan_id, superseded date); the
 per-instalment pick (``one_row_per``) and the per-loan sums run on the
 payment rows keyed by ``loan_id`` *before* they are joined to the (possibly
 several) cohort rows of a loan -- pre-aggregation before the fan-out.  Sums
-use partial (map-side) aggregation, and the instalment pick a partial
-per-group limit, so a loan holding a large share of all payments is reduced
+and the instalment pick (a ``min`` of a struct) both aggregate partially
+(map-side), so a loan holding a large share of all payments is reduced
 before it is exchanged.
 """
 

@@ -61,36 +61,3 @@ def write_book(
             df = df.coalesce(1)
         df.write.format(fmt).mode(mode).save(f"{root}/{name}")
 
-
-# Join key each large table is bucketed by when stored as catalog tables: the
-# payment table and the loan table share ``loan_id`` buckets, so joining them
-# (and joining payments to any loan-keyed set) does not shuffle the payments.
-BUCKET_KEYS = {
-    "loan_payment": "loan_id",
-    "loan": "id",
-    "loan_application": "id",
-    "external_score": "loan_application_id",
-    "credit_score": "id",
-    "facility": "id",
-    "facility_has_loan": "loan_id",
-    "financial_information": "customer_id",
-}
-
-
-def save_book_tables(book: LoanBook, prefix: str, buckets: int, root: str | None = None) -> None:
-    """Store the book as catalog tables ``<prefix><table>``, large tables bucketed by
-    their join key (``BUCKET_KEYS``) into ``buckets`` buckets; ``root``: external location."""
-    for name, df in book.tables().items():
-        w = df.write.mode("overwrite").format("parquet")
-        if root:
-            w = w.option("path", f"{root}/{name}")
-        if name in BUCKET_KEYS and buckets:
-            w = w.bucketBy(buckets, BUCKET_KEYS[name])
-        elif name in SMALL_TABLES:
-            df.coalesce(1)
-        w.saveAsTable(f"{prefix}{name}")
-
-
-def read_book_tables(spark: SparkSession, prefix: str) -> LoanBook:
-    """The book stored by ``save_book_tables`` (bucketing is kept through ``conform``)."""
-    return LoanBook(**{name: conform(spark.table(f"{prefix}{name}"), name) for name in BOOK_SCHEMAS})

@@ -66,23 +66,3 @@ def test_payment_scan_reads_only_used_columns(plans):
     scans = [line for line in text.splitlines() if line.startswith("ReadSchema: struct<loan_id:bigint,is_first")]
     assert scans and all("principal" not in s for s in scans), scans
 
-
-def test_bucketed_payments_join_loans_without_exchange(spark):
-    from loanlens.sources.book import read_book_tables, save_book_tables
-
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")
-    try:
-        prefix = f"plans_{uuid.uuid4().hex[:8]}_"
-        save_book_tables(fixture_book(spark), prefix, 4, root=f"{shared_dir(spark)}/{prefix}")
-        df = payment_branch_counts(read_book_tables(spark, prefix), AS_OF)
-        df.collect()
-        text = plan_text(df).split("== Initial Plan ==")[0]
-        assert "SortMergeJoin Inner" in text
-        join_part = text.split("SortMergeJoin Inner")[1]
-        assert "Exchange" not in join_part  # neither payments nor loans are shuffled for the join
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
