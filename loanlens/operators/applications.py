@@ -252,9 +252,15 @@ def all_applications_audit(
         ["app_id", "created_at", "final_decision", "rejection_reason", "ext_mode"],
         ["scorecard_type_id", "lag_days"],
     )
-    grain = picked.join(
-        ext, (F.col("app_id") == F.col("ext_app_id")) & F.col("ext_mode"), "left"
-    ).drop("ext_app_id")
+    # Left join on (app, ext_mode) with the condition on the left side; ext_mode implies
+    # a match, so it is an inner join for those rows (AQE can split a hot application
+    # on either side) plus the other rows with no external id.
+    grain = (
+        picked.filter(F.col("ext_mode"))
+        .join(ext, F.col("app_id") == F.col("ext_app_id"))
+        .drop("ext_app_id")
+        .unionByName(picked.filter(~F.col("ext_mode")).withColumn("external_id", F.lit(None).cast("long")))
+    )
     return (
         _with_financials(book, w, grain, AUDIT_COLUMNS + ["lag_days"])
         .orderBy(F.col("lag_days").desc())

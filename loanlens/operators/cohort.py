@@ -141,6 +141,22 @@ def facility_applications(book: LoanBook, loans: DataFrame, loan_col: str = "loa
     )
 
 
+def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> DataFrame:
+    """``rows`` LEFT JOIN ``ext`` (key, external_id), written as an inner join plus the
+    rows without a match.
+
+    An application may carry very many external scores.  AQE can split a skewed
+    partition on both sides of an inner join, but never the non-preserved side
+    of an outer join; the existence test for the unmatched rows runs against the
+    distinct keys (partially aggregated, so a hot key is one row per task).
+    """
+    matched = rows.join(ext, key)
+    unmatched = rows.join(ext.select(key).distinct(), key, "left_anti").withColumn(
+        "external_id", F.lit(None).cast("long")
+    )
+    return matched.unionByName(unmatched)
+
+
 def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | None = None) -> DataFrame:
     w = window or previous_month(as_of)
     loans = book.loan
@@ -220,9 +236,10 @@ def loan_cohort_v2(
     parents = restrict(loans, "id", children, "origin_loan_id").filter(_is_successful())
     # One walk of the facility chain for the window's paid-out loans and the parents of
     # its children (both sets are paid out), with their applications' external ids.
-    scored = facility_applications(
+    chain = facility_applications(
         book, roots.select("loan_id").unionByName(parents.select(F.col("id").alias("loan_id")))
-    ).join(ext, "la_id", "left")
+    )
+    scored = with_external_ids(chain, ext)
 
     root_ext = scored.select("loan_id", "external_id").distinct()
     root_rows = (
