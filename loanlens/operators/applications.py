@@ -99,9 +99,12 @@ def _loan_flags(loans: DataFrame, key: str, distinct: bool = True) -> DataFrame:
 def _facility_outcomes(book: LoanBook, scores: DataFrame) -> DataFrame:
     """Distinct (credit_score_id, has_facility, accepted, declined) via facility -> bridge -> live loan.
 
-    The facility table is reduced by the window's score ids (a cheap key
-    set: one filtered scan); bridge and loans are then LEFT joined and left
-    to the optimizer (runtime bloom filter / AQE broadcast of the small side).
+    The facility table is reduced by the window's score ids (a cheap key set:
+    one filtered scan) and the bridge by those facilities.  Each bridge row
+    gets its loan's outcome (a missing or deleted loan counts as neither
+    accepted nor declined) and the pairs are made distinct per facility --
+    partially aggregated, so a facility linked to very many loans sends at
+    most four rows into the LEFT join with the facilities.
     """
     fac = restrict(book.facility, "credit_score_id", scores, "credit_score_id").select(
         F.col("id").alias("facility_id"), "credit_score_id"
@@ -109,9 +112,18 @@ def _facility_outcomes(book: LoanBook, scores: DataFrame) -> DataFrame:
     loans = current_only(book.loan).select(
         F.col("id").alias("loan_id"), "loan_application_id", "issued_at", "cancelled_at", "declined_at"
     )
-    return (
-        fac.join(book.facility_has_loan, "facility_id", "left")
+    links = (
+        restrict(book.facility_has_loan, "facility_id", fac, "facility_id")
         .join(_loan_flags(loans, "loan_id", distinct=False), "loan_id", "left")
+        .select(
+            "facility_id",
+            F.coalesce("accepted", F.lit(False)).alias("accepted"),
+            F.coalesce("declined", F.lit(False)).alias("declined"),
+        )
+        .distinct()
+    )
+    return (
+        fac.join(links, "facility_id", "left")
         .select(
             "credit_score_id", F.lit(True).alias("has_facility"),
             F.coalesce("accepted", F.lit(False)).alias("accepted"),
