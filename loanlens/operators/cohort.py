@@ -147,11 +147,12 @@ def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> Da
 
     An application may carry very many external scores.  AQE can split a skewed
     partition on both sides of an inner join, but never the non-preserved side
-    of an outer join; the existence test for the unmatched rows runs against the
-    distinct keys (partially aggregated, so a hot key is one row per task).
+    of an outer join.  Unmatched rows are found against the distinct keys the
+    inner join matched (partially aggregated, so a hot key is one row per task),
+    not against the whole score table.
     """
     matched = rows.join(ext, key)
-    unmatched = rows.join(ext.select(key).distinct(), key, "left_anti").withColumn(
+    unmatched = rows.join(matched.select(*rows.columns).distinct(), rows.columns, "left_anti").withColumn(
         "external_id", F.lit(None).cast("long")
     )
     return matched.unionByName(unmatched)
