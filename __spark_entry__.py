@@ -2,7 +2,9 @@
 
 Every query reads the test tables of ``sf_dir`` through the loan-book
 mapping (``loanlens.sources.testdata``), runs one report over the whole
-book with as-of date 1998-07-01 and returns its DataFrame.  Money columns
+book with as-of date 1998-07-01 and returns its DataFrame.  Reports that
+read the cohort read it the way the month-end job does: built once from the
+book, published as a table in the shared folder, read back.  Money columns
 (exact decimals inside the reports) are returned as DOUBLE so both engines
 present them alike; ``loanlens.oracle`` holds the matching SQL.
 """
@@ -43,6 +45,9 @@ from loanlens.session import shared_dir
 from loanlens.sources.book import read_book, write_book
 from loanlens.sources.testdata import book_from_testdata
 
+# Queries that write tables while their DataFrame is built (not only when it runs).
+BUILD_WRITES = {"cohort_publish_roundtrip"}
+
 AS_OF = date(1998, 7, 1)
 LOAD_DTTM = datetime(1998, 7, 1, 0, 0, 0)
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -76,14 +81,26 @@ def _book(spark: SparkSession, sf_dir: str):
     return hit[1]
 
 
-def _whole_book_cohort(book):
-    key = ("cohort", id(book))
+def _published(book, name: str, build):
+    """The cohort as the reports read it: published once per book to a table in the
+    shared folder (the cut between cohort build and reports), then read back."""
+    key = (name, id(book))
     hit = _PLANS.get(key)
     if hit is None or hit[0] is not book:
-        hit = _PLANS[key] = (book, loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD_DTTM))
+        spark = book.loan.sparkSession
+        table = f"loanlens_{name}_{uuid.uuid4().hex[:12]}"
+        month = reporting_month(AS_OF)
+        publish_cohort(build(), table, month, path=f"{shared_dir(spark)}/{table}")
+        hit = _PLANS[key] = (book, read_cohort(spark, table, month))
     return hit[1]
 
 
+def _whole_book_cohort(book):
+    return _published(
+        book, "cohort_book", lambda: loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD_DTTM)
+    )
+
+
 def q_cohort_v1(spark, sf_dir):
     return comparable(loan_cohort_v1(_book(spark, sf_dir), AS_OF))
 
@@ -93,13 +110,13 @@ def q_cohort_v2(spark, sf_dir):
 
 
 def q_cohort_v2_whole_book(spark, sf_dir):
-    return comparable(_whole_book_cohort(_book(spark, sf_dir)))
+    book = _book(spark, sf_dir)
+    return comparable(loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD_DTTM))
 
 
 def q_accepted_applications(spark, sf_dir):
     book = _book(spark, sf_dir)
-    cohort = loan_cohort_v2(book, AS_OF, load_dttm=LOAD_DTTM)
-    return comparable(accepted_applications(cohort, book.loan_payment, AS_OF))
+    return comparable(accepted_applications(_month_cohort(book), book.loan_payment, AS_OF))
 
 
 def q_applications_direct(spark, sf_dir):
@@ -137,11 +154,7 @@ def q_payments_by_loan_null_safe(spark, sf_dir):
 
 
 def _month_cohort(book):
-    key = ("month_cohort", id(book))
-    hit = _PLANS.get(key)
-    if hit is None or hit[0] is not book:
-        hit = _PLANS[key] = (book, loan_cohort_v2(book, AS_OF, load_dttm=LOAD_DTTM))
-    return hit[1]
+    return _published(book, "cohort_month", lambda: loan_cohort_v2(book, AS_OF, load_dttm=LOAD_DTTM))
 
 
 def q_payments_level_b_month_cohort(spark, sf_dir):
