@@ -75,7 +75,12 @@ def main():
     EXACT = bool(os.environ.get("COMPARE_EXACT"))
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(e.queries())
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("COMPARE_VANILLA"):  # a plain session, as a caller might create it
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, sqls = e.queries(), e.oracle_sql()
