@@ -158,3 +158,26 @@ def test_payment_level_picks_paid_payment(results):
 def test_cohort_grain_is_unique(results):
     rows = results["cohort_v2_whole_book"]
     assert len(rows) == len(set(map(tuple, rows)))
+
+
+def test_loan_sums_equal_sums_of_selected_payments(book):
+    from pyspark.sql import functions as F
+
+    from loanlens.functions.measures import due_amount
+    from loanlens.functions.predicates import AGGREGATED, superseded_at
+    from loanlens.functions.windows import rolling_month
+    from loanlens.operators.payments import selected_payments
+
+    whole = loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD)
+    scope = whole.select(
+        "loan_id", superseded_at(F.col("topped_up_at"), F.col("extended_at"), F.col("arranged_rp_at")).alias("superseded")
+    ).distinct()
+    per_loan = {
+        r.loan_id: r.due
+        for r in selected_payments(book.loan_payment, scope, rolling_month(AS_OF), AGGREGATED)
+        .groupBy("loan_id").agg(F.sum(due_amount()).alias("due")).collect()
+    }
+    report = monthly_payments_by_loan(whole, book.loan_payment, AS_OF).collect()
+    assert report
+    for r in report:
+        assert r.Due_payment == per_loan[r.Loan_Id]
