@@ -152,7 +152,7 @@ def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> Da
     not against the whole score table.
     """
     matched = rows.join(ext, key)
-    unmatched = rows.join(matched.select(*rows.columns).distinct(), rows.columns, "left_anti").withColumn(
+    unmatched = rows.join(matched.select(key).distinct(), key, "left_anti").withColumn(
         "external_id", F.lit(None).cast("long")
     )
     return matched.unionByName(unmatched)
