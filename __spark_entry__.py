@@ -11,6 +11,7 @@ present them alike; ``loanlens.oracle`` holds the matching SQL.
 
 from __future__ import annotations
 
+import importlib
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
@@ -200,6 +201,29 @@ def q_cohort_publish_roundtrip(spark, sf_dir):
     return comparable(read_cohort(spark, table, month))
 
 
+def _optional(module: str):
+    """A module of the training-data subpackage, or None where that is not installed."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name not in {module, "loanlens.llm"}:
+            raise
+        return None
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators and their pipeline."""
+    found, sql = {}, {}
+    if operators := _optional("loanlens.llm.queries"):
+        found |= operators.queries()
+        sql |= operators.oracle_sql()
+    if operators and (pipeline := _optional("corpus_pipeline")):
+        found["pipeline"] = pipeline.run
+        if pipeline.ORACLE_SQL:
+            sql["pipeline"] = pipeline.ORACLE_SQL
+    return found, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: per-loan monthly payment sums of the whole-book cohort at sf0.001.
 
@@ -230,7 +254,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payment_branch_counts": q_payment_branch_counts,
         "reporting_windows": q_reporting_windows,
         "cohort_publish_roundtrip": q_cohort_publish_roundtrip,
-    }
+    } | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -255,4 +279,4 @@ def oracle_sql() -> dict[str, str]:
         "payment_branch_counts": oracle.payment_branch_counts_sql(AS_OF),
         "reporting_windows": oracle.reporting_windows_sql(),
         "cohort_publish_roundtrip": cohort_v2,
-    }
+    } | _training_data()[1]
