@@ -11,26 +11,30 @@ from loanlens.llm.state import cut
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node`` and ``root`` (the smallest node it reaches) for every node of ``edges`` (a, b).
 
-    Large-star and small-star steps in turn, until no edge changes: every step hangs a node's
+    Large-star and small-star steps in turn, until only stars are left: every step hangs a node's
     neighbours on the smallest of them, so chains halve and a star stays a star.  A step is one
     aggregation and one join on the node; a hub's rows are split by adaptive execution.  Each
     round is written to the shared folder, so a lost executor costs one round at most.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
     for _ in range(most_rounds):
-        now = cut(_small_star(_large_star(now)))
-        # the steps only move edges to smaller ends: equal sums mean that nothing moved
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        if _settled(now):
             break
-        mark = seen
+        now = cut(_small_star(_large_star(now)))
     else:
         raise RuntimeError(f"components not settled after {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every edge leads from a node with no other edge to the smallest node of its component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)")
+    return odd.limit(1).count() == 0
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node goes to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

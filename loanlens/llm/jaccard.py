@@ -14,12 +14,14 @@ Method: rare-first prefix filtering.
    (shingles left after the match on either side), then, once per pair, a suffix filter
    (bin-wise counts of both sets bound the overlap), and are verified once on whole sets.
 
-Pairs inside a group are never all emitted.  In each round, every shared shingle pairs its
-members with one leader; verified links make components, and shingles whose members all
-lie in one component are done.  Leaders change by round, members with many links first.
-When no more cross-component candidates remain than ``finish_factor`` times the members
-(or after ``most_rounds``), all candidates still left across components are verified, so
-that no link between two components is lost.  Equal sets are one node from the start.
+Pairs inside a large group are never all emitted.  First every shared shingle pairs its members
+with one leader, its smallest node; verified links make components.  Then shingles with at most
+``small_group`` members emit their candidates across components (no more than small_group per
+row), while larger ones go on with leaders that change by round, members with most links
+first, until all their members lie in one component, or no more pairs across components are
+left than ``finish_factor`` times the members, or ``most_rounds`` are over.  Then all candidates
+left across components are verified, so that no link between two components is lost.
+Equal sets are one node from the start.
 
 Defined results: null, empty and wordless texts have n_shingles 0 and their own doc_id as
 class; repeated rows and rows that share a doc_id with different texts are separate members
@@ -38,7 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,7 +55,8 @@ class Settings:
     percent: int = 80
     sketch_bits: int = 18
     bins: int = 64
-    finish_factor: int = 4
+    small_group: int = 32
+    finish_factor: int = 32
     most_rounds: int = 4
 
 
@@ -157,11 +160,10 @@ def _prefixes(documents: DataFrame, rank: np.ndarray, s: Settings) -> DataFrame:
 def _shared(rows: DataFrame) -> DataFrame:
     """Prefix rows whose token has two nodes or more, once per (token, node), with the token's first leader.
 
-    One shuffle by token, sorted by a hash of the node, so that the leader of many tokens is
-    the same node; the pass over the sorted rows keeps one row from batch to batch.
+    One shuffle by token, sorted by node, so that the leader of many tokens is the same node; the
+    pass over the sorted rows keeps one row from batch to batch.
     """
-    ordered = (rows.withColumn("seed", F.xxhash64("node")).repartition("token")
-               .sortWithinPartitions("token", "seed", "node").drop("seed"))
+    ordered = rows.repartition("token").sortWithinPartitions("token", "node")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lead, lead_told = None, True  # the current token's first row, and whether it went out
@@ -184,7 +186,7 @@ def _shared(rows: DataFrame) -> DataFrame:
             keep[first[keep]] = True
             if old and lead_told:
                 keep[0] = False
-            # a node seen at the end of the last batch may come again: its rows are told apart by distinct() below
+            # a node seen at the end of the last batch may come again: pairs are made distinct anyway
             out = frame.assign(lead=node[first], lead_n=frame["n"].to_numpy()[first],
                                lead_place=frame["place"].to_numpy()[first])[keep]
             lead, lead_told = frame.iloc[[last]], told
@@ -196,10 +198,82 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _possible(n, i, m, j, percent: int):
-    """Length and positional filter on columns: set sizes n, m and places i, j of a shared shingle."""
-    least = F.ceil(percent * (n + m) / F.lit(100.0 + percent) - 1e-9)
-    overlap = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (overlap >= least)
+    """Length and positional filter (columns or arrays): set sizes n, m and places i, j of a shared shingle."""
+    least, most = (F.least, F.greatest) if isinstance(n, Column) else (np.minimum, np.maximum)
+    overlap = least(i, j) + 1 + least(n - i - 1, m - j - 1)
+    return (100 * least(n, m) >= percent * most(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
+
+
+def _across(rows: DataFrame, s: Settings) -> DataFrame:
+    """Rows (token, node, n, place, root) with a token's members in several components.
+
+    Kind 0: candidate pairs (a, b) across components, of tokens with at most ``small_group`` rows.
+    Kind 1: the rows of larger tokens, as they came.  The pass over the rows sorted by token holds
+    one batch and a token's first ``small_group`` rows.
+    """
+    ordered = rows.repartition("token").sortWithinPartitions("token", "node")
+    names = ["token", "node", "n", "place", "root"]
+
+    def pairs(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates among whole runs of equal tokens, by distance in the sorted rows."""
+        got_a, got_b = [], []
+        at = np.arange(len(x["token"]))
+        for step in range(1, s.small_group):
+            at = at[at + step < len(x["token"])]
+            at = at[x["token"][at] == x["token"][at + step]]
+            if len(at) == 0:
+                break
+            other = at + step
+            fine = (x["root"][at] != x["root"][other]) & _possible(
+                x["n"][at], x["place"][at], x["n"][other], x["place"][other], s.percent)
+            got_a.append(x["node"][other[fine]])
+            got_b.append(x["node"][at[fine]])
+        none = [np.zeros(0, dtype=np.int64)]
+        return np.concatenate(got_a or none), np.concatenate(got_b or none)
+
+    def out(kind: int, token, a, b, n, place) -> pa.RecordBatch:
+        k = len(a)
+        fill = lambda v, t: pa.nulls(k, t) if v is None else pa.array(v, t)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(k, kind, dtype=np.int32)), fill(token, pa.int64()), fill(a, pa.int64()), fill(b, pa.int64()),
+             fill(n, pa.int32()), fill(place, pa.int32())], ["kind", "token", "a", "b", "n", "place"])
+
+    def emit(x: dict[str, np.ndarray], open_token: int | None) -> Iterator[pa.RecordBatch]:
+        """Whole runs; ``open_token`` names a large one that began in an earlier batch."""
+        if len(x["token"]) == 0:
+            return
+        head = np.flatnonzero(np.concatenate([[True], x["token"][1:] != x["token"][:-1]]))
+        size = np.diff(np.append(head, len(x["token"])))
+        large = size > s.small_group
+        if open_token is not None and x["token"][0] == open_token:
+            large[0] = True
+        mine = np.repeat(large, size)
+        a, b = pairs({c: v[~mine] for c, v in x.items()})
+        yield out(0, None, a, b, None, None)
+        if mine.any():
+            yield out(1, x["token"][mine], x["node"][mine], None, x["n"][mine], x["place"][mine])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None  # the run that may go on, if it is still small
+        open_token = None
+        for batch in batches:
+            x = {c: batch.column(c).to_numpy() for c in names}
+            if held is not None:
+                x = {c: np.concatenate([held[c], x[c]]) for c in names}
+            if len(x["token"]) == 0:
+                continue
+            token = x["token"]
+            tail = int(np.searchsorted(token, token[-1]))
+            if len(token) - tail > s.small_group or token[-1] == open_token:
+                yield from emit(x, open_token)
+                open_token, held = int(token[-1]), None
+            else:
+                held = {c: v[tail:] for c, v in x.items()}
+                yield from emit({c: v[:tail] for c, v in x.items()}, open_token)
+        if held is not None:
+            yield from emit(held, open_token)
+
+    return ordered.select(*names).mapInArrow(run, "kind int, token long, a long, b long, n int, place int")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -263,10 +337,10 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     spark = documents.sparkSession
     scan = cut(_scan(documents, s))
     members = scan.where("bucket IS NULL").select("doc_id", "n_shingles", "node")
+    counts = (scan.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n_shingles").alias("n"))
+              .toArrow())  # at most 2**sketch_bits rows
     rank = np.zeros(1 << s.sketch_bits, dtype=np.float32)
-    for r in (scan.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n_shingles").alias("n"))
-              .toLocalIterator()):  # at most 2**sketch_bits rows
-        rank[r["bucket"]] = r["n"]
+    rank[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
     shared = cut(_shared(_prefixes(documents, rank, s)))
 
     in_play = shared.select("node").distinct()
@@ -275,32 +349,35 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     texts = cut(documents.select(F.col("doc_id").cast("long").alias("id"), "text")
                 .join(ids, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "text"))
 
+    # a leader is its token's smallest node: pairs are (larger node, smaller node) throughout
     first = shared.where("node <> lead").where(
         _possible(F.col("n"), F.col("place"), F.col("lead_n"), F.col("lead_place"), s.percent))
-    tried = cut(first.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")).distinct())
-    links = cut(_verify(_oriented(tried), texts, s))
-    rows = shared.select("token", "node", "n", "place").distinct()
+    tried = cut(first.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
+    links = cut(_verify(tried, texts, s))
+    roots = cut(connected_components(links))
+    found = cut(_across(_named(shared.select("token", "node", "n", "place"), roots), s))
+    pairs = cut(found.where("kind = 0").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    rows = found.where("kind = 1").select("token", F.col("a").alias("node"), "n", "place").distinct()
     for turn in range(s.most_rounds + 1):
-        roots = connected_components(links) if turn or _any(links) else _no_roots(spark)
-        named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        by_token = named.groupBy("token", "root").agg(F.count("*").alias("k"))
-        open_tokens = by_token.groupBy("token").agg(
-            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk")).where("k * k > kk")
-        rows = cut(named.join(open_tokens.select("token"), "token", "left_semi"))
+        # pairs of the small groups, or of the round before
+        more = cut(_verify(pairs, texts, s))
+        links, tried = links.unionByName(more), tried.unionByName(pairs)
+        roots = cut(_joined(roots, more))
+        if turn == 0 and not _any(rows):
+            return members, roots
+        rows = cut(_named(rows.drop("root"), roots))
         size = rows.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(
-            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-        left = size.agg(F.sum("k").alias("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs")).first()
+            F.sum("k").alias("k"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
+        size = size.where("pairs > 0")
+        left = size.agg(F.sum("k").alias("k"), F.sum("pairs").alias("pairs")).first()
         if not left["k"]:
             return members, roots
+        rows = rows.join(size.select("token"), "token", "left_semi")
         last = turn == s.most_rounds or left["pairs"] <= s.finish_factor * left["k"]
         pairs = _all_across(rows, s) if last else _to_leaders(rows, links, turn, s)
         pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
-        more = cut(_verify(_oriented(pairs), texts, s))
-        links = cut(links.unionByName(more))
         if last:
-            return members, connected_components(links) if _any(links) else _no_roots(spark)
-        tried = cut(tried.unionByName(pairs))
-        rows = rows.drop("root")
+            return members, _joined(roots, cut(_verify(pairs, texts, s)))
     raise AssertionError("the last turn returns")
 
 
@@ -308,19 +385,18 @@ def _any(df: DataFrame) -> bool:
     return df.limit(1).count() > 0
 
 
-def _no_roots(spark) -> DataFrame:
-    return spark.createDataFrame([], "node long, root long")
+def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with their node's component (a node without links is its own)."""
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _oriented(pairs: DataFrame) -> DataFrame:
-    """Pairs with the end that has more partners as b, so that its text is read once for all of them."""
-    ends = pairs.select(F.col("a").alias("end")).unionAll(pairs.select(F.col("b").alias("end")))
-    many = ends.groupBy("end").agg(F.count("*").alias("partners"))
-    both = (pairs.join(many.select(F.col("end").alias("a"), F.col("partners").alias("of_a")), "a")
-            .join(many.select(F.col("end").alias("b"), F.col("partners").alias("of_b")), "b"))
-    turn = F.col("of_a") > F.col("of_b")
-    return both.select(F.when(turn, F.col("b")).otherwise(F.col("a")).alias("a"),
-                       F.when(turn, F.col("a")).otherwise(F.col("b")).alias("b"))
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: only the components' names meet in the new graph."""
+    ends = _named(_named(links.withColumnRenamed("a", "node"), roots).select(F.col("root").alias("x"), F.col("b").alias("node")), roots)
+    merged = cut(connected_components(ends.select(F.col("x").alias("a"), F.col("root").alias("b"))))
+    old = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root"))
+    return old.unionByName(merged.join(roots, "node", "left_anti").select("node", "root"))
 
 
 def _to_leaders(rows: DataFrame, links: DataFrame, turn: int, s: Settings) -> DataFrame:
