@@ -2,7 +2,8 @@
 
 Every query reads the test tables of ``sf_dir`` through the loan-book
 mapping (``loanlens.sources.testdata``), runs one report over the whole
-book with as-of date 1998-07-01 and returns its DataFrame.  Reports that
+book with as-of date 1998-07-01 and returns its DataFrame.  Some run again
+at as-of dates inside and at the end of a month, or with typed parameters.  Reports that
 read the cohort read it the way the month-end job does: built once from the
 book, published as a table in the shared folder, read back.  Money columns
 (exact decimals inside the reports) are returned as DOUBLE so both engines
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from loanlens import oracle
 from loanlens.functions.windows import (
     WHOLE_BOOK,
-    previous_month,
+    ReportingWindow,
     reporting_month,
     reporting_month_column,
     window_columns,
@@ -41,16 +42,19 @@ from loanlens.operators import (
     monthly_payments_payment_level,
     payment_branch_counts,
 )
-from loanlens.plans.publish import publish_cohort, read_cohort
+from loanlens.plans.publish import drop_cohort, drop_cohort_month, publish_cohort, read_cohort
+from loanlens.plans.stored import drop_stored, store
 from loanlens.session import shared_dir
 from loanlens.sources.book import read_book, write_book
 from loanlens.sources.testdata import book_from_testdata
 
-# Queries that write tables while their DataFrame is built (not only when it runs).
-BUILD_WRITES = {"cohort_publish_roundtrip"}
-
 AS_OF = date(1998, 7, 1)
 LOAD_DTTM = datetime(1998, 7, 1, 0, 0, 0)
+# As-of dates inside and at the end of a month, where the three windows differ.
+MID_MONTH, MONTH_END = date(1998, 7, 15), date(1997, 3, 31)
+# A replay of a month given by its dates, and a list of loans, as a user types them.
+REPLAY = ReportingWindow(date(1997, 6, 1), date(1997, 6, 30))
+REPLAY_LOANS = tuple(range(1, 20000, 7))
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -65,6 +69,16 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 _PLANS: dict = {}
+_WRITTEN: dict = {}
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete everything that this session's queries wrote, tables included; later queries write anew."""
+    for name in _WRITTEN.pop((id(spark), "tables"), []):
+        drop_cohort(spark, name)
+    drop_stored(spark, *_WRITTEN.pop(id(spark), []))
+    for key in [k for k, hit in _PLANS.items() if hit[0] is spark or hit[0].__class__.__name__ == "LoanBook"]:
+        del _PLANS[key]
 
 
 def _book(spark: SparkSession, sf_dir: str):
@@ -76,8 +90,8 @@ def _book(spark: SparkSession, sf_dir: str):
     hit = _PLANS.get(key)
     if hit is None or hit[0] is not spark:
         root = f"{shared_dir(spark)}/loanbook_{uuid.uuid4().hex[:12]}"
-        write_book(book_from_testdata(spark, sf_dir), root,
-                   files=max(1, spark.sparkContext.defaultParallelism))
+        write_book(book_from_testdata(spark, sf_dir), root)
+        _WRITTEN.setdefault(id(spark), []).append(root)
         hit = _PLANS[key] = (spark, read_book(spark, root))
     return hit[1]
 
@@ -91,7 +105,10 @@ def _published(book, name: str, build):
         spark = book.loan.sparkSession
         table = f"loanlens_{name}_{uuid.uuid4().hex[:12]}"
         month = reporting_month(AS_OF)
-        publish_cohort(build(), table, month, path=f"{shared_dir(spark)}/{table}")
+        path = f"{shared_dir(spark)}/{table}"
+        publish_cohort(build(), table, month, path=path)
+        _WRITTEN.setdefault(id(spark), []).append(path)
+        _WRITTEN.setdefault((id(spark), "tables"), []).append(table)
         hit = _PLANS[key] = (book, read_cohort(spark, table, month))
     return hit[1]
 
@@ -198,9 +215,48 @@ def q_cohort_publish_roundtrip(spark, sf_dir):
     month = reporting_month(AS_OF)
     publish_cohort(cohort, table, month, path=path)
     publish_cohort(cohort, table, month, path=path)
+    _WRITTEN.setdefault(id(spark), []).append(path)
+    _WRITTEN.setdefault((id(spark), "tables"), []).append(table)
     return comparable(read_cohort(spark, table, month))
 
 
+def q_cohort_drop(spark, sf_dir):
+    """Publish two months, drop one of them, then the table; what could be read after each step."""
+    book = _book(spark, sf_dir)
+    suffix = uuid.uuid4().hex[:12]
+    table, path = f"loanlens_drop_{suffix}", f"{shared_dir(spark)}/drop_{suffix}"
+    for as_of in (AS_OF, MONTH_END):
+        publish_cohort(loan_cohort_v2(book, as_of, load_dttm=LOAD_DTTM), table, reporting_month(as_of), path=path)
+    _WRITTEN.setdefault(id(spark), []).append(path)
+    drop_cohort_month(spark, table, reporting_month(AS_OF))
+    left = spark.table(table).groupBy("reporting_month").agg(F.count(F.lit(1)).alias("n_loans"))
+    left = store(left).table
+    drop_cohort(spark, table)
+    gone = F.lit(not spark.catalog.tableExists(table))
+    return left.withColumn("table_dropped", gone)
+
+
+def _report(operator, as_of, **parameters):
+    """A query that runs a report of the book at another as-of date or with typed parameters."""
+    def query(spark, sf_dir):
+        return comparable(operator(_book(spark, sf_dir), as_of, **parameters))
+    return query
+
+
+def _cohort_report(operator, as_of):
+    """A query that runs a payment report on the whole-book cohort at another as-of date."""
+    def query(spark, sf_dir):
+        book = _book(spark, sf_dir)
+        return comparable(operator(_whole_book_cohort(book), book.loan_payment, as_of))
+    return query
+
+
+def q_accepted_month_end(spark, sf_dir):
+    book = _book(spark, sf_dir)
+    cohort = loan_cohort_v2(book, MONTH_END, load_dttm=LOAD_DTTM)
+    return comparable(accepted_applications(cohort, book.loan_payment, MONTH_END))
+
+
 def _optional(module: str):
     """A module of the training-data subpackage, or None where that is not installed."""
     try:
@@ -254,15 +310,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payment_branch_counts": q_payment_branch_counts,
         "reporting_windows": q_reporting_windows,
         "cohort_publish_roundtrip": q_cohort_publish_roundtrip,
+        "cohort_drop": q_cohort_drop,
+        "cohort_v1_mid_month": _report(loan_cohort_v1, MID_MONTH),
+        "cohort_v2_month_end": _report(loan_cohort_v2, MONTH_END, load_dttm=LOAD_DTTM),
+        "accepted_applications_month_end": q_accepted_month_end,
+        "applications_direct_mid_month": _report(all_applications_direct, MID_MONTH),
+        "applications_facility_month_end": _report(all_applications_facility, MONTH_END),
+        "applications_audit_replay": _report(all_applications_audit, AS_OF, window=REPLAY),
+        "payments_level_b_mid_month": _cohort_report(monthly_payments, MID_MONTH),
+        "payments_by_loan_month_end": _cohort_report(monthly_payments_by_loan, MONTH_END),
+        "payments_for_loans_mid_month": _report(monthly_payments_for_loans, MID_MONTH),
+        "payments_for_given_loans": _report(monthly_payments_for_loans, MONTH_END, loan_ids=REPLAY_LOANS),
     } | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     cohort_v2 = oracle.cohort_v2_sql(AS_OF, LOAD_DTTM)
+    replay = oracle.typed(REPLAY.start, REPLAY.end)
     return {
         "cohort_v1": oracle.cohort_v1_sql(AS_OF),
         "cohort_v2": cohort_v2,
-        "cohort_v2_whole_book": oracle.cohort_v2_sql(AS_OF, LOAD_DTTM, WHOLE_BOOK),
+        "cohort_v2_whole_book": oracle.cohort_v2_sql(AS_OF, LOAD_DTTM, whole_book=True),
         "accepted_applications": oracle.accepted_sql(AS_OF, LOAD_DTTM),
         "applications_direct": oracle.applications_direct_sql(AS_OF),
         "applications_facility": oracle.applications_facility_sql(AS_OF),
@@ -271,12 +339,21 @@ def oracle_sql() -> dict[str, str]:
         "payments_level_c": oracle.payments_level_sql(AS_OF, LOAD_DTTM, "C"),
         "payments_by_loan": oracle.payments_by_loan_sql(AS_OF, LOAD_DTTM),
         "payments_by_loan_null_safe": oracle.payments_by_loan_sql(AS_OF, LOAD_DTTM, null_safe=True),
-        "payments_level_b_month_cohort": oracle.payments_level_sql(
-            AS_OF, LOAD_DTTM, "B", cohort_window=previous_month(AS_OF)),
-        "payments_by_loan_month_cohort": oracle.payments_by_loan_sql(
-            AS_OF, LOAD_DTTM, cohort_window=previous_month(AS_OF)),
+        "payments_level_b_month_cohort": oracle.payments_level_sql(AS_OF, LOAD_DTTM, "B", month_cohort=True),
+        "payments_by_loan_month_cohort": oracle.payments_by_loan_sql(AS_OF, LOAD_DTTM, month_cohort=True),
         "payments_for_loans": oracle.payments_for_loans_sql(AS_OF),
         "payment_branch_counts": oracle.payment_branch_counts_sql(AS_OF),
         "reporting_windows": oracle.reporting_windows_sql(),
         "cohort_publish_roundtrip": cohort_v2,
+        "cohort_drop": oracle.cohort_drop_sql(MONTH_END, LOAD_DTTM),
+        "cohort_v1_mid_month": oracle.cohort_v1_sql(MID_MONTH),
+        "cohort_v2_month_end": oracle.cohort_v2_sql(MONTH_END, LOAD_DTTM),
+        "accepted_applications_month_end": oracle.accepted_sql(MONTH_END, LOAD_DTTM),
+        "applications_direct_mid_month": oracle.applications_direct_sql(MID_MONTH),
+        "applications_facility_month_end": oracle.applications_facility_sql(MONTH_END),
+        "applications_audit_replay": oracle.applications_audit_sql(AS_OF, replay),
+        "payments_level_b_mid_month": oracle.payments_level_sql(MID_MONTH, LOAD_DTTM, "B"),
+        "payments_by_loan_month_end": oracle.payments_by_loan_sql(MONTH_END, LOAD_DTTM),
+        "payments_for_loans_mid_month": oracle.payments_for_loans_sql(MID_MONTH),
+        "payments_for_given_loans": oracle.payments_for_loans_sql(MONTH_END, REPLAY_LOANS),
     } | _training_data()[1]

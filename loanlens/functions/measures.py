@@ -56,3 +56,12 @@ def loan_measures() -> list[Column]:
         F.sum("interest_paid").cast(MONEY_SUM).alias("Interest_Paid"),
         F.sum("penalty").cast(MONEY_SUM).alias("Late_Payment_Interest"),
     ]
+
+
+def summed_measures() -> list[Column]:
+    """``loan_measures`` of a loan from those of its parts."""
+    names = ["Due_payment", "Monthly_payment", "Principal_Paid", "Interest_Paid", "Late_Payment_Interest"]
+    return [
+        F.max("Outstanding_Principal").alias("Outstanding_Principal"),
+        *[F.sum(n).cast(MONEY_SUM).alias(n) for n in names],
+    ]

@@ -37,8 +37,16 @@ class ReportingWindow:
         return c.between(F.lit(self.start), F.lit(self.end))
 
 
-# The whole book: used where a report should see every loan, not one month.
-WHOLE_BOOK = ReportingWindow(date(1900, 1, 1), date(2999, 12, 31))
+@dataclass(frozen=True)
+class NoWindow:
+    """No restriction at all: also rows whose date is NULL."""
+
+    def contains(self, c: Column) -> Column:
+        return F.lit(True)
+
+
+# The whole book: used where a cohort should hold every loan, not one month's.
+WHOLE_BOOK = NoWindow()
 
 
 def add_months(d: date, n: int) -> date:

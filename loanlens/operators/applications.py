@@ -23,12 +23,11 @@ loan arm.  Computing them per application / per customer and joining them
 to the distinct grain avoids building the application x external-score x
 financial-information product.
 
-Plan shape: the windowed credit scores are the selective input (date range
-pushed to the scan); applications are joined to them.  Large tables that
-feed a LEFT join (facility, loan, external scores, financial information)
-are first reduced with a semi join against a cheap key set -- the window's
-score ids, application ids or customers -- so they are neither shuffled in
-full nor is the report's own join tree evaluated twice to get the keys.
+Plan shape: the windowed credit scores (date range pushed to the scan) with
+their applications are computed once and stored (``plans.stored``).  Every
+large table behind them -- facility, bridge, loan, external scores, financial
+information -- is restricted where it is scanned by stored keys, so that none
+of them is shuffled in full.
 """
 
 from __future__ import annotations
@@ -42,9 +41,9 @@ from pyspark.sql import functions as F
 from loanlens.functions.classify import final_decision, loan_accepted, rejection_reason
 from loanlens.functions.predicates import current_only
 from loanlens.functions.windows import ReportingWindow, previous_month
-from loanlens.operators.cohort import created_in
+from loanlens.operators.cohort import created_within
 from loanlens.operators.dedupe import one_row_per
-from loanlens.plans.joins import broadcast_if_small, restrict
+from loanlens.plans.stored import Stored, restrict, store
 from loanlens.sources.book import LoanBook
 
 # The external model's scoring config and the regular scorecard types.
@@ -58,23 +57,23 @@ REPORT_COLUMNS = [
 AUDIT_COLUMNS = REPORT_COLUMNS[:3] + ["scorecard_type_id"] + REPORT_COLUMNS[3:]
 
 
-def _scores(book: LoanBook, window: ReportingWindow, conf: DataFrame) -> DataFrame:
-    """Credit scores of the window (date range pushed to the scan) with an existing config."""
-    return (
-        book.credit_score.filter(created_in(window))
+def _scored(
+    book: LoanBook, window: ReportingWindow, conf: DataFrame, live_only: bool, max_lag_days: int | None = None
+) -> Stored:
+    """The window's credit scores with an existing config and their applications, stored."""
+    scores = store(
+        created_within(book.credit_score, window)
         .select(
             F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("app_id"),
             "credit_score_config_id", F.col("created_at").alias("scored_at"),
         )
-        .join(broadcast_if_small(conf, book.credit_score_config), "credit_score_config_id")
+        .join(conf, "credit_score_config_id")
     )
-
-
-def _window_scores(book: LoanBook, window: ReportingWindow) -> DataFrame:
-    """Cheap key set for semi-join reductions: ids of the window's scores and their applications."""
-    return book.credit_score.filter(created_in(window)).select(
-        F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("app_id")
+    scored = (
+        scores.table.join(restrict(_applications(book, live_only), "app_id", scores, "app_id"), "app_id")
+        .withColumn("lag_days", F.datediff(F.col("scored_at"), F.col("created_at")))
     )
+    return store(scored if max_lag_days is None else scored.filter(F.col("lag_days") <= max_lag_days))
 
 
 def _applications(book: LoanBook, live_only: bool) -> DataFrame:
@@ -85,50 +84,42 @@ def _applications(book: LoanBook, live_only: bool) -> DataFrame:
     )
 
 
-def _loan_flags(loans: DataFrame, key: str, distinct: bool = True) -> DataFrame:
-    """(key, accepted, declined) per loan; ``distinct`` collapses loans sharing the key."""
-    flags = loans.select(
+def _loan_flags(loans: DataFrame, key: str) -> DataFrame:
+    """(key, accepted, declined) per loan."""
+    return loans.select(
         F.col(key),
         loan_accepted(F.col("loan_application_id"), F.col("issued_at"),
                       F.col("cancelled_at"), F.col("declined_at")).alias("accepted"),
         F.col("declined_at").isNotNull().alias("declined"),
     )
-    return flags.distinct() if distinct else flags
 
 
-def _facility_outcomes(book: LoanBook, scores: DataFrame) -> DataFrame:
+def _facility_outcomes(book: LoanBook, scored: Stored) -> DataFrame:
     """Distinct (credit_score_id, has_facility, accepted, declined) via facility -> bridge -> live loan.
 
-    The facility table is reduced by the window's score ids (a cheap key set:
-    one filtered scan) and the bridge by those facilities.  Each bridge row
-    gets its loan's outcome (a missing or deleted loan counts as neither
-    accepted nor declined) and the pairs are made distinct per facility --
-    partially aggregated, so a facility linked to very many loans sends at
-    most four rows into the LEFT join with the facilities.
+    Facilities are restricted by the stored scores, the bridge by the stored facilities, the loans
+    by the stored links.  A facility's outcomes are those of its live loans; where a link
+    leads to no live loan, or there is no link, the outcome is neither accepted nor declined.
+    Both kinds are made distinct per facility first (partially aggregated), so a facility
+    linked to very many loans sends at most four rows on.
     """
-    fac = restrict(book.facility, "credit_score_id", scores, "credit_score_id").select(
-        F.col("id").alias("facility_id"), "credit_score_id"
-    )
-    loans = current_only(book.loan).select(
-        F.col("id").alias("loan_id"), "loan_application_id", "issued_at", "cancelled_at", "declined_at"
-    )
-    links = (
-        restrict(book.facility_has_loan, "facility_id", fac, "facility_id")
-        .join(_loan_flags(loans, "loan_id", distinct=False), "loan_id", "left")
-        .select(
-            "facility_id",
-            F.coalesce("accepted", F.lit(False)).alias("accepted"),
-            F.coalesce("declined", F.lit(False)).alias("declined"),
-        )
-        .distinct()
-    )
+    fac = store(
+        restrict(book.facility, "credit_score_id", scored, "credit_score_id")
+        .select(F.col("id").alias("facility_id"), "credit_score_id")
+    )
+    links = store(restrict(book.facility_has_loan, "facility_id", fac, "facility_id").select("facility_id", "loan_id"))
+    flags = store(
+        _loan_flags(restrict(current_only(book.loan), "id", links, "loan_id")
+                    .withColumnRenamed("id", "loan_id"), "loan_id")
+    ).table
+    linked = links.table.join(flags, "loan_id").select("facility_id", "accepted", "declined").distinct()
+    neither = [F.lit(False).alias("accepted"), F.lit(False).alias("declined")]
+    dead = links.table.join(flags.select("loan_id"), "loan_id", "left_anti").select("facility_id", *neither)
+    alone = fac.table.join(links.table.select("facility_id"), "facility_id", "left_anti").select("facility_id", *neither)
+    outcomes = linked.unionByName(dead).unionByName(alone).distinct()
     return (
-        fac.join(links, "facility_id", "left")
-        .select(
-            "credit_score_id", F.lit(True).alias("has_facility"),
-            F.coalesce("accepted", F.lit(False)).alias("accepted"),
-            F.coalesce("declined", F.lit(False)).alias("declined"),
-        )
+        fac.table.join(outcomes, "facility_id")
+        .select("credit_score_id", F.lit(True).alias("has_facility"), "accepted", "declined")
         .distinct()
     )
 
@@ -142,81 +133,60 @@ def _classify(df: DataFrame) -> DataFrame:
     )
 
 
-def _min_external_id(book: LoanBook, apps: DataFrame) -> DataFrame:
-    ext = restrict(book.external_score, "loan_application_id", apps, "app_id")
+def _min_external_id(book: LoanBook, scored: Stored) -> DataFrame:
+    ext = restrict(book.external_score, "loan_application_id", scored, "app_id")
     return ext.groupBy(F.col("loan_application_id").alias("app_id")).agg(F.min("id").alias("external_id"))
 
 
-def _window_customers(book: LoanBook, window: ReportingWindow) -> DataFrame:
-    """Customers of the applications scored in the window (key set for the financials)."""
-    return _window_scores(book, window).join(
-        book.loan_application.select(F.col("id").alias("app_id"), "customer_id"), "app_id"
-    )
-
-
-def _financials(book: LoanBook, window: ReportingWindow) -> DataFrame:
-    """One live financial-information row per customer: smallest (expenses, income), NULLs last."""
-    fi = restrict(
-        current_only(book.financial_information), "customer_id", _window_customers(book, window), "customer_id"
-    )
-    return one_row_per(
+def _with_financials(book: LoanBook, scored: Stored, grain: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``grain`` with one live financial-information row per customer: smallest (expenses, income), NULLs last."""
+    fi = restrict(current_only(book.financial_information), "customer_id", scored, "customer_id")
+    one = one_row_per(
         fi.select("customer_id", "total_monthly_expenses", "total_monthly_income"),
         ["customer_id"], ["total_monthly_expenses", "total_monthly_income"],
     )
-
-
-def _with_financials(
-    book: LoanBook, window: ReportingWindow, grain: DataFrame, columns: Sequence[str]
-) -> DataFrame:
-    return (
-        grain.join(_financials(book, window), "customer_id", "left")
-        .withColumnRenamed("app_id", "id")
-        .select(*columns)
-    )
+    return grain.join(one, "customer_id", "left").withColumnRenamed("app_id", "id").select(*columns)
 
 
 def all_applications_direct(
     book: LoanBook, as_of: date, window: ReportingWindow | None = None,
     config_id: int = SCORING_CONFIG_ID,
 ) -> DataFrame:
-    w = window or previous_month(as_of)
     conf = book.credit_score_config.filter(F.col("id") == config_id).select(
         F.col("id").alias("credit_score_config_id")
     )
-    scored = _scores(book, w, conf).join(_applications(book, live_only=True), "app_id")
-    keys = _window_scores(book, w)
-    scored = scored.join(_min_external_id(book, keys), "app_id")
-    fac = restrict(book.facility, "credit_score_id", keys, "credit_score_id").select(
+    scored = _scored(book, window or previous_month(as_of), conf, live_only=True)
+    fac = restrict(book.facility, "credit_score_id", scored, "credit_score_id").select(
         "credit_score_id", F.lit(True).alias("has_facility")
     ).distinct()
-    loans = restrict(current_only(book.loan), "original_loan_application_id", keys, "app_id")
+    loans = restrict(current_only(book.loan), "original_loan_application_id", scored, "app_id")
+    flags = _loan_flags(loans, "original_loan_application_id").distinct()
     grain = (
-        scored.join(fac, "credit_score_id", "left")
-        .join(_loan_flags(loans, "original_loan_application_id")
-              .withColumnRenamed("original_loan_application_id", "app_id"), "app_id", "left")
+        scored.table.join(_min_external_id(book, scored), "app_id")
+        .join(fac, "credit_score_id", "left")
+        .join(flags.withColumnRenamed("original_loan_application_id", "app_id"), "app_id", "left")
         .transform(_classify)
         .select("app_id", "created_at", "final_decision", "rejection_reason",
                 "applied_amount", "customer_id", "external_id")
         .distinct()
     )
-    return _with_financials(book, w, grain, REPORT_COLUMNS)
+    return _with_financials(book, scored, grain, REPORT_COLUMNS)
 
 
 def all_applications_facility(
     book: LoanBook, as_of: date, window: ReportingWindow | None = None
 ) -> DataFrame:
-    w = window or previous_month(as_of)
     conf = book.credit_score_config.select(F.col("id").alias("credit_score_config_id"))
-    scored = _scores(book, w, conf).join(_applications(book, live_only=False), "app_id")
+    scored = _scored(book, window or previous_month(as_of), conf, live_only=False)
     grain = (
-        scored.join(_facility_outcomes(book, _window_scores(book, w)), "credit_score_id", "left")
+        scored.table.join(_facility_outcomes(book, scored), "credit_score_id", "left")
         .transform(_classify)
         .select("app_id", "created_at", "final_decision", "rejection_reason",
                 "applied_amount", "customer_id")
         .distinct()
     )
-    grain = grain.join(_min_external_id(book, _window_scores(book, w)), "app_id", "left")
-    return _with_financials(book, w, grain, REPORT_COLUMNS)
+    grain = grain.join(_min_external_id(book, scored), "app_id", "left")
+    return _with_financials(book, scored, grain, REPORT_COLUMNS)
 
 
 def all_applications_audit(
@@ -234,23 +204,16 @@ def all_applications_audit(
     ``scorecard_type_id`` and the sort key come from the score with the
     smallest (scorecard type, lag) in each output group.
     """
-    w = window or previous_month(as_of)
     conf = book.credit_score_config.filter(F.col("scorecard_type_id").isin(list(scorecard_types))).select(
         F.col("id").alias("credit_score_config_id"), "scorecard_type_id"
     )
-    scored = (
-        _scores(book, w, conf)
-        .join(_applications(book, live_only=False), "app_id")
-        .withColumn("lag_days", F.datediff(F.col("scored_at"), F.col("created_at")))
-        .filter(F.col("lag_days") <= max_lag_days)
-    )
-    keys = _window_scores(book, w)
-    ext = restrict(book.external_score, "loan_application_id", keys, "app_id").select(
+    scored = _scored(book, window or previous_month(as_of), conf, live_only=False, max_lag_days=max_lag_days)
+    ext = restrict(book.external_score, "loan_application_id", scored, "app_id").select(
         F.col("id").alias("external_id"), F.col("loan_application_id").alias("ext_app_id")
     )
     has_ext = ext.select(F.col("ext_app_id").alias("app_id"), F.lit(True).alias("has_ext")).distinct()
     rows = (
-        scored.join(_facility_outcomes(book, keys), "credit_score_id", "left")
+        scored.table.join(_facility_outcomes(book, scored), "credit_score_id", "left")
         .join(has_ext, "app_id", "left")
         .transform(_classify)
         .withColumn(
@@ -274,7 +237,8 @@ def all_applications_audit(
         .unionByName(picked.filter(~F.col("ext_mode")).withColumn("external_id", F.lit(None).cast("long")))
     )
     return (
-        _with_financials(book, w, grain, AUDIT_COLUMNS + ["lag_days"])
-        .orderBy(F.col("lag_days").desc())
+        _with_financials(book, scored, grain, AUDIT_COLUMNS + ["lag_days"])
+        # the lag has a handful of values: the further keys spread its rows over sort tasks
+        .orderBy(F.col("lag_days").desc(), "id", "external_id", "final_decision", "rejection_reason")
         .drop("lag_days")
     )

@@ -18,15 +18,15 @@ is L, i.e. L itself when L is a root, plus each of its children (one row per
 child's original application).  Parents of children are taken at any age;
 only the child's creation date is windowed.
 
-Plan shape: every branch starts from the windowed loans (the filter on
-``created_at`` is pushed to the scan as a timestamp range) and walks out to
-the large tables.  Inner joins are left to the optimizer (AQE broadcasts a
-small windowed side at runtime, else sort-merge with a runtime bloom filter
-on the large side).  External scores feeding a LEFT join are reduced with a
-semi join against a cheap key set (a windowed loan scan,
-``plans.joins.restrict``), and picks of one external id per application are
-pre-aggregated (``min``) before they are joined, so no fan-out is built and
-later collapsed.
+Plan shape: one scan takes the window's loans (a timestamp range pushed to
+it) into a small stored table (``plans.stored``); a second takes the parents
+of its children, a third the live loans anchored on its loans.  Every other
+large table -- bridge, facility, credit score, external score -- is
+restricted by stored keys before it is joined, once, and the facility chain
+with its external ids is stored too, because three parts of the report read
+it.  External ids of which only the smallest counts are aggregated before
+they are joined, so no fan-out is built and later collapsed.  What remains is
+the report's own grain: external scores x original applications of a loan.
 """
 
 from __future__ import annotations
@@ -37,9 +37,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.predicates import current_only, successful_loan
-from loanlens.functions.windows import ReportingWindow, previous_month
-from loanlens.plans.joins import broadcast_if_small, restrict
+from loanlens.functions.windows import NoWindow, ReportingWindow, previous_month
+from loanlens.plans.stored import Stored, restrict, store
 from loanlens.sources.book import LoanBook
+from loanlens.sources.layout import created_months
 
 # Fixed value: loan type whose application is the original application.
 TOP_UP_TYPE_ID = 756
@@ -52,15 +53,22 @@ V1_COLUMNS = [
 V2_COLUMNS = V1_COLUMNS + ["load_dttm"]
 
 
-def created_in(window: ReportingWindow, col: str = "created_at") -> Column:
+def created_in(window: ReportingWindow | NoWindow, col: str = "created_at") -> Column:
     """``date(col) BETWEEN start AND end`` written as a half-open timestamp range,
     which Parquet can use directly (row-group statistics, pushed filter)."""
+    if isinstance(window, NoWindow):
+        return F.lit(True)
     c = F.col(col)
     lo = F.lit(window.start).cast("timestamp_ntz")
     hi = F.date_add(F.lit(window.end), 1).cast("timestamp_ntz")
     return (c >= lo) & (c < hi)
 
 
+def created_within(df: DataFrame, window: ReportingWindow | NoWindow) -> DataFrame:
+    """Rows created in the window; a stored table reads the months of the window alone."""
+    return created_months(df, window).filter(created_in(window))
+
+
 def _is_successful() -> Column:
     return successful_loan(F.col("issued_at"), F.col("cancelled_at"), F.col("declined_at"))
 
@@ -76,24 +84,39 @@ def _loan_attributes() -> list[Column]:
 
 
 def _types(book: LoanBook) -> DataFrame:
-    return broadcast_if_small(
-        book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("loan_type")),
-        book.loan_type,
+    return book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("loan_type"))
+
+
+def _window_loans(book: LoanBook, window: ReportingWindow | NoWindow, children: Column) -> Stored:
+    """The window's paid-out loans (``paid_out``) and child loans (``child``) with every column a cohort needs."""
+    return store(
+        created_within(book.loan, window).select(
+            F.col("id").alias("loan_id"), "loan_type_id", "loan_application_id",
+            "original_loan_application_id", "origin_loan_id",
+            F.coalesce(_is_successful(), F.lit(False)).alias("paid_out"),
+            F.coalesce(children, F.lit(False)).alias("child"), *_loan_attributes(),
+        ).filter(F.col("paid_out") | F.col("child"))
+    )
+
+
+def _parents(book: LoanBook, loans: Stored) -> DataFrame:
+    """Paid-out parents, of any age, of the window's child loans."""
+    children = F.when(F.col("child"), F.col("origin_loan_id"))
+    return restrict(book.loan, "id", loans, children).filter(_is_successful()).select(
+        F.col("id").alias("origin_loan_id"), "original_loan_application_id"
     )
 
 
-def _original_applications(book: LoanBook, loans: DataFrame) -> DataFrame:
-    """(anchor loan id, original application) of live loans anchored on ``loans``;
+def _original_applications(book: LoanBook, loans: Stored) -> DataFrame:
+    """(anchor loan id, original application) of live loans anchored on the paid-out ``loans``;
     anchor = origin loan, or the loan itself when it has none.
 
-    Reduced to the anchors in ``loans`` by a semi join against that (windowed)
-    key set first, then pre-aggregated (distinct) so that a parent with very
-    many children sends one row per distinct original application into the
-    join, not one per child.
+    Pre-aggregated (distinct), so that a parent with very many children sends one row per
+    distinct original application into the join, not one per child.
     """
     anchor = F.coalesce("origin_loan_id", "id")
     return (
-        restrict(current_only(book.loan), anchor, loans, "loan_id")
+        restrict(current_only(book.loan), anchor, loans, F.when(F.col("paid_out"), F.col("loan_id")))
         .select(
             anchor.alias("loan_id"),
             F.col("original_loan_application_id").alias("original_application_id"),
@@ -102,43 +125,40 @@ def _original_applications(book: LoanBook, loans: DataFrame) -> DataFrame:
     )
 
 
-def _min_external_id(book: LoanBook, apps: DataFrame, app_col: str, out: str) -> DataFrame:
-    """Smallest external score id per application in ``apps`` (applications without one are absent)."""
-    ext = restrict(book.external_score, "loan_application_id", apps, app_col)
-    return ext.groupBy(F.col("loan_application_id").alias(app_col)).agg(F.min("id").alias(out))
+def _min_external_id(book: LoanBook, apps: Stored, app: Column, key: str, out: str) -> DataFrame:
+    """Smallest external score id per application named by ``app`` (applications without one are absent)."""
+    ext = restrict(book.external_score, "loan_application_id", apps, app)
+    return ext.groupBy(F.col("loan_application_id").alias(key)).agg(F.min("id").alias(out))
 
 
-def facility_applications(book: LoanBook, loans: DataFrame, loan_col: str = "loan_id") -> DataFrame:
+def facility_applications(book: LoanBook, loans: Stored, loan_col: str = "loan_id") -> DataFrame:
     """Distinct (loan_id, la_id): application reached loan -> facility -> credit
     score created the same day as the facility -> existing config -> existing application.
 
-    Inner joins walking out from ``loans``: the optimizer picks the build
-    side (AQE broadcasts the small, windowed side at runtime, else a
-    sort-merge join with a runtime bloom filter on the large side).
+    The bridge is restricted by the stored loans and stored; facility and score by its keys.
     """
-    fhl = loans.select(F.col(loan_col).alias("loan_id")).join(book.facility_has_loan, "loan_id")
-    fac = book.facility.select(
-        F.col("id").alias("facility_id"), "credit_score_id",
-        F.to_date("created_at").alias("facility_day"),
+    links = store(
+        restrict(book.facility_has_loan, "loan_id", loans, loan_col).select("loan_id", "facility_id")
     )
-    cs = book.credit_score.select(
+    fac = store(
+        restrict(book.facility, "id", links, "facility_id").select(
+            F.col("id").alias("facility_id"), "credit_score_id", F.to_date("created_at").alias("facility_day"),
+        )
+    )
+    cs = restrict(book.credit_score, "id", fac, "credit_score_id").select(
         F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("la_id"),
         F.col("credit_score_config_id"), F.to_date("created_at").alias("score_day"),
     )
-    conf = broadcast_if_small(
-        book.credit_score_config.select(F.col("id").alias("credit_score_config_id")), book.credit_score_config
-    )
-    chain = (
-        fhl.join(fac, "facility_id")
+    conf = book.credit_score_config.select(F.col("id").alias("credit_score_config_id"))
+    chain = store(
+        links.table.join(fac.table, "facility_id")
         .join(cs, ["credit_score_id"])
         .filter(F.col("facility_day") == F.col("score_day"))
         .join(conf, "credit_score_config_id", "left_semi")
+        .select("loan_id", "la_id").distinct()
     )
-    return (
-        chain.join(book.loan_application.select(F.col("id").alias("la_id")), "la_id")
-        .select("loan_id", "la_id")
-        .distinct()
-    )
+    known = restrict(book.loan_application, "id", chain, "la_id").select(F.col("id").alias("la_id"))
+    return chain.table.join(known, "la_id")
 
 
 def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> DataFrame:
@@ -158,94 +178,80 @@ def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> Da
     return matched.unionByName(unmatched)
 
 
-def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | None = None) -> DataFrame:
-    w = window or previous_month(as_of)
-    loans = book.loan
-    types = _types(book)
-    ext = book.external_score.select(
-        F.col("id").alias("external_id"), F.col("loan_application_id").alias("application_id")
+def _scored(book: LoanBook, loans: Stored) -> DataFrame:
+    """(loan_id, la_id, external_id or NULL) of the loans' facility chain, stored."""
+    chain = store(facility_applications(book, loans))
+    ext = restrict(book.external_score, "loan_application_id", chain, "la_id").select(
+        F.col("loan_application_id").alias("la_id"), F.col("id").alias("external_id")
     )
+    return store(with_external_ids(chain.table, ext)).table
 
-    window_loans = loans.filter(created_in(w) & _is_successful()).select(F.col("id").alias("loan_id"))
-    roots = (
-        loans.filter(created_in(w) & _is_successful())
-        .select(
-            F.col("id").alias("loan_id"), "loan_type_id",
-            F.col("original_loan_application_id").alias("application_id"), *_loan_attributes(),
-        )
-        .join(ext, "application_id")
-        .join(_original_applications(book, window_loans), "loan_id")
+
+def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | NoWindow | None = None) -> DataFrame:
+    loans = _window_loans(book, window or previous_month(as_of), F.col("origin_loan_id").isNotNull())
+    types = _types(book)
+    roots = loans.table.filter("paid_out").withColumnRenamed("original_loan_application_id", "application_id")
+    ext = restrict(
+        book.external_score, "loan_application_id", loans,
+        F.when(F.col("paid_out"), F.col("original_loan_application_id")),
+    ).select(F.col("id").alias("external_id"), F.col("loan_application_id").alias("application_id"))
+    root_rows = (
+        roots.join(ext, "application_id")
+        .join(_original_applications(book, loans), "loan_id")
         .join(types, "loan_type_id")
         .select(*V1_COLUMNS)
     )
 
-    children = loans.filter(created_in(w) & F.col("origin_loan_id").isNotNull()).select(
-        F.col("id").alias("loan_id"), "loan_type_id", "origin_loan_id",
-        F.col("original_loan_application_id").alias("application_id"), *_loan_attributes(),
+    parents = store(
+        _parents(book, loans).withColumnRenamed("original_loan_application_id", "original_application_id")
     )
-    parents = (
-        restrict(loans, "id", children, "origin_loan_id")
-        .filter(_is_successful())
-        .select(
-            F.col("id").alias("origin_loan_id"),
-            F.col("original_loan_application_id").alias("original_application_id"),
-        )
+    parent_ids = _min_external_id(
+        book, parents, F.col("original_application_id"), "original_application_id", "parent_external_id"
     )
-    parents = parents.join(
-        _min_external_id(book, parents, "original_application_id", "parent_external_id"),
-        "original_application_id",
+    children = loans.table.filter("child").withColumnRenamed("original_loan_application_id", "application_id")
+    child_ids = _min_external_id(
+        book, loans, F.when(F.col("child"), F.col("original_loan_application_id")),
+        "application_id", "child_external_id",
     )
     child_rows = (
-        children.join(parents, "origin_loan_id")
+        children.join(parents.table.join(parent_ids, "original_application_id"), "origin_loan_id")
         .join(types, "loan_type_id")
-        .join(_min_external_id(book, children, "application_id", "child_external_id"),
-              "application_id", "left")
+        .join(child_ids, "application_id", "left")
         .withColumn("external_id", F.coalesce("child_external_id", "parent_external_id"))
         .select(*V1_COLUMNS)
     )
-    return roots.unionByName(child_rows).distinct()
+    return root_rows.unionByName(child_rows).distinct()
 
 
 def loan_cohort_v2(
     book: LoanBook,
     as_of: date,
-    window: ReportingWindow | None = None,
+    window: ReportingWindow | NoWindow | None = None,
     load_dttm: datetime | None = None,
     top_up_type_id: int = TOP_UP_TYPE_ID,
 ) -> DataFrame:
     """``load_dttm`` defaults to the query's local timestamp (one value per query)."""
-    w = window or previous_month(as_of)
-    loans = book.loan
+    loans = _window_loans(
+        book, window or previous_month(as_of), _is_successful() & F.col("origin_loan_id").isNotNull()
+    )
     types = _types(book)
     stamp = F.localtimestamp() if load_dttm is None else F.lit(load_dttm).cast("timestamp_ntz")
-    ext = book.external_score.select(
-        F.col("id").alias("external_id"), F.col("loan_application_id").alias("la_id")
-    )
-
-    roots = loans.filter(created_in(w) & _is_successful()).select(
-        F.col("id").alias("loan_id"), "loan_type_id",
-        F.when(F.col("loan_type_id") == top_up_type_id, F.col("original_loan_application_id"))
-        .otherwise(F.col("loan_application_id")).alias("application_id"),
-        *_loan_attributes(),
-    )
-    children = loans.filter(
-        created_in(w) & _is_successful() & F.col("origin_loan_id").isNotNull()
-    ).select(
-        F.col("id").alias("loan_id"), "loan_type_id", "origin_loan_id", "loan_application_id",
-        F.col("original_loan_application_id").alias("child_original_app"), *_loan_attributes(),
-    )
-    parents = restrict(loans, "id", children, "origin_loan_id").filter(_is_successful())
     # One walk of the facility chain for the window's paid-out loans and the parents of
     # its children (both sets are paid out), with their applications' external ids.
-    chain = facility_applications(
-        book, roots.select("loan_id").unionByName(parents.select(F.col("id").alias("loan_id")))
+    walked = store(
+        loans.table.filter("paid_out").select("loan_id")
+        .unionByName(_parents(book, loans).select(F.col("origin_loan_id").alias("loan_id")))
     )
-    scored = with_external_ids(chain, ext)
+    scored = _scored(book, walked)
 
-    root_ext = scored.select("loan_id", "external_id").distinct()
+    roots = loans.table.filter("paid_out").withColumn(
+        "application_id",
+        F.when(F.col("loan_type_id") == top_up_type_id, F.col("original_loan_application_id"))
+        .otherwise(F.col("loan_application_id")),
+    )
     root_rows = (
-        roots.join(root_ext, "loan_id")
-        .join(_original_applications(book, roots), "loan_id")
+        roots.join(scored.select("loan_id", "external_id").distinct(), "loan_id")
+        .join(_original_applications(book, loans), "loan_id")
         .join(types, "loan_type_id")
         .withColumn("load_dttm", stamp)
         .select(*V2_COLUMNS)
@@ -256,17 +262,17 @@ def loan_cohort_v2(
         .groupBy(F.col("loan_id").alias("origin_loan_id"), F.col("la_id").alias("original_application_id"))
         .agg(F.min("external_id").alias("parent_external_id"))
     )
+    child_ids = _min_external_id(
+        book, loans, F.when(F.col("child"), F.col("original_loan_application_id")),
+        "original_loan_application_id", "child_external_id",
+    )
     child_rows = (
-        children.join(parent_apps, "origin_loan_id")
+        loans.table.filter("child").join(parent_apps, "origin_loan_id")
         .join(types, "loan_type_id")
-        .join(_min_external_id(book, children, "child_original_app", "child_external_id"),
-              "child_original_app", "left")
-        .select(
-            "loan_id", "loan_type",
-            F.coalesce("child_external_id", "parent_external_id").alias("external_id"),
-            F.col("loan_application_id").alias("application_id"),
-            "original_application_id", *V1_COLUMNS[5:],
-            stamp.alias("load_dttm"),
-        )
+        .join(child_ids, "original_loan_application_id", "left")
+        .withColumn("external_id", F.coalesce("child_external_id", "parent_external_id"))
+        .withColumn("application_id", F.col("loan_application_id"))
+        .withColumn("load_dttm", stamp)
+        .select(*V2_COLUMNS)
     )
     return root_rows.unionByName(child_rows).distinct()

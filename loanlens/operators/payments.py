@@ -11,14 +11,18 @@
   into the branches of the selection rule (a check of the rule itself).
 
 Plan shape: the payment table is the only large input.  The payment-only
-part of the selection rule is applied before the join so it reaches the
-Parquet scan; the loan side is reduced to (loan_id, superseded date); the
-per-instalment pick (``one_row_per``) and the per-loan sums run on the
-payment rows keyed by ``loan_id`` *before* they are joined to the (possibly
-several) cohort rows of a loan -- pre-aggregation before the fan-out.  Sums
-and the instalment pick (a ``min`` of a struct) both aggregate partially
-(map-side), so a loan holding a large share of all payments is reduced
-before it is exchanged.
+part of the selection rule is pushed into its scan, and what is left is
+aggregated before it meets the loans.  That works because the loan's part of
+the rule, the superseded test, needs only the loan and one date:
+
+* payment level: every payment of a (loan, due date) has that date, so one
+  payment per (loan, due date) is picked first and tested after the join;
+* per loan: payments are summed per (loan, date to test), where the date is
+  NULL for payments that need no test; the few sums of a loan are tested after the
+  join and summed again.
+
+Both aggregations are partial before the exchange on ``loan_id``, so a loan
+with a large share of all payments is a few rows per task by then.
 """
 
 from __future__ import annotations
@@ -26,10 +30,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.functions.measures import loan_measures, payment_measures
+from loanlens.functions.measures import loan_measures, payment_measures, summed_measures
 from loanlens.functions.predicates import (
     AGGREGATED,
     LEVEL,
@@ -46,8 +50,8 @@ from loanlens.functions.windows import (
     rolling_month_shifted,
 )
 from loanlens.operators.dedupe import one_row_per
-from loanlens.plans.joins import broadcast_if_small
 from loanlens.sources.book import LoanBook
+from loanlens.sources.layout import open_or_paid_since
 
 # Order that picks one payment when a loan has several with the same due date:
 # earliest paid first (unpaid last), then the amounts, all ascending, NULLs last.
@@ -74,30 +78,55 @@ def _paid():
     return F.col("paid_at_date")
 
 
-def _cohort_scope(cohort: DataFrame) -> DataFrame:
-    """(loan_id, superseded): the superseded date depends on the loan only."""
-    return cohort.select(
-        "loan_id", superseded_at(F.col("topped_up_at"), F.col("extended_at"), F.col("arranged_rp_at"))
-        .alias("superseded")
-    ).distinct()
+def _superseded() -> Column:
+    return superseded_at(F.col("topped_up_at"), F.col("extended_at"), F.col("arranged_rp_at"))
 
 
-def selected_payments(
-    loan_payment: DataFrame,
-    loans: DataFrame,
-    window: ReportingWindow,
-    variant: str = LEVEL,
-    null_safe_least: bool = False,
+def _report_order(*ties: str) -> list[Column]:
+    """By application and loan, descending, as the reports state; ``ties`` spread a loan's rows over sort tasks."""
+    return [F.col("Application_ID").desc(), F.col("Loan_Id").desc(), *(F.col(c) for c in ties)]
+
+
+def _candidates(loan_payment: DataFrame, window: ReportingWindow, variant: str) -> DataFrame:
+    """Live payments that pass the payment-only part of the selection rule (pushed to the scan)."""
+    pay = current_only(open_or_paid_since(loan_payment, window.start))
+    return pay.filter(payment_prefilter(_due(), _paid(), window, variant))
+
+
+def _not_superseded(day: Column) -> Column:
+    """The loan's part of the rule: ``day`` (NULL: nothing to test) is not after the superseded date."""
+    return day.isNull() | (day <= F.col("superseded"))
+
+
+def _sums_by_date(
+    loan_payment: DataFrame, window: ReportingWindow, variant: str, null_safe_least: bool = False
 ) -> DataFrame:
-    """Live payments of ``loans`` (loan_id, superseded, ...) chosen by the selection rule."""
-    pay = current_only(loan_payment).filter(payment_prefilter(_due(), _paid(), window, variant))
-    return pay.join(loans, "loan_id").filter(
-        payment_in_scope(_due(), _paid(), window, F.col("superseded"), variant, null_safe_least)
+    """Sums of each loan's candidates by the date its superseded test needs (``test_date``, NULL: none)."""
+    pay = _candidates(loan_payment, window, variant)
+    due, paid = _due(), _paid()
+    if variant == LEVEL:
+        day = F.when(window.contains(due), due)
+    else:
+        # Due and paid in the window (or unpaid, or paid later) needs a test of the earlier date; a payment
+        # due outside the window was taken for its paid date or as overdue, and needs none.
+        earliest = F.least(due, paid) if null_safe_least else least_strict(due, paid)
+        if not null_safe_least:  # an unpaid payment due in the window never passes the strict test
+            pay = pay.filter(~(window.contains(due) & paid.isNull()))
+        day = F.when(window.contains(due), earliest)
+    return pay.groupBy("loan_id", day.alias("test_date")).agg(*loan_measures())
+
+
+def _tested_sums(sums: DataFrame, loans: DataFrame, *keys: str) -> DataFrame:
+    """One row per loan from its sums by date; ``loans`` has loan_id, superseded and further ``keys``."""
+    return (
+        sums.join(loans, "loan_id").filter(_not_superseded(F.col("test_date")))
+        .groupBy("loan_id", *keys).agg(*summed_measures())
     )
 
 
 def _cohort_rows(cohort: DataFrame) -> DataFrame:
-    return cohort.select(*COHORT_KEYS).distinct()
+    """Each loan's cohort rows with its superseded date (which is the loan's own)."""
+    return cohort.select(*COHORT_KEYS, _superseded().alias("superseded")).distinct()
 
 
 def _report_keys(as_of: date) -> list:
@@ -126,16 +155,16 @@ def monthly_payments(
         )
     if loan_types is not None:
         cohort = cohort.join(
-            broadcast_if_small(loan_types.select(F.col("name").alias("loan_type")), loan_types),
-            "loan_type", "left_semi",
+            loan_types.select(F.col("name").alias("loan_type")), "loan_type", "left_semi",
         )
     picked = one_row_per(
-        selected_payments(loan_payment, _cohort_scope(cohort), w, LEVEL),
+        _candidates(loan_payment, w, LEVEL).select("loan_id", "actual_payment_date", *PAYMENT_PICK_ORDER),
         ["loan_id", "actual_payment_date"], PAYMENT_PICK_ORDER,
     )
     return (
         _cohort_rows(cohort)
         .join(picked, "loan_id")
+        .filter(_not_superseded(F.when(w.contains(_due()), _due())))
         .select(
             *_report_keys(as_of),
             F.col("actual_payment_date").alias("Actual_Payment_Date"),
@@ -143,7 +172,7 @@ def monthly_payments(
             F.col("loan_type").alias("Type_of_Loan"),
             *payment_measures(),
         )
-        .orderBy(F.col("Application_ID").desc(), F.col("Loan_Id").desc())
+        .orderBy(*_report_order("Actual_Payment_Date", "External_ID", "Original_Application_Id", "Type_of_Loan"))
     )
 
 
@@ -170,13 +199,12 @@ def monthly_payments_by_loan(
     payment due in the window never passes the superseded test.
     """
     w = window or rolling_month(as_of)
-    sums = (
-        selected_payments(loan_payment, _cohort_scope(cohort), w, AGGREGATED, null_safe_least)
-        .groupBy("loan_id")
-        .agg(*loan_measures())
+    sums = _tested_sums(
+        _sums_by_date(loan_payment, w, AGGREGATED, null_safe_least),
+        cohort.select("loan_id", _superseded().alias("superseded")).distinct(),
     )
     return (
-        _cohort_rows(cohort)
+        _cohort_rows(cohort).drop("superseded").distinct()
         .join(sums, "loan_id")
         .select(*_report_keys(as_of), F.col("loan_type").alias("Type_of_Loan"), *MEASURE_COLUMNS)
     )
@@ -193,13 +221,11 @@ def monthly_payments_for_loans(
     A loan counts if its original application exists and its type is known.
     """
     w = window or rolling_month_shifted(as_of)
-    loans = book.loan
+    loans, payments = book.loan, book.loan_payment
     if loan_ids is not None:
-        loans = loans.filter(F.col("id").isin([int(i) for i in loan_ids]))
-    types = broadcast_if_small(
-        book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("Type_of_Loan")),
-        book.loan_type,
-    )
+        wanted = [int(i) for i in loan_ids]
+        loans, payments = loans.filter(F.col("id").isin(wanted)), payments.filter(F.col("loan_id").isin(wanted))
+    types = book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("Type_of_Loan"))
     scope = (
         loans.join(
             book.loan_application.select(F.col("id").alias("original_loan_application_id")),
@@ -209,20 +235,17 @@ def monthly_payments_for_loans(
         .select(
             F.col("id").alias("loan_id"),
             F.col("original_loan_application_id").alias("Application_ID"),
-            "Type_of_Loan",
-            superseded_at(F.col("topped_up_at"), F.col("extended_at"), F.col("arranged_rp_at"))
-            .alias("superseded"),
+            "Type_of_Loan", _superseded().alias("superseded"),
         )
     )
+    sums = _sums_by_date(payments, w, LEVEL)
     return (
-        selected_payments(book.loan_payment, scope, w, LEVEL)
-        .groupBy("loan_id", "Application_ID", "Type_of_Loan")
-        .agg(*loan_measures())
+        _tested_sums(sums, scope, "Application_ID", "Type_of_Loan")
         .select(
             F.col("loan_id").alias("Loan_Id"), "Application_ID",
             F.lit(reporting_month(as_of)).alias("Reporting_Month"), "Type_of_Loan", *MEASURE_COLUMNS,
         )
-        .orderBy(F.col("Application_ID").desc(), F.col("Loan_Id").desc())
+        .orderBy(*_report_order())
     )
 
 
@@ -241,7 +264,7 @@ def payment_branch_counts(book: LoanBook, as_of: date, window: ReportingWindow |
     due, paid, x = _due(), _paid(), F.col("superseded")
     loans = book.loan.select(
         F.col("id").alias("loan_id"),
-        superseded_at(F.col("topped_up_at"), F.col("extended_at"), F.col("arranged_rp_at")).alias("superseded"),
+        _superseded().alias("superseded"),
     )
     in_due, in_paid = w.contains(due), w.contains(paid)
     cls = (

@@ -1,10 +1,9 @@
-"""Independent DuckDB SQL for every registered query (the correctness oracle).
+"""Independent DuckDB SQL for every registered report (the correctness oracle).
 
-Each query is written the straightforward way: the full join as the source
-report states it, and the lenient GROUP BY replaced by ``row_number()`` over
-the grain with the documented pick order (NULLS LAST) -- no pre-aggregation,
-no semi-join reduction.  The Spark operators compute the same result by a
-different, scale-oriented plan, so agreement checks those rewrites.
+Each report is a chain of named steps over the loan book: live rows, classified dates, links,
+decisions, then one row per group by ``DISTINCT ON`` with the documented pick order.  The
+Spark operators reach the same rows by another route (stored key sets, aggregation
+before joins), so agreement checks those.  Windows are worked out in SQL from the as-of date.
 
 Rounded money uses exact integer arithmetic here (DuckDB divides decimals
 in floating point).  Money columns are returned as DOUBLE, as the Spark side
@@ -16,18 +15,10 @@ returns them for comparison.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from contextlib import contextmanager
 from datetime import date, datetime
 
-from loanlens.functions.windows import (
-    WHOLE_BOOK,
-    ReportingWindow,
-    previous_month,
-    reporting_month,
-    rolling_month,
-    rolling_month_shifted,
-)
-
 MAPPING_SQL = """
 loan_application AS (
   SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS created_at,
@@ -106,14 +97,6 @@ financial_information AS (
 """
 
 
-def _d(x: date) -> str:
-    return f"DATE '{x.isoformat()}'"
-
-
-def _between(expr: str, w: ReportingWindow) -> str:
-    return f"{expr} BETWEEN {_d(w.start)} AND {_d(w.end)}"
-
-
 _MAPPING = {"on": True}
 
 
@@ -127,353 +110,346 @@ def over_book_tables():
         _MAPPING["on"] = True
 
 
-def _with(*ctes: str) -> str:
+def _steps(*ctes: str) -> str:
     parts = ([MAPPING_SQL.strip()] if _MAPPING["on"] else []) + list(ctes)
-    return ("WITH " + ",\n".join(parts) + "\n") if parts else ""
+    return "WITH " + ",\n".join(parts) + "\n"
 
 
-def _as_double(sql: str, cols: list[str]) -> str:
-    repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) q"
+# A window is a pair of SQL dates, both inclusive; None takes every row.
+Bounds = tuple[str, str] | None
 
 
-SUCCESS = "{t}.issued_at IS NOT NULL AND {t}.cancelled_at IS NULL AND {t}.declined_at IS NULL"
+def bounds(as_of: date, kind: str) -> Bounds:
+    """Window A (previous calendar month), B (rolling month) or C (rolling month, a day earlier) of an as-of date."""
+    day = f"DATE '{as_of.isoformat()}'"
+    eve = f"({day} - INTERVAL 1 DAY)"
+    first, last = {
+        "A": (f"date_trunc('month', {day} - INTERVAL 1 MONTH)", f"last_day({day} - INTERVAL 1 MONTH)"),
+        "B": (f"{day} - INTERVAL 1 MONTH", eve),
+        "C": (f"{eve} - INTERVAL 1 MONTH", eve),
+    }[kind]
+    return f"CAST({first} AS DATE)", f"CAST({last} AS DATE)"
 
-LOAN_ATTRS = """{t}.issued_at, {t}.created_at, {t}.principal, {t}.initial_interest,
-  {t}.annual_percentage_rate, {t}.no_of_payments,
-  CAST({t}.topped_up_at AS DATE) AS topped_up_at, CAST({t}.extended_at AS DATE) AS extended_at,
-  CAST({t}.arranged_rp_at AS DATE) AS arranged_rp_at"""
 
+def typed(first: date, last: date) -> Bounds:
+    """A window given by its dates (a replay)."""
+    return f"DATE '{first.isoformat()}'", f"DATE '{last.isoformat()}'"
 
-def cohort_v1_cte(name: str, w: ReportingWindow) -> str:
-    return f"""{name} AS (
-SELECT loan.id AS loan_id, lt.name AS loan_type, jm.id AS external_id,
-  loan.original_loan_application_id AS application_id, ol.original_loan_application_id AS original_application_id,
-  {LOAN_ATTRS.format(t='loan')}
-FROM loan
-  JOIN external_score jm ON loan.original_loan_application_id = jm.loan_application_id
-  JOIN loan ol ON loan.id = coalesce(ol.origin_loan_id, ol.id) AND ol.deleted_at IS NULL
-  JOIN loan_type lt ON loan.loan_type_id = lt.id
-WHERE {_between('CAST(loan.created_at AS DATE)', w)} AND {SUCCESS.format(t='loan')}
-GROUP BY ALL
-UNION
-SELECT child_loan.id AS loan_id, lt.name AS loan_type, min(coalesce(jm.id, james.external_id)) AS external_id,
-  child_loan.original_loan_application_id AS application_id, james.original_loan_application_id AS original_application_id,
-  {LOAN_ATTRS.format(t='child_loan')}
-FROM (SELECT loan.id AS loan_id, loan.original_loan_application_id, jm.id AS external_id
-      FROM loan JOIN external_score jm ON loan.original_loan_application_id = jm.loan_application_id
-      WHERE {SUCCESS.format(t='loan')}) james
-  JOIN loan child_loan ON james.loan_id = child_loan.origin_loan_id
-       AND {_between('CAST(child_loan.created_at AS DATE)', w)}
-  JOIN loan_type lt ON child_loan.loan_type_id = lt.id
-  LEFT JOIN external_score jm ON child_loan.original_loan_application_id = jm.loan_application_id
-GROUP BY ALL)"""
-
-
-CHAIN = """JOIN facility_has_loan fhl ON fhl.loan_id = loan.id
-  JOIN facility ON facility.id = fhl.facility_id
-  JOIN credit_score ON credit_score.id = facility.credit_score_id
-       AND CAST(facility.created_at AS DATE) = CAST(credit_score.created_at AS DATE)
-  JOIN credit_score_config conf ON conf.id = credit_score.credit_score_config_id
-  JOIN loan_application la ON la.id = credit_score.loan_application_id
-  LEFT JOIN external_score jm ON la.id = jm.loan_application_id"""
-
-
-def cohort_v2_cte(name: str, w: ReportingWindow, load_dttm: datetime) -> str:
-    stamp = f"TIMESTAMP '{load_dttm.isoformat(sep=' ')}'"
+
+def _within(column: str, window: Bounds) -> str:
+    return "true" if window is None else f"CAST({column} AS DATE) BETWEEN {window[0]} AND {window[1]}"
+
+
+def _month_label(as_of: date) -> str:
+    return f"strftime(DATE '{as_of.isoformat()}', '%Y-%m-01')"
+
+
+# ---- cohorts ---------------------------------------------------------------------------------
+
+PAID_OUT = """paid_out AS (
+  SELECT * FROM loan WHERE issued_at IS NOT NULL AND coalesce(cancelled_at, declined_at) IS NULL)"""
+
+ANCHORED = """anchored AS (
+  SELECT DISTINCT coalesce(origin_loan_id, id) AS anchor, original_loan_application_id AS anchor_application
+  FROM loan WHERE deleted_at IS NULL)"""
+
+LEAST_SCORE = """least_score AS (
+  SELECT loan_application_id AS scored_application, min(id) AS score FROM external_score GROUP BY 1)"""
+
+FACILITY_PATH = """facility_path AS (
+  SELECT DISTINCT b.loan_id AS path_loan, s.loan_application_id AS path_application
+  FROM credit_score s, facility f, facility_has_loan b
+  WHERE f.credit_score_id = s.id AND b.facility_id = f.id
+    AND date_diff('day', s.created_at, f.created_at) = 0
+    AND s.credit_score_config_id IN (SELECT id FROM credit_score_config)
+    AND s.loan_application_id IN (SELECT id FROM loan_application))"""
+
+PATH_SCORE = """path_score AS (
+  SELECT path_loan, path_application, x.id AS score
+  FROM facility_path LEFT JOIN external_score x ON x.loan_application_id = path_application)"""
+
+COHORT_MONEY = ["principal", "initial_interest", "annual_percentage_rate"]
+ATTRIBUTES = ", ".join(
+    ["issued_at", "created_at", *COHORT_MONEY, "no_of_payments",
+     *(f"CAST({c} AS DATE) AS {c}" for c in ("topped_up_at", "extended_at", "arranged_rp_at"))])
+
+
+def _union(name: str, roots: str, children: str, stamp: str = "") -> str:
+    """Both branches (loan columns plus kind name, external id and the two applications), without repeats."""
+    columns = f"""id AS loan_id, name AS loan_type, external_id, application_id, original_application_id,
+    {', '.join('q.' + a if not a.startswith('CAST(') else a.replace('CAST(', 'CAST(q.') for a in ATTRIBUTES.split(', '))}{stamp}"""
     return f"""{name} AS (
-SELECT loan.id AS loan_id, lt.name AS loan_type, jm.id AS external_id,
-  CASE WHEN loan.loan_type_id = 756 THEN loan.original_loan_application_id ELSE loan.loan_application_id END AS application_id,
-  ol.original_loan_application_id AS original_application_id,
-  {LOAN_ATTRS.format(t='loan')}, {stamp} AS load_dttm
-FROM loan
-  {CHAIN}
-  JOIN loan ol ON loan.id = coalesce(ol.origin_loan_id, ol.id) AND ol.deleted_at IS NULL
-  JOIN loan_type lt ON loan.loan_type_id = lt.id
-WHERE {_between('CAST(loan.created_at AS DATE)', w)} AND {SUCCESS.format(t='loan')}
-GROUP BY ALL
-UNION
-SELECT child_loan.id AS loan_id, lt.name AS loan_type, min(coalesce(jm.id, james.external_id)) AS external_id,
-  child_loan.loan_application_id AS application_id, james.original_loan_application_id AS original_application_id,
-  {LOAN_ATTRS.format(t='child_loan')}, {stamp} AS load_dttm
-FROM (SELECT loan.id AS loan_id, la.id AS original_loan_application_id, jm.id AS external_id
-      FROM loan
-      {CHAIN}
-      WHERE {SUCCESS.format(t='loan')}) james
-  JOIN loan child_loan ON james.loan_id = child_loan.origin_loan_id AND {SUCCESS.format(t='child_loan')}
-       AND {_between('CAST(child_loan.created_at AS DATE)', w)}
-  JOIN loan_type lt ON child_loan.loan_type_id = lt.id
-  LEFT JOIN external_score jm ON child_loan.original_loan_application_id = jm.loan_application_id
-GROUP BY ALL)"""
-
-
-MONEY_COHORT = ["principal", "initial_interest", "annual_percentage_rate"]
+  SELECT DISTINCT {columns}
+  FROM (SELECT * FROM {roots} UNION ALL SELECT * FROM {children}) q
+  JOIN (SELECT id AS kind, name FROM loan_type) t ON t.kind = q.loan_type_id)"""
+
+
+def _cohort_v1(window: Bounds, name: str = "cohort") -> str:
+    return ",\n".join([PAID_OUT, ANCHORED, LEAST_SCORE, f"""scored_roots AS (
+  SELECT p.*, x.id AS external_id, p.original_loan_application_id AS application_id, anchor_application AS original_application_id
+  FROM paid_out p, external_score x, anchored
+  WHERE {_within('p.created_at', window)} AND x.loan_application_id = p.original_loan_application_id AND anchor = p.id)""", f"""scored_children AS (
+  SELECT kid.*, coalesce(own.score, parents.score) AS external_id, kid.original_loan_application_id AS application_id,
+         parent.original_loan_application_id AS original_application_id
+  FROM loan kid
+  JOIN paid_out parent ON parent.id = kid.origin_loan_id
+  JOIN least_score parents ON parents.scored_application = parent.original_loan_application_id
+  LEFT JOIN least_score own ON own.scored_application = kid.original_loan_application_id
+  WHERE {_within('kid.created_at', window)})""", _union(name, "scored_roots", "scored_children")])
+
+
+def _cohort_v2(window: Bounds, load_dttm: datetime, name: str = "cohort") -> str:
+    stamp = f", TIMESTAMP '{load_dttm.isoformat(sep=' ')}' AS load_dttm"
+    return ",\n".join([PAID_OUT, ANCHORED, LEAST_SCORE, FACILITY_PATH, PATH_SCORE, f"""linked_roots AS (
+  SELECT p.*, s.score AS external_id, if(p.loan_type_id = 756, p.original_loan_application_id, p.loan_application_id) AS application_id,
+         anchor_application AS original_application_id
+  FROM paid_out p, path_score s, anchored
+  WHERE {_within('p.created_at', window)} AND s.path_loan = p.id AND anchor = p.id)""", f"""parent_path AS (
+  SELECT path_loan, path_application, min(score) AS score FROM path_score
+  WHERE path_loan IN (SELECT id FROM paid_out) GROUP BY ALL)""", f"""linked_children AS (
+  SELECT kid.*, coalesce(own.score, up.score) AS external_id, kid.loan_application_id AS application_id,
+         up.path_application AS original_application_id
+  FROM paid_out kid
+  JOIN parent_path up ON up.path_loan = kid.origin_loan_id
+  LEFT JOIN least_score own ON own.scored_application = kid.original_loan_application_id
+  WHERE {_within('kid.created_at', window)})""", _union(name, "linked_roots", "linked_children", stamp)])
+
+
+def _cohort_out(steps: str) -> str:
+    doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in COHORT_MONEY)
+    return _steps(steps) + f"SELECT * REPLACE ({doubles}) FROM cohort"
 
 
 def cohort_v1_sql(as_of: date) -> str:
-    return _as_double(_with(cohort_v1_cte("c", previous_month(as_of))) + "SELECT * FROM c", MONEY_COHORT)
+    return _cohort_out(_cohort_v1(bounds(as_of, "A")))
+
+
+def cohort_v2_sql(as_of: date, load_dttm: datetime, whole_book: bool = False) -> str:
+    return _cohort_out(_cohort_v2(None if whole_book else bounds(as_of, "A"), load_dttm))
 
 
-def cohort_v2_sql(as_of: date, load_dttm: datetime, window: ReportingWindow | None = None) -> str:
-    w = window or previous_month(as_of)
-    return _as_double(_with(cohort_v2_cte("c", w, load_dttm)) + "SELECT * FROM c", MONEY_COHORT)
+def cohort_drop_sql(kept: date, load_dttm: datetime) -> str:
+    """What a published table holds once another month than ``kept`` is dropped."""
+    return _steps(_cohort_v2(bounds(kept, "A"), load_dttm)) + (
+        f"SELECT {_month_label(kept)} AS reporting_month, count(*) AS n_loans, true AS table_dropped FROM cohort HAVING count(*) > 0")
+
+
+# ---- accepted applications -------------------------------------------------------------------
 
 
 def _round_cents(num4: str, den: str) -> str:
     """round(num4 / 10000 / den, 2) half away from zero, exactly, as DOUBLE.  num4 in 1e-4 units."""
     d = f"(CAST({den} AS HUGEINT) * 100)"
-    return (
-        f"(CAST(sign({num4}) * ((abs({num4}) * 2 + {d}) // (2 * {d})) AS DOUBLE) / 100)"
-    )
+    return f"(CAST(sign({num4}) * ((abs({num4}) * 2 + {d}) // (2 * {d})) AS DOUBLE) / 100)"
 
 
 def accepted_sql(as_of: date, load_dttm: datetime) -> str:
-    w = previous_month(as_of)
-    p100 = "CAST(loan_list.principal * 100 AS HUGEINT)"
-    i100 = "CAST(loan_list.initial_interest * 100 AS HUGEINT)"
-    r100 = "CAST(loan_list.annual_percentage_rate * 100 AS HUGEINT)"
-    days = "date_diff('day', CAST(loan_list.issued_at AS DATE), CAST(loan_list.created_at AS DATE))"
-    num4 = f"(({p100} + {i100}) * 3652500 - {r100} * {p100} * {days})"
-    return _with(cohort_v2_cte("cohort", w, load_dttm)) + f"""
-SELECT loan_list.loan_id AS Loan_ID, loan_list.external_id AS External_ID,
-  loan_list.application_id AS Application_ID, loan_list.original_application_id AS Original_Application_ID,
-  loan_list.issued_at AS Date_of_Approval, CAST(loan_list.principal AS DOUBLE) AS Issued_Amount,
-  lpf.actual_payment_date AS First_payment_date, loan_list.no_of_payments AS Number_of_Payments,
-  CASE WHEN loan_list.no_of_payments <> 0
-       THEN {_round_cents(num4, '36525 * loan_list.no_of_payments')} END AS Each_payment_avg,
-  {_round_cents(num4, '36525')} AS Total_Repayable,
-  loan_list.loan_type AS Type_of_Loan
-FROM cohort loan_list
-  JOIN loan_payment lpf ON loan_list.loan_id = lpf.loan_id AND lpf.is_first_payment = 1 AND lpf.deleted_at IS NULL
-WHERE {_between('CAST(loan_list.created_at AS DATE)', w)}
-GROUP BY ALL"""
+    """Total repayable = principal + interest - rate / 365.25 / 100 * principal * days, in exact integers."""
+    month = bounds(as_of, "A")
+    return _steps(_cohort_v2(month, load_dttm), f"""amounts AS (
+  SELECT *, CAST(principal * 100 AS HUGEINT) AS cents, CAST(initial_interest * 100 AS HUGEINT) AS interest_cents,
+         CAST(annual_percentage_rate * 100 AS HUGEINT) AS rate_cents, date_diff('day', issued_at, created_at) AS days
+  FROM cohort WHERE {_within('created_at', month)})""", """repayable AS (
+  SELECT *, (cents + interest_cents) * 3652500 - rate_cents * cents * days AS total FROM amounts)""", """first_due AS (
+  SELECT loan_id AS of_loan, actual_payment_date AS first_day FROM loan_payment WHERE is_first_payment = 1 AND deleted_at IS NULL)""") + f"""
+SELECT DISTINCT loan_id AS Loan_ID, external_id AS External_ID, application_id AS Application_ID,
+  original_application_id AS Original_Application_ID, issued_at AS Date_of_Approval, CAST(principal AS DOUBLE) AS Issued_Amount,
+  first_day AS First_payment_date, no_of_payments AS Number_of_Payments,
+  CASE WHEN no_of_payments <> 0 THEN {_round_cents('total', '36525 * no_of_payments')} END AS Each_payment_avg,
+  {_round_cents('total', '36525')} AS Total_Repayable, loan_type AS Type_of_Loan
+FROM repayable JOIN first_due ON of_loan = loan_id"""
+
+
+# ---- decisions -------------------------------------------------------------------------------
+
+LOAN_RESULT = """loan_result AS (
+  SELECT id AS result_loan, original_loan_application_id AS result_application, declined_at IS NOT NULL AS refused,
+         loan_application_id IS NOT NULL AND issued_at IS NOT NULL AND coalesce(cancelled_at, declined_at) IS NULL AS won
+  FROM loan WHERE deleted_at IS NULL)"""
+
+# Through the bridge a facility has one result for each of its links, and an empty one without links.
+FACILITY_RESULT = """facility_result AS (
+  SELECT f.credit_score_id AS facility_score, r.won, r.refused
+  FROM facility f LEFT JOIN (facility_has_loan b LEFT JOIN loan_result r ON r.result_loan = b.loan_id) ON b.facility_id = f.id)"""
+
+
+def _scored(window: Bounds, condition: str) -> str:
+    return f"""scored AS (
+  SELECT s.id AS score_id, s.loan_application_id AS application, s.created_at AS scored_at, k.id AS model, k.scorecard_type_id
+  FROM credit_score s, credit_score_config k
+  WHERE k.id = s.credit_score_config_id AND {condition} AND {_within('s.created_at', window)})"""
+
+
+def _decided(links: str) -> str:
+    """``links`` has an application's columns, whether there is a facility, and the loan's result."""
+    return f"""decided AS (
+  SELECT *, if(coalesce(won, false), 'A', 'R') AS final_decision,
+         CASE WHEN NOT has_facility OR coalesce(refused, false) THEN 'Declined' WHEN won THEN 'Accepted'
+              ELSE 'Withdrawn by Customer' END AS rejection_reason
+  FROM {links})"""
+
 
+INCOME = """income AS (
+  SELECT customer_id AS of_customer, total_monthly_expenses, total_monthly_income FROM financial_information WHERE deleted_at IS NULL)"""
 
-FINAL = """CASE WHEN loan.loan_application_id IS NOT NULL AND loan.issued_at IS NOT NULL
-       AND loan.cancelled_at IS NULL AND loan.declined_at IS NULL THEN 'A' ELSE 'R' END"""
-REASON = """CASE WHEN facility.credit_score_id IS NULL OR loan.declined_at IS NOT NULL THEN 'Declined'
-       WHEN loan.loan_application_id IS NOT NULL AND loan.issued_at IS NOT NULL
-            AND loan.cancelled_at IS NULL AND loan.declined_at IS NULL THEN 'Accepted'
-       ELSE 'Withdrawn by Customer' END"""
-
-APP_COLS = ("external_id, id, created_at, final_decision, rejection_reason, "
-            "CAST(applied_amount AS DOUBLE) AS applied_amount, "
-            "CAST(total_monthly_expenses AS DOUBLE) AS total_monthly_expenses, "
-            "CAST(total_monthly_income AS DOUBLE) AS total_monthly_income")
-
-
-def _pick(select_cols: str, keys: str, order: str, tail: str = "") -> str:
-    return (
-        f"SELECT {select_cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn "
-        f"FROM j) WHERE rn = 1 {tail}"
-    )
-
-
-def applications_direct_sql(as_of: date) -> str:
-    w = previous_month(as_of)
-    return _with(f"""j AS (
-SELECT jm.id AS external_id, appl.id, appl.created_at, {FINAL} AS final_decision, {REASON} AS rejection_reason,
-  appl.amount_of_credit AS applied_amount, fi.total_monthly_expenses, fi.total_monthly_income
-FROM loan_application appl
-  JOIN external_score jm ON appl.id = jm.loan_application_id AND appl.deleted_at IS NULL
-  JOIN credit_score ON appl.id = credit_score.loan_application_id AND appl.deleted_at IS NULL
-  JOIN credit_score_config conf ON credit_score.credit_score_config_id = conf.id AND conf.id = 58
-  LEFT JOIN facility ON credit_score.id = facility.credit_score_id
-  LEFT JOIN loan ON appl.id = loan.original_loan_application_id AND loan.deleted_at IS NULL
-  LEFT JOIN financial_information fi ON appl.customer_id = fi.customer_id AND fi.deleted_at IS NULL
-WHERE {_between('CAST(credit_score.created_at AS DATE)', w)})""") + _pick(
-        APP_COLS, "id, created_at, final_decision, rejection_reason",
-        "external_id NULLS LAST, total_monthly_expenses NULLS LAST, total_monthly_income NULLS LAST",
-    )
-
-
-def applications_facility_sql(as_of: date) -> str:
-    w = previous_month(as_of)
-    return _with(f"""j AS (
-SELECT jm.id AS external_id, appl.id, appl.created_at, {FINAL} AS final_decision, {REASON} AS rejection_reason,
-  appl.amount_of_credit AS applied_amount, fi.total_monthly_expenses, fi.total_monthly_income
-FROM loan_application appl
-  LEFT JOIN external_score jm ON appl.id = jm.loan_application_id
-  JOIN credit_score ON appl.id = credit_score.loan_application_id
-  JOIN credit_score_config conf ON credit_score.credit_score_config_id = conf.id
-  LEFT JOIN facility ON credit_score.id = facility.credit_score_id
-  LEFT JOIN facility_has_loan fhl ON fhl.facility_id = facility.id
-  LEFT JOIN loan ON fhl.loan_id = loan.id AND loan.deleted_at IS NULL
-  LEFT JOIN financial_information fi ON appl.customer_id = fi.customer_id AND fi.deleted_at IS NULL
-WHERE {_between('CAST(credit_score.created_at AS DATE)', w)})""") + _pick(
-        APP_COLS, "id, created_at, final_decision, rejection_reason",
-        "external_id NULLS LAST, total_monthly_expenses NULLS LAST, total_monthly_income NULLS LAST",
-    )
-
-
-def applications_audit_sql(as_of: date) -> str:
-    w = previous_month(as_of)
-    lag = "date_diff('day', CAST(appl.created_at AS DATE), CAST(credit_score.created_at AS DATE))"
-    cols = APP_COLS.replace("created_at, final_decision", "created_at, scorecard_type_id, final_decision")
-    return _with(f"""j AS (
-SELECT jm.id AS external_id, appl.id, appl.created_at, conf.scorecard_type_id,
-  {FINAL} AS final_decision, {REASON} AS rejection_reason,
-  appl.amount_of_credit AS applied_amount, fi.total_monthly_expenses, fi.total_monthly_income, {lag} AS lag_days
-FROM loan_application appl
-  JOIN credit_score ON appl.id = credit_score.loan_application_id
-  JOIN credit_score_config conf ON credit_score.credit_score_config_id = conf.id
-  LEFT JOIN facility ON credit_score.id = facility.credit_score_id
-  LEFT JOIN facility_has_loan fhl ON fhl.facility_id = facility.id
-  LEFT JOIN external_score jm ON appl.id = jm.loan_application_id AND conf.id = 58
-  LEFT JOIN loan ON fhl.loan_id = loan.id AND loan.deleted_at IS NULL
-  LEFT JOIN financial_information fi ON appl.customer_id = fi.customer_id AND fi.deleted_at IS NULL
-WHERE {_between('CAST(credit_score.created_at AS DATE)', w)}
-  AND {lag} <= 1
-  AND conf.scorecard_type_id IN (796, 959, 960))""") + _pick(
-        cols, "external_id, id, created_at, final_decision, rejection_reason",
-        "scorecard_type_id NULLS LAST, lag_days NULLS LAST, total_monthly_expenses NULLS LAST, "
-        "total_monthly_income NULLS LAST",
-        "ORDER BY lag_days DESC",
-    )
-
-
-def _superseded(t: str) -> str:
-    return (f"coalesce(CAST({t}.topped_up_at AS DATE), CAST({t}.extended_at AS DATE), "
-            f"CAST({t}.arranged_rp_at AS DATE), DATE '2999-12-31')")
-
-
-def _level_rule(w: ReportingWindow, x: str) -> str:
-    s, e = _d(w.start), _d(w.end)
-    return f"""((lp.actual_payment_date BETWEEN {s} AND {e}
-      AND (lp.paid_at_date IS NULL OR lp.paid_at_date BETWEEN {s} AND {e})
-      AND lp.actual_payment_date <= {x})
-   OR (lp.paid_at_date BETWEEN {s} AND {e} AND lp.actual_payment_date > {e})
-   OR (lp.actual_payment_date < {s} AND lp.paid_at_date IS NULL))"""
-
-
-def _aggregated_rule(w: ReportingWindow, x: str, null_safe: bool) -> str:
-    s, e = _d(w.start), _d(w.end)
-    earliest = ("least(lp.actual_payment_date, lp.paid_at_date)" if null_safe else
-                "CASE WHEN lp.actual_payment_date IS NOT NULL AND lp.paid_at_date IS NOT NULL "
-                "THEN least(lp.actual_payment_date, lp.paid_at_date) END")
-    return f"""((lp.actual_payment_date BETWEEN {s} AND {e}
-      AND (lp.paid_at_date IS NULL OR lp.paid_at_date BETWEEN {s} AND {e} OR lp.paid_at_date > {e})
-      AND {earliest} <= {x})
-   OR (lp.paid_at_date BETWEEN {s} AND {e} AND (lp.actual_payment_date < {s} OR lp.actual_payment_date > {e}))
-   OR (lp.actual_payment_date < {s} AND lp.paid_at_date IS NULL))"""
-
-
-PAYMENT_MEASURES = """CAST(ifnull(lp.principal, 0) + ifnull(lp.balance_left, 0) AS DOUBLE) AS Outstanding_Principal,
-  CAST(ifnull(lp.principal, 0) + ifnull(lp.interest, 0) + ifnull(lp.fees, 0) + ifnull(lp.penalty, 0)
-       + ifnull(lp.discount, 0) AS DOUBLE) AS Due_payment,
-  CAST(lp.principal_paid + lp.interest_paid + lp.fees_paid + lp.penalty_paid AS DOUBLE) AS Monthly_payment,
-  CAST(lp.principal_paid AS DOUBLE) AS Principal_Paid, CAST(lp.interest_paid AS DOUBLE) AS Interest_Paid,
-  CAST(lp.penalty - lp.penalty_paid AS DOUBLE) AS Late_Payment_Interest"""
-
-LOAN_MEASURES = """CAST(max(lp.principal + lp.balance_left) AS DOUBLE) AS Outstanding_Principal,
-  CAST(sum(ifnull(lp.principal, 0) + ifnull(lp.interest, 0) + ifnull(lp.fees, 0) + ifnull(lp.penalty, 0)
-       + ifnull(lp.discount, 0)) AS DOUBLE) AS Due_payment,
-  CAST(sum(lp.principal_paid + lp.interest_paid + lp.fees_paid + lp.penalty_paid) AS DOUBLE) AS Monthly_payment,
-  CAST(sum(lp.principal_paid) AS DOUBLE) AS Principal_Paid, CAST(sum(lp.interest_paid) AS DOUBLE) AS Interest_Paid,
-  CAST(sum(lp.penalty) AS DOUBLE) AS Late_Payment_Interest"""
-
-_PICK = [
+
+def _decision_rows(group: str, order: str, extra: str = "") -> str:
+    money = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in ("applied_amount", "total_monthly_expenses", "total_monthly_income"))
+    return f"""SELECT external_id, id, created_at, {extra}final_decision, rejection_reason, {money} FROM (
+  SELECT DISTINCT ON ({group}) * FROM decided {{external}} LEFT JOIN income ON of_customer = customer_id
+  ORDER BY {group}, {order}, total_monthly_expenses NULLS LAST, total_monthly_income NULLS LAST)"""
+
+
+EXTERNAL = "(SELECT id AS external_id, loan_application_id AS of_application FROM external_score) ON of_application = id"
+GRAIN = "id, created_at, final_decision, rejection_reason"
+
+
+def applications_direct_sql(as_of: date, window: Bounds = None) -> str:
+    links = """links AS (
+  SELECT a.id, a.created_at, a.customer_id, a.amount_of_credit AS applied_amount, won, refused,
+         score_id IN (SELECT credit_score_id FROM facility WHERE credit_score_id IS NOT NULL) AS has_facility
+  FROM scored JOIN loan_application a ON a.id = application LEFT JOIN loan_result ON result_application = a.id
+  WHERE a.deleted_at IS NULL)"""
+    return _steps(_scored(window or bounds(as_of, "A"), "k.id = 58"), LOAN_RESULT, links, _decided("links"), INCOME) + _decision_rows(
+        GRAIN, "external_id NULLS LAST").format(external=f"JOIN {EXTERNAL}")
+
+
+def _facility_links() -> str:
+    return """links AS (
+  SELECT a.id, a.created_at, a.customer_id, a.amount_of_credit AS applied_amount, won, refused, model, scorecard_type_id,
+         facility_score IS NOT NULL AS has_facility, date_diff('day', a.created_at, scored_at) AS lag_days
+  FROM scored JOIN loan_application a ON a.id = application LEFT JOIN facility_result ON facility_score = score_id)"""
+
+
+def applications_facility_sql(as_of: date, window: Bounds = None) -> str:
+    return _steps(_scored(window or bounds(as_of, "A"), "true"), LOAN_RESULT, FACILITY_RESULT, _facility_links(),
+                  _decided("links"), INCOME) + _decision_rows(
+        GRAIN, "external_id NULLS LAST").format(external=f"LEFT JOIN {EXTERNAL}")
+
+
+def applications_audit_sql(as_of: date, window: Bounds = None) -> str:
+    steps = _steps(_scored(window or bounds(as_of, "A"), "k.scorecard_type_id IN (796, 959, 960)"), LOAN_RESULT, FACILITY_RESULT,
+                   _facility_links(), _decided("(SELECT * FROM links WHERE lag_days <= 1)"), INCOME)
+    rows = _decision_rows(f"external_id, {GRAIN}", "scorecard_type_id NULLS LAST, lag_days NULLS LAST", "scorecard_type_id, ")
+    return steps + rows.format(external=f"LEFT JOIN {EXTERNAL} AND model = 58") + """
+ORDER BY lag_days DESC, id, external_id NULLS FIRST, final_decision, rejection_reason"""
+
+
+# ---- payments --------------------------------------------------------------------------------
+
+
+def _dated(window: Bounds) -> str:
+    """Live payments with where their due and paid dates lie: before, in or after the window, or none."""
+    def place(column: str) -> str:
+        return (f"CASE WHEN {column} IS NULL THEN 'none' WHEN {column} < {window[0]} THEN 'before' "
+                f"WHEN {column} > {window[1]} THEN 'after' ELSE 'in' END")
+
+    return f"""dated AS (
+  SELECT *, loan_id AS paid_loan, {place('actual_payment_date')} AS due_at, {place('paid_at_date')} AS paid_at
+  FROM loan_payment WHERE deleted_at IS NULL)"""
+
+
+# Which (due, paid) places each rule takes as they are, and which it takes
+# only when the day named is not after the loan's superseded date.
+LEVEL_RULE = ("('after', 'in'), ('before', 'none')", "('in', 'none'), ('in', 'in')", "actual_payment_date")
+STRICT = "if(paid_at_date IS NULL, NULL, least(actual_payment_date, paid_at_date))"
+LOAN_RULE = ("('before', 'in'), ('after', 'in'), ('before', 'none')", "('in', 'none'), ('in', 'in'), ('in', 'after')", STRICT)
+LOAN_RULE_NULL_SAFE = (*LOAN_RULE[:2], "least(actual_payment_date, paid_at_date)")
+
+SUPERSEDED = "CAST(coalesce(topped_up_at, extended_at, arranged_rp_at, DATE '2999-12-31') AS DATE)"
+
+
+def _takes(rule: tuple[str, str, str]) -> str:
+    always, tested, day = rule
+    return f"((due_at, paid_at) IN ({always}) OR ((due_at, paid_at) IN ({tested}) AND {day} <= superseded))"
+
+
+DUE = " + ".join(f"coalesce({c}, 0)" for c in ("principal", "interest", "fees", "penalty", "discount"))
+PAID = "principal_paid + interest_paid + fees_paid + penalty_paid"
+PICK_ORDER = ", ".join(f"{c} NULLS LAST" for c in (
     "paid_at_date", "principal", "interest", "fees", "penalty", "discount", "balance_left",
-    "principal_paid", "interest_paid", "fees_paid", "penalty_paid",
-]
-# DuckDB names are case-insensitive: the raw amounts get a prefix next to the report columns.
-PICK_COLS = ", ".join(f"lp.{c} AS pick_{c}" for c in _PICK)
-PICK_ORDER = ", ".join(f"pick_{c} NULLS LAST" for c in _PICK)
-LEVEL_OUT = ("Loan_Id, External_ID, Application_ID, Original_Application_Id, Reporting_Month, "
-             "Actual_Payment_Date, Paid_At_Date, Type_of_Loan, Outstanding_Principal, Due_payment, "
-             "Monthly_payment, Principal_Paid, Interest_Paid, Late_Payment_Interest")
-
-
-def payments_level_sql(
-    as_of: date, load_dttm: datetime, window_kind: str = "B", cohort_window: ReportingWindow = WHOLE_BOOK
-) -> str:
+    "principal_paid", "interest_paid", "fees_paid", "penalty_paid"))
+
+
+def _doubles(**amounts: str) -> str:
+    return ", ".join(f"CAST({sql} AS DOUBLE) AS {name}" for name, sql in amounts.items())
+
+
+LOAN_SUMS = _doubles(
+    Outstanding_Principal="max(principal + balance_left)", Due_payment=f"sum({DUE})", Monthly_payment=f"sum({PAID})",
+    Principal_Paid="sum(principal_paid)", Interest_Paid="sum(interest_paid)", Late_Payment_Interest="sum(penalty)")
+
+
+def _cohort_lines(condition: str = "true") -> str:
+    """A cohort's rows as the payment reports name them, with the superseded date; money columns stay behind."""
+    return f"""cohort_lines AS (
+  SELECT DISTINCT loan_id AS Loan_Id, external_id AS External_ID, application_id AS Application_ID,
+         original_application_id AS Original_Application_Id, loan_type AS Type_of_Loan, {SUPERSEDED} AS superseded
+  FROM cohort WHERE {condition})"""
+
+
+def payments_level_sql(as_of: date, load_dttm: datetime, window_kind: str = "B", month_cohort: bool = False) -> str:
     """Payment level on a cohort (default: whole book); kind 'C' adds the application / type requirement."""
-    w = rolling_month(as_of) if window_kind == "B" else rolling_month_shifted(as_of)
-    extra = ""
-    if window_kind == "C":
-        extra = """JOIN loan_application appl ON loan.application_id = appl.id
-  JOIN loan_type ON loan.loan_type = loan_type.name"""
-    return _with(cohort_v2_cte("cohort", cohort_window, load_dttm), f"""j AS (
-SELECT loan.loan_id AS Loan_Id, loan.external_id AS External_ID, loan.application_id AS Application_ID,
-  loan.original_application_id AS Original_Application_Id, '{reporting_month(as_of)}' AS Reporting_Month,
-  lp.actual_payment_date AS Actual_Payment_Date, lp.paid_at_date AS Paid_At_Date, loan.loan_type AS Type_of_Loan,
-  {PAYMENT_MEASURES},
-  {PICK_COLS}
-FROM cohort loan
-  {extra}
-  JOIN loan_payment lp ON loan.loan_id = lp.loan_id AND lp.deleted_at IS NULL
-       AND {_level_rule(w, _superseded('loan'))})""") + _pick(
-        LEVEL_OUT, "Loan_Id, External_ID, Type_of_Loan, Application_ID, Original_Application_Id, Actual_Payment_Date",
-        PICK_ORDER, "ORDER BY Application_ID DESC, Loan_Id DESC",
-    )
-
-
-def payments_by_loan_sql(
-    as_of: date, load_dttm: datetime, null_safe: bool = False, cohort_window: ReportingWindow = WHOLE_BOOK
-) -> str:
-    w = rolling_month(as_of)
-    return _with(cohort_v2_cte("cohort", cohort_window, load_dttm)) + f"""
-SELECT loan.loan_id AS Loan_Id, loan.external_id AS External_ID, loan.application_id AS Application_ID,
-  loan.original_application_id AS Original_Application_Id, '{reporting_month(as_of)}' AS Reporting_Month,
-  loan.loan_type AS Type_of_Loan,
-  {LOAN_MEASURES}
-FROM cohort loan
-  JOIN loan_payment lp ON loan.loan_id = lp.loan_id AND lp.deleted_at IS NULL
-       AND {_aggregated_rule(w, _superseded('loan'), null_safe)}
-GROUP BY loan.loan_id, loan.external_id, loan.application_id, loan.original_application_id, loan.loan_type"""
-
-
-def payments_for_loans_sql(as_of: date) -> str:
-    w = rolling_month_shifted(as_of)
-    return _with() + f"""
-SELECT loan.id AS Loan_Id, loan.original_loan_application_id AS Application_ID,
-  '{reporting_month(as_of)}' AS Reporting_Month, loan_type.name AS Type_of_Loan,
-  {LOAN_MEASURES}
-FROM loan
-  JOIN loan_application appl ON loan.original_loan_application_id = appl.id
-  JOIN loan_type ON loan.loan_type_id = loan_type.id
-  JOIN loan_payment lp ON loan.id = lp.loan_id AND lp.deleted_at IS NULL
-       AND {_level_rule(w, _superseded('loan'))}
-GROUP BY loan.id, loan.original_loan_application_id, loan_type.name
-ORDER BY Application_ID DESC, Loan_Id DESC"""
+    known = "application_id IN (SELECT id FROM loan_application) AND loan_type IN (SELECT name FROM loan_type)"
+    keys = "Loan_Id, External_ID, Type_of_Loan, Application_ID, Original_Application_Id, actual_payment_date"
+    return _steps(
+        _cohort_v2(bounds(as_of, "A") if month_cohort else None, load_dttm), _cohort_lines(known if window_kind == "C" else "true"),
+        _dated(bounds(as_of, window_kind)), f"""chosen AS (
+  SELECT DISTINCT ON ({keys}) * FROM cohort_lines JOIN (SELECT * EXCLUDE (loan_id) FROM dated) ON paid_loan = Loan_Id
+  WHERE {_takes(LEVEL_RULE)} ORDER BY {keys}, {PICK_ORDER})""") + f"""
+SELECT Loan_Id, External_ID, Application_ID, Original_Application_Id, {_month_label(as_of)} AS Reporting_Month,
+  actual_payment_date AS Actual_Payment_Date, paid_at_date AS Paid_At_Date, Type_of_Loan,
+  {_doubles(Outstanding_Principal='coalesce(principal, 0) + coalesce(balance_left, 0)', Due_payment=DUE, Monthly_payment=PAID,
+            Principal_Paid='principal_paid', Interest_Paid='interest_paid', Late_Payment_Interest='penalty - penalty_paid')}
+FROM chosen ORDER BY Application_ID DESC NULLS LAST, Loan_Id DESC NULLS LAST"""
+
+
+def payments_by_loan_sql(as_of: date, load_dttm: datetime, null_safe: bool = False, month_cohort: bool = False) -> str:
+    return _steps(
+        _cohort_v2(bounds(as_of, "A") if month_cohort else None, load_dttm), _cohort_lines(), _dated(bounds(as_of, "B"))) + f"""
+SELECT Loan_Id, External_ID, Application_ID, Original_Application_Id, {_month_label(as_of)} AS Reporting_Month, Type_of_Loan,
+  {LOAN_SUMS}
+FROM cohort_lines JOIN (SELECT * EXCLUDE (loan_id) FROM dated) ON paid_loan = Loan_Id
+WHERE {_takes(LOAN_RULE_NULL_SAFE if null_safe else LOAN_RULE)} GROUP BY ALL"""
+
+
+BOOK_LINES = f"""book_lines AS (
+  SELECT id AS Loan_Id, original_loan_application_id AS Application_ID, loan_type_id, {SUPERSEDED} AS superseded FROM loan)"""
+
+
+def payments_for_loans_sql(as_of: date, loan_ids: Iterable[int] | None = None, window: Bounds = None) -> str:
+    wanted = "true" if loan_ids is None else f"Loan_Id IN ({', '.join(str(int(i)) for i in loan_ids)})"
+    return _steps(BOOK_LINES, _dated(window or bounds(as_of, "C"))) + f"""
+SELECT Loan_Id, Application_ID, {_month_label(as_of)} AS Reporting_Month, t.name AS Type_of_Loan, {LOAN_SUMS}
+FROM book_lines JOIN loan_type t ON t.id = loan_type_id JOIN (SELECT * EXCLUDE (loan_id) FROM dated) ON paid_loan = Loan_Id
+WHERE Application_ID IN (SELECT id FROM loan_application) AND {wanted} AND {_takes(LEVEL_RULE)}
+GROUP BY ALL ORDER BY Application_ID DESC NULLS LAST, Loan_Id DESC NULLS LAST"""
 
 
 def payment_branch_counts_sql(as_of: date) -> str:
-    w = rolling_month(as_of)
-    s, e = _d(w.start), _d(w.end)
-    due, paid, x = "lp.actual_payment_date", "lp.paid_at_date", _superseded("loan")
-    in_due, in_paid = f"{due} BETWEEN {s} AND {e}", f"{paid} BETWEEN {s} AND {e}"
-    cls = f"""CASE WHEN {in_due} AND {paid} IS NULL AND {due} <= {x} THEN 'due_in_unpaid'
-  WHEN {in_due} AND {in_paid} AND {due} <= {x} THEN 'due_in_paid_in'
-  WHEN {in_due} AND {paid} > {e} AND {due} <= {x} THEN 'due_in_paid_after'
-  WHEN {in_paid} AND {due} > {e} THEN 'paid_in_due_after'
-  WHEN {in_paid} AND {due} < {s} THEN 'paid_in_due_before'
-  WHEN {due} < {s} AND {paid} IS NULL THEN 'overdue_unpaid'
-  WHEN {in_due} AND {due} > {x} THEN 'due_in_superseded'
-  WHEN {in_due} AND {paid} < {s} THEN 'due_in_paid_before'
-  ELSE 'other' END"""
-    strict = (f"CASE WHEN {due} IS NOT NULL AND {paid} IS NOT NULL THEN least({due}, {paid}) END")
-    return _with() + f"""
-SELECT {cls} AS payment_class,
-  coalesce({_level_rule(w, x)}, false) AS kept_level,
-  coalesce({_aggregated_rule(w, x, False)}, false) AS kept_by_loan,
-  coalesce({_aggregated_rule(w, x, True)}, false) AS kept_by_loan_null_safe,
-  coalesce({strict} <= {x}, false) AS earliest_not_superseded,
-  count(*) AS n_payments
-FROM loan_payment lp JOIN loan ON loan.id = lp.loan_id
-WHERE lp.deleted_at IS NULL
+    classes = " ".join(
+        f"WHEN due_at = '{due}' AND paid_at = '{paid}' AND {test} THEN '{name}'" for due, paid, test, name in (
+            ("in", "none", "on_time", "due_in_unpaid"), ("in", "in", "on_time", "due_in_paid_in"),
+            ("in", "after", "on_time", "due_in_paid_after"), ("after", "in", "true", "paid_in_due_after"),
+            ("before", "in", "true", "paid_in_due_before"), ("before", "none", "true", "overdue_unpaid")))
+    return _steps(BOOK_LINES, _dated(bounds(as_of, "B"))) + f"""
+SELECT CASE {classes} WHEN due_at = 'in' AND NOT on_time THEN 'due_in_superseded'
+            WHEN due_at = 'in' AND paid_at = 'before' THEN 'due_in_paid_before' ELSE 'other' END AS payment_class,
+  coalesce({_takes(LEVEL_RULE)}, false) AS kept_level, coalesce({_takes(LOAN_RULE)}, false) AS kept_by_loan,
+  coalesce({_takes(LOAN_RULE_NULL_SAFE)}, false) AS kept_by_loan_null_safe,
+  coalesce({STRICT} <= superseded, false) AS earliest_not_superseded, count(*) AS n_payments
+FROM (SELECT *, actual_payment_date <= superseded AS on_time FROM book_lines JOIN (SELECT * EXCLUDE (loan_id) FROM dated) ON paid_loan = Loan_Id)
 GROUP BY ALL"""
 
 
 def reporting_windows_sql() -> str:
-    d = "as_of"
+    """Windows of every order date, by day counting: a month back keeps the day, or the last day of a shorter month."""
+    def back(day: str) -> str:
+        first = f"(date_trunc('month', {day}) - INTERVAL 1 MONTH)"
+        return (f"CAST(make_date(year({first})::BIGINT, month({first})::BIGINT, "
+                f"least(day({day}), day(last_day({first})))::BIGINT) AS DATE)")
+
     return f"""
-SELECT {d} AS as_of,
-  CAST(date_trunc('month', {d} - INTERVAL 1 MONTH) AS DATE) AS a_start,
-  CAST(last_day(CAST({d} - INTERVAL 1 MONTH AS DATE)) AS DATE) AS a_end,
-  CAST({d} - INTERVAL 1 MONTH AS DATE) AS b_start,
-  CAST({d} - INTERVAL 1 DAY AS DATE) AS b_end,
-  CAST(({d} - INTERVAL 1 DAY) - INTERVAL 1 MONTH AS DATE) AS c_start,
-  CAST({d} - INTERVAL 1 DAY AS DATE) AS c_end,
-  strftime({d}, '%Y-%m-01') AS reporting_month
-FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of FROM orders) t"""
+SELECT as_of, CAST(date_trunc('month', {back('as_of')}) AS DATE) AS a_start, CAST(last_day({back('as_of')}) AS DATE) AS a_end,
+  {back('as_of')} AS b_start, eve AS b_end, {back('eve')} AS c_start, eve AS c_end, strftime(as_of, '%Y-%m-01') AS reporting_month
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of, CAST(CAST(o_orderdate AS DATE) - 1 AS DATE) AS eve FROM orders)"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,10 +67,11 @@ def publish_cohort(cohort: DataFrame, table: str, reporting_month: str, path: st
 
 def _has_data(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # no such folder, or no data files in it
-        return False
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no such folder, or no data files in it
+            return False
+        raise
 
 
 def read_cohort(spark: SparkSession, table: str, reporting_month: str) -> DataFrame:

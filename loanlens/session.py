@@ -58,27 +58,23 @@ def build_session(
     return b.getOrCreate()
 
 
-def apply_defaults(spark: SparkSession) -> None:
-    """Set the runtime SQL settings above on an existing session."""
-    for k, v in SPARK_DEFAULTS.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # a setting may be fixed for the session
-            pass
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder for written state (published tables, checkpoints).
+def shared_dir(spark: SparkSession, root: str | None = None) -> str:
+    """Folder for written state (stored key sets, published tables): ``root`` if given, else ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when the session does not name one (local tests) a private
-    temporary folder is created and registered as the checkpoint folder.
+    It must be one that the driver and all executors share.  Only a session that runs in this one
+    process (a local master) may do without: it gets a temporary folder for its lifetime.  Anywhere
+    else a missing folder is an error, because executors would write parts to disks of their own.
     """
     conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d.rstrip("/")
-    d = tempfile.mkdtemp(prefix="loanlens-")
-    spark.sparkContext.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    named = root or conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("name a folder that the driver and all executors share: spark.checkpoint.dir, or the root argument")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="loanlens-")
+    return _LOCAL_FOLDERS[app]

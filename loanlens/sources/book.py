@@ -7,11 +7,9 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlens.sources.layout import folders
 from loanlens.sources.schemas import BOOK_SCHEMAS
 
-# Code dictionaries: a handful of rows.
-SMALL_TABLES = ("credit_score_config", "loan_type")
-
 
 @dataclass(frozen=True)
 class LoanBook:
@@ -36,28 +34,41 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``conform``, with the folder column of a table that was laid out by ``write_book``."""
+    at = folders(name)
+    if at is None or at[0] not in df.columns:
+        return conform(df, name)
+    schema = BOOK_SCHEMAS[name]
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+                     + [F.col(at[0]).cast("string").alias(at[0])])
+
+
 def read_book(spark: SparkSession, root: str, fmt: str = "parquet") -> LoanBook:
     """Read ``root/<table>`` for every table of the book.
 
-    Only the columns of the declared schema are selected, so Catalyst prunes
+    Only the columns of the declared schema (and the folder column) are selected, so Catalyst prunes
     everything else at the scan; filters placed by the reports reach the
-    Parquet reader as pushed predicates.
+    Parquet reader as pushed predicates or choose folders.
     """
     dfs = {
-        name: conform(spark.read.format(fmt).load(f"{root}/{name}"), name)
+        name: _stored(spark.read.format(fmt).load(f"{root}/{name}"), name)
         for name in BOOK_SCHEMAS
     }
     return LoanBook(**dfs)
 
 
-def write_book(
-    book: LoanBook, root: str, fmt: str = "parquet", mode: str = "overwrite", files: int | None = None
-) -> None:
-    """Write every table of the book to ``root/<table>`` (``files``: files per large table)."""
-    for name, df in book.tables().items():
-        if files and name not in SMALL_TABLES:
-            df = df.repartition(files)
-        elif files:
-            df = df.coalesce(1)
-        df.write.format(fmt).mode(mode).save(f"{root}/{name}")
+def write_book(book: LoanBook, root: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """Write every table of the book to ``root/<table>``, the large ones in folders (``sources.layout``).
 
+    Rows are dealt to write tasks by folder; AQE splits a folder that is larger than a task
+    should be, so files have a bounded size however the months differ.
+    """
+    for name, df in book.tables().items():
+        df, at = conform(df, name), folders(name)
+        if at is None:
+            df.write.format(fmt).mode(mode).save(f"{root}/{name}")
+            continue
+        column, value = at
+        (df.withColumn(column, value).hint("rebalance", F.col(column))
+         .write.format(fmt).mode(mode).partitionBy(column).save(f"{root}/{name}"))

@@ -30,7 +30,7 @@ def test_command_line_month_end(spark, capsys):
     from loanlens.__main__ import main
 
     root = f"{shared_dir(spark)}/cli_{uuid.uuid4().hex[:8]}"
-    write_book(fixture_book(spark), f"{root}/book", files=2)
+    write_book(fixture_book(spark), f"{root}/book")
     main(["--local", "--book", f"{root}/book", "--as-of", "2018-07-01", "--out", f"{root}/out",
           "--cohort-table", f"cli_cohort_{uuid.uuid4().hex[:8]}"])
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())

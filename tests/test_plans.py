@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 import uuid
 from datetime import date, datetime
 
@@ -29,7 +30,7 @@ def plan_text(df) -> str:
 @pytest.fixture(scope="module")
 def stored_book(spark):
     root = f"{shared_dir(spark)}/plans_{uuid.uuid4().hex[:8]}"
-    write_book(fixture_book(spark), root, files=2)
+    write_book(fixture_book(spark), root)
     return read_book(spark, root)
 
 
@@ -55,14 +56,117 @@ def test_payment_filters_pushed_to_scan(plans):
     assert "LessThanOrEqual(actual_payment_date,2018-06-30)" in text
 
 
-def test_window_pushed_as_timestamp_range(plans):
-    text = plans["cohort_v2"]
-    assert "GreaterThanOrEqual(created_at,2018-06-01T00:00)" in text
-    assert "LessThan(created_at,2018-07-01T00:00)" in text
-
-
 def test_payment_scan_reads_only_used_columns(plans):
     text = plans["accepted_applications"]
     scans = [line for line in text.splitlines() if line.startswith("ReadSchema: struct<loan_id:bigint,is_first")]
     assert scans and all("principal" not in s for s in scans), scans
 
+
+
+BROADCAST_OFF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "false",
+}
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    old = {k: spark.conf.get(k, None) for k in BROADCAST_OFF}
+    for k, v in BROADCAST_OFF.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.fixture()
+def stored_plans(monkeypatch):
+    """Plans of the key sets that reports store while they are built."""
+    from loanlens.operators import applications, cohort
+    from loanlens.plans import stored
+
+    seen = []
+
+    def watched(df):
+        seen.append(plan_text(df))
+        return stored.store(df)
+
+    for module in (applications, cohort):
+        monkeypatch.setattr(module, "store", watched)
+    return seen
+
+
+def operators_above_scan(text: str, table: str) -> list[list[str]]:
+    """For every scan of ``table``: the operators above it, nearest first (from the plan's tree)."""
+    tree = [line for line in text.split("\n(1) ")[0].splitlines() if re.search(r"\(\d+\)", line)]
+    depth = [len(re.match(r"[\s:|+*-]*", line)[0].replace("* ", "  ")) for line in tree]
+    number = [re.search(r"\((\d+)\)", line)[1] for line in tree]
+    name = [re.sub(r"[^A-Za-z]", "", re.sub(r"\(\d+\).*", "", line)) for line in tree]
+    detail = {m[1]: m[0] for m in re.finditer(r"\n\((\d+)\) .*?(?=\n\n|\Z)", text, re.S)}
+    out = []
+    for i in range(len(tree)):
+        if name[i].startswith("Scan") and re.search(rf"/{table}[/\]]", detail[number[i]]):
+            above, at = [], depth[i]
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    above.append(name[j])
+                    at = depth[j]
+            out.append(above)
+    return out
+
+
+def before_exchange(above: list[str]) -> list[str]:
+    return above[: next((i for i, x in enumerate(above) if x == "Exchange"), len(above))]
+
+
+def test_payments_are_aggregated_before_their_exchange(stored_book, no_broadcast):
+    from loanlens.operators import monthly_payments, monthly_payments_by_loan, monthly_payments_for_loans
+
+    cohort = loan_cohort_v2(stored_book, AS_OF, load_dttm=datetime(2018, 7, 1))
+    for df in (monthly_payments_by_loan(cohort, stored_book.loan_payment, AS_OF),
+               monthly_payments_for_loans(stored_book, AS_OF)):
+        scans = operators_above_scan(plan_text(df), "loan_payment")
+        assert scans
+        for above in scans:
+            assert "HashAggregate" in before_exchange(above), above
+            assert "SortAggregate" not in above
+    scans = operators_above_scan(plan_text(monthly_payments(cohort, stored_book.loan_payment, AS_OF)), "loan_payment")
+    assert "SortAggregate" not in sum(scans, [])
+    assert any("HashAggregate" in before_exchange(above) for above in scans)
+
+
+def test_paid_history_is_not_opened(plans):
+    for name in ("monthly_payments", "monthly_payments_by_loan", "monthly_payments_for_loans"):
+        scans = re.findall(r"Location: [^\n]*/loan_payment\]\n(?:PartitionFilters: ([^\n]*))?", plans[name])
+        assert scans and all("paid_month" in f and ">= 2018-0" in f for f in scans), (name, scans)
+
+
+def test_decisions_shuffle_no_whole_table(stored_book, no_broadcast, stored_plans):
+    from loanlens.operators import all_applications_audit, all_applications_facility
+
+    for report in (all_applications_facility, all_applications_audit):
+        stored_plans.clear()
+        texts = [plan_text(report(stored_book, AS_OF)), *stored_plans]
+        for table in ("loan", "facility_has_loan", "facility", "external_score", "loan_application", "financial_information"):
+            scans = [above for text in texts for above in operators_above_scan(text, table)]
+            assert scans, table
+            for above in scans:  # joined to stored keys where it is scanned
+                assert any(x.startswith("BroadcastHashJoin") for x in before_exchange(above)), (table, above)
+
+
+@pytest.mark.parametrize("build", [loan_cohort_v1, loan_cohort_v2])
+def test_cohort_scans_each_large_table_few_times(stored_book, no_broadcast, stored_plans, build):
+    texts = [plan_text(build(stored_book, AS_OF)), *stored_plans]
+    count = lambda table: sum(len(operators_above_scan(t, table)) for t in texts)
+    assert count("loan") <= 3
+    assert count("external_score") <= 3
+    assert all(count(t) <= 1 for t in ("facility", "facility_has_loan", "credit_score", "loan_application"))
+
+
+def test_window_pushed_as_timestamp_range(stored_book, stored_plans):
+    loan_cohort_v2(stored_book, AS_OF, load_dttm=datetime(2018, 7, 1))
+    text = stored_plans[0]
+    assert "GreaterThanOrEqual(created_at,2018-06-01T00:00)" in text
+    assert "LessThan(created_at,2018-07-01T00:00)" in text
+    assert "created_month" in re.search(r"PartitionFilters: [^\n]*", text)[0]

@@ -13,11 +13,15 @@ def con():
     return duck(SF)
 
 
-def test_oracle_for_every_query():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+# The training-data operators have tests of their own beside them.
+REPORTS = [n for n in entry.queries() if n not in entry._training_data()[0]]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+def test_oracle_for_every_report():
+    assert set(REPORTS) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", REPORTS)
 def test_query_matches_oracle(spark, con, name):
     n, problems = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)
     assert not problems, problems

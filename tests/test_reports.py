@@ -58,7 +58,7 @@ def _oracle():
         return {
             "cohort_v1": oracle.cohort_v1_sql(AS_OF),
             "cohort_v2": oracle.cohort_v2_sql(AS_OF, LOAD),
-            "cohort_v2_whole_book": oracle.cohort_v2_sql(AS_OF, LOAD, WHOLE_BOOK),
+            "cohort_v2_whole_book": oracle.cohort_v2_sql(AS_OF, LOAD, whole_book=True),
             "accepted_applications": oracle.accepted_sql(AS_OF, LOAD),
             "applications_direct": oracle.applications_direct_sql(AS_OF),
             "applications_facility": oracle.applications_facility_sql(AS_OF),
@@ -164,18 +164,18 @@ def test_loan_sums_equal_sums_of_selected_payments(book):
     from pyspark.sql import functions as F
 
     from loanlens.functions.measures import due_amount
-    from loanlens.functions.predicates import AGGREGATED, superseded_at
+    from loanlens.functions.predicates import AGGREGATED, current_only, payment_in_scope, superseded_at
     from loanlens.functions.windows import rolling_month
-    from loanlens.operators.payments import selected_payments
 
     whole = loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD)
     scope = whole.select(
         "loan_id", superseded_at(F.col("topped_up_at"), F.col("extended_at"), F.col("arranged_rp_at")).alias("superseded")
     ).distinct()
+    selected = current_only(book.loan_payment).join(scope, "loan_id").filter(payment_in_scope(
+        F.col("actual_payment_date"), F.col("paid_at_date"), rolling_month(AS_OF), F.col("superseded"), AGGREGATED))
     per_loan = {
         r.loan_id: r.due
-        for r in selected_payments(book.loan_payment, scope, rolling_month(AS_OF), AGGREGATED)
-        .groupBy("loan_id").agg(F.sum(due_amount()).alias("due")).collect()
+        for r in selected.groupBy("loan_id").agg(F.sum(due_amount()).alias("due")).collect()
     }
     report = monthly_payments_by_loan(whole, book.loan_payment, AS_OF).collect()
     assert report

@@ -94,7 +94,7 @@ def test_hot_application_cohort_and_decisions_match_oracle(spark, skew_conf):
         c.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_arrow")
     cases = {
         "cohort": (loan_cohort_v2(book, AS_OF, window=WHOLE_BOOK, load_dttm=LOAD),
-                   lambda: oracle.cohort_v2_sql(AS_OF, LOAD, WHOLE_BOOK)),
+                   lambda: oracle.cohort_v2_sql(AS_OF, LOAD, whole_book=True)),
         "facility": (all_applications_facility(book, AS_OF), lambda: oracle.applications_facility_sql(AS_OF)),
         "audit": (all_applications_audit(book, AS_OF), lambda: oracle.applications_audit_sql(AS_OF)),
     }
