@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from loanlens.llm.chat import Settings as ChatSettings
+from loanlens.llm.linededup import Settings as LineSettings
+from loanlens.llm.mixing import Settings as MixSettings
 from loanlens.llm.quality import Limits
+from loanlens.llm.urls import DEFAULT, RULES
 
 WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 LOWERED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -84,3 +88,138 @@ def jaccard_ctes(docs: str = "documents") -> str:
 
 def near_duplicates() -> str:
     return f"WITH RECURSIVE {jaccard_ctes()} SELECT * FROM classes"
+
+
+def url_filters() -> str:
+    found = " UNION ALL ".join(
+        f"SELECT '{r.text}' AS rule, '{r.verdict}' AS verdict, {str(r.site).lower()} AS site" for r in RULES)
+    return rf"""
+    WITH rules AS ({found}),
+    cut AS (SELECT row_number() OVER () AS rid, page_id,
+                   CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS behind FROM pages),
+    hosted AS (SELECT rid, page_id, regexp_extract(behind, '^[^/?#]*') AS raw_host, behind FROM cut),
+    split AS (SELECT rid, page_id, {LOWERED.format(text='raw_host')} AS host,
+                     regexp_extract(substr(behind, length(raw_host) + 1), '^[^?#]*') AS path,
+                     substr(behind, length(raw_host) + 1) AS tail FROM hosted),
+    fits AS (
+        SELECT rid, rule, verdict, site FROM split, rules
+        WHERE CASE WHEN site THEN (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+                        AND starts_with(path, substr(rule, strpos(rule, '/')))
+                   ELSE '.' || host || tail LIKE '%' || replace(replace(replace(rule, '\', '\\'), '_', '\_'), '*', '%') || '%' ESCAPE '\' END),
+    best AS (
+        SELECT rid, rule, verdict, site FROM fits
+        QUALIFY row_number() OVER (PARTITION BY rid ORDER BY site DESC, length(rule) DESC, rule) = 1)
+    SELECT page_id, host, path, CASE WHEN site THEN rule END AS rule, coalesce(verdict, '{DEFAULT}') AS verdict,
+           CASE WHEN NOT site THEN rule END AS pattern
+    FROM split LEFT JOIN best USING (rid)"""
+
+
+def mixing_ctes(docs: str = "documents", s: MixSettings = MixSettings()) -> str:
+    """CTEs up to ``mix`` (rid and the result's columns), one row per row of ``docs``, by row number ``rid``."""
+    ctes, path, amount = [], [], f"(SELECT coalesce(sum(n_tokens), 0)::HUGEINT * {s.budget_percent} // 100 FROM mix_rows)"
+    for level, weight in zip(["domain", "lang", "source"], s.weights, strict=True):
+        up = f"u_{path[-1]}" if path else None
+        parents = ", ".join(path)
+        on = " AND ".join(f"n.{c} IS NOT DISTINCT FROM p.{c}" for c in path)
+        family = f"PARTITION BY {parents}" if path else ""
+        ctes.append(f"""
+    n_{level} AS (SELECT {parents + ', ' if path else ''}{level}, sum(n_tokens)::HUGEINT AS tokens FROM mix_rows GROUP BY ALL),
+    k_{level} AS (SELECT *, tokens * {s.most_epochs} AS capacity, ({weight})::HUGEINT AS weight FROM n_{level}),
+    w_{level} AS (SELECT n.*, {'p.share' if path else amount} AS amount FROM k_{level} n {f'JOIN {up} p ON {on}' if path else ''}),
+    h_{level} AS (SELECT *, CASE WHEN weight > 0 THEN capacity ELSE 0 END AS held FROM w_{level}),
+    o_{level} AS (SELECT *, weight > 0 AND held * sum(weight) OVER (t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                  <= weight * (amount - coalesce(sum(held) OVER (t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_full
+                  FROM h_{level} WINDOW t AS ({family} ORDER BY CASE WHEN weight > 0 THEN capacity::DOUBLE / weight::DOUBLE END NULLS FIRST,
+                                              {level} NULLS FIRST)),
+    u_{level} AS (SELECT * EXCLUDE (weight, held, is_full), (CASE WHEN weight <= 0 THEN 0 WHEN is_full THEN held
+                  ELSE weight * (amount - coalesce(sum(held) FILTER (is_full) OVER f, 0)) // sum(weight) FILTER (NOT is_full) OVER f END)::BIGINT AS share
+                  FROM o_{level} WINDOW f AS ({family}))""")
+        path.append(level)
+    return rf"""
+    mix_numbered AS (SELECT row_number() OVER () AS rid, * FROM {docs}),
+    mix_rows AS (
+        SELECT rid, doc_id, {s.domain} AS domain, lang, source,
+               len({words('text')})::BIGINT AS n_tokens
+        FROM mix_numbered), {','.join(ctes)},
+    leaf_plan AS (
+        SELECT domain, lang, source, share AS quota, CASE WHEN tokens > 0 THEN share // tokens ELSE 0 END AS epochs,
+               CASE WHEN tokens > 0 THEN share % tokens ELSE 0 END AS part FROM u_source),
+    placed AS (
+        SELECT r.*, l.quota, l.epochs, l.part, md5('{s.seed}/' || l.epochs::BIGINT || '/' || coalesce(r.doc_id::VARCHAR, '')) AS place
+        FROM mix_rows r JOIN leaf_plan l ON r.domain IS NOT DISTINCT FROM l.domain AND r.lang IS NOT DISTINCT FROM l.lang
+             AND r.source IS NOT DISTINCT FROM l.source),
+    mix AS (
+        SELECT rid, doc_id, domain, lang, source, n_tokens, quota,
+               (CASE WHEN n_tokens = 0 THEN 0 ELSE epochs + (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) <= part
+                AND part > 0)::INT END)::INT AS copies
+        FROM placed)"""
+
+
+def source_mixing() -> str:
+    return f"WITH {mixing_ctes()} SELECT * EXCLUDE (rid) FROM mix"
+
+
+def chat_formatting(s: ChatSettings = ChatSettings()) -> str:
+    narrators = ", ".join(f"'{x}'" for x in s.narrators)
+    return rf"""
+    WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS said FROM conversations),
+    numbered AS (
+        SELECT *, floor(turn / {s.part_turns}) AS stretch,
+               row_number() OVER (PARTITION BY conv_id, floor(turn / {s.part_turns}) ORDER BY turn NULLS LAST, role, said) - 1 AS nth FROM turns),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role NOT IN ({narrators})),
+    pieces AS (
+        SELECT n.conv_id, speaker, stretch, nth // {s.part_turns} AS slice, nth, role = speaker AS own,
+               '{s.begin}' || CASE WHEN role = speaker THEN 'assistant' WHEN role IN ({narrators}) THEN role
+                              ELSE 'user name=' || role END || chr(10) AS head, said || '{s.end}' || chr(10) AS body
+        FROM numbered n JOIN speakers p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+    placed AS (
+        SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, stretch, slice ORDER BY nth) AS upto FROM pieces),
+    parts AS (
+        SELECT conv_id, speaker, stretch, slice, count(*)::INT AS n_turns, string_agg(head || body, '' ORDER BY nth) AS text,
+               coalesce(string_agg((upto - length(body))::BIGINT || '-' || (upto - 1)::BIGINT, ',' ORDER BY nth) FILTER (own), '') AS loss_spans
+        FROM placed GROUP BY conv_id, speaker, stretch, slice)
+    SELECT conv_id, speaker, (row_number() OVER t - 1)::INT AS part, n_turns,
+           coalesce(sum(length(text)) OVER (PARTITION BY conv_id, speaker ORDER BY stretch NULLS LAST, slice
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_char, text, loss_spans
+    FROM parts WINDOW t AS (PARTITION BY conv_id, speaker ORDER BY stretch NULLS LAST, slice)"""
+
+
+def line_ctes(docs: str = "documents", s: LineSettings = LineSettings()) -> str:
+    """CTEs up to ``line_clean`` (rid, doc_id, dropped, clean), one row per row of ``docs``."""
+    return rf"""
+    line_docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {docs}),
+    all_lines AS MATERIALIZED (
+        SELECT rid, doc_id, k, l, ws, len(ws) AS m, array_to_string(ws, ' ') AS norm FROM (
+            SELECT rid, doc_id, l, k, {words('l')} AS ws FROM (
+                SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS l,
+                       generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM line_docs WHERE text IS NOT NULL))),
+    firsts AS MATERIALIZED (
+        SELECT norm, any_value(ws) AS ws, any_value(m) AS m,
+               min((doc_id IS NULL, doc_id, k)) AS place FROM all_lines WHERE m > 0 GROUP BY norm),
+    without AS MATERIALIZED (
+        SELECT norm, place, m, i, array_to_string(list_concat(ws[1 : i - 1], ws[i + 1 : m]), ' ') AS rest
+        FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM firsts WHERE m >= {s.min_words})),
+    near AS (
+        SELECT x.norm, y.place FROM without x JOIN without y ON x.m = y.m AND x.i = y.i AND x.rest = y.rest AND y.place < x.place
+        UNION ALL
+        SELECT x.norm, y.place FROM without x JOIN firsts y ON x.rest = y.norm AND y.m >= {s.min_words} AND y.place < x.place
+        UNION ALL
+        SELECT x.norm, y.place FROM firsts x JOIN without y ON x.norm = y.rest AND x.m >= {s.min_words} AND y.place < x.place
+        UNION ALL
+        SELECT norm, place FROM firsts),
+    earliest AS (SELECT norm, min(place) AS place FROM near GROUP BY norm),
+    judged_lines AS (
+        SELECT a.rid, a.k, a.l, coalesce(e.place < (a.doc_id IS NULL, a.doc_id, a.k), false) AS gone
+        FROM all_lines a LEFT JOIN earliest e ON a.norm = e.norm AND a.m > 0),
+    line_clean AS (
+        SELECT d.rid, d.doc_id, coalesce(g.dropped, []) AS dropped, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(g.clean, '') END AS clean
+        FROM line_docs d LEFT JOIN (
+            SELECT rid, list(k ORDER BY k) FILTER (gone) AS dropped, string_agg(l, chr(10) ORDER BY k) FILTER (NOT gone) AS clean
+            FROM judged_lines GROUP BY rid) g USING (rid))"""
+
+
+def line_dedup() -> str:
+    return rf"""
+    WITH {line_ctes()}
+    SELECT doc_id, len(dropped)::BIGINT AS n_dropped, array_to_string(dropped, ',') AS dropped_lines,
+           length(clean)::BIGINT AS clean_chars, md5(clean) AS clean_md5 FROM line_clean"""

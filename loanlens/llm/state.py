@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-_OF_LOCAL_SESSION: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a folder of this machine only where the whole session runs on it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OF_LOCAL_SESSION:
-        _OF_LOCAL_SESSION[app] = tempfile.mkdtemp(prefix="loanlens-")
-    return _OF_LOCAL_SESSION[app]
+from loanlens.session import shared_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -28,7 +14,6 @@ def cut(df: DataFrame) -> DataFrame:
 
     Cuts the lineage: a lost executor repeats the work since the last cut only.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,77 @@
+"""Sharding: the packing against a plain search, and the law of the result."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from loanlens.llm import sharding
+from tests.llm.rows import SCHEMA, documents, frame
+
+
+def plain_best_fit(sizes: list[int], capacity: int) -> list[int] | None:
+    left, out = [], [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        if sizes[i] > capacity:
+            return None
+        fits = [b for b in range(len(left)) if left[b] >= sizes[i]]
+        if fits:
+            b = min(fits, key=lambda b: (left[b], b))
+        else:
+            b = len(left)
+            left.append(capacity)
+        left[b] -= sizes[i]
+        out[i] = b
+    return out
+
+
+def test_tree_packs_like_a_plain_search():
+    rng = random.Random(1)
+    for _ in range(200):
+        sizes = [rng.choice([1, 2, 3, 5, 8, 13, rng.randrange(1, 30)]) for _ in range(rng.randrange(0, 60))]
+        capacity = rng.randrange(8, 60)
+        assert sharding.best_fit_decreasing(sizes, capacity) == plain_best_fit(sizes, capacity)
+
+
+def law(rows, shards: int) -> dict[int, int]:
+    slots, load = defaultdict(list), defaultdict(int)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+        load[r["shard"]] += r["size"]
+    assert set(load) <= set(range(shards))
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    return load
+
+
+@pytest.mark.parametrize("runs", [7, 100_000])
+def test_all_cases(spark, runs):
+    rows = sharding.shard(frame(spark), sharding.Settings(shards=4, run_rows=runs)).collect()
+    key = lambda i, t: (i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()))
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in rows), key=repr) == sorted((key(d[0], d[1]) for d in documents()), key=repr)
+    law(rows, 4)
+    assert all(r["law"] == "bytes" and r["grown_shard"] is None for r in rows)
+
+
+def test_equal_texts_stay_together_and_sizes_are_near(spark):
+    rows = sharding.shard(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).collect()
+    load = law(rows, 24)
+    assert len(load) == 24 and max(load.values()) < 1.01 * min(load.values())
+    where = defaultdict(set)
+    for r in rows:
+        where[r["text_crc32"], r["size"]].add(r["shard"])
+    assert all(len(v) == 1 for v in where.values())
+
+
+def test_a_group_larger_than_a_shard_is_cut(spark):
+    rng = random.Random(2)
+    rows = [(i, "the same text", "en", "s", 0) for i in range(600)] + [(1000 + i, f"text {rng.random()}", "en", "s", 0) for i in range(900)]
+    load = law(sharding.shard(frame(spark, rows), sharding.Settings(shards=6)).collect(), 6)
+    assert len(load) == 6 and max(load.values()) < 1.1 * min(load.values())
+
+
+def test_empty_table(spark):
+    assert sharding.shard(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert sharding.shard(frame(spark, [(None, None, None, None, None)])).first()["slot"] == 0
