@@ -77,8 +77,7 @@ def forget(spark: SparkSession) -> None:
     for name in _WRITTEN.pop((id(spark), "tables"), []):
         drop_cohort(spark, name)
     drop_stored(spark, *_WRITTEN.pop(id(spark), []))
-    for key in [k for k, hit in _PLANS.items() if hit[0] is spark or hit[0].__class__.__name__ == "LoanBook"]:
-        del _PLANS[key]
+    _PLANS.clear()
 
 
 def _book(spark: SparkSession, sf_dir: str):
@@ -280,6 +279,19 @@ def _training_data() -> tuple[dict, dict]:
     return found, sql
 
 
+def training_data_names() -> set[str]:
+    """Names of the queries that come from the training-data subpackage."""
+    return set(_training_data()[0])
+
+
+# What several reports read, made once per session: name -> maker.
+SETUP: dict[str, Callable] = {
+    "loan_book": _book,
+    "cohort_book": lambda spark, sf_dir: _whole_book_cohort(_book(spark, sf_dir)),
+    "cohort_month": lambda spark, sf_dir: _month_cohort(_book(spark, sf_dir)),
+}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: per-loan monthly payment sums of the whole-book cohort at sf0.001.
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from loanlens.functions.windows import ReportingWindow
 from loanlens.plans.month_end import run_month_end
 from loanlens.session import build_session
 from loanlens.sources.book import read_book
@@ -24,12 +25,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True, help="output folder (shared storage)")
     p.add_argument("--cohort-table", default="loanlens_cohort")
     p.add_argument("--cohort-version", type=int, choices=(1, 2), default=2)
+    p.add_argument("--window", nargs=2, type=date.fromisoformat, metavar=("FROM", "TO"),
+                   help="dates, both included, for which the decision reports are replayed")
+    p.add_argument("--loan-ids", nargs="+", type=int, help="loans of the per-loan report on the whole book")
+    p.add_argument("--null-safe-least", action="store_true",
+                   help="per-loan sums also take payments due in the window and unpaid")
     p.add_argument("--local", action="store_true", help="small-machine settings instead of cluster sizing")
     args = p.parse_args(argv)
     spark = build_session(app_name="loanlens-month-end", cluster=not args.local)
     paths = run_month_end(
         spark, read_book(spark, args.book), args.as_of,
         cohort_table=args.cohort_table, out_root=args.out, cohort_version=args.cohort_version,
+        window=ReportingWindow(*args.window) if args.window else None,
+        loan_ids=args.loan_ids, null_safe_least=args.null_safe_least,
     )
     for name, path in paths.items():
         print(f"{name}\t{path}")

@@ -29,6 +29,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ from loanlens.functions.windows import (
     rolling_month_shifted,
 )
 from loanlens.operators.dedupe import one_row_per
+from loanlens.plans.stored import store
 from loanlens.sources.book import LoanBook
 from loanlens.sources.layout import open_or_paid_since
 
@@ -93,6 +96,14 @@ def _candidates(loan_payment: DataFrame, window: ReportingWindow, variant: str)
     return pay.filter(payment_prefilter(_due(), _paid(), window, variant))
 
 
+def month_payments(loan_payment: DataFrame, as_of: date) -> DataFrame:
+    """Every payment that some payment report of the run may select: one scan for all of them, stored."""
+    windows = [(rolling_month(as_of), AGGREGATED), (rolling_month(as_of), LEVEL), (rolling_month_shifted(as_of), LEVEL)]
+    any_rule = reduce(or_, [payment_prefilter(_due(), _paid(), w, variant) for w, variant in windows])
+    pay = current_only(open_or_paid_since(loan_payment, min(w.start for w, _ in windows)))
+    return store(pay.filter(any_rule)).table
+
+
 def _not_superseded(day: Column) -> Column:
     """The loan's part of the rule: ``day`` (NULL: nothing to test) is not after the superseded date."""
     return day.isNull() | (day <= F.col("superseded"))

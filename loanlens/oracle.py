@@ -352,7 +352,7 @@ def _dated(window: Bounds) -> str:
 # Which (due, paid) places each rule takes as they are, and which it takes
 # only when the day named is not after the loan's superseded date.
 LEVEL_RULE = ("('after', 'in'), ('before', 'none')", "('in', 'none'), ('in', 'in')", "actual_payment_date")
-STRICT = "if(paid_at_date IS NULL, NULL, least(actual_payment_date, paid_at_date))"
+STRICT = "if(actual_payment_date IS NULL OR paid_at_date IS NULL, NULL, least(actual_payment_date, paid_at_date))"
 LOAN_RULE = ("('before', 'in'), ('after', 'in'), ('before', 'none')", "('in', 'none'), ('in', 'in'), ('in', 'after')", STRICT)
 LOAN_RULE_NULL_SAFE = (*LOAN_RULE[:2], "least(actual_payment_date, paid_at_date)")
 

@@ -6,7 +6,9 @@ Order of the source's hand-run scripts, as one restartable Spark job:
    of the cohort table -- this write also cuts the lineage, so the reports
    read a small materialised table instead of re-deriving the cohort, and an
    executor lost later never forces the cohort joins to be recomputed;
-2. run the cohort reports (accepted applications, payment level, payments per
+2. store the payments that the month's payment reports can select, in one scan of the payment
+   table for all of them;
+3. run the cohort reports (accepted applications, payment level, payments per
    loan) and the book reports (decisions, payments for loans) and write each
    to ``<out_root>/<report>/reporting_month=<month>``.
 
@@ -17,12 +19,14 @@ or any failed step, gives the same tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.functions.windows import reporting_month
+from loanlens.functions.windows import ReportingWindow, reporting_month
 from loanlens.operators import (
     accepted_applications,
     all_applications_audit,
@@ -35,7 +39,9 @@ from loanlens.operators import (
     monthly_payments_for_loans,
     monthly_payments_payment_level,
 )
+from loanlens.operators.payments import month_payments
 from loanlens.plans.publish import publish_cohort, read_cohort
+from loanlens.plans.stored import job_folder
 from loanlens.session import shared_dir
 from loanlens.sources.book import LoanBook
 
@@ -51,16 +57,27 @@ def write_report(df: DataFrame, path: str, month: str) -> None:
     )
 
 
-def month_end_reports(book: LoanBook, cohort: DataFrame, as_of: date) -> dict[str, DataFrame]:
+def month_end_reports(
+    book: LoanBook,
+    cohort: DataFrame,
+    as_of: date,
+    window: ReportingWindow | None = None,
+    loan_ids: Sequence[int] | None = None,
+    null_safe_least: bool = False,
+) -> dict[str, DataFrame]:
+    """``window`` replays the decision reports for another range of dates; ``loan_ids`` and
+    ``null_safe_least`` go to the per-loan payment reports."""
+    month = replace(book, loan_payment=month_payments(book.loan_payment, as_of))
     return {
         "accepted_applications": accepted_applications(cohort, book.loan_payment, as_of),
-        "monthly_payments": monthly_payments(cohort, book.loan_payment, as_of),
-        "monthly_payments_payment_level": monthly_payments_payment_level(cohort, book, as_of),
-        "monthly_payments_by_loan": monthly_payments_by_loan(cohort, book.loan_payment, as_of),
-        "monthly_payments_for_loans": monthly_payments_for_loans(book, as_of),
-        "applications_direct": all_applications_direct(book, as_of),
-        "applications_facility": all_applications_facility(book, as_of),
-        "applications_audit": all_applications_audit(book, as_of),
+        "monthly_payments": monthly_payments(cohort, month.loan_payment, as_of),
+        "monthly_payments_payment_level": monthly_payments_payment_level(cohort, month, as_of),
+        "monthly_payments_by_loan": monthly_payments_by_loan(
+            cohort, month.loan_payment, as_of, null_safe_least=null_safe_least),
+        "monthly_payments_for_loans": monthly_payments_for_loans(month, as_of, loan_ids=loan_ids),
+        "applications_direct": all_applications_direct(book, as_of, window),
+        "applications_facility": all_applications_facility(book, as_of, window),
+        "applications_audit": all_applications_audit(book, as_of, window),
     }
 
 
@@ -71,16 +88,18 @@ def run_month_end(
     cohort_table: str = "loanlens_cohort",
     out_root: str | None = None,
     cohort_version: int = 2,
+    **parameters,
 ) -> dict[str, str]:
-    """Run the month-end job; returns report name -> output path."""
+    """Run the month-end job; returns report name -> output path.  ``parameters``: see ``month_end_reports``."""
     month = reporting_month(as_of)
     root = out_root or f"{shared_dir(spark)}/month_end"
     build = loan_cohort_v2 if cohort_version == 2 else loan_cohort_v1
-    publish_cohort(build(book, as_of), cohort_table, month, path=f"{root}/cohort")
-    cohort = read_cohort(spark, cohort_table, month)
     out = {}
-    for name, df in month_end_reports(book, cohort, as_of).items():
-        path = f"{root}/{name}"
-        write_report(df, path, month)
-        out[name] = path
+    with job_folder(spark, out_root):
+        publish_cohort(build(book, as_of), cohort_table, month, path=f"{root}/cohort")
+        cohort = read_cohort(spark, cohort_table, month)
+        for name, df in month_end_reports(book, cohort, as_of, **parameters).items():
+            path = f"{root}/{name}"
+            write_report(df, path, month)
+            out[name] = path
     return out

@@ -7,6 +7,9 @@ lost executor then never makes a report evaluate the key set's own joins again.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,8 +37,23 @@ class Stored:
         return F.broadcast(out) if self.rows * BYTES_PER_KEY <= MAX_BROADCAST_BYTES else out
 
 
+# Where ``store`` writes instead of the session's own folder, while a job runs.
+_JOB: ContextVar[str | None] = ContextVar("loanlens_job", default=None)
+
+
 def _folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/loanlens-stored-{spark.sparkContext.applicationId}"
+    return _JOB.get() or f"{shared_dir(spark)}/loanlens-stored-{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession, root: str | None = None) -> Iterator[None]:
+    """What is stored inside goes to a folder of its own (below ``root``), which is deleted in the end."""
+    token = _JOB.set(f"{shared_dir(spark, root)}/loanlens-stored-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        drop_stored(spark)
+        _JOB.reset(token)
 
 
 def store(df: DataFrame) -> Stored:

@@ -14,7 +14,7 @@ def con():
 
 
 # The training-data operators have tests of their own beside them.
-REPORTS = [n for n in entry.queries() if n not in entry._training_data()[0]]
+REPORTS = [n for n in entry.queries() if n not in entry.training_data_names()]
 
 
 def test_oracle_for_every_report():
