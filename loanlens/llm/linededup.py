@@ -8,10 +8,10 @@ or more; shorter lines are dropped for equality alone.  Lines without a word are
 1. Equal lines become one, with their earliest place (an aggregation by line hash).
 2. A pair one edit apart shares, at the length of its shorter line, either the first half or
    the second half: lines that share no half with another line leave here.
-3. Those left emit their deletion variants as hashed keys: (remaining words, place, length)
-   meets the lines with a word replaced at that place, and (remaining words) meets the line
-   that lacks the word.  Per key only the earliest partner is kept, so a group of n variants
-   costs n rows, never n * n pairs.
+3. Those left emit, for each half they share, the deletion variants of their other words as
+   hashed keys: (half, remaining words, place) meets the lines with a word replaced at that
+   place, and (half, remaining words) meets the line that lacks the word.  Per key only the
+   earliest partner is kept, so a group of n variants costs n rows, never n * n pairs.
 4. Each line's earliest partner is verified on the words of both.
 
 A key's members are within one edit of its earliest partner by construction, so the earliest
@@ -45,13 +45,14 @@ def words(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
 
 
-def _lines(documents: DataFrame) -> DataFrame:
-    """Every line with a word: where it is, its words, their number and hash."""
+def _lines(documents: DataFrame, s: Settings) -> DataFrame:
+    """Every line with a word: its text, its place, the number and hash of its words, and hashes of its halves."""
     each = documents.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("of")).alias("doc"),
                             F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
-    return (each.select("doc", "k", words(F.col("line")).alias("words")).where(F.size("words") > 0)
-            .select("doc", F.struct("doc.unnamed", "doc.doc_id", "k").alias("rank"), "words",
-                    F.size("words").alias("m"), F.xxhash64("words").alias("h")))
+    worded = each.select("doc", "k", words(F.col("line")).alias("words")).where(F.size("words") > 0)
+    worded = worded.withColumn("m", F.size("words"))
+    return worded.select("doc", F.struct("doc.unnamed", "doc.doc_id", "k").alias("rank"), "m",
+                         F.xxhash64("words").alias("h"), _halves(s).alias("halves"))
 
 
 def _halves(s: Settings) -> Column:
@@ -66,40 +67,41 @@ def _halves(s: Settings) -> Column:
             .when(F.col("m") == s.min_words, F.array(*own)).otherwise(F.array().cast("array<long>")))
 
 
-def _distinct(documents: DataFrame, s: Settings) -> DataFrame:
-    return _lines(documents).select("h", "m", "rank", _halves(s).alias("halves")).groupBy("h", "m").agg(
-        F.min("rank").alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves"))
-
-
 def _with_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of lines named by their earliest place; ``wanted`` has (h, m, first)."""
+    """The words of lines named by their earliest place; ``wanted`` has (h, m, first, shared)."""
     by_doc = wanted.groupBy("first.doc_id").agg(F.collect_set("first.k").alias("ks"))  # at most the lines of one text
     named = by_doc.select(F.col("doc_id").alias("wanted_id"), "ks")
     lines = (documents.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-             .select("doc_id", "ks", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
+             .select("ks", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
              .where(F.array_contains("ks", F.col("k"))).select(words(F.col("line")).alias("words")))
     found = lines.withColumn("h", F.xxhash64("words")).withColumn("m", F.size("words"))
     # a doc_id that stands for several texts may bring other lines along: the join leaves them out
-    return (found.join(wanted, ["h", "m"]).groupBy("h", "m", "first").agg(F.first("words").alias("words")))
-
-
-def _variants(lines: DataFrame, s: Settings) -> DataFrame:
-    """Hashed keys: replace keys (kind 0), and whole lines (1) against lines with a word more (2)."""
-    own = lines.select("h", "first", F.lit(1).alias("kind"), F.xxhash64(F.lit(1), "m", "words").alias("key"))
-    less = lines.select("h", "first", "m", "words", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("i"))
-    rest = F.concat(F.slice("words", F.lit(1), F.col("i") - 1), F.slice("words", F.col("i") + 1, F.col("m")))
-    less = less.select("h", "first", "m", "i", rest.alias("rest"))
-    swap = less.select("h", "first", F.lit(0).alias("kind"), F.xxhash64(F.lit(0), "m", "i", "rest").alias("key"))
-    more = less.where(F.col("m") > s.min_words).select(
-        "h", "first", F.lit(2).alias("kind"), F.xxhash64(F.lit(1), F.col("m") - 1, "rest").alias("key"))
-    return own.unionByName(swap).unionByName(more)
-
-
-def _earliest_partner(lines: DataFrame, s: Settings) -> DataFrame:
+    return (found.join(wanted, ["h", "m"]).groupBy("h", "m", "first")
+            .agg(F.first("words").alias("words"), F.first("shared").alias("shared")))
+
+
+def _variants(lines: DataFrame) -> DataFrame:
+    """Hashed keys of the words outside a shared half: whole (kind 1) against those of a line with a word
+    more (kind 2), and without the word at one place against the same (kind 0)."""
+    each = lines.select("h", "first", "m", "words", F.explode("shared").alias("s"))
+    more = F.floor(F.col("s.at") / 2).cast("int")  # 1: as the longer line of a pair
+    half = F.floor((F.col("m") - more) / 2).cast("int")
+    other = F.when(F.col("s.at") % 2 == 0, F.slice("words", half + 1, F.col("m") - half)).otherwise(
+        F.slice("words", F.lit(1), half + more))
+    each = each.select("h", "first", F.col("s.half").alias("half"), more.alias("more"), other.alias("other"))
+    each = each.select("h", "first", "half", "more", "other", F.explode(F.sequence(F.col("more"), F.size("other"))).alias("i"))
+    rest = F.when(F.col("i") == 0, F.col("other")).otherwise(F.concat(
+        F.slice("other", F.lit(1), F.greatest(F.col("i") - 1, F.lit(0))), F.slice("other", F.col("i") + 1, F.size("other"))))
+    kind = F.when(F.col("more") == 1, 2).when(F.col("i") == 0, 1).otherwise(0)
+    place = F.when(F.col("more") == 1, 0).otherwise(F.col("i"))
+    return each.select("h", "first", kind.alias("kind"), F.xxhash64("half", place, rest).alias("key"))
+
+
+def _earliest_partner(lines: DataFrame) -> DataFrame:
     """``h``, ``m`` and the verified earliest partner's place, for lines that have one before their own."""
-    rows = _variants(lines, s)
+    rows = _variants(lines)
     one = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct("first", "h")))
-    # a whole line and the longer lines see each other, replace keys their own kind
+    # a whole line and the longer lines see each other, lines with a replaced word their own kind
     best = rows.groupBy("key").agg(one(0).alias("swap"), one(1).alias("whole"), one(2).alias("more"), F.count("*").alias("n")).where("n > 1")
     other = (F.when(F.col("kind") == 0, F.col("swap")).when(F.col("kind") == 1, F.col("more")).otherwise(F.col("whole")))
     near = (rows.join(best, "key").withColumn("partner", other).where("partner.first < first")
@@ -122,15 +124,17 @@ def one_edit(x: Column, y: Column) -> Column:
 
 def _decided(documents: DataFrame, s: Settings) -> DataFrame:
     """``row``, and the places of its dropped lines (null: none)."""
-    distinct = cut(_distinct(documents, s))
-    halves = distinct.select("h", "m", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    in_play = halves.join(shared, "half", "left_semi").select("h", "m").distinct()
-    lines = cut(_with_words(documents, distinct.select("h", "m", "first").join(in_play, ["h", "m"], "left_semi")))
-    partner = _earliest_partner(lines, s)
+    lines = cut(_lines(documents, s))
+    distinct = cut(lines.groupBy("h", "m").agg(F.min("rank").alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves")))
+    halves = distinct.select("h", "m", F.posexplode("halves").alias("at", "half"))
+    several = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+    in_play = halves.join(several, "half", "left_semi").groupBy("h", "m").agg(
+        F.collect_list(F.struct("half", "at")).alias("shared"))  # at most four
+    wanted = distinct.select("h", "m", "first").join(in_play, ["h", "m"])
+    partner = _earliest_partner(cut(_with_words(documents, wanted)))
     limits = (distinct.join(partner, ["h", "m"], "left").where("times > 1 OR partner IS NOT NULL")
               .select("h", "m", F.coalesce("partner", "first").alias("limit")))
-    drops = (_lines(documents).select("doc", "rank", "h", "m").join(limits, ["h", "m"]).where("limit < rank")
+    drops = (lines.select("doc", "rank", "h", "m").join(limits, ["h", "m"]).where("limit < rank")
              .groupBy("doc").agg(F.collect_list("rank.k").alias("dropped")))  # at most the lines of one text
     named = drops.select(F.col("doc.doc_id").alias("at_id"), F.col("doc.of").alias("at_of"), "dropped")
     row = documents.select(F.struct(*documents.columns).alias("row"))
