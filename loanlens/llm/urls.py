@@ -11,8 +11,9 @@ Among the site rules that fit, the longest wins.  Where none fits, the longest p
 fits decides (ties: the first by text), and otherwise the verdict is "allow".
 
 All work is on distinct URLs: one row per URL and rule fetched, then one per URL; a host or
-URL with a third of all rows is met once.  The rules come from a list and stay as small as it;
-Spark broadcasts their index only where it is under its threshold.
+URL with a third of all rows is met once.  The rules come from a list, so the size of their index is
+known: up to ``MOST_BROADCAST`` rules (some hundred bytes each) it is broadcast and a token that
+most URLs hold is not shuffled; a longer list is joined by token.
 
 Defined results: a null url or one without "://" has an empty host and path, no rule, and the
 default verdict; an empty table gives an empty result; repeated rows are judged alike.
@@ -77,6 +78,11 @@ RULES = [
     pattern("?utm_source=feed", "allow"),
 ]
 DEFAULT = "allow"
+MOST_BROADCAST = 100_000
+
+
+def _small(index: DataFrame, rules: list[Rule]) -> DataFrame:
+    return F.broadcast(index) if len(rules) <= MOST_BROADCAST else index
 
 
 def parts(url: Column) -> tuple[Column, Column, Column]:
@@ -103,12 +109,12 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
     # file each rule under its rarest token: count the rules' tokens over all URLs
     wanted = spark.createDataFrame([(t,) for t in sorted({t for r in rules for t in r.tokens})], "token string")
-    held = {r["token"]: r["n"] for r in tokened.join(wanted, "token").groupBy("token").agg(F.count("*").alias("n")).collect()}
+    held = {r["token"]: r["n"] for r in tokened.join(_small(wanted, rules), "token").groupBy("token").agg(F.count("*").alias("n")).collect()}
     index = spark.createDataFrame(
         [(min(r.tokens, key=lambda t: (held.get(t, 0), t)), r.text, r.verdict, r.site, r.expression) for r in rules],
         "token string, rule string, verdict string, site boolean, expression string")
 
-    fits = tokened.join(index, "token").where(F.regexp_like("subject", F.col("expression")))
+    fits = tokened.join(_small(index, rules), "token").where(F.regexp_like("subject", F.col("expression")))
     won, rank = F.struct("rule", "verdict"), F.struct((-F.length("rule")).alias("size"), "rule")
     best = fits.groupBy("url").agg(F.min_by(won, F.when(F.col("site"), rank)).alias("of_site"),
                                    F.min_by(won, F.when(~F.col("site"), rank)).alias("of_pattern"))
