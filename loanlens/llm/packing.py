@@ -9,10 +9,12 @@ the end of a task: sequences are 4096 tokens or a power of two long, and need no
 
 One pass without a shuffle: a task tokenizes and packs the rows of its own partition, so
 the result of a lost task is made again from the same rows.  It holds one chunk of texts, the
-waiting examples (less than one sequence's tokens each), and a bounded cache of words.
+waiting examples (less than one sequence's tokens each), and a bounded cache of words, which the
+worker keeps.
 
 Tokens: the tokenizer never joins what white space parts, so each distinct word is encoded
-once and looked up by its 64-bit hash from then on.
+once and looked up by its 64-bit hash from then on (``WordIds``; written for the lower-casing
+word vocabulary, whose ids it gives exactly).
 
 Defined results: a null or empty text has the end token alone; rows that repeat are packed each;
 a text of any length is cut over as many sequences as it needs; an empty table gives an empty result.
@@ -24,6 +26,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -163,9 +166,14 @@ class Packer:
 
 
 class WordIds:
-    """Token ids of words, by word hash, for at most ``most`` words at a time."""
+    """Token ids of words, by word hash, for at most ``most`` words at a time (or those of one chunk).
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    The vocabulary lower-cases text and splits punctuation from letters, so words are looked up
+    in lower case, and a full stop or comma behind an ASCII letter is a word of its own.  Words
+    with a ``|`` keep their case, because a special token's name may be part of them.
+    """
+
+    def __init__(self, path: str, most: int = 800_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -173,27 +181,55 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[int, int] = {}
+        self.keys, self.at = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)  # ascending hashes, and their words
         self.ids, self.offsets = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        self.index.update(zip(hashes.tolist(), range(len(self.index), len(self.index) + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for g in got for i in g), dtype=np.uint32)])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(g) for g in got], dtype=np.int64)])
+        """Add words whose hashes are new and ascending."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        place = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, place, hashes)
+        self.at = np.insert(self.at, place, len(self.offsets) - 1 + np.arange(len(words)))
+        lengths = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        flat = np.fromiter(chain.from_iterable(got), dtype=np.uint32, count=int(lengths.sum()))
+        self.ids = np.concatenate([self.ids, flat])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(lengths)])
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
+        return self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), dtype=bool)
+
+    @staticmethod
+    def _split(chunk: W.Chunk) -> tuple[W.Chunk, W.Words]:
+        """The chunk in lower case, and its words without the stop or comma behind them, which follow as words."""
+        words, data = W.find_words(chunk), W.LOWER[chunk.data]
+        bars = np.flatnonzero(chunk.data == ord("|"))
+        for i in np.unique(np.searchsorted(words.starts, bars, side="right") - 1):
+            data[words.starts[i] : words.ends[i]] = chunk.data[words.starts[i] : words.ends[i]]
+        long = words.ends - words.starts > 1
+        last, before = data[words.ends - 1], data[np.maximum(words.ends - 2, 0)]
+        parted = long & ((last == ord(".")) | (last == ord(","))) & (before >= ord("a")) & (before <= ord("z"))
+        at = np.arange(len(parted)) + np.concatenate([[0], np.cumsum(parted)])[:-1]  # places of the words proper
+        starts = np.empty(len(parted) + int(parted.sum()), dtype=np.int64)
+        ends = np.empty_like(starts)
+        starts[at], ends[at] = words.starts, words.ends - parted
+        mark = at[parted] + 1
+        starts[mark], ends[mark] = words.ends[parted] - 1, words.ends[parted]
+        bounds = words.bounds + np.concatenate([[0], np.cumsum(parted)])[words.bounds]
+        return W.Chunk(chunk.first, data, chunk.offsets, chunk.null), W.Words(starts, ends, bounds)
 
     def encode(self, chunk: W.Chunk, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a chunk, ``end`` after each, and where each text begins (and the last ends)."""
-        words = W.find_words(chunk)
+        chunk, words = self._split(chunk)
         unique, first, which = np.unique(W.word_hashes(chunk, words), return_index=True, return_inverse=True)
-        new = [i for i, h in enumerate(unique.tolist()) if h not in self.index]
-        if len(self.index) + len(new) > self.most:  # start over with this chunk's words
+        new = np.flatnonzero(~self._known(unique))
+        if len(self.keys) + len(new) > self.most:  # start over with this chunk's words
             self._forget()
-            new = list(range(len(unique)))
-        if new:
+            new = np.arange(len(unique))
+        if len(new):
             raw = chunk.data.tobytes()
-            self._learn(unique[new], [raw[words.starts[i] : words.ends[i]].decode("utf-8") for i in first[new]])
-        at = np.array([self.index[h] for h in unique.tolist()], dtype=np.int64)[which]
+            self._learn(unique[new], [raw[words.starts[i] : words.ends[i]].decode("utf-8") for i in first[new].tolist()])
+        at = self.at[np.searchsorted(self.keys, unique)][which]
         lengths = np.diff(self.offsets)[at]
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         flat = np.repeat(self.offsets[at] - bounds[:-1], lengths) + np.arange(bounds[-1])
@@ -204,6 +240,16 @@ class WordIds:
         return out, texts + np.arange(chunk.rows + 1)
 
 
+#: Kept by each Python worker from task to task; ids don't hang on what it holds.
+_WORD_IDS: dict[str, WordIds] = {}
+
+
+def _word_ids(path: str) -> WordIds:
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    return _WORD_IDS[path]
+
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long")
 
@@ -225,7 +271,7 @@ def pack(documents: DataFrame, tokenizer: str, end: int = 2, limits: Limits = Li
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * len(names))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = WordIds(tokenizer), Packer(limits)
+        words, packer = _word_ids(tokenizer), Packer(limits)
         base = TaskContext.get().partitionId() << 36
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
