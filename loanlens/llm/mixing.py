@@ -53,7 +53,7 @@ class Settings:
 def _amounts(nodes: DataFrame, parents: list[str], name: str, weight: str) -> DataFrame:
     """Share each family's ``amount`` among its rows (name, tokens, capacity, amount): adds ``share``."""
     family = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
-    order = family.orderBy(F.col("capacity").cast("double") / F.col("weight"), name)
+    order = family.orderBy(F.try_divide(F.col("capacity").cast("double"), F.col("weight").cast("double")), name)
     wide = nodes.withColumn("weight", F.expr(weight)).withColumn(
         "held", F.when(F.col("weight") > 0, F.col("capacity")).otherwise(0))
     dec = lambda c: F.col(c).cast("decimal(19,0)")
@@ -63,7 +63,7 @@ def _amounts(nodes: DataFrame, parents: list[str], name: str, weight: str) -> Da
     wide = wide.withColumn("full", (F.col("weight") > 0) & full)
     wide = (wide.withColumn("taken", F.coalesce(F.sum(F.when(F.col("full"), F.col("held"))).over(family), F.lit(0)))
             .withColumn("open_weight", F.coalesce(F.sum(F.when(~F.col("full"), F.col("weight"))).over(family), F.lit(0))))
-    part = F.expr("cast(weight as decimal(19,0)) * cast(amount - taken as decimal(19,0)) div open_weight")
+    part = F.expr("cast(weight as decimal(19,0)) * cast(amount - taken as decimal(19,0)) div nullif(open_weight, 0)")
     share = F.when(F.col("weight") <= 0, F.lit(0)).when(F.col("full"), F.col("held")).otherwise(part)
     return wide.withColumn("share", share.cast("long")).drop(
         "weight", "held", "held_before", "weight_left", "full", "taken", "open_weight")
@@ -110,7 +110,7 @@ def plan(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     rows = cut(documents.select(F.col("doc_id"), F.expr(s.domain).alias("domain"), "lang", "source",
                                 _tokens(F.col("text")).alias("n_tokens")))
     leaves = budgets(cut(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("rows"))), s)
-    leaves = cut(leaves.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("quota div tokens")).otherwise(F.lit(0)))
+    leaves = cut(leaves.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("quota div nullif(tokens, 0)")).otherwise(F.lit(0)))
                  .withColumn("part", F.col("quota") - F.col("epochs") * F.col("tokens"))
                  .withColumn("buckets", F.ceil(F.col("rows") / s.bucket_rows)))
     some = rows.where("n_tokens > 0").alias("r").join(

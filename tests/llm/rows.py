@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 PROSE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -57,6 +59,6 @@ def same_rows(spark_frame, sql_frame) -> None:
 
     def plain(f):
         rows = f[names].astype(object).itertuples(index=False, name=None)
-        return sorted((tuple(None if x is None or x != x else x for x in r) for r in rows), key=repr)
+        return sorted((tuple(None if pd.isna(x) else x for x in r) for r in rows), key=repr)
 
     assert plain(got) == plain(sql_frame)
