@@ -17,10 +17,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     round is written to the shared folder, so a lost executor costs one round at most.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    files = 1 + now.count() // 250_000  # steps never add edges beyond twice their number
     for _ in range(most_rounds):
         if _settled(now):
             break
-        now = cut(_small_star(_large_star(now)))
+        now = cut(_small_star(_large_star(now)).coalesce(files))
     else:
         raise RuntimeError(f"components not settled after {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

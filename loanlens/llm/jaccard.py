@@ -10,9 +10,9 @@ Method: rare-first prefix filtering.
    order gives the same links.
 2. A set's prefix is its rarest n - ceil(0.8 n) + 1 shingles: linked sets share one.  Prefix
    shingles are shuffled by shingle and sorted; a streaming pass keeps the shared ones.
-3. Candidates that share a prefix shingle pass a length filter and a positional filter
-   (shingles left after the match on either side), then, once per pair, a suffix filter
-   (bin-wise counts of both sets bound the overlap), and are verified once on whole sets.
+3. Candidates that share a prefix shingle pass a length filter, a positional filter (shingles
+   left after the match on either side) and a suffix filter (the parities of bin-wise counts
+   bound the sets' difference from below), and are verified once on whole sets.
 
 Pairs inside a large group are never all emitted.  First every shared shingle pairs its members
 with one leader, its smallest node; verified links make components.  Then shingles with at most
@@ -54,7 +54,7 @@ class Settings:
     words: int = 5
     percent: int = 80
     sketch_bits: int = 18
-    bins: int = 64
+    bins: int = 256  # of the suffix filter; a multiple of 64
     small_group: int = 32
     finish_factor: int = 32
     most_rounds: int = 4
@@ -90,6 +90,22 @@ class Sets:
         return W.mix(total[self.bounds[1:]] - total[self.bounds[:-1]] + self.sizes.astype(np.uint64))
 
 
+    def parities(self, bins: int) -> np.ndarray:
+        """Per text, whether its shingles in each of ``bins`` hash bins are odd in number, 64 bins to an integer.
+
+        Sets that differ in d shingles differ in d parities at most.
+        """
+        bin_of = (W.mix(self.values) & np.uint64(bins - 1)).astype(np.int64)
+        rows = len(self.sizes)
+        out = np.empty((rows, bins // 64), dtype=np.int64)
+        for lo in range(0, rows, 4096):
+            hi = min(rows, lo + 4096)
+            part = slice(self.bounds[lo], self.bounds[hi])
+            odd = np.bincount((self.text_of[part] - lo) * bins + bin_of[part], minlength=(hi - lo) * bins) & 1
+            out[lo:hi] = np.packbits(odd.astype(np.uint8).reshape(hi - lo, bins), axis=1).view(np.int64)
+        return out
+
+
 def shingle_sets(chunk: W.Chunk, n: int) -> Sets:
     words = W.find_words(chunk)
     hashes = W.word_hashes(chunk, words, lower=True)
@@ -204,6 +220,33 @@ def _possible(n, i, m, j, percent: int):
     return (100 * least(n, m) >= percent * most(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
 
 
+def _signed(texts: DataFrame, s: Settings) -> DataFrame:
+    """Each node's set size and parities."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in W.chunks(batch.column("text")):
+                sets = shingle_sets(chunk, s.words)
+                bits = sets.parities(s.bins)
+                lists = pa.ListArray.from_arrays(np.arange(chunk.rows + 1, dtype=np.int32) * bits.shape[1], bits.ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sets.node().view(np.int64)), pa.array(sets.sizes, pa.int32()), lists], ["node", "size", "bits"])
+
+    return texts.select("text").mapInArrow(run, "node long, size int, bits array<long>").dropDuplicates(["node"])
+
+
+def _alike(n: Column, m: Column, x: Column, y: Column, s: Settings) -> Column:
+    """Suffix filter: the parities' distance is within what linked sets of n and m shingles may differ in."""
+    apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(s.bins // 64)), F.lit(0))
+    return (100 + s.percent) * (n + m - apart) >= 2 * s.percent * (n + m)
+
+
+def _plausible(pairs: DataFrame, signed: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b) that pass the suffix filter."""
+    x, y = (signed.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("bits").alias(f"{c}_bits")) for c in "ab")
+    return pairs.join(x, "a").join(y, "b").where(
+        _alike(F.col("a_size"), F.col("b_size"), F.col("a_bits"), F.col("b_bits"), s)).select("a", "b")
+
+
 def _across(rows: DataFrame, s: Settings) -> DataFrame:
     """Rows (token, node, n, place, root) with a token's members in several components.
 
@@ -279,16 +322,14 @@ def _across(rows: DataFrame, s: Settings) -> DataFrame:
 def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """The linked ones of distinct pairs (a, b).  Rows go to b: its text first, then the texts of its partners.
 
-    b's set is made once for all its partners; the suffix filter then compares bin-wise counts,
-    and only pairs that pass it are verified on whole sets.
+    b's set is made once for all its partners.
     """
     both = pairs.select("b", F.col("a").alias("node"), F.lit(1).alias("kind")).unionByName(
         pairs.select("b", F.col("b").alias("node"), F.lit(0).alias("kind")).distinct())
     rows = both.join(texts, "node").repartition("b").sortWithinPartitions("b", "kind", "node")
-    shift = np.uint64(64 - int(s.bins).bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, head_set, head_bins = None, None, None
+        head, head_set = None, None
         for batch in batches:
             b = batch.column("b").to_numpy()
             node = batch.column("node").to_numpy()
@@ -301,15 +342,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                     mine = sets.values[sets.bounds[i] : sets.bounds[i + 1]]
                     if true_node[i] != node[k]:  # a text that only shares the doc_id
                         continue
-                    bins = np.bincount((mine >> shift).astype(np.int64), minlength=s.bins)
                     if node[k] == b[k]:
-                        head, head_set, head_bins = b[k], mine.copy(), bins
+                        head, head_set = b[k], mine.copy()
                         continue
                     if head != b[k]:
                         continue
                     least = int(need(len(mine), len(head_set), s.percent))
-                    if np.minimum(bins, head_bins).sum() < least:  # suffix filter
-                        continue
                     at = np.minimum(np.searchsorted(head_set, mine), len(head_set) - 1)
                     if np.count_nonzero(head_set[at] == mine) >= least:
                         linked.append(k)
@@ -349,15 +387,17 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     texts = cut(documents.select(F.col("doc_id").cast("long").alias("id"), "text")
                 .join(ids, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "text"))
 
+    signed = cut(_signed(texts, s))
     # a leader is its token's smallest node: pairs are (larger node, smaller node) throughout
     first = shared.where("node <> lead").where(
         _possible(F.col("n"), F.col("place"), F.col("lead_n"), F.col("lead_place"), s.percent))
     tried = cut(first.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
-    links = cut(_verify(tried, texts, s))
+    links = cut(_verify(cut(_plausible(tried, signed, s)), texts, s))
     roots = cut(connected_components(links))
     found = cut(_across(_named(shared.select("token", "node", "n", "place"), roots), s))
-    pairs = cut(found.where("kind = 0").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    rows = found.where("kind = 1").select("token", F.col("a").alias("node"), "n", "place").distinct()
+    pairs = cut(_plausible(found.where("kind = 0").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), signed, s))
+    rows = found.where("kind = 1").select("token", F.col("a").alias("node"), "n", "place").distinct().join(
+        signed.select("node", "bits"), "node")
     for turn in range(s.most_rounds + 1):
         # pairs of the small groups, or of the round before
         more = cut(_verify(pairs, texts, s))
@@ -392,6 +432,8 @@ def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Components after further links: only the components' names meet in the new graph."""
+    if not _any(links):
+        return roots
     ends = _named(_named(links.withColumnRenamed("a", "node"), roots).select(F.col("root").alias("x"), F.col("b").alias("node")), roots)
     merged = cut(connected_components(ends.select(F.col("x").alias("a"), F.col("root").alias("b"))))
     old = roots.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
@@ -405,19 +447,21 @@ def _to_leaders(rows: DataFrame, links: DataFrame, turn: int, s: Settings) -> Da
     many = ends.groupBy("node").agg(F.count("*").alias("links"))
     rated = rows.join(many, "node", "left").withColumn(
         "rate", F.struct(F.coalesce("links", F.lit(0)).alias("links"), F.xxhash64("node", F.lit(turn)).alias("seed")))
-    lead = rated.groupBy("token").agg(F.max_by(F.struct("node", "n", "place", "root"), "rate").alias("lead"))
+    lead = rated.groupBy("token").agg(F.max_by(F.struct("node", "n", "place", "root", "bits"), "rate").alias("lead"))
     near = rows.join(lead, "token").where(F.col("root") != F.col("lead.root")).where(
-        _possible(F.col("n"), F.col("place"), F.col("lead.n"), F.col("lead.place"), s.percent))
+        _possible(F.col("n"), F.col("place"), F.col("lead.n"), F.col("lead.place"), s.percent)).where(
+        _alike(F.col("n"), F.col("lead.n"), F.col("bits"), F.col("lead.bits"), s))
     return near.select(F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b")).distinct()
 
 
 def _all_across(rows: DataFrame, s: Settings) -> DataFrame:
     """All candidates left between different components."""
-    x = rows.select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "root")))
-    y = rows.select("token", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "place", "root")))
+    x = rows.select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "place", "root", "bits")))
+    y = rows.select("token", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "place", "root", "bits")))
     near = x.join(y, (x["token"] == y["token"]) & (F.col("x_node") > F.col("y_node")) & (
         F.col("x_root") != F.col("y_root")) & _possible(
-        F.col("x_n"), F.col("x_place"), F.col("y_n"), F.col("y_place"), s.percent))
+        F.col("x_n"), F.col("x_place"), F.col("y_n"), F.col("y_place"), s.percent) & _alike(
+        F.col("x_n"), F.col("y_n"), F.col("x_bits"), F.col("y_bits"), s))
     return near.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
 
 
