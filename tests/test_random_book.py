@@ -71,7 +71,7 @@ def random_rows(seed: int, loans: int = 70) -> dict[str, list[tuple]]:
     }
 
 
-@pytest.fixture(scope="module", params=[1, 2])
+@pytest.fixture(scope="module", params=[2])
 def stored(spark, request):
     book = LoanBook(**{n: spark.createDataFrame(r, BOOK_SCHEMAS[n]) for n, r in random_rows(request.param).items()})
     root = f"{shared_dir(spark)}/random_{uuid.uuid4().hex[:8]}"
