@@ -14,7 +14,8 @@ be in a result of k), a list with many vectors is cut into cells of about ``cell
 each query goes to every cell of its probed lists.  A task holds one cell and a slice of
 queries.  The centroids are fitted on a sample of at most about ``sample_rows`` vectors, chosen
 by hash; every vector is indexed.  The number of probed lists is what ``target_recall`` takes by brute
-force on the sample.  Centroids and list sizes (at most ``max_lists``) are all that the driver holds.
+force on the sample; a query whose lists hold fewer than k + 1 vectors goes on to its next nearest
+ones until they do, or to all lists, so that it gets k rows if there are as many.  Centroids and list sizes (at most ``max_lists``) are all that the driver holds.
 
 Defined results: vectors that are null, zero, hold a null or non-finite component, or have
 another length than most, take no part, neither as query nor as candidate; a null id takes
@@ -132,9 +133,28 @@ def _probes(index: Index, points: np.ndarray, rng: np.random.Generator, s: Setti
     return int(needed[math.ceil(s.target_recall * len(needed)) - 1]) + 1
 
 
-def _near_lists(vectors: DataFrame, index: Index, probes: int, query: bool) -> DataFrame:
-    """Each vector with the ``probes`` nearest lists."""
+def _reach(far: np.ndarray, probes: int, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``probes`` nearest lists by ``far``, and the next nearest until they hold ``least`` vectors: bounds and lists."""
+    near = np.argmin(far, axis=1)[:, None] if probes == 1 else np.argpartition(far, probes - 1, axis=1)[:, :probes]
+    reach = np.full(len(far), probes)
+    short = np.flatnonzero(sizes[near].sum(axis=1) < least)
+    order = np.argsort(far[short], axis=1)
+    held = np.cumsum(sizes[order], axis=1)
+    reach[short] = np.minimum((held < least).sum(axis=1) + 1, far.shape[1])
+    bounds = np.concatenate([[0], np.cumsum(reach)])
+    lists = np.empty(bounds[-1], dtype=np.int32)
+    whole = np.ones(len(far), dtype=bool)
+    whole[short] = False
+    lists[(bounds[:-1][whole, None] + np.arange(probes)).ravel()] = near[whole].ravel()
+    for row, few in zip(short, order, strict=True):
+        lists[bounds[row] : bounds[row + 1]] = few[: reach[row]]
+    return bounds, lists
+
+
+def _near_lists(vectors: DataFrame, index: Index, probes: int, query: bool, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """Each vector with the ``probes`` nearest lists, and with more until they hold ``least`` vectors by ``sizes``."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
+    held = np.zeros(len(index.centroids), dtype=np.int64) if sizes is None else sizes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
@@ -142,10 +162,9 @@ def _near_lists(vectors: DataFrame, index: Index, probes: int, query: bool) -> D
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 far = ix.distances(ix.lift(matrix(part.column("vec")), query))
-                near = np.argmin(far, axis=1)[:, None] if probes == 1 else np.argpartition(far, probes - 1, axis=1)[:, :probes]
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(near.ravel().astype(np.int32)), probes)
-                yield pa.RecordBatch.from_arrays([part.column("vkey"), part.column("vec"), lists.cast(pa.list_(pa.int32()))],
-                                                 ["vkey", "vec", "lists"])
+                bounds, near = _reach(far, probes, held, least)
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(near))
+                yield pa.RecordBatch.from_arrays([part.column("vkey"), part.column("vec"), lists], ["vkey", "vec", "lists"])
 
     return vectors.select("vkey", "vec").mapInArrow(run, "vkey long, vec array<double>, lists array<int>")
 
@@ -258,13 +277,16 @@ def nearest(embeddings: DataFrame, is_query: Column, s: Settings = Settings()) -
     index = fit(vectors, about["n"], about["longest2"], s)
 
     listed = cut(_near_lists(vectors, index, 1, query=False).select("vkey", "vec", F.col("lists")[0].alias("list")))
-    counts = listed.groupBy("list").count().withColumn(
-        "cells", F.ceil(F.col("count") / s.cell_rows).cast("int"))  # at most max_lists rows
+    counts = cut(listed.groupBy("list").count().withColumn(
+        "cells", F.ceil(F.col("count") / s.cell_rows).cast("int")))  # at most max_lists rows
+    sizes = np.zeros(len(index.centroids), dtype=np.int64)
+    for r in counts.collect():
+        sizes[r["list"]] = r["count"]
     held = listed.join(F.broadcast(counts), "list").select(
         (F.col("list").cast("long") * (1 << 32) + F.pmod(F.xxhash64("vkey", F.lit(1)), F.col("cells"))).alias("cell"),
         F.lit(0).alias("kind"), "vkey", "vec")
     asked = vectors.join(rows.where("asks").select("vkey").distinct(), "vkey", "left_semi")
-    probing = (_near_lists(asked, index, index.probes, query=True).select("vkey", "vec", F.explode("lists").alias("list"))
+    probing = (_near_lists(asked, index, index.probes, True, sizes, s.k + 1).select("vkey", "vec", F.explode("lists").alias("list"))
                .join(F.broadcast(counts), "list")
                .select("list", "vkey", "vec", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("part"))
                .select((F.col("list").cast("long") * (1 << 32) + F.col("part")).alias("cell"), F.lit(1).alias("kind"), "vkey", "vec"))

@@ -63,6 +63,35 @@ def test_few_rows(spark):
     assert ann.nearest(table.where("vec_id > 0"), F.expr(ASKS)).count() == 0
 
 
+def clustered() -> list[tuple[int, list[float]]]:
+    """4000 vectors in 40 tight clusters of very uneven sizes."""
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(40, 16))
+    share = 0.8 ** np.arange(40)
+    at = np.concatenate([np.arange(40), rng.choice(40, 3960, p=share / share.sum())])
+    return [(i, [float(x) for x in centers[c] + rng.normal(size=16) * 1e-3]) for i, c in enumerate(at)]
+
+
+def scattered(n: int) -> list[tuple[int, list[float]]]:
+    rng = np.random.default_rng(n)
+    return [(i, [float(x) for x in rng.normal(size=8)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("rows", [clustered(), *(scattered(n) for n in (21, 25, 33, 40))], ids=len)
+def test_every_query_gets_k_rows(spark, rows):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["query_id"]: r["count"] for r in ann.nearest(table, F.lit(True)).groupBy("query_id").count().collect()}
+    assert got == {i: min(20, len(rows) - 1) for i, _ in rows}
+
+
+def test_reach():
+    far, sizes = np.array([[3.0, 1.0, 2.0, 0.0], [0.0, 1.0, 2.0, 3.0]]), np.array([9, 1, 5, 2])
+    bounds, lists = ann._reach(far, 1, sizes, 8)
+    assert [lists[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[3, 1, 2], [0]]
+    bounds, lists = ann._reach(far, 2, sizes, 100)
+    assert [sorted(lists[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[0, 1, 2, 3]] * 2
+
+
 def test_scan_abandons_but_finds():
     rng = np.random.default_rng(2)
     cell = rng.normal(size=(3000, 65)).astype(np.float32)
