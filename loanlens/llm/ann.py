@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by largest inner product, with an adaptive dimension scan.
 
 Vectors are lifted by one component so that the largest inner product is the smallest
-distance (x gets sqrt(M^2 - |x|^2), a query 0), and sorted into lists around centroids.  In
-each probed list the vectors are rotated by one random orthogonal matrix and compared in
+distance (x gets sqrt(M^2 - |x|^2) - M, a query -M: with M, the longest norm, taken off on both
+sides, one long vector doesn't swamp the others), and sorted into lists around centroids.  In
+each probed list the vectors (not lifted) are rotated by one random orthogonal matrix and compared in
 column blocks: after d of D columns, the distance so far times D / d estimates the whole
-distance, and a hypothesis test abandons a candidate whose estimate passes the query's
-k-th best distance by more than a factor 1 + epsilon / sqrt(d).  Few candidates reach the
-last block; those that remain best get their inner product on the original vectors in
-double precision.
+distance, and a hypothesis test abandons a candidate whose estimate passes the distance at which
+its inner product would be the query's k-th best by more than a factor 1 + epsilon / sqrt(d).  Few
+candidates reach the last block; these are ranked by inner product, and those that remain best get
+theirs on the original vectors.  All of it is in double precision.
 
 Spark does the dealing: equal vectors are one (with their k + 1 smallest ids: no more can
 be in a result of k), a list with many vectors is cut into cells of about ``cell_rows``, and
@@ -62,10 +63,13 @@ class Index:
     probes: int
 
     def lift(self, x: np.ndarray, query: bool) -> np.ndarray:
+        longest = math.sqrt(self.longest2)
         if query:
-            extra = np.zeros(len(x))
+            extra = np.full(len(x), -longest)
         else:
-            extra = np.sqrt(np.maximum(0.0, self.longest2 - np.einsum("ij,ij->i", x, x)))
+            square = np.einsum("ij,ij->i", x, x)
+            # sqrt(M^2 - |x|^2) - M without a difference of large numbers
+            extra = -square / np.maximum(longest + np.sqrt(np.maximum(0.0, self.longest2 - square)), np.finfo(float).tiny)
         return np.concatenate([x, extra[:, None]], axis=1)
 
     def distances(self, lifted: np.ndarray) -> np.ndarray:
@@ -93,22 +97,22 @@ def fit(vectors: DataFrame, rows: int, longest2: float, s: Settings) -> Index:
     sample = matrix(drawn.select("vec").limit(2 * s.sample_rows).toArrow().column("vec").combine_chunks())
     rng = np.random.default_rng(s.seed)
     bare = Index(np.zeros((1, sample.shape[1] + 1)), np.eye(1), longest2, 1)
-    points = bare.lift(sample, query=False).astype(np.float32)
+    points = bare.lift(sample, query=False)
     points = points[np.lexsort(points.T)]  # the result doesn't hang on the order of rows
     lists = max(1, min(s.max_lists, round(math.sqrt(rows)), len(points)))
     centers = points[rng.choice(len(points), lists, replace=False)]
     for _ in range(s.iterations):
         near = np.concatenate([np.argmin((centers * centers).sum(1) - 2 * part @ centers.T, axis=1)
-                               for part in np.array_split(points, max(1, len(points) // 4096))])
+                               for part in np.array_split(points, max(1, len(points) // 2048))])
         count = np.bincount(near, minlength=lists)
         total = np.zeros((lists, points.shape[1]))
         np.add.at(total, near, points)
         filled = count > 0
-        centers[filled] = (total[filled] / count[filled, None]).astype(np.float32)
+        centers[filled] = total[filled] / count[filled, None]
         centers[~filled] = points[rng.choice(len(points), int((~filled).sum()))]
-    rotation = np.linalg.qr(rng.standard_normal((points.shape[1],) * 2))[0]
-    index = Index(centers.astype(np.float64), rotation, longest2, lists)
-    return replace(index, probes=_probes(index, points.astype(np.float64), rng, s))
+    rotation = np.linalg.qr(rng.standard_normal((sample.shape[1],) * 2))[0]
+    index = Index(centers, rotation, longest2, lists)
+    return replace(index, probes=_probes(index, points, rng, s))
 
 
 def _probes(index: Index, points: np.ndarray, rng: np.random.Generator, s: Settings) -> int:
@@ -169,15 +173,18 @@ def _near_lists(vectors: DataFrame, index: Index, probes: int, query: bool, size
     return vectors.select("vkey", "vec").mapInArrow(run, "vkey long, vec array<double>, lists array<int>")
 
 
-def scan(queries: np.ndarray, cell: np.ndarray, k: int, block: int, epsilon: float) -> np.ndarray:
+def scan(queries: np.ndarray, cell: np.ndarray, k: int, block: int, epsilon: float, inner: bool = False) -> np.ndarray:
     """Indices into ``cell`` of each query's k nearest found (-1: none), by the adaptive dimension scan.
 
-    Both are rotated.  The first ``head`` vectors are compared whole and give the first k-th best distances.
+    Both are rotated.  Nearest by distance, or with ``inner`` by largest inner product.  Vectors are ranked by
+    |x|^2 - 2qx, or -2qx; from the k-th best of that follows the |q - x|^2 beyond which x is abandoned.
+    The first ``head`` vectors are compared whole and give the first k-th best.
     """
     m, (n, dims) = len(queries), cell.shape
     head = min(n, max(4 * k, 128))
     norm_q, norm_x = np.einsum("ij,ij->i", queries, queries), np.einsum("ij,ij->i", cell, cell)
-    far = norm_q[:, None] + norm_x[:head] - 2 * queries @ cell[:head].T
+    own = np.zeros_like(norm_x) if inner else norm_x
+    far = own[:head] - 2 * queries @ cell[:head].T
     best_at = np.tile(np.arange(head), (m, 1))
     best, best_at = _least(far, best_at, k)
     ends = [*range(block, dims, block), dims]
@@ -194,15 +201,18 @@ def scan(queries: np.ndarray, cell: np.ndarray, k: int, block: int, epsilon: flo
             else:
                 gap = queries[q, begin:end] - part[x, begin:end]
                 so_far = so_far + np.einsum("ij,ij->i", gap, gap)
-            limit = worst * ((1 + epsilon / math.sqrt(end)) ** 2 * end / dims if end < dims else 1 + 1e-6)
-            alive = so_far <= limit[q]
+            limit = worst[q] + norm_q[q] + (norm_x - own)[lo + x]
+            if end < dims:
+                limit = limit * ((1 + epsilon / math.sqrt(end)) ** 2 * end / dims)
+            # the second term is beyond the rounding error of so_far
+            alive = so_far <= limit + 1e-6 * (norm_q[q] + norm_x[lo + x])
             q, x, so_far, begin = q[alive], x[alive], so_far[alive], end
             if len(q) == 0:
                 break
         if len(q):
             rows, slot = np.unique(q, return_inverse=True)
-            wide = np.full((len(rows), len(part)), np.inf, dtype=so_far.dtype)
-            wide[slot, x] = so_far
+            wide = np.full((len(rows), len(part)), np.inf, dtype=best.dtype)
+            wide[slot, x] = own[lo + x] - 2 * np.einsum("ij,ij->i", queries[q], part[x])
             at = np.broadcast_to(np.arange(lo, lo + len(part)), wide.shape)
             merged, merged_at = np.concatenate([best[rows], wide], axis=1), np.concatenate([best_at[rows], at], axis=1)
             least, least_at = _least(merged, merged_at, k)
@@ -244,12 +254,12 @@ def _search(cells: DataFrame, index: Index, s: Settings) -> DataFrame:
                     keys, vectors = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
                     order = np.argsort(keys)
                     keys, vectors = keys[order], vectors[order]
-                    ready = keys, vectors, (ix.lift(vectors, False) @ ix.rotation).astype(np.float32)
+                    ready = keys, vectors, vectors @ ix.rotation
                 keys, vectors, rotated = ready
                 for at in range(0, part.num_rows, 256):
                     few = part.slice(at, 256)
                     names, asked = few.column("vkey").to_numpy(), matrix(few.column("vec"))
-                    found = scan((ix.lift(asked, True) @ ix.rotation).astype(np.float32), rotated, k, s.block, s.epsilon)
+                    found = scan(asked @ ix.rotation, rotated, k, s.block, s.epsilon, inner=True)
                     score = np.einsum("ij,ikj->ik", asked, vectors[found])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(names, found.shape[1])), pa.array(keys[found].ravel()), pa.array(score.ravel())],

@@ -92,6 +92,33 @@ def test_reach():
     assert [sorted(lists[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[0, 1, 2, 3]] * 2
 
 
+@pytest.mark.parametrize("norm", [1e4, 1e9])
+def test_one_long_vector_swamps_none(spark, norm):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[7] *= norm
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    want = brute([(i, np.array(v)) for i, v in rows])
+    got: dict[int, set[int]] = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.expr(ASKS)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert got.keys() == want.keys()
+    assert np.mean([len(got[q] & set(want[q])) / 20 for q in want]) >= 0.9
+
+
+@pytest.mark.parametrize("norm", [1.0, 1e4, 1e9])
+def test_scan_by_inner_product(norm):
+    rng = np.random.default_rng(4)
+    cell = rng.normal(size=(3000, 64))
+    cell /= np.linalg.norm(cell, axis=1)[:, None]
+    cell[1500] *= norm
+    queries = rng.normal(size=(50, 64))
+    found = ann.scan(queries, cell, 21, 16, 2.1, inner=True)
+    exact = np.argsort(-queries @ cell.T, axis=1)[:, :21]
+    assert np.mean([len(set(a) & set(b)) / 21 for a, b in zip(found, exact, strict=True)]) > 0.95
+
+
 def test_scan_abandons_but_finds():
     rng = np.random.default_rng(2)
     cell = rng.normal(size=(3000, 65)).astype(np.float32)
