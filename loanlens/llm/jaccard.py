@@ -42,7 +42,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loanlens.llm import words as W
 from loanlens.llm.components import connected_components
@@ -465,22 +464,42 @@ def _all_across(rows: DataFrame, s: Settings) -> DataFrame:
     return near.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
 
 
+def _noded(documents: DataFrame, s: Settings) -> DataFrame:
+    """Every row whole, as ``row``, with its node (null without words)."""
+    source = documents.select(F.struct(*documents.columns).alias("row"), F.col("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in W.chunks(batch.column("text")):
+                sets = shingle_sets(chunk, s.words)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(chunk.first, chunk.rows),
+                     pa.array(sets.node().view(np.int64), pa.int64(), mask=sets.sizes == 0)], ["row", "node"])
+
+    return source.mapInArrow(run, source.select("row").schema.add("node", "long"))
+
+
 def one_of_each(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The input with one document of each class, the one with the smallest doc_id; same columns in the same order.
+    """The input with one row of each class, the one with the smallest doc_id, then the first by text; same columns in the same order.
 
-    Rows without words are in no class and stay, as do rows with a null doc_id, which cannot be
-    named.  Rows that share a doc_id are one document: it goes as a whole, and of one that
-    stays in a class, repeated rows go but one (the first by text).
+    Only rows of one class replace each other: rows that share a doc_id with different texts are
+    judged one by one.  Rows without words are in no class and stay.  Rows with a null doc_id
+    cannot be named: of those in a class one stays, the first by text, beside the one with the smallest doc_id.
     """
-    found = cut(near_duplicates(documents, s).where("n_shingles > 0 AND doc_id IS NOT NULL"))
-    lose = found.where("doc_id <> component_id").select(F.col("doc_id").alias("lost_id")).distinct()
-    again = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("again_id")).agg(
-        F.count("*").alias("copies")).where("copies > 1").select("again_id")
-    row = documents.select(F.struct(*documents.columns).alias("row"))
-    kept = row.join(lose, F.col("row.doc_id") == F.col("lost_id"), "left_anti")
+    members, roots = _classes(documents, s)
+    keys = members.where("n_shingles > 0").groupBy("doc_id", "node").agg(F.count("*").alias("copies"))
+    named = cut(_named(keys, roots).withColumn("nameless", F.col("doc_id").isNull()))
+    least = named.groupBy("root", "nameless").agg(F.min("doc_id").alias("least"), F.sum("copies").alias("rows"))
+    several = named.join(least.where("rows > 1"), ["root", "nameless"]).withColumn("first", F.col("doc_id").eqNullSafe(F.col("least")))
+    first = several.where("first").groupBy("root", "nameless").agg(F.sum("copies").alias("firsts")).where("firsts > 1")
+    key = [F.col("doc_id").alias("its_id"), F.col("node").alias("its_node")]
+    lose = several.where("NOT first").select(*key)
+    again = cut(several.where("first").join(first, ["root", "nameless"]).select(*key, "root", "nameless"))
+    rows = _noded(documents, s)
+    same = (F.col("node") == F.col("its_node")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("its_id"))
+    kept = rows.join(lose.unionByName(again.select("its_id", "its_node")), same, "left_anti").select("row")
     if _any(again):
-        same = F.col("row.doc_id") == F.col("again_id")
-        first = Window.partitionBy("row.doc_id").orderBy("row.text")
-        repeats = kept.join(again, same, "left_semi").withColumn("k", F.row_number().over(first)).where("k = 1")
-        kept = kept.join(again, same, "left_anti").unionByName(repeats.select("row"))
+        order = F.struct(F.col("row.text").alias("text"), F.to_json("row").alias("whole"))
+        repeats = rows.join(again, same).groupBy("root", "nameless").agg(F.min_by("row", order).alias("row"))
+        kept = kept.unionByName(repeats.select("row"))
     return kept.select("row.*")

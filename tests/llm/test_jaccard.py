@@ -107,6 +107,27 @@ def test_one_of_each(spark):
     assert kept.count(None) == sum(c[0] is None for c in classes)
 
 
+def test_one_of_each_judges_rows(spark):
+    rng = random.Random(7)
+    one, two, three, four, five = (sentence(rng, 40) for _ in range(5))
+    near = " ".join([*four.split()[:-1], "changed"])
+    rows = [
+        (1, one), (1, two), (1, None), (1, " "),  # different texts under one id, none a copy
+        (3, three), (5, three), (5, four), (5, ""),  # one text of an id is a copy of an earlier document
+        (7, near), (7, near), (9, near),  # a near copy, again, of a text of document 5
+        (None, five), (None, five), (None, five.upper()), (None, sentence(rng, 30)),  # copies without ids
+    ]
+    rows += [(100, sentence(rng, 30)) for _ in range(20)]  # a hot id
+    rows += rows[-3:]
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    got = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect()]
+    lost = [(5, three), (7, near), (7, near), (9, near), (None, five), (None, five), *rows[-3:]]
+    want = list(rows)
+    for row in lost:
+        want.remove(row)
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     assert jaccard.one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
