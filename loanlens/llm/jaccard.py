@@ -219,6 +219,33 @@ def _possible(n, i, m, j, percent: int):
     return (100 * least(n, m) >= percent * most(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
 
 
+def _texts(documents: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """One text of every node of ``ids`` (node, doc_id).
+
+    A document is fetched by doc_id and node together: under a repeated or null doc_id each node
+    meets its own rows only.
+    """
+    source = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in W.chunks(batch.column("text")):
+                sets = shingle_sets(chunk, s.words)
+                node = sets.node().view(np.int64)
+                ids = batch.column("id").slice(chunk.first, chunk.rows)
+                # rows of one id and node go once a chunk
+                pairs = np.stack([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), node], axis=1)
+                once = np.unique(pairs, axis=0, return_index=True)[1]
+                once = pa.array(once[sets.sizes[once] > 0])
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(once), pa.array(node).take(once), batch.column("text").slice(chunk.first, chunk.rows).take(once)],
+                    ["id", "own", "text"])
+
+    rows = source.mapInArrow(run, "id long, own long, text string")
+    return (rows.join(ids, (F.col("own") == F.col("node")) & F.col("id").eqNullSafe(F.col("doc_id")))
+            .select("node", "text").dropDuplicates(["node"]))
+
+
 def _signed(texts: DataFrame, s: Settings) -> DataFrame:
     """Each node's set size and parities."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +257,7 @@ def _signed(texts: DataFrame, s: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sets.node().view(np.int64)), pa.array(sets.sizes, pa.int32()), lists], ["node", "size", "bits"])
 
-    return texts.select("text").mapInArrow(run, "node long, size int, bits array<long>").dropDuplicates(["node"])
+    return texts.select("text").mapInArrow(run, "node long, size int, bits array<long>")
 
 
 def _alike(n: Column, m: Column, x: Column, y: Column, s: Settings) -> Column:
@@ -334,13 +361,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
             node = batch.column("node").to_numpy()
             for chunk in W.chunks(batch.column("text")):
                 sets = shingle_sets(chunk, s.words)
-                true_node = sets.node().view(np.int64)
                 linked = []
                 for i in range(chunk.rows):
                     k = chunk.first + i
                     mine = sets.values[sets.bounds[i] : sets.bounds[i + 1]]
-                    if true_node[i] != node[k]:  # a text that only shares the doc_id
-                        continue
                     if node[k] == b[k]:
                         head, head_set = b[k], mine.copy()
                         continue
@@ -383,8 +407,7 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     in_play = shared.select("node").distinct()
     ids = (members.where("n_shingles > 0").join(in_play, "node", "left_semi")
            .groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    texts = cut(documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-                .join(ids, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "text"))
+    texts = cut(_texts(documents, ids, s))
 
     signed = cut(_signed(texts, s))
     # a leader is its token's smallest node: pairs are (larger node, smaller node) throughout

@@ -128,6 +128,26 @@ def test_one_of_each_judges_rows(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_one_id_meet_no_other(spark, monkeypatch, doc_id):
+    rng = random.Random(8)
+    base = sentence(rng, 60).split()
+    texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(50)]
+    rows = [(doc_id, t, "en", "s", 0) for t in texts + texts[:5]] + [(100, texts[0], "en", "s", 0)]
+    written = []
+
+    def counted(df):
+        out = cut(df)
+        if out.columns == ["node", "text"]:
+            written.append(out.count())
+        return out
+
+    cut = jaccard.cut
+    monkeypatch.setattr(jaccard, "cut", counted)
+    assert sorted(found(spark, rows), key=repr) == sorted(brute(rows), key=repr)
+    assert written == [50]
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     assert jaccard.one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
