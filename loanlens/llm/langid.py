@@ -3,8 +3,8 @@
 A text's features are its byte n-grams of 2 to 4 bytes that lie within a word, word edges
 included, hashed into ``buckets``.  The mean of their embeddings goes through a linear layer
 and a softmax.  Embeddings and layer are trained together by stochastic gradient descent
-in numpy, on a sample of at most about ``per_language`` labelled texts of each language and
-``max_languages`` languages, drawn by a hash of the row's key; the rest of the sample sets the
+in numpy, on a sample of at most about ``per_language`` labelled texts of every language, drawn by a
+hash of the row's key (fewer of each, but ``least_rows``, where that passes ``sample_rows``); the rest of the sample sets the
 softmax's temperature and the score below which a prediction counts as rejected.
 
 Prediction is one pass over the whole texts without a shuffle.  Only embeddings @ layer, one
@@ -36,8 +36,10 @@ class Settings:
     lengths: tuple[int, ...] = (2, 3, 4)
     dim: int = 16
     per_language: int = 800
-    max_languages: int = 64
+    sample_rows: int = 51_200
+    least_rows: int = 20
     epochs: int = 12
+    least_steps: int = 60  # per language: many languages with few rows each take more epochs
     batch: int = 16
     rate: float = 40.0
     precision: float = 0.995  # wanted among the predictions that aren't rejected
@@ -87,17 +89,21 @@ def softmax(z: np.ndarray) -> np.ndarray:
 def train(x: np.ndarray, labels: list[str], s: Settings) -> Model:
     """Fit on rows of ``x``; one row in five is kept aside for the temperature and the rejection score."""
     languages = sorted(set(labels))
-    y = np.array([languages.index(v) for v in labels])
+    place = {v: i for i, v in enumerate(languages)}
+    y = np.array([place[v] for v in labels])
     rng = np.random.default_rng(s.seed)
     aside = rng.random(len(y)) < 0.2
+    aside[np.unique(y, return_index=True)[1]] = False  # something to learn from in every language
     if aside.all() or len(y) < 20:
         aside[:] = False
     embed = rng.normal(0, 0.1, (s.buckets, s.dim))
     layer, bias = rng.normal(0, 0.1, (s.dim, len(languages))), np.zeros(len(languages))
     train_rows = np.flatnonzero(~aside)
-    steps, done = s.epochs * -(-len(train_rows) // s.batch), 0
-    for _ in range(s.epochs):
-        for rows in np.array_split(rng.permutation(train_rows), max(1, -(-len(train_rows) // s.batch))):
+    a_turn = max(1, -(-len(train_rows) // s.batch))
+    epochs = max(s.epochs, -(-s.least_steps * len(languages) // a_turn))
+    steps, done = epochs * a_turn, 0
+    for _ in range(epochs):
+        for rows in np.array_split(rng.permutation(train_rows), a_turn):
             mean = x[rows] @ embed
             gap = softmax(mean @ layer + bias)
             gap[np.arange(len(rows)), y[rows]] -= 1
@@ -137,14 +143,15 @@ def _featured(texts: DataFrame, s: Settings) -> DataFrame:
 def fit(documents: DataFrame, learn_from: Column, s: Settings = Settings()) -> Model | None:
     """A model of (text, lang), drawn by the rows' ``doc_id`` among those that ``learn_from`` marks; None if there are none."""
     told = documents.select("doc_id", "text", "lang").where(learn_from & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = told.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.max_languages).collect()
-    if not counts:
+    counts = told.groupBy(F.col("lang").alias("its_lang")).agg(F.count("*").alias("rows"))
+    languages = counts.count()
+    if not languages:
         return None
+    each = min(s.per_language, max(s.least_rows, s.sample_rows // languages))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(s.seed)), F.lit(1 << 30))
-    most = F.lit(None)
-    for r in counts:
-        most = F.when(F.col("lang") == r["lang"], int(min(1.0, s.per_language / r["count"]) * (1 << 30))).otherwise(most)
-    drawn = _featured(told.where(draw < most), s).limit(2 * s.per_language * len(counts)).toArrow()
+    most = (F.least(F.lit(1.0), F.lit(float(each)) / F.col("rows")) * (1 << 30)).cast("long")
+    some = told.join(F.broadcast(counts), F.col("lang") == F.col("its_lang")).where(draw < most)
+    drawn = _featured(some, s).limit(2 * each * languages).toArrow()
     if drawn.num_rows == 0:
         return None
     x = np.frombuffer(b"".join(drawn.column("x").to_pylist()), dtype=np.float32).reshape(drawn.num_rows, -1)

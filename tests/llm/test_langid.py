@@ -38,6 +38,20 @@ def test_odd_rows(spark):
         assert r["score"] == 0 if none else r["lang_pred"] in model.languages
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(80):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)]
+        rows += [(len(rows) + k, " ".join(rng.choice(words, 40)), f"l{i:02}", "s", 0) for k in range(40 - i // 4)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit(docs, F.lit(True))
+    assert model.languages == [f"l{i:02}" for i in range(80)]
+    out = langid.predict(docs, model, ["lang"]).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.95
+    assert len({r["lang_pred"] for r in out}) == 80
+
+
 def test_nothing_to_learn(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert langid.fit(empty, F.lit(True)) is None
