@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from loanlens.llm.chat import Settings as ChatSettings
+from loanlens.llm.divergence import Settings as AuditSettings
 from loanlens.llm.linededup import Settings as LineSettings
 from loanlens.llm.mixing import Settings as MixSettings
 from loanlens.llm.quality import Limits
@@ -223,3 +224,34 @@ def line_dedup() -> str:
     WITH {line_ctes()}
     SELECT doc_id, len(dropped)::BIGINT AS n_dropped, array_to_string(dropped, ',') AS dropped_lines,
            length(clean)::BIGINT AS clean_chars, md5(clean) AS clean_md5 FROM line_clean"""
+
+
+def source_divergence(s: AuditSettings = AuditSettings()) -> str:
+    p = f"1 + {s.unit}::HUGEINT * (coalesce({{n}}, 0) + 1) // ({{total}} + v)"
+    return rf"""
+    WITH rows_of AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    found AS (
+        SELECT rid, lang, source, unnest(regexp_extract_all({LOWERED.format(text='text')}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM rows_of),
+    kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT rid) >= {s.min_docs}),
+    uses AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    langs AS (
+        SELECT lang, count(k.term) AS v, coalesce(sum(k.n), 0) AS total
+        FROM (SELECT DISTINCT lang FROM rows_of) LEFT JOIN kept k USING (lang) GROUP BY lang),
+    sources AS (
+        SELECT g.lang, g.source, any_value(l.v) AS v, coalesce(sum(u.n), 0) AS total, any_value(l.total) AS lang_total
+        FROM (SELECT DISTINCT lang, source FROM rows_of) g JOIN langs l USING (lang)
+        LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source GROUP BY g.lang, g.source),
+    weights AS (
+        SELECT s.lang, s.source, k.term, coalesce(u.n, 0) AS n, {p.format(n='u.n', total='s.total')} AS p, {p.format(n='k.n', total='s.lang_total')} AS q
+        FROM sources s JOIN kept k USING (lang) LEFT JOIN uses u ON u.lang = s.lang AND u.source = s.source AND u.term = k.term),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM weights a JOIN weights b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    valued AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+        FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM weights WHERE n > 0 AND p > q)
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM valued
+    QUALIFY part = 'pair' OR rank <= {s.top_terms}"""
