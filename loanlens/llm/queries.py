@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import alignment, ann, chat, divergence, jaccard, langid, linededup, mixing, packing, quality, sharding, sql, urls
+from loanlens.llm import alignment, ann, chat, divergence, fingerprints, jaccard, langid, linededup, mixing, packing, quality, sharding, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("clean_text").cast("long").alias("clean_chars"), F.md5("clean_text").alias("clean_md5"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they and the next document are."""
+    found = fingerprints.compared(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", fingerprints.fingerprint(F.col("own")).alias("fingerprint"),
+                        fingerprints.fingerprint(F.col("edited")).alias("edited_fingerprint"),
+                        "near_edited", "near_next", "kept_share", "distinct_shingles")
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of the tokens that two tokenizers give every document, scored over the corpus."""
     return alignment.link_statistics(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -90,7 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_nearest_neighbours, op4_url_filters, op5_language_id,
         op6_source_mixing, op7_sharding, op8_sequence_packing, op9_chat_formatting, op10_line_dedup,
-        op12_tokenizer_alignment, op13_source_divergence)}
+        op11_document_fingerprints, op12_tokenizer_alignment, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -101,5 +109,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_source_mixing": sql.source_mixing(),
         "op9_chat_formatting": sql.chat_formatting(),
         "op10_line_dedup": sql.line_dedup(),
+        "op11_document_fingerprints": sql.document_fingerprints(),
         "op13_source_divergence": sql.source_divergence(),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from loanlens.llm.chat import Settings as ChatSettings
 from loanlens.llm.divergence import Settings as AuditSettings
+from loanlens.llm.fingerprints import Settings as SketchSettings
 from loanlens.llm.linededup import Settings as LineSettings
 from loanlens.llm.mixing import Settings as MixSettings
 from loanlens.llm.quality import Limits
@@ -255,3 +256,32 @@ def source_divergence(s: AuditSettings = AuditSettings()) -> str:
         SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM weights WHERE n > 0 AND p > q)
     SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM valued
     QUALIFY part = 'pair' OR rank <= {s.top_terms}"""
+
+
+def document_fingerprints(s: SketchSettings = SketchSettings()) -> str:
+    sketch = (f"CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < {s.shingle} THEN [md5(array_to_string(ws, ' '))[1:16]] "
+              f"ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - {s.shingle - 2}), "
+              f"lambda i: md5(array_to_string(ws[i : i + {s.shingle - 1}], ' '))[1:16])))[1:{s.k}] END")
+    union = "list_sort(list_distinct(list_concat({x}, {y})))[1:%d]" % s.k
+    near = f"CASE WHEN len(own) + len({{y}}) = 0 THEN 1.0 ELSE len(list_intersect({union.format(x='own', y='{y}')}, list_intersect(own, {{y}})))::DOUBLE / len({union.format(x='own', y='{y}')}) END"
+    return rf"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+    nexts AS (
+        SELECT rid, doc_id, text, coalesce(lead(text) OVER t, first_value(text) OVER t) AS following,
+               coalesce(lead(rid) OVER t, first_value(rid) OVER t) AS next_rid
+        FROM docs WINDOW t AS (ORDER BY doc_id DESC NULLS LAST, md5(text) ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    changed AS (
+        SELECT *, substr(text, 1, (length(text) - length(text) // 2)::INT) || substr(following, 1, (length(text) // 2)::INT) AS edited_text FROM nexts),
+    own AS MATERIALIZED (SELECT rid, {sketch} AS own FROM (SELECT rid, {words('text')} AS ws FROM docs)),
+    edits AS MATERIALIZED (SELECT rid, {sketch} AS edited FROM (SELECT rid, {words('edited_text')} AS ws FROM changed)),
+    sketched AS (
+        SELECT c.*, o.own, e.edited, n.own AS after
+        FROM changed c JOIN own o USING (rid) JOIN edits e USING (rid) JOIN own n ON n.rid = c.next_rid),
+    held AS (SELECT *, list_intersect({union.format(x='own', y='edited')}, own) AS mine FROM sketched)
+    SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited_text) AS edited_sha256,
+           array_to_string(own, '') AS fingerprint, array_to_string(edited, '') AS edited_fingerprint,
+           {near.format(y='edited')} AS near_edited, {near.format(y='after')} AS near_next,
+           CASE WHEN len(own) = 0 THEN 1.0 WHEN len(mine) = 0 THEN 0.0 ELSE len(list_intersect(mine, edited))::DOUBLE / len(mine) END AS kept_share,
+           CASE WHEN len(own) < {s.k} THEN len(own)
+                ELSE floor({float((s.k - 1) << 48)}::DOUBLE / (('0x' || own[{s.k}][1:12])::BIGINT::DOUBLE + 1.0))::BIGINT END AS distinct_shingles
+    FROM held"""
