@@ -6,7 +6,7 @@ byte ranges end together (``links="ends"``) or overlap (``links="overlaps"``).
 
 1. Texts are cut before a space that follows another character and precedes one that is not white
    space.  Neither tokenizer has a token across such a place (for B, ``Tokenizers`` makes sure of it),
-   so each distinct piece of a block of texts is tokenized once, in a cache that a worker keeps.
+   so each distinct piece of a block of texts is tokenized once.
 2. Interval coalescing, for a block of texts at once: the tokens of A and B, as byte intervals, are
    lexsorted by start, the running maximum of their ends is accumulated, and a group begins where a
    start reaches it.  Overlaps are expanded inside a group: there are fewer of them than tokens.
@@ -31,6 +31,7 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,7 @@ from pyspark.sql import types as T
 from loanlens.llm.state import cut
 from loanlens.llm.words import Chunk, chunks
 
-BLOCK_BYTES = 1 << 22
-CACHED = 1 << 18  # pieces that a worker keeps
+BLOCK_BYTES = 1 << 21
 
 #: Bytes that may begin a white space character (some begin others too: there a text is not cut).
 MAYBE_SPACE = np.zeros(256, dtype=bool)
@@ -64,18 +64,21 @@ def byte_of_character() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Both tokenizers, the bytes of their tokens, and the pieces tokenized so far."""
+    """Both tokenizers and the bytes of their tokens.
+
+    Where A's merges make tokens in the order of their ids (so that a token's id is its rank), its vocabulary
+    is run by tiktoken, which gives the same ids in a third of the time; any other A by its own library.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.b = SentencePieceProcessor(model_file=b_path)
-        of = byte_of_character()
-        vocabulary = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
-        special = {t["id"] for t in json.loads(self.a.to_str())["added_tokens"]}
+        a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
+        a.encode_special_tokens = True
+        settings, of = json.loads(a.to_str()), byte_of_character()
+        vocabulary = {i: t for t, i in a.get_vocab(with_added_tokens=True).items()}
+        special = {t["id"] for t in settings["added_tokens"]}
         self.a_bytes = [vocabulary[i].encode() if i in special else bytes(of[c] for c in vocabulary[i]) if i in vocabulary else b""
                         for i in range(max(vocabulary) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -83,19 +86,26 @@ class Tokenizers:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError(f"{b_path} has pieces across words: texts cannot be cut before spaces")
         self.a_size, self.b_size = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.known: dict[str, tuple[list[int], list[int]] | None] = {}
+        self._encode_a = self._ranked(settings, special) or (
+            lambda texts: [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _ranked(self, settings: dict, special: set[int]):
+        made = [settings["model"]["vocab"].get("".join(m if isinstance(m, list) else m.split(" "))) for m in settings["model"]["merges"]]
+        plain = settings["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        if not plain or settings["normalizer"] or None in made or any(x >= y for x, y in zip(made, made[1:], strict=False)):
+            return None
+        import tiktoken
+
+        ranks = {t: i for i, t in enumerate(self.a_bytes) if t and i not in special}
+        encoding = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: [encoding.encode_ordinary(x) for x in texts]
 
-    def of(self, pieces: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of A and of B for each piece (without its leading space); None where their bytes are not the piece's."""
-        if len(self.known) > CACHED:
-            self.known.clear()
-        fresh = [p for p in pieces if p not in self.known]
-        for p, a, b in zip(fresh, self.a.encode_batch_fast([" " + p for p in fresh], add_special_tokens=False),
-                           self.b.encode(fresh, num_threads=1) if fresh else [], strict=True):
-            want, a = b" " + p.encode(), a.ids
-            same = b"".join([self.a_bytes[i] for i in a]) == want == b"".join([self.b_bytes[i] for i in b])
-            self.known[p] = (a, b) if same else None
-        return [self.known[p] for p in pieces]
+    def of(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of A and of B for each piece (without its leading space), and whether the bytes of both are the piece's."""
+        a, b = self._encode_a([" " + p for p in pieces]), self.b.encode(pieces, num_threads=1) if pieces else []
+        same = [b"".join([self.a_bytes[i] for i in x]) == b" " + p.encode() == b"".join([self.b_bytes[i] for i in y])
+                for p, x, y in zip(pieces, a, b, strict=True)]
+        return a, b, np.array(same, dtype=bool)
 
 
 @lru_cache(maxsize=2)
@@ -188,20 +198,18 @@ def align_block(block: Chunk, t: Tokenizers, links: str = "ends") -> Aligned:
     pieces, bounds = _pieces(block)
     coded = pieces.dictionary_encode()
     code = coded.indices.to_numpy()
-    known = t.of(coded.dictionary.to_pylist())
-    bad = np.array([k is None for k in known], dtype=bool)
+    *ids, same = t.of(coded.dictionary.to_pylist())
     text_of = np.repeat(np.arange(block.rows), np.diff(bounds))
     whole = np.ones(block.rows, dtype=bool)
-    whole[text_of[bad[code]]] = False
+    whole[text_of[~same[code]]] = False
     use = whole[text_of]
     code, text_of = code[use], text_of[use]
 
     def flat(side: int) -> tuple[np.ndarray, np.ndarray]:
-        lists = [k[side] if k else [] for k in known]
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-        values = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=offsets[-1])
-        ids, size = _ragged(values, offsets, code)
-        return ids, np.concatenate([[0], np.cumsum(np.bincount(text_of, size, block.rows).astype(np.int64))])
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids[side]], dtype=np.int64)])
+        values = np.fromiter(chain.from_iterable(ids[side]), dtype=np.int64, count=offsets[-1])
+        taken, size = _ragged(values, offsets, code)
+        return taken, np.concatenate([[0], np.cumsum(np.bincount(text_of, size, block.rows).astype(np.int64))])
 
     (a, a_bounds), (b, b_bounds) = flat(0), flat(1)
     a_ends, b_ends = np.cumsum(t.a_size[a]), np.cumsum(t.b_size[b])  # the same bytes: every text used is whole

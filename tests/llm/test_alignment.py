@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
@@ -10,11 +11,14 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from loanlens.llm import alignment
 from tests.llm.rows import SCHEMA, documents, frame
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+READER = Tokenizer.from_file(A)
+READER.encode_special_tokens = True
 
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "  a   b  ", "a \n b", "a\n\n b", "\n", "\t x", "a  b  c", "a　b 　c",
        "x \x1c y", "a\x85 b \x85c", "▁", "a▁ b", "a ▁b", "don't I'll", "<s> </s> <unk> <0x0A>", "<|endoftext|> x<|endoftext|>", "é ü 漢字 👩‍👩‍👧 \x00 x",
@@ -25,7 +29,7 @@ def tokens(text):
     """Ids and byte intervals of both tokenizers, or None where they do not cover a space and the text."""
     t = alignment.tokenizers(A, B)
     whole = b" " + text.encode()
-    a, b = t.a.encode(" " + text, add_special_tokens=False).ids, t.b.encode(text)
+    a, b = READER.encode(" " + text, add_special_tokens=False).ids, t.b.encode(text)
     if not text or b"".join(t.a_bytes[i] for i in a) != whole or b"".join(t.b_bytes[i] for i in b) != whole:
         return None
     return [[(i, int(s), int(s) + len(of[i])) for i, s in zip(ids, np.cumsum([0] + [len(of[i]) for i in ids]), strict=False)]
@@ -104,6 +108,15 @@ def test_pairs_are_bounded_by_the_vocabularies():
     assert alignment.byte_of_character()["Ġ"] == 0x20
 
 
+@pytest.mark.parametrize("change", [lambda j: j["model"]["merges"].reverse(), lambda j: j["pre_tokenizer"].update(add_prefix_space=True)])
+def test_only_ranked_merges_are_run_as_ranks(change):
+    t = alignment.tokenizers(A, B)
+    settings = json.loads(READER.to_str())
+    assert t._ranked(settings, {50256})(["<|endoftext|> it's"]) == [READER.encode("<|endoftext|> it's", add_special_tokens=False).ids]
+    change(settings)
+    assert t._ranked(settings, {50256}) is None
+
+
 def test_more_pairs_than_possible_is_an_error(spark):
     aligned = alignment.align(frame(spark), A, B, outputs=("pairs",))
     with pytest.raises(ValueError):
