@@ -41,11 +41,23 @@ from loanlens.operators import (
     monthly_payments_for_loans,
     monthly_payments_payment_level,
     payment_branch_counts,
+    payments_by_loan_backfill,
+    payments_for_loans_backfill,
+    reconcile,
+)
+from loanlens.operators.cohort import V1_COLUMNS
+from loanlens.operators.payments import LEVEL_COLUMNS
+from loanlens.plans.publish import (
+    drop_cohort,
+    drop_cohort_month,
+    publish_cohort,
+    read_cohort,
+    stored_cohort,
 )
-from loanlens.plans.publish import drop_cohort, drop_cohort_month, publish_cohort, read_cohort
 from loanlens.plans.stored import drop_stored, store
 from loanlens.session import shared_dir
 from loanlens.sources.book import read_book, write_book
+from loanlens.sources.replay import book_as_of
 from loanlens.sources.testdata import book_from_testdata
 
 AS_OF = date(1998, 7, 1)
@@ -55,6 +67,11 @@ MID_MONTH, MONTH_END = date(1998, 7, 15), date(1997, 3, 31)
 # A replay of a month given by its dates, and a list of loans, as a user types them.
 REPLAY = ReportingWindow(date(1997, 6, 1), date(1997, 6, 30))
 REPLAY_LOANS = tuple(range(1, 20000, 7))
+# A year of runs to be made up for, at the first or in the middle of a month.
+BACKFILL = tuple(date(1997, m, 1 if m % 2 else 15) for m in range(1, 13))
+# What identifies a row of two versions of a report.
+COHORT_KEY = ["loan_id", "external_id", "original_application_id"]
+LEVEL_KEY = ["Loan_Id", "External_ID", "Original_Application_Id", "Actual_Payment_Date"]
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -108,7 +125,7 @@ def _published(book, name: str, build):
         publish_cohort(build(), table, month, path=path)
         _WRITTEN.setdefault(id(spark), []).append(path)
         _WRITTEN.setdefault((id(spark), "tables"), []).append(table)
-        hit = _PLANS[key] = (book, read_cohort(spark, table, month))
+        hit = _PLANS[key] = (book, stored_cohort(spark, table, month))
     return hit[1]
 
 
@@ -250,6 +267,41 @@ def _cohort_report(operator, as_of):
     return query
 
 
+def _as_it_stood(operator, as_of, **parameters):
+    """A query that runs a report at a past date on the book as it stood then."""
+    def query(spark, sf_dir):
+        return comparable(operator(book_as_of(_book(spark, sf_dir), as_of), as_of, **parameters))
+    return query
+
+
+def q_payments_for_loans_backfill(spark, sf_dir):
+    """Twelve past runs of the report in one pass over the payments."""
+    return comparable(payments_for_loans_backfill(_book(spark, sf_dir), BACKFILL))
+
+
+def q_payments_by_loan_backfill(spark, sf_dir):
+    book = _book(spark, sf_dir)
+    return comparable(payments_by_loan_backfill(_whole_book_cohort(book), book.loan_payment, BACKFILL))
+
+
+def q_cohort_versions_reconciled(spark, sf_dir):
+    """Where the cohort through facilities differs from the direct one, on the whole book."""
+    book = _book(spark, sf_dir)
+    return reconcile(loan_cohort_v1(book, AS_OF, window=WHOLE_BOOK), _whole_book_cohort(book).table, COHORT_KEY, _beside(V1_COLUMNS, COHORT_KEY))
+
+
+def q_payment_levels_reconciled(spark, sf_dir):
+    """Where the payment-level report on window C differs from the one on window B."""
+    book = _book(spark, sf_dir)
+    cohort = _whole_book_cohort(book)
+    return reconcile(monthly_payments(cohort, book.loan_payment, AS_OF), monthly_payments_payment_level(cohort, book, AS_OF),
+                     LEVEL_KEY, _beside(LEVEL_COLUMNS, LEVEL_KEY))
+
+
+def _beside(columns: list[str], keys: list[str]) -> list[str]:
+    return [c for c in columns if c not in keys]
+
+
 def q_accepted_month_end(spark, sf_dir):
     book = _book(spark, sf_dir)
     cohort = loan_cohort_v2(book, MONTH_END, load_dttm=LOAD_DTTM)
@@ -333,13 +385,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payments_by_loan_month_end": _cohort_report(monthly_payments_by_loan, MONTH_END),
         "payments_for_loans_mid_month": _report(monthly_payments_for_loans, MID_MONTH),
         "payments_for_given_loans": _report(monthly_payments_for_loans, MONTH_END, loan_ids=REPLAY_LOANS),
+        "payments_for_loans_backfill": q_payments_for_loans_backfill,
+        "payments_by_loan_backfill": q_payments_by_loan_backfill,
+        "cohort_v2_as_it_stood": _as_it_stood(loan_cohort_v2, MONTH_END, load_dttm=LOAD_DTTM),
+        "applications_facility_as_it_stood": _as_it_stood(all_applications_facility, MONTH_END),
+        "payments_for_loans_as_it_stood": _as_it_stood(monthly_payments_for_loans, MONTH_END),
+        "cohort_versions_reconciled": q_cohort_versions_reconciled,
+        "payment_levels_reconciled": q_payment_levels_reconciled,
     } | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     cohort_v2 = oracle.cohort_v2_sql(AS_OF, LOAD_DTTM)
     replay = oracle.typed(REPLAY.start, REPLAY.end)
-    return {
+    with oracle.as_it_stood(MONTH_END):
+        stood = {
+            "cohort_v2_as_it_stood": oracle.cohort_v2_sql(MONTH_END, LOAD_DTTM),
+            "applications_facility_as_it_stood": oracle.applications_facility_sql(MONTH_END),
+            "payments_for_loans_as_it_stood": oracle.payments_for_loans_sql(MONTH_END),
+        }
+    return stood | {
         "cohort_v1": oracle.cohort_v1_sql(AS_OF),
         "cohort_v2": cohort_v2,
         "cohort_v2_whole_book": oracle.cohort_v2_sql(AS_OF, LOAD_DTTM, whole_book=True),
@@ -367,5 +432,13 @@ def oracle_sql() -> dict[str, str]:
         "payments_level_b_mid_month": oracle.payments_level_sql(MID_MONTH, LOAD_DTTM, "B"),
         "payments_by_loan_month_end": oracle.payments_by_loan_sql(MONTH_END, LOAD_DTTM),
         "payments_for_loans_mid_month": oracle.payments_for_loans_sql(MID_MONTH),
+        "payments_for_loans_backfill": oracle.every(BACKFILL, oracle.payments_for_loans_sql),
+        "payments_by_loan_backfill": oracle.every(BACKFILL, lambda day: oracle.payments_by_loan_sql(day, LOAD_DTTM)),
+        "cohort_versions_reconciled": oracle.reconcile_sql(
+            oracle.cohort_v1_sql(AS_OF, whole_book=True), oracle.cohort_v2_sql(AS_OF, LOAD_DTTM, whole_book=True),
+            COHORT_KEY, _beside(V1_COLUMNS, COHORT_KEY)),
+        "payment_levels_reconciled": oracle.reconcile_sql(
+            oracle.payments_level_sql(AS_OF, LOAD_DTTM, "B"), oracle.payments_level_sql(AS_OF, LOAD_DTTM, "C"),
+            LEVEL_KEY, _beside(LEVEL_COLUMNS, LEVEL_KEY)),
         "payments_for_given_loans": oracle.payments_for_loans_sql(MONTH_END, REPLAY_LOANS),
     } | _training_data()[1]

@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--loan-ids", nargs="+", type=int, help="loans of the per-loan report on the whole book")
     p.add_argument("--null-safe-least", action="store_true",
                    help="per-loan sums also take payments due in the window and unpaid")
+    p.add_argument("--as-it-stood", action="store_true", help="leave out what happened after the as-of date")
     p.add_argument("--local", action="store_true", help="small-machine settings instead of cluster sizing")
     args = p.parse_args(argv)
     spark = build_session(app_name="loanlens-month-end", cluster=not args.local)
@@ -37,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
         spark, read_book(spark, args.book), args.as_of,
         cohort_table=args.cohort_table, out_root=args.out, cohort_version=args.cohort_version,
         window=ReportingWindow(*args.window) if args.window else None,
-        loan_ids=args.loan_ids, null_safe_least=args.null_safe_least,
+        as_it_stood=args.as_it_stood, loan_ids=args.loan_ids, null_safe_least=args.null_safe_least,
     )
     for name, path in paths.items():
         print(f"{name}\t{path}")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from loanlens.functions.predicates import current_only
 from loanlens.functions.windows import ReportingWindow, previous_month
 from loanlens.operators.cohort import created_in
+from loanlens.plans.stored import Stored, restrict, stored
+from loanlens.sources.layout import first_payments
 
 # Fixed value: day-count basis of the interest rate (days per year x percent).
 DAYS_PER_YEAR_PERCENT = 36525
@@ -50,14 +52,17 @@ def each_payment_avg() -> Column:
 
 
 def accepted_applications(
-    cohort: DataFrame, loan_payment: DataFrame, as_of: date, window: ReportingWindow | None = None
+    cohort: DataFrame | Stored, loan_payment: DataFrame, as_of: date, window: ReportingWindow | None = None
 ) -> DataFrame:
+    """Reads first payments alone where the book is laid out by them, and of those the cohort's, while its keys can be broadcast."""
     w = window or previous_month(as_of)
-    first = current_only(loan_payment.filter(F.col("is_first_payment") == 1)).select(
-        "loan_id", F.col("actual_payment_date").alias("First_payment_date")
-    )
+    counted = stored(cohort)
+    first = current_only(first_payments(loan_payment))
+    if counted.fits:
+        first = restrict(first, "loan_id", counted, "loan_id")
+    first = first.select("loan_id", F.col("actual_payment_date").alias("First_payment_date"))
     return (
-        cohort.filter(created_in(w))
+        counted.table.filter(created_in(w))
         .join(first, "loan_id")
         .select(
             F.col("loan_id").alias("Loan_ID"),

@@ -9,32 +9,20 @@ unchanged when a lost task is recomputed.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def one_row_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep, per ``keys`` group, the first row by ``order`` (each ascending, NULLs last).
+    """Keep, per ``keys`` group, the first row by ``order`` (each ascending, NULLs last; further columns break ties).
 
-    A hash aggregation counts each group and takes the minimum of every column: for a group of
-    one row that is the row.  It is partial before the exchange, so a group with a large
-    share of all rows is one row per task by then.  Only groups of several rows are
-    ranked, on the rows that a semi join with their keys leaves; the rank limit is also applied
-    before the exchange.  No group is ever collected whole.
+    One aggregation takes the least of a struct that holds, for each column in turn, whether it is NULL and
+    its value; structs compare field by field.  The input is read and shuffled once, and the aggregation is
+    partial before the exchange, so a group with a large share of all rows is one row per task by then.
     """
     order, keys = list(order), list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.min(c).alias(c) for c in rest])
-    single = counted.filter(F.col("__n") == 1).select(*keys, *rest)
-    several = counted.filter(F.col("__n") > 1).select(*[F.col(k).alias(f"__{k}") for k in keys])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in [*order, *rest]])
-    picked = (
-        df.join(several, same, "left_semi")
-        .withColumn("__rank", F.row_number().over(first)).filter(F.col("__rank") == 1)
-    )
-    return single.unionByName(picked.select(*keys, *rest)).select(*keys, *order, *[c for c in rest if c not in order])
+    ranked = [*order, *[c for c in df.columns if c not in keys and c not in order]]
+    least = F.min(F.struct(*[f for k, c in enumerate(ranked) for f in (F.col(c).isNull().alias(f"n{k}"), F.col(c).alias(f"v{k}"))]))
+    first = df.groupBy(*keys).agg(least.alias("__first"))
+    return first.select(*keys, *[F.col(f"__first.v{k}").alias(c) for k, c in enumerate(ranked)])

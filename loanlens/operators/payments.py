@@ -23,6 +23,11 @@ the rule, the superseded test, needs only the loan and one date:
 
 Both aggregations are partial before the exchange on ``loan_id``, so a loan
 with a large share of all payments is a few rows per task by then.
+
+A report on a cohort, or on given loans, first restricts the payments to them where they are scanned: the cohort is
+stored and counted (``stored_cohort`` reads a published one with its count), and its loan ids are broadcast
+while they fit.  A cohort beyond that limit is most of a book; then the aggregation
+comes first, and the join on ``loan_id`` may be cut by Spark's own runtime filter.
 """
 
 from __future__ import annotations
@@ -32,7 +37,8 @@ from datetime import date
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions.measures import loan_measures, payment_measures, summed_measures
@@ -52,7 +58,7 @@ from loanlens.functions.windows import (
     rolling_month_shifted,
 )
 from loanlens.operators.dedupe import one_row_per
-from loanlens.plans.stored import store
+from loanlens.plans.stored import Stored, restrict, store, stored
 from loanlens.sources.book import LoanBook
 from loanlens.sources.layout import open_or_paid_since
 
@@ -96,6 +102,11 @@ def _candidates(loan_payment: DataFrame, window: ReportingWindow, variant: str)
     return pay.filter(payment_prefilter(_due(), _paid(), window, variant))
 
 
+def of_cohort(payments: DataFrame, cohort: Stored) -> DataFrame:
+    """Payments of the cohort's loans, as far as its keys can be broadcast."""
+    return restrict(payments, "loan_id", cohort, "loan_id") if cohort.fits else payments
+
+
 def month_payments(loan_payment: DataFrame, as_of: date) -> DataFrame:
     """Every payment that some payment report of the run may select: one scan for all of them, stored."""
     windows = [(rolling_month(as_of), AGGREGATED), (rolling_month(as_of), LEVEL), (rolling_month_shifted(as_of), LEVEL)]
@@ -104,16 +115,13 @@ def month_payments(loan_payment: DataFrame, as_of: date) -> DataFrame:
     return store(pay.filter(any_rule)).table
 
 
-def _not_superseded(day: Column) -> Column:
+def not_superseded(day: Column) -> Column:
     """The loan's part of the rule: ``day`` (NULL: nothing to test) is not after the superseded date."""
     return day.isNull() | (day <= F.col("superseded"))
 
 
-def _sums_by_date(
-    loan_payment: DataFrame, window: ReportingWindow, variant: str, null_safe_least: bool = False
-) -> DataFrame:
-    """Sums of each loan's candidates by the date its superseded test needs (``test_date``, NULL: none)."""
-    pay = _candidates(loan_payment, window, variant)
+def sums_by_date(pay: DataFrame, window: ReportingWindow, variant: str, null_safe_least: bool = False, *by: str) -> DataFrame:
+    """Sums of each loan's candidates ``pay`` by the date its superseded test needs (``test_date``, NULL: none)."""
     due, paid = _due(), _paid()
     if variant == LEVEL:
         day = F.when(window.contains(due), due)
@@ -124,18 +132,18 @@ def _sums_by_date(
         if not null_safe_least:  # an unpaid payment due in the window never passes the strict test
             pay = pay.filter(~(window.contains(due) & paid.isNull()))
         day = F.when(window.contains(due), earliest)
-    return pay.groupBy("loan_id", day.alias("test_date")).agg(*loan_measures())
+    return pay.groupBy(*by, "loan_id", day.alias("test_date")).agg(*loan_measures())
 
 
 def _tested_sums(sums: DataFrame, loans: DataFrame, *keys: str) -> DataFrame:
     """One row per loan from its sums by date; ``loans`` has loan_id, superseded and further ``keys``."""
     return (
-        sums.join(loans, "loan_id").filter(_not_superseded(F.col("test_date")))
+        sums.join(loans, "loan_id").filter(not_superseded(F.col("test_date")))
         .groupBy("loan_id", *keys).agg(*summed_measures())
     )
 
 
-def _cohort_rows(cohort: DataFrame) -> DataFrame:
+def cohort_lines(cohort: DataFrame) -> DataFrame:
     """Each loan's cohort rows with its superseded date (which is the loan's own)."""
     return cohort.select(*COHORT_KEYS, _superseded().alias("superseded")).distinct()
 
@@ -151,7 +159,7 @@ def _report_keys(as_of: date) -> list:
 
 
 def monthly_payments(
-    cohort: DataFrame,
+    cohort: DataFrame | Stored,
     loan_payment: DataFrame,
     as_of: date,
     window: ReportingWindow | None = None,
@@ -160,22 +168,23 @@ def monthly_payments(
 ) -> DataFrame:
     """One row per cohort loan and due date, ordered by application and loan id, descending."""
     w = window or rolling_month(as_of)
+    counted = stored(cohort)
+    rows = counted.table
     if applications is not None:
-        cohort = cohort.join(
-            applications.select(F.col("id").alias("application_id")), "application_id", "left_semi"
-        )
+        named = restrict(applications, "id", counted, "application_id") if counted.fits else applications
+        rows = rows.join(named.select(F.col("id").alias("application_id")), "application_id", "left_semi")
     if loan_types is not None:
-        cohort = cohort.join(
+        rows = rows.join(
             loan_types.select(F.col("name").alias("loan_type")), "loan_type", "left_semi",
         )
     picked = one_row_per(
-        _candidates(loan_payment, w, LEVEL).select("loan_id", "actual_payment_date", *PAYMENT_PICK_ORDER),
+        of_cohort(_candidates(loan_payment, w, LEVEL), counted).select("loan_id", "actual_payment_date", *PAYMENT_PICK_ORDER),
         ["loan_id", "actual_payment_date"], PAYMENT_PICK_ORDER,
     )
     return (
-        _cohort_rows(cohort)
+        cohort_lines(rows)
         .join(picked, "loan_id")
-        .filter(_not_superseded(F.when(w.contains(_due()), _due())))
+        .filter(not_superseded(F.when(w.contains(_due()), _due())))
         .select(
             *_report_keys(as_of),
             F.col("actual_payment_date").alias("Actual_Payment_Date"),
@@ -188,7 +197,7 @@ def monthly_payments(
 
 
 def monthly_payments_payment_level(
-    cohort: DataFrame, book: LoanBook, as_of: date, window: ReportingWindow | None = None
+    cohort: DataFrame | Stored, book: LoanBook, as_of: date, window: ReportingWindow | None = None
 ) -> DataFrame:
     """Payment-level report on window C; the cohort loan must have an application and a type."""
     return monthly_payments(
@@ -198,7 +207,7 @@ def monthly_payments_payment_level(
 
 
 def monthly_payments_by_loan(
-    cohort: DataFrame,
+    cohort: DataFrame | Stored,
     loan_payment: DataFrame,
     as_of: date,
     window: ReportingWindow | None = None,
@@ -210,34 +219,31 @@ def monthly_payments_by_loan(
     payment due in the window never passes the superseded test.
     """
     w = window or rolling_month(as_of)
+    counted = stored(cohort)
     sums = _tested_sums(
-        _sums_by_date(loan_payment, w, AGGREGATED, null_safe_least),
-        cohort.select("loan_id", _superseded().alias("superseded")).distinct(),
+        sums_by_date(of_cohort(_candidates(loan_payment, w, AGGREGATED), counted), w, AGGREGATED, null_safe_least),
+        counted.table.select("loan_id", _superseded().alias("superseded")).distinct(),
     )
     return (
-        _cohort_rows(cohort).drop("superseded").distinct()
+        cohort_lines(counted.table).drop("superseded").distinct()
         .join(sums, "loan_id")
         .select(*_report_keys(as_of), F.col("loan_type").alias("Type_of_Loan"), *MEASURE_COLUMNS)
     )
 
 
-def monthly_payments_for_loans(
-    book: LoanBook,
-    as_of: date,
-    window: ReportingWindow | None = None,
-    loan_ids: Iterable[int] | None = None,
-) -> DataFrame:
-    """Per-loan sums for loans of the whole book (or ``loan_ids``), window C.
+def given_loans(spark: SparkSession, loan_ids: Iterable[int] | DataFrame | Stored) -> Stored:
+    """A list of loan ids of any length as a stored key set (column ``loan_id``); the plan does not grow with it."""
+    if isinstance(loan_ids, (DataFrame, Stored)):
+        return stored(loan_ids)
+    ids = pa.table({"loan_id": pa.array(sorted({int(i) for i in loan_ids}), pa.int64())})
+    return store(spark.createDataFrame(ids))
 
-    A loan counts if its original application exists and its type is known.
-    """
-    w = window or rolling_month_shifted(as_of)
-    loans, payments = book.loan, book.loan_payment
-    if loan_ids is not None:
-        wanted = [int(i) for i in loan_ids]
-        loans, payments = loans.filter(F.col("id").isin(wanted)), payments.filter(F.col("loan_id").isin(wanted))
+
+def loans_in_scope(book: LoanBook, wanted: Stored | None = None) -> DataFrame:
+    """Loans with their report columns and superseded date whose original application exists and whose type is known."""
+    loans = book.loan if wanted is None else restrict(book.loan, "id", wanted, "loan_id")
     types = book.loan_type.select(F.col("id").alias("loan_type_id"), F.col("name").alias("Type_of_Loan"))
-    scope = (
+    return (
         loans.join(
             book.loan_application.select(F.col("id").alias("original_loan_application_id")),
             "original_loan_application_id", "left_semi",
@@ -249,9 +255,24 @@ def monthly_payments_for_loans(
             "Type_of_Loan", _superseded().alias("superseded"),
         )
     )
-    sums = _sums_by_date(payments, w, LEVEL)
+
+
+def monthly_payments_for_loans(
+    book: LoanBook,
+    as_of: date,
+    window: ReportingWindow | None = None,
+    loan_ids: Iterable[int] | DataFrame | Stored | None = None,
+) -> DataFrame:
+    """Per-loan sums for loans of the whole book (or ``loan_ids``, a list or a table with ``loan_id``), window C.
+
+    A loan counts if its original application exists and its type is known.
+    """
+    w = window or rolling_month_shifted(as_of)
+    wanted = None if loan_ids is None else given_loans(book.loan.sparkSession, loan_ids)
+    pay = _candidates(book.loan_payment, w, LEVEL)
+    sums = sums_by_date(pay if wanted is None else restrict(pay, "loan_id", wanted, "loan_id"), w, LEVEL)
     return (
-        _tested_sums(sums, scope, "Application_ID", "Type_of_Loan")
+        _tested_sums(sums, loans_in_scope(book, wanted), "Application_ID", "Type_of_Loan")
         .select(
             F.col("loan_id").alias("Loan_Id"), "Application_ID",
             F.lit(reporting_month(as_of)).alias("Reporting_Month"), "Type_of_Loan", *MEASURE_COLUMNS,

@@ -15,6 +15,7 @@ returns them for comparison.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from contextlib import contextmanager
 from datetime import date, datetime
@@ -97,7 +98,7 @@ financial_information AS (
 """
 
 
-_MAPPING = {"on": True}
+_MAPPING = {"on": True, "as_of": None}
 
 
 @contextmanager
@@ -110,8 +111,41 @@ def over_book_tables():
         _MAPPING["on"] = True
 
 
+@contextmanager
+def as_it_stood(day: date):
+    """Build SQL that sees the book as it stood at the end of ``day``."""
+    _MAPPING["as_of"] = day
+    try:
+        yield
+    finally:
+        _MAPPING["as_of"] = None
+
+
+def _until(day: date) -> list[str]:
+    """The book's tables without what came after ``day``."""
+    by = lambda c: f"CAST({c} AS DATE) <= DATE '{day.isoformat()}'"
+    undone = lambda *cs: ", ".join(f"CASE WHEN {by(c)} THEN {c} END AS {c}" for c in cs)
+    paid = ", ".join(f"CASE WHEN paid_at_date > DATE '{day.isoformat()}' AND {c} IS NOT NULL THEN 0 ELSE {c} END AS {c}"
+                     for c in ("principal_paid", "interest_paid", "fees_paid", "penalty_paid"))
+    existing = f"WHERE created_at IS NULL OR {by('created_at')}"
+    view = {
+        "loan_application": f"* REPLACE ({undone('deleted_at')}) {{}} {existing}",
+        "credit_score": f"* {{}} {existing}",
+        "facility": f"* {{}} {existing}",
+        "loan": f"* REPLACE ({undone('issued_at', 'cancelled_at', 'declined_at', 'deleted_at', 'topped_up_at', 'extended_at', 'arranged_rp_at')}) {{}} {existing}",
+        "loan_payment": f"* REPLACE ({undone('deleted_at', 'paid_at_date')}, {paid}) {{}}",
+        "financial_information": f"* REPLACE ({undone('deleted_at')}) {{}}",
+        "external_score": "* {}", "credit_score_config": "* {}", "facility_has_loan": "* {}", "loan_type": "* {}",
+    }
+    now = "now_" if _MAPPING["on"] else "main."
+    return [f"{name} AS (SELECT {sql.format(f'FROM {now}{name}')})" for name, sql in view.items()]
+
+
 def _steps(*ctes: str) -> str:
-    parts = ([MAPPING_SQL.strip()] if _MAPPING["on"] else []) + list(ctes)
+    day, mapping = _MAPPING["as_of"], MAPPING_SQL.strip()
+    if day:
+        mapping = re.sub(r"^(\w+) AS \(", r"now_\1 AS (", mapping, flags=re.M)
+    parts = ([mapping] if _MAPPING["on"] else []) + (_until(day) if day else []) + list(ctes)
     return "WITH " + ",\n".join(parts) + "\n"
 
 
@@ -220,8 +254,8 @@ def _cohort_out(steps: str) -> str:
     return _steps(steps) + f"SELECT * REPLACE ({doubles}) FROM cohort"
 
 
-def cohort_v1_sql(as_of: date) -> str:
-    return _cohort_out(_cohort_v1(bounds(as_of, "A")))
+def cohort_v1_sql(as_of: date, whole_book: bool = False) -> str:
+    return _cohort_out(_cohort_v1(None if whole_book else bounds(as_of, "A")))
 
 
 def cohort_v2_sql(as_of: date, load_dttm: datetime, whole_book: bool = False) -> str:
@@ -453,3 +487,30 @@ def reporting_windows_sql() -> str:
 SELECT as_of, CAST(date_trunc('month', {back('as_of')}) AS DATE) AS a_start, CAST(last_day({back('as_of')}) AS DATE) AS a_end,
   {back('as_of')} AS b_start, eve AS b_end, {back('eve')} AS c_start, eve AS c_end, strftime(as_of, '%Y-%m-01') AS reporting_month
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS as_of, CAST(CAST(o_orderdate AS DATE) - 1 AS DATE) AS eve FROM orders)"""
+
+
+# ---- many dates, two versions ----------------------------------------------------------------
+
+
+def every(as_ofs: Iterable[date], report) -> str:
+    """The rows of ``report(as_of)`` for every date, with the date."""
+    return " UNION ALL ".join(f"(SELECT DATE '{d.isoformat()}' AS as_of, * FROM ({report(d)}))" for d in as_ofs)
+
+
+def reconcile_sql(before: str, after: str, keys: list[str], columns: list[str]) -> str:
+    """Rows by key that only one of two reports holds: changed when one is left on either side, else dropped or added."""
+    names = ", ".join(keys + columns)
+    same = " AND ".join(f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in keys)
+    by_key = ", ".join(keys)
+    values = ", ".join(f"min({c}) AS {c}" for c in columns)
+    differ = " || ".join(f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN ',{c}' ELSE '' END" for c in columns)
+    o, n = (", ".join(f"{side}.{k}" for k in keys) for side in "on")
+    return f"""
+WITH old_rows AS (SELECT {names} FROM ({before})), new_rows AS (SELECT {names} FROM ({after})),
+old_left AS (SELECT * FROM old_rows EXCEPT ALL SELECT * FROM new_rows), new_left AS (SELECT * FROM new_rows EXCEPT ALL SELECT * FROM old_rows),
+old_keys AS (SELECT {by_key}, count(*) AS left_over, {values} FROM old_left GROUP BY {by_key}),
+new_keys AS (SELECT {by_key}, count(*) AS left_over, {values} FROM new_left GROUP BY {by_key}),
+pairs AS (SELECT {o}, substr({differ}, 2) AS changed FROM old_keys o JOIN new_keys n ON {same} WHERE o.left_over = 1 AND n.left_over = 1)
+SELECT {by_key}, 'changed' AS status, changed, 1 AS n_rows FROM pairs
+UNION ALL SELECT {o}, 'dropped', NULL, o.left_over FROM old_keys o LEFT JOIN new_keys n ON {same} WHERE NOT (o.left_over = 1 AND coalesce(n.left_over, 0) = 1)
+UNION ALL SELECT {n}, 'added', NULL, n.left_over FROM new_keys n LEFT JOIN old_keys o ON {same} WHERE NOT (n.left_over = 1 AND coalesce(o.left_over, 0) = 1)"""

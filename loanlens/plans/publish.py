@@ -1,87 +1,92 @@
 """Persist the monthly cohort (the one table shared between reports).
 
-The cohort is written as a table partitioned by reporting month.  A publish
-replaces only its own month's partition (dynamic partition overwrite) in one
-write job, so re-running it after a failure, or twice, gives the same table,
-and other months stay untouched.  Readers of other months never see an empty
-table (the source system truncated and re-inserted).
+A month of the cohort is a version in a folder of its own (``plans.versions``): a publish writes the new version whole
+and then switches the month's record, and the table's partition, to it.  Running readers keep the
+old version's files, new readers get the new one, a publish that fails leaves the old one in
+place, and other months are untouched (the source system truncated and re-inserted).
 """
 
 from __future__ import annotations
 
-import uuid
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlens.plans.stored import Stored
+from loanlens.plans.versions import (
+    current_months,
+    current_version,
+    expire,
+    forget_month,
+    publish_version,
+    read_version,
+)
 from loanlens.sources.schemas import COHORT
 
 
-def _conform(cohort: DataFrame, reporting_month: str) -> DataFrame:
+def _conform(cohort: DataFrame) -> DataFrame:
     cols = set(cohort.columns)
     return cohort.select(
         *[
             (F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in COHORT
-        ],
-        F.lit(reporting_month).alias("reporting_month"),
+        ]
     )
 
 
+def _root(spark: SparkSession, table: str) -> str:
+    """The folder of a cohort table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return described["data_type"].rstrip("/")
+
+
+def _register(spark: SparkSession, table: str, root: str, month: str) -> None:
+    version = current_version(spark, root, month)
+    if version is None:
+        return
+    spec = f"PARTITION (reporting_month = '{month}')"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{version.path}'")
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{version.path}'")
+
+
 def publish_cohort(cohort: DataFrame, table: str, reporting_month: str, path: str | None = None) -> None:
     """Replace ``reporting_month`` of cohort table ``table`` with ``cohort`` (by column name).
 
-    The table is created on first publish (external at ``path`` if given).
+    The table is created on first publish (external at ``path`` if given, with the months that are published there).
     """
     spark = cohort.sparkSession
-    df = _conform(cohort, reporting_month)
-    if not spark.catalog.tableExists(table):
-        if path and _has_data(spark, path):
-            # earlier months written by another session: register them, then replace this month
-            cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COHORT)
-            spark.sql(
-                f"CREATE TABLE {table} ({cols}, reporting_month string) USING parquet "
-                f"PARTITIONED BY (reporting_month) LOCATION '{path}'"
-            )
-            spark.catalog.recoverPartitions(table)
-        else:
-            w = df.write.format("parquet").partitionBy("reporting_month")
-            if path:
-                w = w.option("path", path)
-            w.saveAsTable(table)
-            return
-    # A static partition spec replaces exactly this month whatever the session's
-    # partitionOverwriteMode is (a plain insertInto overwrite would drop every month).
-    view = f"loanlens_publish_{uuid.uuid4().hex[:12]}"
-    df.drop("reporting_month").createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (reporting_month = '{reporting_month}') "
-            f"SELECT {', '.join(f.name for f in COHORT)} FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    fresh = not spark.catalog.tableExists(table)
+    if fresh:
+        cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COHORT)
+        at = f"LOCATION '{path}'" if path else ""
+        spark.sql(f"CREATE TABLE {table} ({cols}, reporting_month string) USING parquet PARTITIONED BY (reporting_month) {at}")
+    root = _root(spark, table)
+    publish_version(_conform(cohort), root, reporting_month)
+    for month in current_months(spark, root) if fresh else [reporting_month]:
+        _register(spark, table, root, month)
     spark.catalog.refreshTable(table)
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no such folder, or no data files in it
-            return False
-        raise
+def stored_cohort(spark: SparkSession, table: str, reporting_month: str) -> Stored:
+    """The published cohort of one month, counted when it was published."""
+    return read_version(spark, current_version(spark, _root(spark, table), reporting_month), COHORT)
 
 
 def read_cohort(spark: SparkSession, table: str, reporting_month: str) -> DataFrame:
-    """The published cohort of one month (partition-pruned read)."""
-    return spark.table(table).filter(F.col("reporting_month") == reporting_month).drop("reporting_month")
+    """The published cohort of one month (the version that is current now)."""
+    return stored_cohort(spark, table, reporting_month).table
 
 
 def drop_cohort_month(spark: SparkSession, table: str, reporting_month: str) -> None:
+    forget_month(spark, _root(spark, table), reporting_month)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (reporting_month = '{reporting_month}')")
 
 
+def expire_cohort(spark: SparkSession, table: str, older_than: timedelta = timedelta(days=1)) -> list[str]:
+    """Delete replaced versions that were written ``older_than`` ago; no reader may run that long."""
+    return expire(spark, _root(spark, table), older_than)
+
+
 def drop_cohort(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")

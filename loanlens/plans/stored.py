@@ -30,11 +30,16 @@ class Stored:
     table: DataFrame
     rows: int
 
+    @property
+    def fits(self) -> bool:
+        """Whether the counted rows may be broadcast as keys."""
+        return self.rows * BYTES_PER_KEY <= MAX_BROADCAST_BYTES
+
     def keys(self, key: str | Column) -> DataFrame:
         """The non-NULL values of ``key`` as column ``__key``, hinted for broadcast where the count allows."""
         column = F.col(key) if isinstance(key, str) else key
         out = self.table.select(column.alias("__key")).filter(F.col("__key").isNotNull())
-        return F.broadcast(out) if self.rows * BYTES_PER_KEY <= MAX_BROADCAST_BYTES else out
+        return F.broadcast(out) if self.fits else out
 
 
 # Where ``store`` writes instead of the session's own folder, while a job runs.
@@ -64,6 +69,11 @@ def store(df: DataFrame) -> Stored:
     return Stored(df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"])
 
 
+def stored(df: DataFrame | Stored) -> Stored:
+    """``df`` as it is if it is stored already, else written and counted."""
+    return df if isinstance(df, Stored) else store(df)
+
+
 def restrict(big: DataFrame, big_key: str | Column, keys: Stored, key: str | Column) -> DataFrame:
     """Rows of ``big`` whose ``big_key`` is among the stored keys (left semi join).
 

@@ -35,19 +35,16 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``conform``, with the folder column of a table that was laid out by ``write_book``."""
-    at = folders(name)
-    if at is None or at[0] not in df.columns:
-        return conform(df, name)
+    """``conform``, with the folder columns of a table that was laid out by ``write_book``."""
     schema = BOOK_SCHEMAS[name]
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-                     + [F.col(at[0]).cast("string").alias(at[0])])
+                     + [F.col(c).cast("string").alias(c) for c in folders(name) if c in df.columns])
 
 
 def read_book(spark: SparkSession, root: str, fmt: str = "parquet") -> LoanBook:
     """Read ``root/<table>`` for every table of the book.
 
-    Only the columns of the declared schema (and the folder column) are selected, so Catalyst prunes
+    Only the columns of the declared schema (and the folder columns) are selected, so Catalyst prunes
     everything else at the scan; filters placed by the reports reach the
     Parquet reader as pushed predicates or choose folders.
     """
@@ -66,9 +63,8 @@ def write_book(book: LoanBook, root: str, fmt: str = "parquet", mode: str = "ove
     """
     for name, df in book.tables().items():
         df, at = conform(df, name), folders(name)
-        if at is None:
+        if not at:
             df.write.format(fmt).mode(mode).save(f"{root}/{name}")
             continue
-        column, value = at
-        (df.withColumn(column, value).hint("rebalance", F.col(column))
-         .write.format(fmt).mode(mode).partitionBy(column).save(f"{root}/{name}"))
+        (df.withColumns(at).hint("rebalance", *(F.col(c) for c in at))
+         .write.format(fmt).mode(mode).partitionBy(*at).save(f"{root}/{name}"))

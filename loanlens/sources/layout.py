@@ -1,10 +1,10 @@
 """How the large tables of a stored book are laid out, and the filters that use it.
 
-Payments lie in one folder for each month they were paid in, and one for those still open; loans
-and credit scores in one for each month of creation.  Every payment report needs only
-open payments and those paid since its window began, so the paid history, which grows without
-bound, is never opened.  The folder column is an extra column of the DataFrame; on a table
-without it the filters do nothing.
+Payments lie in folders by whether they are a loan's first one, and below by the month they were paid in (one folder
+for those still open); loans and credit scores in one for each month of creation.  Every payment report
+needs only open payments and those paid since its window began, so the paid history, which
+grows without bound, is never opened; the report of accepted applications opens first payments
+alone.  Folder columns are extra columns of the DataFrame; on a table without them the filters do nothing.
 """
 
 from __future__ import annotations
@@ -16,17 +16,18 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.windows import NoWindow, ReportingWindow
 
-PAID_MONTH, CREATED_MONTH = "paid_month", "created_month"
+FIRST, PAID_MONTH, CREATED_MONTH = "first_payment", "paid_month", "created_month"
 OPEN = "open"  # sorts after every month
 
 
-def folders(name: str) -> tuple[str, Column] | None:
-    """Folder column of table ``name`` and its value, if the table has one."""
+def folders(name: str) -> dict[str, Column]:
+    """Folder columns of table ``name``, outermost first, and their values."""
     if name == "loan_payment":
-        return PAID_MONTH, F.coalesce(F.date_format("paid_at_date", "yyyy-MM"), F.lit(OPEN))
+        return {FIRST: F.when(F.col("is_first_payment") == 1, "yes").otherwise("no"),
+                PAID_MONTH: F.coalesce(F.date_format("paid_at_date", "yyyy-MM"), F.lit(OPEN))}
     if name in ("loan", "credit_score"):
-        return CREATED_MONTH, F.date_format("created_at", "yyyy-MM")
-    return None
+        return {CREATED_MONTH: F.date_format("created_at", "yyyy-MM")}
+    return {}
 
 
 def _month(day: date) -> str:
@@ -41,3 +42,9 @@ def created_months(df: DataFrame, window: ReportingWindow | NoWindow) -> DataFra
 
 def open_or_paid_since(df: DataFrame, day: date) -> DataFrame:
     return df.filter(F.col(PAID_MONTH) >= _month(day)) if PAID_MONTH in df.columns else df
+
+
+def first_payments(df: DataFrame) -> DataFrame:
+    """Loans' first payments; a stored table opens their folders alone."""
+    first = df.filter(F.col("is_first_payment") == 1)
+    return first.filter(F.col(FIRST) == "yes") if FIRST in df.columns else first

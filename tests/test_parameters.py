@@ -21,6 +21,14 @@ def test_loan_ids_select_a_subset_of_the_full_report(spark):
     assert all(some[k] == full[k] for k in some)
 
 
+def test_loan_ids_as_a_table_with_repeats_and_nulls(spark):
+    book = fixture_book(spark)
+    ids = spark.createDataFrame([(1,), (1,), (10,), (None,)], "loan_id long")
+    want = sorted(monthly_payments_for_loans(book, AS_OF, loan_ids=[10, 1, 1]).collect())
+    assert sorted(monthly_payments_for_loans(book, AS_OF, loan_ids=ids).collect()) == want and want
+    assert monthly_payments_for_loans(book, AS_OF, loan_ids=[]).count() == 0
+
+
 def test_default_load_stamp_is_one_value_per_query(spark):
     rows = loan_cohort_v2(fixture_book(spark), AS_OF).collect()
     assert rows and len({r.load_dttm for r in rows}) == 1 and rows[0].load_dttm is not None

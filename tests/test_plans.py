@@ -141,8 +141,51 @@ def test_payments_are_aggregated_before_their_exchange(stored_book, no_broadcast
             assert "HashAggregate" in before_exchange(above), above
             assert "SortAggregate" not in above
     scans = operators_above_scan(plan_text(monthly_payments(cohort, stored_book.loan_payment, AS_OF)), "loan_payment")
-    assert "SortAggregate" not in sum(scans, [])
-    assert any("HashAggregate" in before_exchange(above) for above in scans)
+    assert len(scans) == 1  # the pick reads its payments once
+    assert any(x.endswith("Aggregate") for x in before_exchange(scans[0])), scans
+
+
+def test_payments_are_restricted_to_the_cohort_where_they_are_scanned(spark, stored_book, no_broadcast):
+    """Below the aggregation, whatever the session's own threshold; a published cohort needs no job for it."""
+    from loanlens.operators import accepted_applications, monthly_payments_payment_level
+    from loanlens.plans.publish import drop_cohort, publish_cohort, stored_cohort
+
+    table = f"plans_cohort_{uuid.uuid4().hex[:8]}"
+    publish_cohort(loan_cohort_v2(stored_book, AS_OF, load_dttm=datetime(2018, 7, 1)), table, "2018-07-01", f"{shared_dir(spark)}/{table}")
+    cohort = stored_cohort(spark, table, "2018-07-01")
+    assert cohort.rows == cohort.table.count() > 0
+    for report in (monthly_payments, monthly_payments_by_loan, accepted_applications):
+        for above in operators_above_scan(plan_text(report(cohort, stored_book.loan_payment, AS_OF)), "loan_payment"):
+            below = before_exchange(above)
+            semi = next(i for i, x in enumerate(below) if x.startswith("BroadcastHashJoinLeftSemi"))
+            assert not any(x.endswith("Aggregate") for x in below[:semi]), above
+    level_c = plan_text(monthly_payments_payment_level(cohort, stored_book, AS_OF))
+    assert all(any(x.startswith("BroadcastHashJoinLeftSemi") for x in before_exchange(above))
+               for t in ("loan_payment", "loan_application") for above in operators_above_scan(level_c, t))
+    drop_cohort(spark, table)
+
+
+def test_a_cohort_too_large_for_broadcast_is_joined_after_the_aggregation(stored_book, no_broadcast, monkeypatch):
+    from loanlens.plans import stored
+
+    monkeypatch.setattr(stored, "MAX_BROADCAST_BYTES", 0)
+    cohort = stored.store(loan_cohort_v2(stored_book, AS_OF, load_dttm=datetime(2018, 7, 1)))
+    for report in (monthly_payments, monthly_payments_by_loan):
+        text = plan_text(report(cohort, stored_book.loan_payment, AS_OF))
+        assert "BroadcastHashJoin" not in text
+        assert any(x.endswith("Aggregate") for above in operators_above_scan(text, "loan_payment") for x in before_exchange(above))
+
+
+def test_plan_does_not_grow_with_the_list_of_loans(spark, stored_book):
+    few, many = (plan_text(monthly_payments_for_loans(stored_book, AS_OF, loan_ids=range(n))) for n in (3, 1_000_000))
+    assert abs(len(few) - len(many)) < 200
+    scan = operators_above_scan(many, "loan_payment")
+    assert scan and all(any(x.startswith("BroadcastHashJoinLeftSemi") for x in before_exchange(above)) for above in scan)
+
+
+def test_first_payments_alone_are_opened(plans):
+    filters = re.findall(r"Location: [^\n]*/loan_payment\n?[^\n]*\nPartitionFilters: ([^\n]*)", plans["accepted_applications"])
+    assert filters and all("first_payment" in f and "= yes" in f for f in filters), filters
 
 
 def test_paid_history_is_not_opened(plans):
