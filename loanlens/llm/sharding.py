@@ -7,15 +7,18 @@ smallest for which the wanted number of shards is enough, so shards come out nea
 At scale the packing runs over units, whose number is bounded by shards and grain alone: a
 group of at least 1 / ``grain`` of a mean shard is a unit (at most shards * grain of them), and
 smaller groups go by text hash into shards * grain bundles, each whole in one shard.  Only a
-group larger than a mean shard is cut, into pieces by doc_id hash, because no shard could
-hold it beside its share.  The driver sees unit sizes, never rows; texts are not shuffled.
+group larger than a mean shard is cut, into pieces by a hash of doc_id and row number, because no shard
+could hold it beside its share.  Sizes, checksums and row numbers are written once and read from there, so
+that a row has one number throughout.  The driver sees unit sizes, never rows; texts are not shuffled.
 
 Slots are numbered without sorting a shard: each unit is cut into runs of about ``run_rows``
 rows, counted, and numbered on from the runs before it.
 
 Defined results: a null text counts as the empty one (size 8, group and checksum of no
-bytes); rows with equal doc_id and text get different slots in either order; hash collisions put
-two texts into one group, which costs balance only; an empty table gives an empty result.
+bytes); null and equal doc_ids are rows like others, spread by row number, however many they are; rows with
+equal doc_id and text get different slots in either order; a very long text is a group of its own size;
+hash collisions put two texts into one group, which costs balance only; an empty table gives an empty
+result.  Only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -115,8 +118,9 @@ def shard(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
     spark = documents.sparkSession
     text = F.coalesce("text", F.lit(""))
-    rows = documents.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
-                            F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_group"))
+    rows = cut(documents.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
+                                F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_group"),
+                                F.monotonically_increasing_id().alias("row")))
     groups = cut(rows.groupBy("text_group").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
     total = groups.agg(F.sum("bytes")).first()[0]
     if total is None:
@@ -129,21 +133,21 @@ def shard(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
     named = spark.createDataFrame([(g, bundles + i, p) for i, (g, p) in enumerate(parts.items())],
                                   "text_group long, large int, pieces int")
     rows = rows.join(F.broadcast(named), "text_group", "left").select(
-        "doc_id", "size", "text_crc32",
+        "doc_id", "size", "text_crc32", "row",
         F.coalesce("large", F.pmod("text_group", F.lit(bundles)).cast("int")).alias("unit"),
-        F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int")).otherwise(0).alias("piece"))
+        F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("doc_id", "row"), F.col("pieces")).cast("int")).otherwise(0).alias("piece"))
 
     units = rows.groupBy("unit", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()  # bounded as above
     units.sort(key=lambda r: (r["unit"], r["piece"]))
     bins = least_capacity([r["bytes"] for r in units], s.shards)
     placed = spark.createDataFrame([(r["unit"], r["piece"], b, -(-r["n"] // s.run_rows)) for r, b in zip(units, bins, strict=True)],
                                    "unit int, piece int, shard int, runs int")
-    rows = rows.join(F.broadcast(placed), ["unit", "piece"]).withColumn("run", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("runs")))
+    rows = rows.join(F.broadcast(placed), ["unit", "piece"]).withColumn("run", F.pmod(F.xxhash64("doc_id", "row", F.lit(1)), F.col("runs")))
 
     counts = rows.groupBy("shard", "unit", "piece", "run").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("unit", "piece", "run").rowsBetween(Window.unboundedPreceding, -1)
     begin = counts.withColumn("begin", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy("shard", "unit", "piece", "run").orderBy("doc_id", "text_crc32")
+    inside = Window.partitionBy("shard", "unit", "piece", "run").orderBy("doc_id", "text_crc32", "row")
     return (rows.withColumn("nth", F.row_number().over(inside)).join(begin, ["shard", "unit", "piece", "run"])
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                     (F.col("begin") + F.col("nth") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanlens.llm import sharding
 from tests.llm.rows import SCHEMA, documents, frame
@@ -72,6 +73,18 @@ def test_a_group_larger_than_a_shard_is_cut(spark):
     assert len(load) == 6 and max(load.values()) < 1.1 * min(load.values())
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_hot_rows_spread_over_shards_and_runs(spark, doc_id):
+    """A third of all rows share their text and have one doc_id, or none."""
+    rng = random.Random(3)
+    rows = [(doc_id, "the same text of all these rows", None, None, None)] * 1000
+    rows += [(10 + i, f"text {rng.random()}", None, None, None) for i in range(2000)]
+    docs = frame(spark, rows).select("*", *(F.lit(1).alias(c) for c in ("row", "unit", "piece", "run", "size", "shard", "bytes")))
+    found = sharding.shard(docs.repartition(5), sharding.Settings(run_rows=10))
+    load = law(found.collect(), 24)
+    assert len(load) == 24 and max(load.values()) * 24 < 1.05 * sum(load.values())
+
+
 def test_empty_table(spark):
     assert sharding.shard(spark.createDataFrame([], SCHEMA)).count() == 0
     assert sharding.shard(frame(spark, [(None, None, None, None, None)])).first()["slot"] == 0
