@@ -5,9 +5,10 @@ with fewer words is one shingle; a text without words has an empty set and links
 nothing).  Two texts link when 100 * intersection >= 80 * union.
 
 Method: rare-first prefix filtering.
-1. One pass counts shingles in a table of ``sketch_bits`` hash buckets; it orders all
-   shingles, rare buckets first, ties by hash.  The order steers cost only: any one total
-   order gives the same links.
+1. One pass counts shingles in a table of 2**``sketch_bits`` hash buckets, which travels in blocks; it
+   orders all shingles, rare buckets first, ties by hash.  The order steers cost only: any one
+   total order gives the same links.  The fewer shingles fall into one bucket, the better common passages
+   are told from rare ones; ``sketch_bits`` may grow with the corpus (4 bytes a bucket on driver and workers).
 2. A set's prefix is its rarest n - ceil(0.8 n) + 1 shingles: linked sets share one.  Prefix
    shingles are shuffled by shingle and sorted; a streaming pass keeps the shared ones.
 3. Candidates that share a prefix shingle pass a length filter, a positional filter (shingles
@@ -15,13 +16,13 @@ Method: rare-first prefix filtering.
    bound the sets' difference from below), and are verified once on whole sets.
 
 Pairs inside a large group are never all emitted.  First every shared shingle pairs its members
-with one leader, its smallest node; verified links make components.  Then shingles with at most
-``small_group`` members emit their candidates across components (no more than small_group per
-row), while larger ones go on with leaders that change by round, members with most links
-first, until all their members lie in one component, or no more pairs across components are
-left than ``finish_factor`` times the members, or ``most_rounds`` are over.  Then all candidates
-left across components are verified, so that no link between two components is lost.
-Equal sets are one node from the start.
+with one leader, its smallest node; verified links make components.  Shingles whose members lie in
+one component by then are done.  Of the others, those with at most ``small_group`` members emit
+their candidates across components (no more than small_group per row), while larger ones go on
+with leaders that change by round, members with most links first, until all their members lie in
+one component, or no more pairs across components are left than ``finish_factor`` times the
+members, or ``most_rounds`` are over.  Then all candidates left across components are verified, so
+that no link between two components is lost.  Equal sets are one node from the start.
 
 Defined results: null, empty and wordless texts have n_shingles 0 and their own doc_id as
 class; repeated rows and rows that share a doc_id with different texts are separate members
@@ -52,13 +53,18 @@ from loanlens.llm.state import cut
 class Settings:
     words: int = 5
     percent: int = 80
-    sketch_bits: int = 18
+    sketch_bits: int = 22
     bins: int = 256  # of the suffix filter; a multiple of 64
     small_group: int = 32
+    partners: int = 1000  # of one text, that a verification task takes
     finish_factor: int = 32
     most_rounds: int = 4
 
 
+BLOCK = 4096  # buckets of the sketch that travel as one row
+SCANNED = ["doc_id", "n_shingles", "node", "block", "counts"]
+
+
 def need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Least intersection of linked sets of n and m shingles: percent * union <= 100 * intersection."""
     return -(-percent * (n + m) // (100 + percent))
@@ -124,7 +130,7 @@ def shingle_sets(chunk: W.Chunk, n: int) -> Sets:
 
 
 def _scan(documents: DataFrame, s: Settings) -> DataFrame:
-    """Rows of two kinds: a document's set size and node, and shingle counts by bucket."""
+    """Rows of two kinds: a document's set size and node, and shingle counts, a block of buckets at a time."""
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     shift = np.uint64(64 - s.sketch_bits)
 
@@ -137,13 +143,34 @@ def _scan(documents: DataFrame, s: Settings) -> DataFrame:
                 ids = batch.column("doc_id").slice(chunk.first, chunk.rows)
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(sets.sizes, pa.int64()), pa.array(sets.node().view(np.int64)),
-                     pa.nulls(chunk.rows, pa.int32())], ["doc_id", "n_shingles", "node", "bucket"])
-        at = np.flatnonzero(seen)
+                     pa.nulls(chunk.rows, pa.int32()), pa.nulls(chunk.rows, pa.binary())], SCANNED)
+        blocks = seen.reshape(-1, min(BLOCK, len(seen)))
+        at = np.flatnonzero(blocks.any(axis=1))
+        for some in np.array_split(at, -(-len(at) // 256) or 1):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(some), pa.int64())] * 3 + [pa.array(some.astype(np.int32)),
+                 pa.array([blocks[k].astype(np.uint32).tobytes() for k in some], pa.binary())], SCANNED)
+
+    return source.mapInArrow(run, "doc_id long, n_shingles long, node long, block int, counts binary")
+
+
+def _frequencies(scan: DataFrame, s: Settings) -> np.ndarray:
+    """How many sets hold a shingle of each bucket: the tasks' blocks are added up in Spark, 2**sketch_bits numbers come back."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+                part = np.frombuffer(counts.as_buffer(), dtype=np.uint32)
+                sums[block] = sums[block] + part if block in sums else part.astype(np.float32)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(at), pa.int64()), pa.array(seen[at]), pa.nulls(len(at), pa.int64()),
-             pa.array(at.astype(np.int32))], ["doc_id", "n_shingles", "node", "bucket"])
+            [pa.array(list(sums), pa.int32()), pa.array([v.astype(np.float32).tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
 
-    return source.mapInArrow(run, "doc_id long, n_shingles long, node long, bucket int")
+    found = scan.where("block IS NOT NULL").select("block", "counts").repartition("block").mapInArrow(run, "block int, counts binary").toArrow()
+    out = np.zeros(1 << s.sketch_bits, dtype=np.float32)
+    width = min(BLOCK, len(out))
+    for block, counts in zip(found.column("block").to_pylist(), found.column("counts").to_pylist(), strict=True):
+        out[block * width : (block + 1) * width] = np.frombuffer(counts, dtype=np.float32)
+    return out
 
 
 def _prefixes(documents: DataFrame, rank: np.ndarray, s: Settings) -> DataFrame:
@@ -274,18 +301,15 @@ def _plausible(pairs: DataFrame, signed: DataFrame, s: Settings) -> DataFrame:
 
 
 def _across(rows: DataFrame, s: Settings) -> DataFrame:
-    """Rows (token, node, n, place, root) with a token's members in several components.
-
-    Kind 0: candidate pairs (a, b) across components, of tokens with at most ``small_group`` rows.
-    Kind 1: the rows of larger tokens, as they came.  The pass over the rows sorted by token holds
-    one batch and a token's first ``small_group`` rows.
-    """
+    """Candidate pairs (a, b) across components among rows (token, node, n, place, root) whose tokens have at most
+    ``small_group`` rows.  The pass over the rows sorted by token holds one batch and a token's first rows."""
     ordered = rows.repartition("token").sortWithinPartitions("token", "node")
     names = ["token", "node", "n", "place", "root"]
 
-    def pairs(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(x: dict[str, np.ndarray]) -> pa.RecordBatch:
         """Candidates among whole runs of equal tokens, by distance in the sorted rows."""
-        got_a, got_b = [], []
+        none = np.zeros(0, dtype=np.int64)
+        got_a, got_b = [none], [none]
         at = np.arange(len(x["token"]))
         for step in range(1, s.small_group):
             at = at[at + step < len(x["token"])]
@@ -297,62 +321,36 @@ def _across(rows: DataFrame, s: Settings) -> DataFrame:
                 x["n"][at], x["place"][at], x["n"][other], x["place"][other], s.percent)
             got_a.append(x["node"][other[fine]])
             got_b.append(x["node"][at[fine]])
-        none = [np.zeros(0, dtype=np.int64)]
-        return np.concatenate(got_a or none), np.concatenate(got_b or none)
-
-    def out(kind: int, token, a, b, n, place) -> pa.RecordBatch:
-        k = len(a)
-        fill = lambda v, t: pa.nulls(k, t) if v is None else pa.array(v, t)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(k, kind, dtype=np.int32)), fill(token, pa.int64()), fill(a, pa.int64()), fill(b, pa.int64()),
-             fill(n, pa.int32()), fill(place, pa.int32())], ["kind", "token", "a", "b", "n", "place"])
-
-    def emit(x: dict[str, np.ndarray], open_token: int | None) -> Iterator[pa.RecordBatch]:
-        """Whole runs; ``open_token`` names a large one that began in an earlier batch."""
-        if len(x["token"]) == 0:
-            return
-        head = np.flatnonzero(np.concatenate([[True], x["token"][1:] != x["token"][:-1]]))
-        size = np.diff(np.append(head, len(x["token"])))
-        large = size > s.small_group
-        if open_token is not None and x["token"][0] == open_token:
-            large[0] = True
-        mine = np.repeat(large, size)
-        a, b = pairs({c: v[~mine] for c, v in x.items()})
-        yield out(0, None, a, b, None, None)
-        if mine.any():
-            yield out(1, x["token"][mine], x["node"][mine], None, x["n"][mine], x["place"][mine])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_a)), pa.array(np.concatenate(got_b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] | None = None  # the run that may go on, if it is still small
-        open_token = None
+        held: dict[str, np.ndarray] | None = None  # the last token's rows: more may follow
         for batch in batches:
             x = {c: batch.column(c).to_numpy() for c in names}
             if held is not None:
                 x = {c: np.concatenate([held[c], x[c]]) for c in names}
             if len(x["token"]) == 0:
                 continue
-            token = x["token"]
-            tail = int(np.searchsorted(token, token[-1]))
-            if len(token) - tail > s.small_group or token[-1] == open_token:
-                yield from emit(x, open_token)
-                open_token, held = int(token[-1]), None
-            else:
-                held = {c: v[tail:] for c, v in x.items()}
-                yield from emit({c: v[:tail] for c, v in x.items()}, open_token)
+            tail = int(np.searchsorted(x["token"], x["token"][-1]))
+            held = {c: v[tail:] for c, v in x.items()}
+            yield pairs({c: v[:tail] for c, v in x.items()})
         if held is not None:
-            yield from emit(held, open_token)
+            yield pairs(held)
 
-    return ordered.select(*names).mapInArrow(run, "kind int, token long, a long, b long, n int, place int")
+    return ordered.select(*names).mapInArrow(run, "a long, b long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """The linked ones of distinct pairs (a, b).  Rows go to b: its text first, then the texts of its partners.
 
-    b's set is made once for all its partners.
+    b's set is made once for all its partners; a text with more than ``partners`` of them goes to several tasks.
     """
-    both = pairs.select("b", F.col("a").alias("node"), F.lit(1).alias("kind")).unionByName(
-        pairs.select("b", F.col("b").alias("node"), F.lit(0).alias("kind")).distinct())
-    rows = both.join(texts, "node").repartition("b").sortWithinPartitions("b", "kind", "node")
+    many = pairs.groupBy("b").agg(F.count("*").alias("k")).where(F.col("k") > s.partners)
+    dealt = pairs.join(many, "b", "left").select(
+        "a", "b", F.when(F.col("k").isNull(), 0).otherwise(F.pmod(F.xxhash64("a"), F.ceil(F.col("k") / s.partners))).cast("int").alias("part"))
+    both = dealt.select("b", "part", F.col("a").alias("node"), F.lit(1).alias("kind")).unionByName(
+        dealt.select("b", "part", F.col("b").alias("node"), F.lit(0).alias("kind")).distinct())
+    rows = both.join(texts, "node").repartition("b", "part").sortWithinPartitions("b", "part", "kind", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, head_set = None, None
@@ -395,14 +393,9 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
 
 def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """Every row's node, and the root of every node that has a link."""
-    spark = documents.sparkSession
     scan = cut(_scan(documents, s))
-    members = scan.where("bucket IS NULL").select("doc_id", "n_shingles", "node")
-    counts = (scan.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n_shingles").alias("n"))
-              .toArrow())  # at most 2**sketch_bits rows
-    rank = np.zeros(1 << s.sketch_bits, dtype=np.float32)
-    rank[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
-    shared = cut(_shared(_prefixes(documents, rank, s)))
+    members = scan.where("block IS NULL").select("doc_id", "n_shingles", "node")
+    shared = cut(_shared(_prefixes(documents, _frequencies(scan, s), s)))
 
     in_play = shared.select("node").distinct()
     ids = (members.where("n_shingles > 0").join(in_play, "node", "left_semi")
@@ -416,10 +409,12 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     tried = cut(first.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
     links = cut(_verify(cut(_plausible(tried, signed, s)), texts, s))
     roots = cut(connected_components(links))
-    found = cut(_across(_named(shared.select("token", "node", "n", "place"), roots), s))
-    pairs = cut(_plausible(found.where("kind = 0").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), signed, s))
-    rows = found.where("kind = 1").select("token", F.col("a").alias("node"), "n", "place").distinct().join(
-        signed.select("node", "bits"), "node")
+    # tokens whose members still lie in several components; most lie in one by now
+    named = _named(shared.select("token", "node", "n", "place"), roots)
+    several = named.groupBy("token").agg(F.count("*").alias("k"), F.min("root").alias("low"), F.max("root").alias("high"))
+    rows = cut(named.join(several.where("low <> high").select("token", "k"), "token"))
+    pairs = cut(_plausible(_across(rows.where(F.col("k") <= s.small_group), s).distinct().join(tried, ["a", "b"], "left_anti"), signed, s))
+    rows = rows.where(F.col("k") > s.small_group).select("token", "node", "n", "place").distinct()
     for turn in range(s.most_rounds + 1):
         # pairs of the small groups, or of the round before
         more = cut(_verify(pairs, texts, s))
@@ -427,7 +422,7 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
         roots = cut(_joined(roots, more))
         if turn == 0 and not _any(rows):
             return members, roots
-        rows = cut(_named(rows.drop("root"), roots))
+        rows = cut(_named(rows.select("token", "node", "n", "place"), roots))
         size = rows.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(
             F.sum("k").alias("k"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
         size = size.where("pairs > 0")
@@ -436,8 +431,11 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
             return members, roots
         rows = rows.join(size.select("token"), "token", "left_semi")
         last = turn == s.most_rounds or left["pairs"] <= s.finish_factor * left["k"]
-        pairs = _all_across(rows, s) if last else _to_leaders(rows, links, turn, s)
-        pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
+        if last:
+            pairs = _all_across(rows.join(signed.select("node", "bits"), "node"), s).join(tried, ["a", "b"], "left_anti")
+        else:
+            pairs = _plausible(_to_leaders(rows, links, turn, s).join(tried, ["a", "b"], "left_anti"), signed, s)
+        pairs = cut(pairs)
         if last:
             return members, _joined(roots, cut(_verify(pairs, texts, s)))
     raise AssertionError("the last turn returns")
@@ -469,10 +467,9 @@ def _to_leaders(rows: DataFrame, links: DataFrame, turn: int, s: Settings) -> Da
     many = ends.groupBy("node").agg(F.count("*").alias("links"))
     rated = rows.join(many, "node", "left").withColumn(
         "rate", F.struct(F.coalesce("links", F.lit(0)).alias("links"), F.xxhash64("node", F.lit(turn)).alias("seed")))
-    lead = rated.groupBy("token").agg(F.max_by(F.struct("node", "n", "place", "root", "bits"), "rate").alias("lead"))
+    lead = rated.groupBy("token").agg(F.max_by(F.struct("node", "n", "place", "root"), "rate").alias("lead"))
     near = rows.join(lead, "token").where(F.col("root") != F.col("lead.root")).where(
-        _possible(F.col("n"), F.col("place"), F.col("lead.n"), F.col("lead.place"), s.percent)).where(
-        _alike(F.col("n"), F.col("lead.n"), F.col("bits"), F.col("lead.bits"), s))
+        _possible(F.col("n"), F.col("place"), F.col("lead.n"), F.col("lead.place"), s.percent))
     return near.select(F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b")).distinct()
 
 
