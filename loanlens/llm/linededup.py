@@ -26,6 +26,7 @@ drops the other.  Extra columns pass through whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -71,9 +72,9 @@ def _with_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words of lines named by their earliest place; ``wanted`` has (h, m, first, shared)."""
     by_doc = wanted.groupBy("first.doc_id").agg(F.collect_set("first.k").alias("ks"))  # at most the lines of one text
     named = by_doc.select(F.col("doc_id").alias("wanted_id"), "ks")
+    at = _let(F.split("text", "\n", -1), lambda lines: F.transform("ks", lambda k: F.get(lines, k)))
     lines = (documents.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-             .select("ks", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
-             .where(F.array_contains("ks", F.col("k"))).select(words(F.col("line")).alias("words")))
+             .select(F.explode(at).alias("line")).where(F.col("line").isNotNull()).select(words(F.col("line")).alias("words")))
     found = lines.withColumn("h", F.xxhash64("words")).withColumn("m", F.size("words"))
     # a doc_id that stands for several texts may bring other lines along: the join leaves them out
     return (found.join(wanted, ["h", "m"]).groupBy("h", "m", "first")
@@ -142,9 +143,18 @@ def _decided(documents: DataFrame, s: Settings) -> DataFrame:
         "row", F.array_distinct("dropped").alias("dropped"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _kept_text() -> Column:
-    kept = F.filter(F.split("row.text", "\n", -1), lambda line, k: ~F.array_contains("dropped", k))
-    return F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    """The lines that stay, joined; linear in the lines, of which there may be very many."""
+    def kept(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
+        return F.array_join(F.transform(places, lambda k: F.get(lines, k)), "\n")
+
+    return F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(_let(F.split("row.text", "\n", -1), kept))
 
 
 def deduplicated(documents: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -12,8 +12,11 @@ from loanlens.session import shared_dir
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
-    Cuts the lineage: a lost executor repeats the work since the last cut only.
+    Cuts the lineage: a lost executor repeats the work since the last cut only.  The shuffles behind a written table
+    are of no further use; a collection on the driver lets Spark's cleaner delete them at once.
     """
-    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.java.lang.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
