@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from loanlens.llm.state import cut
 from loanlens.llm.words import Chunk, chunks
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 #: Bytes that may begin a white space character (some begin others too: there a text is not cut).
 MAYBE_SPACE = np.zeros(256, dtype=bool)
