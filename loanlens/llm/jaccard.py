@@ -12,22 +12,25 @@ Method: rare-first prefix filtering.
 2. A set's prefix is its rarest n - ceil(0.8 n) + 1 shingles: linked sets share one.  Prefix
    shingles are shuffled by shingle and sorted; a streaming pass keeps the shared ones.
 3. Candidates that share a prefix shingle pass a length filter, a positional filter (shingles
-   left after the match on either side) and a suffix filter (the parities of bin-wise counts
-   bound the sets' difference from below), and are verified once on whole sets.
-
-Pairs inside a large group are never all emitted.  First every shared shingle pairs its members
-with one leader, its smallest node; verified links make components.  Shingles whose members lie in
-one component by then are done.  Of the others, those with at most ``small_group`` members emit
-their candidates across components (no more than small_group per row), while larger ones go on
-with leaders that change by round, members with most links first, until all their members lie in
-one component, or no more pairs across components are left than ``finish_factor`` times the
-members, or ``most_rounds`` are over.  Then all candidates left across components are verified, so
-that no link between two components is lost.  Equal sets are one node from the start.
+   left after the match on either side, the match taken as the first) and a suffix filter (the
+   parities of bin-wise counts bound the sets' difference from below), and are verified once on
+   whole sets.
+
+Pairs inside a large group are never all emitted. First every shared shingle pairs its members with
+one leader, its smallest node; verified links make components. Shingles whose members lie in one
+component by then are done. Of the others, those with at most ``small_group`` members emit their
+candidates across components (no more than small_group per row), while larger ones go on with a few
+leaders drawn anew in every round, until all their members lie in one component, or no more pairs
+across components are left than ``finish_factor`` times the members, or ``most_rounds`` are over.
+Then all candidates left across components are verified, so that no link between two components is
+lost. Equal sets are one node from the start.
 
 Defined results: null, empty and wordless texts have n_shingles 0 and their own doc_id as
 class; repeated rows and rows that share a doc_id with different texts are separate members
 whose class is the smallest doc_id (nulls left out) of their component; a null doc_id is
-carried.  Sets are of 64-bit hashes; equal sets are told by the sum of mixed hashes.
+carried; texts of any length are compared whole; an empty table has no rows.  Only doc_id and text are
+read (``one_of_each`` carries the other columns as one struct), so other columns may have any name.
+Sets are of 64-bit hashes; equal sets are told by the sum of mixed hashes.
 
 Memory: a streaming pass holds one batch, a verification one chunk of texts and the
 leader's set.  The driver holds the bucket counts (2**sketch_bits numbers).
@@ -53,12 +56,13 @@ from loanlens.llm.state import cut
 class Settings:
     words: int = 5
     percent: int = 80
-    sketch_bits: int = 22
+    sketch_bits: int = 20
     bins: int = 256  # of the suffix filter; a multiple of 64
     small_group: int = 32
     partners: int = 1000  # of one text, that a verification task takes
     finish_factor: int = 32
     most_rounds: int = 4
+    leaders: int = 4  # of a large token, in a round
 
 
 BLOCK = 4096  # buckets of the sketch that travel as one row
@@ -240,9 +244,12 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _possible(n, i, m, j, percent: int):
-    """Length and positional filter (columns or arrays): set sizes n, m and places i, j of a shared shingle."""
+    """Length and positional filter (columns or arrays): set sizes n, m and places i, j of a shared shingle.
+
+    Taken as the first one that both share: a linked pair passes at that one, and need not at the others.
+    """
     least, most = (F.least, F.greatest) if isinstance(n, Column) else (np.minimum, np.maximum)
-    overlap = least(i, j) + 1 + least(n - i - 1, m - j - 1)
+    overlap = 1 + least(n - i - 1, m - j - 1)
     return (100 * least(n, m) >= percent * most(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
 
 
@@ -418,7 +425,7 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     for turn in range(s.most_rounds + 1):
         # pairs of the small groups, or of the round before
         more = cut(_verify(pairs, texts, s))
-        links, tried = links.unionByName(more), tried.unionByName(pairs)
+        tried = tried.unionByName(pairs)
         roots = cut(_joined(roots, more))
         if turn == 0 and not _any(rows):
             return members, roots
@@ -434,7 +441,7 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
         if last:
             pairs = _all_across(rows.join(signed.select("node", "bits"), "node"), s).join(tried, ["a", "b"], "left_anti")
         else:
-            pairs = _plausible(_to_leaders(rows, links, turn, s).join(tried, ["a", "b"], "left_anti"), signed, s)
+            pairs = _plausible(_to_leaders(rows, turn, s).join(tried, ["a", "b"], "left_anti"), signed, s)
         pairs = cut(pairs)
         if last:
             return members, _joined(roots, cut(_verify(pairs, texts, s)))
@@ -461,13 +468,13 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return old.unionByName(merged.join(roots, "node", "left_anti").select("node", "root"))
 
 
-def _to_leaders(rows: DataFrame, links: DataFrame, turn: int, s: Settings) -> DataFrame:
-    """Per token one leader, the node with most links so far; its candidates in other components."""
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-    many = ends.groupBy("node").agg(F.count("*").alias("links"))
-    rated = rows.join(many, "node", "left").withColumn(
-        "rate", F.struct(F.coalesce("links", F.lit(0)).alias("links"), F.xxhash64("node", F.lit(turn)).alias("seed")))
-    lead = rated.groupBy("token").agg(F.max_by(F.struct("node", "n", "place", "root"), "rate").alias("lead"))
+def _to_leaders(rows: DataFrame, turn: int, s: Settings) -> DataFrame:
+    """Per token a few leaders, drawn anew every turn; their candidates in other components.
+
+    A member drawn at random most likely lies in the token's largest component, where the others' links lead.
+    """
+    draws = [F.min_by(F.struct("node", "n", "place", "root"), F.xxhash64("node", F.lit(turn * s.leaders + i))) for i in range(s.leaders)]
+    lead = rows.groupBy("token").agg(F.array_distinct(F.array(*draws)).alias("leads")).select("token", F.explode("leads").alias("lead"))
     near = rows.join(lead, "token").where(F.col("root") != F.col("lead.root")).where(
         _possible(F.col("n"), F.col("place"), F.col("lead.n"), F.col("lead.place"), s.percent))
     return near.select(F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b")).distinct()
