@@ -21,7 +21,8 @@ verification keeps the line.
 Defined results: null and empty texts have no lines and stay as they are; null doc_ids come
 after all others; repeated rows (same doc_id and text) keep the same lines; lines of rows
 that share a doc_id but not the text, at the same place, are equally early, and neither
-drops the other.  Extra columns pass through whatever their names.
+drops the other; texts of any number and length of lines are read whole, in linear time; an empty table has no
+rows.  Extra columns pass through whatever their names.
 """
 
 from __future__ import annotations

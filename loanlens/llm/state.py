@@ -9,14 +9,22 @@ from pyspark.sql import DataFrame
 from loanlens.session import shared_dir
 
 
+#: Spark's own setting: the shuffles of a statement are deleted when it ends.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage: a lost executor repeats the work since the last cut only.  The shuffles behind a written table
-    are of no further use; a collection on the driver lets Spark's cleaner delete them at once.
+    are of no further use and are deleted with the end of the write.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.java.lang.System.gc()
+    before = spark.conf.get(CLEANED)
+    spark.conf.set(CLEANED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANED, before)
     return spark.read.schema(df.schema).parquet(path)

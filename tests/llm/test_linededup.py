@@ -113,3 +113,12 @@ def test_native_only(spark):
 
 def test_empty_table(spark):
     assert linededup.deduplicated(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_text_of_very_many_lines(spark):
+    """Linear in the lines: every line comes twice, 100,000 in all."""
+    lines = [f"line{i} of text{i}" for i in range(50_000)]
+    docs = frame(spark, [(1, "\n".join(lines + lines), None, None, None)])
+    row = linededup.deduplicated(docs).first()
+    assert row["dropped"] == list(range(50_000, 100_000))
+    assert row["clean_text"] == "\n".join(lines)
