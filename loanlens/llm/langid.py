@@ -3,16 +3,19 @@
 A text's features are its byte n-grams of 2 to 4 bytes that lie within a word, word edges
 included, hashed into ``buckets``.  The mean of their embeddings goes through a linear layer
 and a softmax.  Embeddings and layer are trained together by stochastic gradient descent
-in numpy, on a sample of at most about ``per_language`` labelled texts of every language, drawn by a
-hash of the row's key (fewer of each, but ``least_rows``, where that passes ``sample_rows``); the rest of the sample sets the
-softmax's temperature and the score below which a prediction counts as rejected.
+in numpy, on a bounded sample: of every label the ``per_language`` texts with the smallest hash of key and text
+(fewer of each, but one, where that passes ``sample_rows``), so no label is lost and repeated rows count once.  The
+sample comes to the driver as (bucket, share) pairs.  One text in five of it sets the softmax's
+temperature and the score below which a prediction counts as rejected.
 
 Prediction is one pass over the whole texts without a shuffle.  Only embeddings @ layer, one
 table of buckets x languages, is sent to the executors; its size follows from the settings.
 
 Defined results: ``und`` with score 0.0 (and rejected) for a null text or one without a letter, or
 where nothing could be learned; a null label is never learned from; repeated rows get equal
-predictions.  Labels, sources and ids are not features.
+predictions; rows that share a doc_id, or have none, are drawn by their texts; texts of any length are used whole;
+of an empty table nothing is learned and nothing predicted.  Labels, sources and ids are not features.  Columns
+other than doc_id, text, lang and those to carry are not read, so they may have any name.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loanlens.llm import words as W
 
@@ -37,7 +41,6 @@ class Settings:
     dim: int = 16
     per_language: int = 800
     sample_rows: int = 51_200
-    least_rows: int = 20
     epochs: int = 12
     least_steps: int = 60  # per language: many languages with few rows each take more epochs
     batch: int = 16
@@ -70,6 +73,26 @@ def features(chunk: W.Chunk, s: Settings) -> np.ndarray:
     return out / np.maximum(1, out.sum(axis=1, keepdims=True))
 
 
+@dataclass(frozen=True)
+class Sparse:
+    """Rows of mostly empty vectors: row i has value[bounds[i]:bounds[i + 1]] in buckets bucket[...]."""
+
+    bounds: np.ndarray
+    bucket: np.ndarray
+    value: np.ndarray
+    width: int
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), self.width), dtype=np.float32)
+        for k, i in enumerate(rows):
+            own = slice(self.bounds[i], self.bounds[i + 1])
+            out[k, self.bucket[own]] = self.value[own]
+        return out
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -86,7 +109,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, labels: list[str], s: Settings) -> Model:
+def train(x: Sparse, labels: list[str], s: Settings) -> Model:
     """Fit on rows of ``x``; one row in five is kept aside for the temperature and the rejection score."""
     languages = sorted(set(labels))
     place = {v: i for i, v in enumerate(languages)}
@@ -104,18 +127,19 @@ def train(x: np.ndarray, labels: list[str], s: Settings) -> Model:
     steps, done = epochs * a_turn, 0
     for _ in range(epochs):
         for rows in np.array_split(rng.permutation(train_rows), a_turn):
-            mean = x[rows] @ embed
+            now = x.dense(rows)
+            mean = now @ embed
             gap = softmax(mean @ layer + bias)
             gap[np.arange(len(rows)), y[rows]] -= 1
             gap /= len(rows)
             rate = s.rate * (1 - done / steps)
-            step = x[rows].T @ (gap @ layer.T)
+            step = now.T @ (gap @ layer.T)
             layer -= 0.01 * rate * (mean.T @ gap)
             bias -= 0.001 * rate * gap.sum(axis=0)
             embed -= rate * step
             done += 1
     check = np.flatnonzero(aside) if aside.any() else train_rows
-    z = x[check] @ embed @ layer + bias
+    z = np.concatenate([x.dense(rows) @ embed @ layer + bias for rows in np.array_split(check, -(-len(check) // 1024))])
     loss = lambda t: -np.log(softmax(z / t)[np.arange(len(check)), y[check]] + 1e-12).mean()
     heat = min(np.geomspace(0.2, 5, 41), key=loss)
     chance = softmax(z / heat)
@@ -128,36 +152,47 @@ def train(x: np.ndarray, labels: list[str], s: Settings) -> Model:
 
 
 def _featured(texts: DataFrame, s: Settings) -> DataFrame:
+    """``lang``, ``draw`` and the features of each text, as far as they aren't 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 for chunk in W.chunks(part.column("text")):
-                    rows = [r.tobytes() for r in features(chunk, s)]
+                    x = features(chunk, s)
+                    row, bucket = np.nonzero(x)
+                    bounds = pa.array(np.searchsorted(row, np.arange(chunk.rows + 1)).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("lang").slice(chunk.first, chunk.rows), pa.array(rows, pa.binary())], ["lang", "x"])
+                        [part.column(c).slice(chunk.first, chunk.rows) for c in ("lang", "draw")]
+                        + [pa.ListArray.from_arrays(bounds, pa.array(bucket.astype(np.int32))),
+                           pa.ListArray.from_arrays(bounds, pa.array(x[row, bucket]))], ["lang", "draw", "bucket", "value"])
+
+    return texts.select("lang", "draw", "text").mapInArrow(run, "lang string, draw long, bucket array<int>, value array<float>")
 
-    return texts.select("lang", "text").mapInArrow(run, "lang string, x binary")
+
+def sample(told: DataFrame, each: int, s: Settings) -> DataFrame:
+    """Of every label exactly the ``each`` texts with the smallest draws (all, if fewer), with repeated rows once."""
+    drawn = told.withColumn("draw", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text", F.lit(s.seed)))
+    lowest = Window.partitionBy("lang").orderBy("draw")
+    last = (drawn.select("lang", "draw").distinct().withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= each)
+            .groupBy(F.col("lang").alias("its_lang")).agg(F.max("draw").alias("last")))
+    some = drawn.join(last, F.col("lang") == F.col("its_lang")).where(F.col("draw") <= F.col("last"))
+    return some.select("lang", "draw", "text").dropDuplicates(["lang", "draw"])
 
 
 def fit(documents: DataFrame, learn_from: Column, s: Settings = Settings()) -> Model | None:
-    """A model of (text, lang), drawn by the rows' ``doc_id`` among those that ``learn_from`` marks; None if there are none."""
-    told = documents.select("doc_id", "text", "lang").where(learn_from & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = told.groupBy(F.col("lang").alias("its_lang")).agg(F.count("*").alias("rows"))
-    languages = counts.count()
+    """A model of (text, lang), learned from a sample of the rows that ``learn_from`` marks; None if there are none."""
+    told = documents.where(learn_from & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    languages = told.select("lang").distinct().count()
     if not languages:
         return None
-    each = min(s.per_language, max(s.least_rows, s.sample_rows // languages))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(s.seed)), F.lit(1 << 30))
-    most = (F.least(F.lit(1.0), F.lit(float(each)) / F.col("rows")) * (1 << 30)).cast("long")
-    some = told.join(F.broadcast(counts), F.col("lang") == F.col("its_lang")).where(draw < most)
-    drawn = _featured(some, s).limit(2 * each * languages).toArrow()
-    if drawn.num_rows == 0:
-        return None
-    x = np.frombuffer(b"".join(drawn.column("x").to_pylist()), dtype=np.float32).reshape(drawn.num_rows, -1)
-    labels = np.array(drawn.column("lang").to_pylist())
-    order = np.lexsort((x.sum(axis=1), *x.T[:8], labels))  # the same model however the rows arrive
-    return train(x[order], [str(v) for v in labels[order]], s)
+    each = min(s.per_language, max(1, s.sample_rows // languages))
+    drawn = _featured(sample(told, each, s), s).toArrow().combine_chunks()  # at most each * languages rows
+    labels, draw = np.array(drawn.column("lang").to_pylist()), drawn.column("draw").to_numpy()
+    order = np.lexsort((draw, labels))  # the same model however the rows arrive
+    drawn = drawn.take(pa.array(order)).combine_chunks()
+    bucket, value = (drawn.column(c).chunk(0) for c in ("bucket", "value"))
+    x = Sparse(np.asarray(bucket.offsets).astype(np.int64) - bucket.offsets[0].as_py(), np.asarray(bucket.flatten()), np.asarray(value.flatten()), s.buckets)
+    return train(x, [str(v) for v in labels[order]], s)
 
 
 def predict(documents: DataFrame, model: Model | None, carried: list[str], s: Settings = Settings()) -> DataFrame:

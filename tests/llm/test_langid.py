@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from loanlens.llm import langid
@@ -69,3 +70,57 @@ def test_features_do_not_hang_on_chunks():
     apart = [features for c in W.chunks(column, 1) for features in langid.features(c, s)]
     assert np.array_equal(whole, apart)
     assert [round(float(x.sum()), 3) for x in whole] == [1, 0, 0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_a_label_under_one_doc_id_is_learned_and_copies_count_once(spark, doc_id):
+    rng = np.random.default_rng(4)
+    rows = []
+    for lang in ("aa", "bb", "cc"):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)]
+        rows += [(doc_id if lang == "bb" else len(rows) + k, " ".join(rng.choice(words, 30)), lang, "s", 0) for k in range(100)]
+    rows += [(doc_id, "the very same text again and again", "bb", "s", 0)] * 400
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    s = langid.Settings(per_language=40, sample_rows=90)
+    told = docs.select("doc_id", "text", "lang")
+    drawn = langid.sample(told, 30, s).collect()
+    assert {lang: sum(r["lang"] == lang for r in drawn) for lang in ("aa", "bb", "cc")} == {"aa": 30, "bb": 30, "cc": 30}
+    assert sorted(langid.sample(told.repartition(3), 30, s).collect()) == sorted(drawn)
+    model = langid.fit(docs, F.lit(True), s)
+    assert model.languages == ["aa", "bb", "cc"]
+    out = langid.predict(docs.distinct(), model, ["lang"]).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.95
+
+
+def slow_features(text: str, s: langid.Settings) -> np.ndarray:
+    """N-grams one by one: those of 2 to 4 bytes whose inner bytes are no white space."""
+    data = [0x20 if b in (0x20, 9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+    out = np.zeros(s.buckets)
+    for length in s.lengths:
+        for i in range(len(data) - length + 1):
+            gram = data[i : i + length]
+            if 0x20 not in gram[1:-1]:
+                code = int.from_bytes(bytes(gram), "big") + (length << 40)
+                out[int(W.mix(np.array([code], np.uint64))[0]) % s.buckets] += 1
+    return out / max(1, out.sum())
+
+
+def test_features_and_forward_pass_against_a_slow_reference():
+    import pyarrow as pa
+
+    s = langid.Settings(buckets=512)
+    rng = np.random.default_rng(1)
+    texts = ["Straße und Weg", "", "a b", "ABC  def\n\tghi", "漢字 x", "The quick brown fox jumps over it"]
+    fast = np.concatenate([langid.features(c, s) for c in W.chunks(pa.array(texts))])
+    slow = np.array([slow_features(t, s) for t in texts])
+    assert np.allclose(fast, slow, atol=1e-7)
+    model = langid.Model(["x", "y", "z"], rng.normal(size=(512, 3)).astype(np.float32), rng.normal(size=3).astype(np.float32), 0.5)
+    for vector, chance in zip(slow, model.probabilities(fast), strict=True):
+        score = [sum(vector[b] * float(model.table[b, k]) for b in np.flatnonzero(vector)) + float(model.bias[k]) for k in range(3)]
+        want = np.exp(score) / np.exp(score).sum()
+        assert np.allclose(chance, want, atol=1e-5)
+
+
+def test_sparse_rows():
+    x = langid.Sparse(np.array([0, 2, 2, 3]), np.array([1, 3, 0]), np.array([0.5, 0.5, 1.0]), 4)
+    assert len(x) == 3 and x.dense(np.array([2, 0, 1])).tolist() == [[1, 0, 0, 0], [0, 0.5, 0, 0.5], [0, 0, 0, 0]]
