@@ -9,23 +9,28 @@ Roles in ``narrators`` (system text) are rendered as what they are and take no s
 
 A dialogue of any length is rendered in parts of at most ``part_turns`` turns, so that no task
 holds a whole conversation; the parts of one perspective, joined in order, are the rendering,
-and ``first_char`` is where a part begins in it.  Spans are code points within the part: from the
+and ``first_char`` is where a part begins in it, summed up from the parts' lengths alone.  Spans are code points within the part: from the
 first character said to the end of the end mark.
 
 Defined results: turns go by (turn, role, text), null turns last; rows that repeat a conversation's
 turn, role and text count once; a null role speaks as "unknown"; a null text is empty; rows with
 a null conv_id form one conversation; a conversation with narrators alone has no perspective and
-gives no row; an empty table gives an empty result.
+gives no row; an empty table gives an empty result.  Turns with a null or one equal number are ordered together in
+one task.  Only conv_id, turn, role and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loanlens.llm.state import cut
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -63,8 +68,12 @@ def render(conversations: DataFrame, s: Settings = Settings()) -> DataFrame:
     parts = parts.select("conv_id", "speaker", "stretch", "slice", F.size("pieces").alias("n_turns"),
                          F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("text"),
                          F.array_join(spans, ",").alias("loss_spans"))
+    parts = cut(parts)
     along = Window.partitionBy("conv_id", "speaker").orderBy(F.col("stretch").asc_nulls_last(), "slice")
-    return (parts.withColumn("part", (F.row_number().over(along) - 1).cast("int"))
-            .withColumn("first_char", F.coalesce(F.sum(F.length("text").cast("long")).over(
-                along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
-            .select("conv_id", "speaker", "part", "n_turns", "first_char", "text", "loss_spans"))
+    places = (parts.select("conv_id", "speaker", "stretch", "slice", F.length("text").cast("long").alias("size"))
+              .withColumn("part", (F.row_number().over(along) - 1).cast("int"))
+              .withColumn("first_char", F.coalesce(F.sum("size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("size"))
+    keys = ["conv_id", "speaker", "stretch", "slice"]
+    named = places.select(*(F.col(c).alias(f"at_{c}") for c in keys), "part", "first_char")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"at_{c}")) for c in keys))
+    return parts.join(named, same).select("conv_id", "speaker", "part", "n_turns", "first_char", "text", "loss_spans")
