@@ -17,7 +17,8 @@ which the prefix ends, and only that bucket is sorted.
 All amounts are integers (a share's remainder of less than a token is left unspent).
 Defined results: a null language or source is a node of its own; a null or empty text has 0
 tokens and is never selected; rows that share a doc_id share their place in every order;
-null doc_ids count as one id; a node of weight 0 gets nothing; an empty table gives an empty result.
+null doc_ids count as one id; a node of weight 0 gets nothing; a very long text is taken whole or not at
+all; an empty table gives an empty result.  ``mixed`` carries all columns as one struct, so they may have any name.
 """
 
 from __future__ import annotations

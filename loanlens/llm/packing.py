@@ -17,7 +17,9 @@ once and looked up by its 64-bit hash from then on (``WordIds``; written for the
 word vocabulary, whose ids it gives exactly).
 
 Defined results: a null or empty text has the end token alone; rows that repeat are packed each;
-a text of any length is cut over as many sequences as it needs; an empty table gives an empty result.
+a text of any length is cut over as many sequences as it needs; among examples of equal product the first
+waiting one is taken; a null doc_id is carried; an empty table gives an empty result.  Only doc_id and text are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ known: up to ``MOST_BROADCAST`` rules (some hundred bytes each) it is broadcast
 most URLs hold is not shuffled; a longer list is joined by token.
 
 Defined results: a null url or one without "://" has an empty host and path, no rule, and the
-default verdict; an empty table gives an empty result; repeated rows are judged alike.
+default verdict; a very long url is judged whole; of patterns that tie the first by text decides; an empty table
+gives an empty result; repeated rows, and rows with a null id, are judged alike.  Only page_id and url are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations
