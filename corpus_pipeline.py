@@ -4,6 +4,12 @@ Each stage works on all rows its predecessor kept, is written as Parquet into th
 folder and read again; all but the last return the columns of ``documents``.  The last
 returns the pieces of the packed sequences; a document that the mixture holds twice is packed
 twice.
+
+Every stage takes tables with nulls in any column, repeated rows and texts of any length; its module's
+docstring states the results.  A document with a null or empty text fails the quality rules; a
+text that loses its last word to line dedup goes; rows with a null doc_id are judged by their
+texts; an empty table passes through every stage.  Further columns of documents are carried up to
+the packing, whatever their names.
 """
 
 from __future__ import annotations
