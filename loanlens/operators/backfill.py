@@ -31,7 +31,7 @@ from loanlens.operators.payments import (
 )
 from loanlens.plans.stored import Stored, restrict, stored
 from loanlens.sources.book import LoanBook
-from loanlens.sources.layout import open_or_paid_since
+from loanlens.sources.layout import paid_since_or_due_by
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def _windowed(loan_payment: DataFrame, windows: dict[date, ReportingWindow], var
     ])
     first, last = min(w.start for w in windows.values()), max(w.end for w in windows.values())
     due, paid = F.col("actual_payment_date"), F.col("paid_at_date")
-    pay = current_only(open_or_paid_since(loan_payment, first))
+    pay = current_only(paid_since_or_due_by(loan_payment, first, last))
     pay = pay.filter((due <= F.lit(last)) | paid.between(F.lit(first), F.lit(last)))  # reaches the scan
     taken = F.filter(listed, lambda w: payment_prefilter(due, paid, WindowColumns(w["start"], w["end"]), variant))
     return pay.withColumn("w", F.explode(taken)).withColumn("as_of", F.col("w.as_of"))

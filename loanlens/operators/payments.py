@@ -60,7 +60,7 @@ from loanlens.functions.windows import (
 from loanlens.operators.dedupe import one_row_per
 from loanlens.plans.stored import Stored, restrict, store, stored
 from loanlens.sources.book import LoanBook
-from loanlens.sources.layout import open_or_paid_since
+from loanlens.sources.layout import paid_since_or_due_by
 
 # Order that picks one payment when a loan has several with the same due date:
 # earliest paid first (unpaid last), then the amounts, all ascending, NULLs last.
@@ -98,7 +98,7 @@ def _report_order(*ties: str) -> list[Column]:
 
 def _candidates(loan_payment: DataFrame, window: ReportingWindow, variant: str) -> DataFrame:
     """Live payments that pass the payment-only part of the selection rule (pushed to the scan)."""
-    pay = current_only(open_or_paid_since(loan_payment, window.start))
+    pay = current_only(paid_since_or_due_by(loan_payment, window.start, window.end))
     return pay.filter(payment_prefilter(_due(), _paid(), window, variant))
 
 
@@ -111,7 +111,7 @@ def month_payments(loan_payment: DataFrame, as_of: date) -> DataFrame:
     """Every payment that some payment report of the run may select: one scan for all of them, stored."""
     windows = [(rolling_month(as_of), AGGREGATED), (rolling_month(as_of), LEVEL), (rolling_month_shifted(as_of), LEVEL)]
     any_rule = reduce(or_, [payment_prefilter(_due(), _paid(), w, variant) for w, variant in windows])
-    pay = current_only(open_or_paid_since(loan_payment, min(w.start for w, _ in windows)))
+    pay = current_only(paid_since_or_due_by(loan_payment, min(w.start for w, _ in windows), max(w.end for w, _ in windows)))
     return store(pay.filter(any_rule)).table
 
 

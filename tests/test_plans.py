@@ -4,9 +4,11 @@ and no report needs a nested-loop or cartesian join."""
 from __future__ import annotations
 
 import contextlib
+import glob
 import io
 import re
 import uuid
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -192,6 +194,33 @@ def test_paid_history_is_not_opened(plans):
     for name in ("monthly_payments", "monthly_payments_by_loan", "monthly_payments_for_loans"):
         scans = re.findall(r"Location: [^\n]*/loan_payment\n?[^\n]*\nPartitionFilters: ([^\n]*)", plans[name])
         assert scans and all("paid_month" in f and ">= 2018-0" in f for f in scans), (name, scans)
+        assert all("<= open-2018-06" in f for f in scans), (name, scans)
+
+
+def test_future_instalments_are_not_opened(spark, stored_book):
+    """Open payments due after the window, however many, are in folders that no report lists."""
+    from loanlens.operators import payments_for_loans_backfill
+    from loanlens.sources.replay import book_as_of
+
+    late = "to_date('2018-08-15')"
+    more = stored_book.loan_payment.drop("first_payment", "paid_month").selectExpr(
+        "loan_id", "is_first_payment", f"{late} AS actual_payment_date", "cast(null AS date) AS paid_at_date",
+        *[c for c in stored_book.loan_payment.columns if c not in
+          ("loan_id", "is_first_payment", "actual_payment_date", "paid_at_date", "first_payment", "paid_month")])
+    root = f"{shared_dir(spark)}/future_{uuid.uuid4().hex[:8]}"
+    now = stored_book.loan_payment.drop("first_payment", "paid_month")
+    write_book(replace(stored_book, loan_payment=now.unionByName(more)), root)
+    book = read_book(spark, root)
+    assert book.loan_payment.filter("paid_month = 'open-2018-08'").count() == now.count()
+    spoiled = glob.glob(f"{root.removeprefix('file:')}/loan_payment/*/paid_month=open-2018-08/*.parquet")
+    for path in spoiled:  # whoever opens one fails
+        with open(path, "wb") as f:
+            f.write(b"not a table")
+    assert spoiled
+    cohort = loan_cohort_v2(book, AS_OF, load_dttm=datetime(2018, 7, 1))
+    for report in (lambda b: monthly_payments_by_loan(cohort, b.loan_payment, AS_OF), lambda b: monthly_payments_for_loans(b, AS_OF),
+                   lambda b: monthly_payments_for_loans(book_as_of(b, AS_OF), AS_OF), lambda b: payments_for_loans_backfill(b, [AS_OF])):
+        assert sorted(map(repr, report(book).collect())) == sorted(map(repr, report(stored_book).collect()))
 
 
 def test_decisions_shuffle_no_whole_table(stored_book, no_broadcast, stored_plans):
