@@ -12,8 +12,8 @@ theirs on the original vectors.  All of it is in double precision.
 
 Spark does the dealing: equal vectors are one (with their k + 1 smallest ids: no more can
 be in a result of k), a list with many vectors is cut into cells of about ``cell_rows``, and
-each query goes to every cell of its probed lists.  A task holds one cell and a slice of
-queries.  The centroids are fitted on a sample of at most about ``sample_rows`` vectors, chosen
+each query goes to every cell of its probed lists.  A task holds one cell and, in blocks, at most about
+``slice_rows`` of its queries: a list with more queries sends its cells to several tasks.  The centroids are fitted on a sample of at most about ``sample_rows`` vectors, chosen
 by hash; every vector is indexed.  The number of probed lists is what ``target_recall`` takes by brute
 force on the sample; a query whose lists hold fewer than k + 1 vectors goes on to its next nearest
 ones until they do, or to all lists, so that it gets k rows if there are as many.  Centroids and list sizes (at most ``max_lists``) are all that the driver holds.
@@ -21,7 +21,8 @@ ones until they do, or to all lists, so that it gets k rows if there are as many
 Defined results: vectors that are null, zero, hold a null or non-finite component, or have
 another length than most, take no part, neither as query nor as candidate; a null id takes
 no part.  Rows repeating an id and a vector count once.  Ties go to the smaller id.  An empty
-table gives an empty result.
+table gives an empty result.  Vectors may have any length.  Only vec_id and embedding are read, beside what
+the query condition needs, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ class Settings:
     sample_rows: int = 40_000
     iterations: int = 8
     cell_rows: int = 2048
+    slice_rows: int = 16_384
     block: int = 16  # columns compared between two tests
     epsilon: float = 2.1
     seed: int = 7
@@ -292,14 +294,18 @@ def nearest(embeddings: DataFrame, is_query: Column, s: Settings = Settings()) -
     sizes = np.zeros(len(index.centroids), dtype=np.int64)
     for r in counts.collect():
         sizes[r["list"]] = r["count"]
-    held = listed.join(F.broadcast(counts), "list").select(
-        (F.col("list").cast("long") * (1 << 32) + F.pmod(F.xxhash64("vkey", F.lit(1)), F.col("cells"))).alias("cell"),
-        F.lit(0).alias("kind"), "vkey", "vec")
     asked = vectors.join(rows.where("asks").select("vkey").distinct(), "vkey", "left_semi")
-    probing = (_near_lists(asked, index, index.probes, True, sizes, s.k + 1).select("vkey", "vec", F.explode("lists").alias("list"))
-               .join(F.broadcast(counts), "list")
-               .select("list", "vkey", "vec", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("part"))
-               .select((F.col("list").cast("long") * (1 << 32) + F.col("part")).alias("cell"), F.lit(1).alias("kind"), "vkey", "vec"))
+    asked = cut(_near_lists(asked, index, index.probes, True, sizes, s.k + 1))
+    asking = asked.select(F.explode("lists").alias("list")).groupBy("list").agg(
+        F.ceil(F.count(F.lit(1)) / s.slice_rows).cast("int").alias("slices"))  # at most max_lists rows, as counts
+    dealt = F.broadcast(counts.join(asking, "list"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cell = (F.col("list").cast("long") * (1 << 50) + F.col("part").cast("long") * (1 << 20) + F.col("slice")).alias("cell")
+    held = (listed.join(dealt, "list").withColumn("part", F.pmod(F.xxhash64("vkey", F.lit(1)), F.col("cells")))
+            .withColumn("slice", upto("slices")).select(cell, F.lit(0).alias("kind"), "vkey", "vec"))
+    probing = (asked.select("vkey", "vec", F.explode("lists").alias("list")).join(dealt, "list")
+               .withColumn("slice", F.pmod(F.xxhash64("vkey", F.lit(2)), F.col("slices"))).withColumn("part", upto("cells"))
+               .select(cell, F.lit(1).alias("kind"), "vkey", "vec"))
     found = _search(held.unionByName(probing), index, s)
 
     best = Window.partitionBy("qkey").orderBy(F.desc("score"))

@@ -22,13 +22,14 @@ def brute(rows: list[tuple[int, np.ndarray]], k: int = 20) -> dict[int, list[int
     return out
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
-def test_recall(spark, sf):
+@pytest.mark.parametrize("sf,s", [("sf0.001", ann.Settings()), ("sf0.1", ann.Settings()), ("sf0.1", ann.Settings(sample_rows=400))])
+def test_recall(spark, sf, s):
+    """Also where the sample is a fifth of the table."""
     table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
     want = brute([(r["vec_id"], np.array(r["embedding"], dtype=np.float64)) for r in table.collect()])
     vectors = {r["vec_id"]: np.array(r["embedding"], dtype=np.float64) for r in table.collect()}
     got: dict[int, list] = {}
-    for r in sorted(ann.nearest(table, F.expr(ASKS)).collect(), key=lambda r: (r["query_id"], r["rank"])):
+    for r in sorted(ann.nearest(table, F.expr(ASKS), s).collect(), key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append(r)
     assert got.keys() == want.keys()
     hits = sum(len({r["vec_id"] for r in got[q]} & set(want[q])) for q in want)
@@ -40,7 +41,8 @@ def test_recall(spark, sf):
         assert [(-r["score"], r["vec_id"]) for r in near] == sorted((-r["score"], r["vec_id"]) for r in near)
 
 
-def test_odd_rows_and_copies(spark):
+@pytest.mark.parametrize("slice_rows", [2, 16_384])
+def test_odd_rows_and_copies(spark, slice_rows):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=6) * (1 + i % 5)]) for i in range(90)]
     rows += [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for i in range(100, 400)]  # one very common vector
@@ -50,7 +52,7 @@ def test_odd_rows_and_copies(spark):
     table = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<double>, label int, score string")
     want = brute([(i, np.array(v)) for i, v in usable])
     got: dict[int, list[int]] = {}
-    for r in sorted(ann.nearest(table, F.expr(ASKS), ann.Settings(cell_rows=32, target_recall=1)).collect(), key=lambda r: (r["query_id"], r["rank"])):
+    for r in sorted(ann.nearest(table, F.expr(ASKS), ann.Settings(cell_rows=32, slice_rows=slice_rows, target_recall=1)).collect(), key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert got == want
 
