@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loanlens.llm import words as W
+from loanlens.llm.state import cut
 
 UNKNOWN = "und"
+SALTS = 64  # parts of a label's draws
 
 
 @dataclass(frozen=True)
@@ -170,13 +172,21 @@ def _featured(texts: DataFrame, s: Settings) -> DataFrame:
 
 
 def sample(told: DataFrame, each: int, s: Settings) -> DataFrame:
-    """Of every label exactly the ``each`` texts with the smallest draws (all, if fewer), with repeated rows once."""
+    """Of every label exactly the ``each`` texts with the smallest draws (all, if fewer), with repeated rows once.
+
+    The draws are cut to ``each`` in salted parts of a label first, so that no task gets a label's rows whole, and
+    written; texts are then fetched where they are scanned, by draw and hashed label.  These keys are broadcast if
+    there are at most ``sample_rows``, at 16 bytes each; else both sides are shuffled by key, not by label.
+    """
     drawn = told.withColumn("draw", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text", F.lit(s.seed)))
-    lowest = Window.partitionBy("lang").orderBy("draw")
-    last = (drawn.select("lang", "draw").distinct().withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= each)
-            .groupBy(F.col("lang").alias("its_lang")).agg(F.max("draw").alias("last")))
-    some = drawn.join(last, F.col("lang") == F.col("its_lang")).where(F.col("draw") <= F.col("last"))
-    return some.select("lang", "draw", "text").dropDuplicates(["lang", "draw"])
+    drawn = drawn.withColumn("tag", F.xxhash64("lang"))
+    low = drawn.select("tag", "draw").distinct().withColumn("salt", F.pmod("draw", F.lit(SALTS)))
+    for key in (["tag", "salt"], ["tag"]):
+        low = low.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("draw"))).where(F.col("nth") <= each)
+    keys = cut(low.select("tag", "draw"))
+    if keys.count() <= s.sample_rows:
+        keys = F.broadcast(keys)
+    return drawn.join(keys, ["tag", "draw"], "left_semi").select("lang", "draw", "text").dropDuplicates(["lang", "draw"])
 
 
 def fit(documents: DataFrame, learn_from: Column, s: Settings = Settings()) -> Model | None:

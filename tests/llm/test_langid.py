@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -92,6 +93,19 @@ def test_a_label_under_one_doc_id_is_learned_and_copies_count_once(spark, doc_id
     assert np.mean([r["lang"] == r["lang_pred"] for r in out]) > 0.95
 
 
+@pytest.mark.parametrize("sample_rows", [10, 51_200])
+def test_the_sample_is_the_smallest_draws_of_a_hot_label(spark, sample_rows):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", "text", F.when(F.col("doc_id") % 3 == 0, "rare").otherwise("hot").alias("lang")).where("text IS NOT NULL")
+    told, s = docs.unionByName(docs), langid.Settings(sample_rows=sample_rows)
+    draws = docs.select("lang", F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(s.seed)).alias("draw")).collect()
+    wanted = [(lang, d) for lang in ("hot", "rare") for d in sorted({r["draw"] for r in draws if r["lang"] == lang})[:20]]
+    sampled = langid.sample(told, 20, s)
+    assert sorted((r["lang"], r["draw"]) for r in sampled.collect()) == sorted(wanted)
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", sampled._jdf.queryExecution().executedPlan().toString())
+    assert exchanges and all("draw" in keys for keys in exchanges)  # texts never meet by label alone
+
+
 def slow_features(text: str, s: langid.Settings) -> np.ndarray:
     """N-grams one by one: those of 2 to 4 bytes whose inner bytes are no white space."""
     data = [0x20 if b in (0x20, 9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in text.encode()]
