@@ -69,7 +69,7 @@ def pattern(text: str, verdict: str) -> Rule:
 RULES = [
     site("org/", "allow"),
     site("example.org/es/", "block"),
-    site("example.org/en/1", "allow"),
+    site("example.org/en/1", "block"),
     site("com/fr/", "allow"),
     site("com/de/", "block"),
     pattern("/login/", "block"),
