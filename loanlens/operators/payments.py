@@ -120,19 +120,23 @@ def not_superseded(day: Column) -> Column:
     return day.isNull() | (day <= F.col("superseded"))
 
 
-def sums_by_date(pay: DataFrame, window: ReportingWindow, variant: str, null_safe_least: bool = False, *by: str) -> DataFrame:
-    """Sums of each loan's candidates ``pay`` by the date its superseded test needs (``test_date``, NULL: none)."""
-    due, paid = _due(), _paid()
+def tested_day(due: Column, paid: Column, variant: str, null_safe_least: bool = False) -> tuple[Column, Column]:
+    """The day that a payment due in the window has tested, and whether such a payment can pass at all.
+
+    A payment due outside the window was taken for its paid date or as overdue, and needs no test.
+    """
     if variant == LEVEL:
-        day = F.when(window.contains(due), due)
-    else:
-        # Due and paid in the window (or unpaid, or paid later) needs a test of the earlier date; a payment
-        # due outside the window was taken for its paid date or as overdue, and needs none.
-        earliest = F.least(due, paid) if null_safe_least else least_strict(due, paid)
-        if not null_safe_least:  # an unpaid payment due in the window never passes the strict test
-            pay = pay.filter(~(window.contains(due) & paid.isNull()))
-        day = F.when(window.contains(due), earliest)
-    return pay.groupBy(*by, "loan_id", day.alias("test_date")).agg(*loan_measures())
+        return due, F.lit(True)
+    if null_safe_least:
+        return F.least(due, paid), F.lit(True)
+    return least_strict(due, paid), paid.isNotNull()  # an unpaid one never passes the strict test
+
+
+def sums_by_date(pay: DataFrame, window: ReportingWindow, variant: str, null_safe_least: bool = False) -> DataFrame:
+    """Sums of each loan's candidates ``pay`` by the date its superseded test needs (``test_date``, NULL: none)."""
+    day, testable = tested_day(_due(), _paid(), variant, null_safe_least)
+    in_due = window.contains(_due())
+    return pay.filter(~in_due | testable).groupBy("loan_id", F.when(in_due, day).alias("test_date")).agg(*loan_measures())
 
 
 def _tested_sums(sums: DataFrame, loans: DataFrame, *keys: str) -> DataFrame:

@@ -38,6 +38,16 @@ def test_payments_are_read_once_and_aggregated_before_their_exchange(stored):  #
     assert "paid_month" in text and ">= 2018-04" in text
 
 
+def test_payments_become_rows_of_their_dates_only_after_their_exchange(stored):  # noqa: F811
+    """Before it a scan task holds one sum for payments with the same dates, not one for each date."""
+    book, _ = stored
+    whole = loan_cohort_v2(book, DAYS[-1], window=WHOLE_BOOK, load_dttm=LOAD)
+    for df in (payments_for_loans_backfill(book, DAYS), payments_by_loan_backfill(whole, book.loan_payment, DAYS)):
+        above = operators_above_scan(plan_text(df), "loan_payment")[0]
+        assert "Generate" not in before_exchange(above) and "Generate" in above, above
+        assert "HashAggregate" in before_exchange(above), above
+
+
 def test_one_date_twice_is_one_date(stored):  # noqa: F811
     book, _ = stored
     once = sorted(map(repr, payments_for_loans_backfill(book, [DAYS[3]]).collect()))
