@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from loanlens.llm.state import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
+BLACK = r"[^\x20\x09-\x0D]"  # one character of a word
 
 
 @dataclass(frozen=True)
@@ -49,10 +50,10 @@ def words(line: Column) -> Column:
 
 def _lines(documents: DataFrame, s: Settings) -> DataFrame:
     """Every line with a word: its text, its place, the number and hash of its words, and hashes of its halves."""
-    each = documents.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("of")).alias("doc"),
-                            F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
-    worded = each.select("doc", "k", words(F.col("line")).alias("words")).where(F.size("words") > 0)
-    worded = worded.withColumn("m", F.size("words"))
+    # the text is hashed before it is split, not once a line, and words are taken once: a filter on them would take them again
+    named = documents.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("of")).alias("doc"), "text")
+    each = named.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("k", "line")).where(F.col("line").rlike(BLACK))
+    worded = each.select("doc", "k", words(F.col("line")).alias("words")).withColumn("m", F.size("words"))
     return worded.select("doc", F.struct("doc.unnamed", "doc.doc_id", "k").alias("rank"), "m",
                          F.xxhash64("words").alias("h"), _halves(s).alias("halves"))
 
@@ -76,7 +77,8 @@ def _with_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     at = _let(F.split("text", "\n", -1), lambda lines: F.transform("ks", lambda k: F.get(lines, k)))
     lines = (documents.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
              .select(F.explode(at).alias("line")).where(F.col("line").isNotNull()).select(words(F.col("line")).alias("words")))
-    found = lines.withColumn("h", F.xxhash64("words")).withColumn("m", F.size("words"))
+    # never null: else the join's own filter on m takes the words again
+    found = lines.withColumn("h", F.xxhash64("words")).withColumn("m", F.coalesce(F.size("words"), F.lit(0)))
     # a doc_id that stands for several texts may bring other lines along: the join leaves them out
     return (found.join(wanted, ["h", "m"]).groupBy("h", "m", "first")
             .agg(F.first("words").alias("words"), F.first("shared").alias("shared")))

@@ -122,3 +122,14 @@ def test_a_text_of_very_many_lines(spark):
     row = linededup.deduplicated(docs).first()
     assert row["dropped"] == list(range(50_000, 100_000))
     assert row["clean_text"] == "\n".join(lines)
+
+
+def test_a_line_is_cut_into_words_once_and_a_text_hashed_once(spark):
+    """Neither a filter nor a join repeats the words, and the text's hash lies below the split into lines."""
+    docs = frame(spark)
+    lines = linededup._lines(docs, linededup.Settings())._jdf.queryExecution().executedPlan().toString()
+    assert lines.count("regexp_extract_all(") == 1
+    assert lines.index("Generate") < lines.index("xxhash64(text")
+    wanted = spark.createDataFrame([], "h long, m int, first struct<unnamed:boolean,doc_id:long,k:int>, shared array<struct<half:long,at:int>>")
+    found = linededup._with_words(docs, wanted)._jdf.queryExecution().executedPlan().toString()
+    assert found.count("regexp_extract_all(") == 1
