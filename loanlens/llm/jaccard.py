@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from loanlens.llm import words as W
 from loanlens.llm.components import connected_components
-from loanlens.llm.state import cut
+from loanlens.llm.state import cut, laid_out_by
 
 
 @dataclass(frozen=True)
@@ -253,31 +253,23 @@ def _possible(n, i, m, j, percent: int):
     return (100 * least(n, m) >= percent * most(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
 
 
-def _texts(documents: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
-    """One text of every node of ``ids`` (node, doc_id).
+def _texts(documents: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    """One text of every node of ``nodes``, whichever: texts of one node have equal sets.
 
-    A document is fetched by doc_id and node together: under a repeated or null doc_id each node
-    meets its own rows only.
+    Whole texts are shuffled once, by node, and copies only once a task: no row meets another of its doc_id.
     """
-    source = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in W.chunks(batch.column("text")):
                 sets = shingle_sets(chunk, s.words)
                 node = sets.node().view(np.int64)
-                ids = batch.column("id").slice(chunk.first, chunk.rows)
-                # rows of one id and node go once a chunk
-                pairs = np.stack([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), node], axis=1)
-                once = np.unique(pairs, axis=0, return_index=True)[1]
+                once = np.unique(node, return_index=True)[1]
                 once = pa.array(once[sets.sizes[once] > 0])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(once), pa.array(node).take(once), batch.column("text").slice(chunk.first, chunk.rows).take(once)],
-                    ["id", "own", "text"])
+                    [pa.array(node).take(once), batch.column("text").slice(chunk.first, chunk.rows).take(once)], ["node", "text"])
 
-    rows = source.mapInArrow(run, "id long, own long, text string")
-    return (rows.join(ids, (F.col("own") == F.col("node")) & F.col("id").eqNullSafe(F.col("doc_id")))
-            .select("node", "text").dropDuplicates(["node"]))
+    rows = documents.select("text").mapInArrow(run, "node long, text string")
+    return rows.dropDuplicates(["node"]).join(nodes, "node", "left_semi")
 
 
 def _signed(texts: DataFrame, s: Settings) -> DataFrame:
@@ -404,10 +396,8 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     members = scan.where("block IS NULL").select("doc_id", "n_shingles", "node")
     shared = cut(_shared(_prefixes(documents, _frequencies(scan, s), s)))
 
-    in_play = shared.select("node").distinct()
-    ids = (members.where("n_shingles > 0").join(in_play, "node", "left_semi")
-           .groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    texts = cut(_texts(documents, ids, s))
+    with laid_out_by("node"):  # every verification joins the texts by node
+        texts = cut(_texts(documents, shared.select("node").distinct(), s))
 
     signed = cut(_signed(texts, s))
     # a leader is its token's smallest node: pairs are (larger node, smaller node) throughout
@@ -436,7 +426,7 @@ def _classes(documents: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
         left = size.agg(F.sum("k").alias("k"), F.sum("pairs").alias("pairs")).first()
         if not left["k"]:
             return members, roots
-        rows = rows.join(size.select("token"), "token", "left_semi")
+        rows = cut(rows.join(size.select("token"), "token", "left_semi"))  # leaders, members and the next turn read it
         last = turn == s.most_rounds or left["pairs"] <= s.finish_factor * left["k"]
         if last:
             pairs = _all_across(rows.join(signed.select("node", "bits"), "node"), s).join(tried, ["a", "b"], "left_anti")

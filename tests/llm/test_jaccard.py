@@ -9,6 +9,7 @@ import pytest
 
 from loanlens.llm import jaccard
 from loanlens.llm.components import connected_components
+from loanlens.llm.state import laid_out_by
 from tests.llm.rows import PROSE, SCHEMA, documents, frame, sentence
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -164,3 +165,36 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
+
+
+def test_whole_texts_are_shuffled_once(spark):
+    """Before they are written, by node; a verification brings its pairs to the written texts."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    s, before = jaccard.Settings(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nodes = spark.createDataFrame([(1,)], "node long").distinct()
+        fetched = jaccard._texts(frame(spark), nodes, s)
+        assert plan(fetched).count("Exchange") == 2  # the texts and the nodes
+        with laid_out_by("node"):
+            texts = jaccard.cut(fetched)
+        verified = plan(jaccard._verify(spark.createDataFrame([], "a long, b long"), texts, s))
+        assert "Bucketed: true" in verified and verified.count("Exchange hashpartitioning(node") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_members_of_large_tokens_are_found_once_a_turn(spark, monkeypatch):
+    plans, leaders = [], jaccard._to_leaders
+
+    def seen(rows, turn, s):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return leaders(rows, turn, s)
+
+    monkeypatch.setattr(jaccard, "_to_leaders", seen)
+    rng = random.Random(3)
+    passage = sentence(rng, 60)
+    rows = [(i, f"{passage} {' '.join(f'w{rng.randrange(10**6)}' for _ in range(20))}", "en", "s", 0) for i in range(12)]
+    got = found(spark, rows, small_group=2, finish_factor=0, most_rounds=1, sketch_bits=1)  # the passage is in every prefix
+    assert sorted(got) == sorted(brute(rows))
+    assert plans and not any("Join" in p for p in plans)
