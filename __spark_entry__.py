@@ -56,7 +56,7 @@ from loanlens.plans.publish import (
 )
 from loanlens.plans.stored import drop_stored, store
 from loanlens.session import shared_dir
-from loanlens.sources.book import read_book, write_book
+from loanlens.sources.book import BookInUse
 from loanlens.sources.replay import book_as_of
 from loanlens.sources.testdata import book_from_testdata
 
@@ -99,16 +99,15 @@ def forget(spark: SparkSession) -> None:
 
 def _book(spark: SparkSession, sf_dir: str):
     """The loan book of ``sf_dir``: derived from the test tables once per session and
-    stored as Parquet tables in the session's shared folder -- the shape a loan
-    book has in production: one file set per source table, filters pushed into
-    its scans."""
+    stored as Parquet tables in the session's shared folder, each when a report first
+    reads it -- the shape a loan book has in production: one file set per source table,
+    filters pushed into its scans."""
     key = ("book", id(spark), sf_dir)
     hit = _PLANS.get(key)
     if hit is None or hit[0] is not spark:
         root = f"{shared_dir(spark)}/loanbook_{uuid.uuid4().hex[:12]}"
-        write_book(book_from_testdata(spark, sf_dir), root)
         _WRITTEN.setdefault(id(spark), []).append(root)
-        hit = _PLANS[key] = (spark, read_book(spark, root))
+        hit = _PLANS[key] = (spark, BookInUse.of(book_from_testdata(spark, sf_dir), root))
     return hit[1]
 
 
@@ -287,7 +286,8 @@ def q_payments_by_loan_backfill(spark, sf_dir):
 def q_cohort_versions_reconciled(spark, sf_dir):
     """Where the cohort through facilities differs from the direct one, on the whole book."""
     book = _book(spark, sf_dir)
-    return reconcile(loan_cohort_v1(book, AS_OF, window=WHOLE_BOOK), _whole_book_cohort(book).table, COHORT_KEY, _beside(V1_COLUMNS, COHORT_KEY))
+    return reconcile(loan_cohort_v1(book, AS_OF, window=WHOLE_BOOK), _whole_book_cohort(book).table, COHORT_KEY, _beside(V1_COLUMNS, COHORT_KEY),
+                     by="loan_id")
 
 
 def q_payment_levels_reconciled(spark, sf_dir):
@@ -338,7 +338,7 @@ def training_data_names() -> set[str]:
 
 # What several reports read, made once per session: name -> maker.
 SETUP: dict[str, Callable] = {
-    "loan_book": _book,
+    "loan_book": lambda spark, sf_dir: _book(spark, sf_dir).tables(),
     "cohort_book": lambda spark, sf_dir: _whole_book_cohort(_book(spark, sf_dir)),
     "cohort_month": lambda spark, sf_dir: _month_cohort(_book(spark, sf_dir)),
 }

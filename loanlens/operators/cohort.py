@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.predicates import current_only, successful_loan
 from loanlens.functions.windows import NoWindow, ReportingWindow, previous_month
-from loanlens.plans.stored import Stored, restrict, store
+from loanlens.plans.stored import Stored, narrow, restrict, store
 from loanlens.sources.book import LoanBook
 from loanlens.sources.layout import created_months
 
@@ -126,8 +126,9 @@ def _original_applications(book: LoanBook, loans: Stored) -> DataFrame:
 
 
 def _min_external_id(book: LoanBook, apps: Stored, app: Column, key: str, out: str) -> DataFrame:
-    """Smallest external score id per application named by ``app`` (applications without one are absent)."""
-    ext = restrict(book.external_score, "loan_application_id", apps, app)
+    """Smallest external score id per application named by ``app`` (applications without one are absent),
+    to be joined by application; beyond the broadcast limit other applications are there too."""
+    ext = narrow(book.external_score, "loan_application_id", apps, app)
     return ext.groupBy(F.col("loan_application_id").alias(key)).agg(F.min("id").alias(out))
 
 
@@ -135,29 +136,29 @@ def facility_applications(book: LoanBook, loans: Stored, loan_col: str = "loan_i
     """Distinct (loan_id, la_id): application reached loan -> facility -> credit
     score created the same day as the facility -> existing config -> existing application.
 
-    The bridge is restricted by the stored loans and stored; facility and score by its keys.
+    The bridge is restricted by the stored loans and stored; facility and score by the keys of the
+    step before.  Keys that are too many for a broadcast restrict nothing ahead of the joins, so each
+    step shuffles its two sides once.
     """
     links = store(
         restrict(book.facility_has_loan, "loan_id", loans, loan_col).select("loan_id", "facility_id")
     )
-    fac = store(
-        restrict(book.facility, "id", links, "facility_id").select(
-            F.col("id").alias("facility_id"), "credit_score_id", F.to_date("created_at").alias("facility_day"),
-        )
+    fac = narrow(book.facility, "id", links, "facility_id").select(
+        F.col("id").alias("facility_id"), "credit_score_id", F.to_date("created_at").alias("facility_day"),
     )
-    cs = restrict(book.credit_score, "id", fac, "credit_score_id").select(
+    reached = store(links.table.join(fac, "facility_id").select("loan_id", "credit_score_id", "facility_day"))
+    cs = narrow(book.credit_score, "id", reached, "credit_score_id").select(
         F.col("id").alias("credit_score_id"), F.col("loan_application_id").alias("la_id"),
         F.col("credit_score_config_id"), F.to_date("created_at").alias("score_day"),
     )
     conf = book.credit_score_config.select(F.col("id").alias("credit_score_config_id"))
     chain = store(
-        links.table.join(fac.table, "facility_id")
-        .join(cs, ["credit_score_id"])
+        reached.table.join(cs, "credit_score_id")
         .filter(F.col("facility_day") == F.col("score_day"))
         .join(conf, "credit_score_config_id", "left_semi")
         .select("loan_id", "la_id").distinct()
     )
-    known = restrict(book.loan_application, "id", chain, "la_id").select(F.col("id").alias("la_id"))
+    known = narrow(book.loan_application, "id", chain, "la_id").select(F.col("id").alias("la_id"))
     return chain.table.join(known, "la_id")
 
 
@@ -167,12 +168,12 @@ def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> Da
 
     An application may carry very many external scores.  AQE can split a skewed
     partition on both sides of an inner join, but never the non-preserved side
-    of an outer join.  Unmatched rows are found against the distinct keys the
-    inner join matched (partially aggregated, so a hot key is one row per task),
-    not against the whole score table.
+    of an outer join.  Unmatched rows are found against the distinct keys of ``ext``
+    (partially aggregated, so a hot key is one row per task); ``rows`` are shuffled
+    once for both joins.
     """
     matched = rows.join(ext, key)
-    unmatched = rows.join(matched.select(key).distinct(), key, "left_anti").withColumn(
+    unmatched = rows.join(ext.select(key).distinct(), key, "left_anti").withColumn(
         "external_id", F.lit(None).cast("long")
     )
     return matched.unionByName(unmatched)
@@ -181,17 +182,26 @@ def with_external_ids(rows: DataFrame, ext: DataFrame, key: str = "la_id") -> Da
 def _scored(book: LoanBook, loans: Stored) -> DataFrame:
     """(loan_id, la_id, external_id or NULL) of the loans' facility chain, stored."""
     chain = store(facility_applications(book, loans))
-    ext = restrict(book.external_score, "loan_application_id", chain, "la_id").select(
+    ext = narrow(book.external_score, "loan_application_id", chain, "la_id").select(
         F.col("loan_application_id").alias("la_id"), F.col("id").alias("external_id")
     )
     return store(with_external_ids(chain.table, ext)).table
 
 
+def _distinct_rows(roots: DataFrame, children: DataFrame, loans: Stored) -> DataFrame:
+    """Distinct rows of both branches.
+
+    Loans beyond the broadcast limit leave the roots partitioned by loan; the children are dealt
+    the same way then, so that the distinct needs no shuffle of whole rows.
+    """
+    return roots.unionByName(children if loans.fits else children.repartition("loan_id")).distinct()
+
+
 def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | NoWindow | None = None) -> DataFrame:
     loans = _window_loans(book, window or previous_month(as_of), F.col("origin_loan_id").isNotNull())
     types = _types(book)
     roots = loans.table.filter("paid_out").withColumnRenamed("original_loan_application_id", "application_id")
-    ext = restrict(
+    ext = narrow(
         book.external_score, "loan_application_id", loans,
         F.when(F.col("paid_out"), F.col("original_loan_application_id")),
     ).select(F.col("id").alias("external_id"), F.col("loan_application_id").alias("application_id"))
@@ -220,7 +230,7 @@ def loan_cohort_v1(book: LoanBook, as_of: date, window: ReportingWindow | NoWind
         .withColumn("external_id", F.coalesce("child_external_id", "parent_external_id"))
         .select(*V1_COLUMNS)
     )
-    return root_rows.unionByName(child_rows).distinct()
+    return _distinct_rows(root_rows, child_rows, loans)
 
 
 def loan_cohort_v2(
@@ -275,4 +285,4 @@ def loan_cohort_v2(
         .withColumn("load_dttm", stamp)
         .select(*V2_COLUMNS)
     )
-    return root_rows.unionByName(child_rows).distinct()
+    return _distinct_rows(root_rows, child_rows, loans)

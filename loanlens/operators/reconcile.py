@@ -6,7 +6,9 @@ Rows that both versions hold equally often cancel, NULLs being equal.  Of what i
 * otherwise the rows before are ``dropped`` and those after ``added``, with their number.
 
 Two aggregations, the first by all columns and the second by key; both are partial before their
-exchange, and a key with many equal rows is one row per task by then.
+exchange, and a key with many equal rows is one row per task by then.  A version that comes out of a
+join on one column of the key is partitioned by it already: named as ``by``, neither aggregation has
+an exchange and only the other version is shuffled, once.
 """
 
 from __future__ import annotations
@@ -17,15 +19,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def reconcile(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+def reconcile(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
+              by: str | None = None) -> DataFrame:
     """``keys``, ``status`` (added, dropped, changed), ``changed`` (names of columns, joined by commas) and ``n_rows``.
 
-    ``columns`` are compared (by default all that both have beside the keys).
+    ``columns`` are compared (by default all that both have beside the keys).  ``by`` names a column of the
+    key by which ``before`` is partitioned already (by a join, say); ``after`` is dealt likewise, so the rows of
+    one value pass through one task there.  The result does not depend on it: where ``before`` is partitioned
+    otherwise, or Spark split a value with very many rows, there is an exchange more.
     """
     keys = list(keys)
     columns = [c for c in before.columns if c in after.columns and c not in keys] if columns is None else list(columns)
     value = [F.col(c).alias(f"v{k}") for k, c in enumerate(columns)]
-    both = before.select(*keys, *value, F.lit(1).alias("__side")).unionByName(after.select(*keys, *value, F.lit(-1).alias("__side")))
+    new = after.select(*keys, *value, F.lit(-1).alias("__side"))
+    both = before.select(*keys, *value, F.lit(1).alias("__side")).unionByName(new.repartition(by) if by else new)
     left = both.groupBy(*keys, *(f"v{k}" for k in range(len(columns)))).agg(F.sum("__side").alias("__left")).filter("__left <> 0")
     row = F.struct(*(F.col(f"v{k}") for k in range(len(columns))), F.lit(0).alias("end"))
     old, new = F.col("__left") > 0, F.col("__left") < 0

@@ -84,6 +84,15 @@ def restrict(big: DataFrame, big_key: str | Column, keys: Stored, key: str | Col
     return big.join(keys.keys(key), column == F.col("__key"), "left_semi")
 
 
+def narrow(big: DataFrame, big_key: str | Column, keys: Stored, key: str | Column) -> DataFrame:
+    """``restrict`` for an inner join by the same key that follows: beyond the broadcast limit ``big`` as it is.
+
+    The join shuffles ``big`` by the key anyway and drops the same rows, so a semi join before it
+    would only shuffle the keys once more.
+    """
+    return restrict(big, big_key, keys, key) if keys.fits else big
+
+
 def drop_stored(spark: SparkSession, *further: str) -> None:
     """Delete what this session stored, and ``further`` folders (reports built from them cannot run afterwards)."""
     for folder in (_folder(spark), *further):

@@ -41,6 +41,10 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
                      + [F.col(c).cast("string").alias(c) for c in folders(name) if c in df.columns])
 
 
+def _read_table(spark: SparkSession, root: str, name: str, fmt: str) -> DataFrame:
+    return _stored(spark.read.format(fmt).load(f"{root}/{name}"), name)
+
+
 def read_book(spark: SparkSession, root: str, fmt: str = "parquet") -> LoanBook:
     """Read ``root/<table>`` for every table of the book.
 
@@ -48,11 +52,16 @@ def read_book(spark: SparkSession, root: str, fmt: str = "parquet") -> LoanBook:
     everything else at the scan; filters placed by the reports reach the
     Parquet reader as pushed predicates or choose folders.
     """
-    dfs = {
-        name: _stored(spark.read.format(fmt).load(f"{root}/{name}"), name)
-        for name in BOOK_SCHEMAS
-    }
-    return LoanBook(**dfs)
+    return LoanBook(**{name: _read_table(spark, root, name, fmt) for name in BOOK_SCHEMAS})
+
+
+def _write_table(df: DataFrame, root: str, name: str, fmt: str, mode: str) -> None:
+    df, at = conform(df, name), folders(name)
+    if not at:
+        df.write.format(fmt).mode(mode).save(f"{root}/{name}")
+        return
+    (df.withColumns(at).hint("rebalance", *(F.col(c) for c in at))
+     .write.format(fmt).mode(mode).partitionBy(*at).save(f"{root}/{name}"))
 
 
 def write_book(book: LoanBook, root: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -62,9 +71,25 @@ def write_book(book: LoanBook, root: str, fmt: str = "parquet", mode: str = "ove
     should be, so files have a bounded size however the months differ.
     """
     for name, df in book.tables().items():
-        df, at = conform(df, name), folders(name)
-        if not at:
-            df.write.format(fmt).mode(mode).save(f"{root}/{name}")
-            continue
-        (df.withColumns(at).hint("rebalance", *(F.col(c) for c in at))
-         .write.format(fmt).mode(mode).partitionBy(*at).save(f"{root}/{name}"))
+        _write_table(df, root, name, fmt, mode)
+
+
+class BookInUse(LoanBook):
+    """A book whose tables are written below a folder, each one when a report first asks for it."""
+
+    @classmethod
+    def of(cls, book: LoanBook, root: str) -> BookInUse:
+        new = cls.__new__(cls)
+        object.__setattr__(new, "_origin", (book, root))
+        return new
+
+    def __getattr__(self, name: str) -> DataFrame:
+        # Reached only for a table that was not asked for before.
+        if name not in BOOK_SCHEMAS:
+            raise AttributeError(name)
+        book, root = self._origin
+        df = getattr(book, name)
+        _write_table(df, root, name, "parquet", "overwrite")
+        df = _read_table(df.sparkSession, root, name, "parquet")
+        object.__setattr__(self, name, df)
+        return df
